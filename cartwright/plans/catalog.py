@@ -1,0 +1,72 @@
+"""The query catalog: one callable ``(spark, sf_dir) -> DataFrame`` per
+operator / model of the warehouse, plus the DuckDB SQL that must give the
+same rows. ``__spark_entry__`` exposes both.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cartwright.plans import oracle
+from cartwright.plans.models import Models
+from cartwright.session import configure
+from cartwright.sources.raw import landed_raw_layer
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+
+
+def models(spark: SparkSession, sf_dir: str) -> Models:
+    configure(spark)
+    return Models(spark, landed_raw_layer(spark, sf_dir))
+
+
+def _model_query(name: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return models(spark, sf_dir).get(name)
+    run.__name__ = name
+    return run
+
+
+def q_stg_off_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6; the VARIANT tag list is returned as its JSON text."""
+    df = models(spark, sf_dir).stg_off_products
+    return df.withColumn("categories_tags", F.to_json("categories_tags"))
+
+
+QUERIES: dict[str, QueryFn] = {
+    "stg_aisles": _model_query("stg_aisles"),
+    "stg_departments": _model_query("stg_departments"),
+    "stg_products": _model_query("stg_products"),
+    "stg_orders": _model_query("stg_orders"),
+    "stg_order_products": _model_query("stg_order_products"),
+    "stg_off_products": q_stg_off_products,
+    "int_order_metrics": _model_query("int_order_metrics"),
+    "int_user_metrics": _model_query("int_user_metrics"),
+    "dim_product": _model_query("dim_product"),
+    "dim_user": _model_query("dim_user"),
+    "dim_time": _model_query("dim_time"),
+    "dim_food_product": _model_query("dim_food_product"),
+    "fact_orders": _model_query("fact_orders"),
+    "fact_order_items_full": _model_query("fact_order_items"),
+}
+
+ORACLE: dict[str, str] = {
+    "stg_aisles": oracle.with_models("SELECT * FROM stg_aisles"),
+    "stg_departments": oracle.with_models("SELECT * FROM stg_departments"),
+    "stg_products": oracle.with_models("SELECT * FROM stg_products"),
+    "stg_orders": oracle.with_models("SELECT * FROM stg_orders"),
+    "stg_order_products": oracle.with_models("SELECT * FROM stg_order_products"),
+    "stg_off_products": oracle.with_models(
+        "SELECT * REPLACE (to_json(categories_tags)::VARCHAR AS categories_tags) FROM stg_off_products"),
+    "int_order_metrics": oracle.with_models("SELECT * FROM int_order_metrics"),
+    "int_user_metrics": oracle.with_models("SELECT * FROM int_user_metrics"),
+    "dim_product": oracle.with_models("SELECT * FROM dim_product"),
+    "dim_user": oracle.with_models("SELECT * FROM dim_user"),
+    "dim_time": oracle.with_models("SELECT * FROM dim_time"),
+    "dim_food_product": oracle.with_models("SELECT * FROM dim_food_product"),
+    "fact_orders": oracle.with_models("SELECT * FROM fact_orders"),
+    "fact_order_items_full": oracle.with_models("SELECT * FROM fact_order_items"),
+}

@@ -1,0 +1,52 @@
+"""The landed raw layer (A6): raw tables as Parquet under the shared folder.
+
+In production the raw layer is whatever the loaders wrote. For tests and
+benchmarks it is derived once per session from the driver tables (see
+:mod:`cartwright.sources.testdata`) and written in the production layout:
+wave tables partitioned by ``order_number``, the feed table append-only.
+Every model query then reads these tables, so their work grows with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from cartwright import contracts
+from cartwright.session import scratch_dir
+from cartwright.sinks.loads import read_waves, write_waves
+from cartwright.sources.testdata import RawLayer, raw_layer
+
+_LANDED: dict[tuple[str, str], tuple[str, RawLayer]] = {}
+
+
+def land_raw_layer(spark: SparkSession, sf_dir: str, root: str | None = None) -> tuple[str, RawLayer]:
+    """Write the raw layer derived from ``sf_dir``; return (root, layer read back)."""
+    root = root or scratch_dir(spark, "raw")
+    raw = raw_layer(spark, sf_dir)
+    for c in contracts.WAVE_TABLES:
+        write_waves(raw.table(c.name), f"{root}/{c.name}")
+    for c in contracts.FULL_TABLES:
+        raw.table(c.name).write.mode("overwrite").parquet(f"{root}/{c.name}")
+    raw.off_products_raw.write.mode("overwrite").parquet(f"{root}/off_products_raw")
+    return root, read_raw_layer(spark, root)
+
+
+def read_raw_layer(spark: SparkSession, root: str) -> RawLayer:
+    tables = {c.name: read_waves(spark, f"{root}/{c.name}", c) for c in contracts.WAVE_TABLES}
+    for c in contracts.FULL_TABLES:
+        tables[c.name] = spark.read.schema(c.schema()).parquet(f"{root}/{c.name}")
+    tables["off_products_raw"] = spark.read.parquet(f"{root}/off_products_raw")
+    return RawLayer(**tables)
+
+
+def landed_raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
+    """The raw layer for ``sf_dir``, landed on first use in this application."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LANDED:
+        _LANDED[key] = land_raw_layer(spark, sf_dir)
+    return _LANDED[key][1]
+
+
+def landed_raw_root(spark: SparkSession, sf_dir: str) -> str:
+    landed_raw_layer(spark, sf_dir)
+    return _LANDED[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))][0]
