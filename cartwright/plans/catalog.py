@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.plans import oracle
+from cartwright.plans import oracle, scenarios
 from cartwright.plans.models import Models
 from cartwright.session import configure
 from cartwright.sources.raw import landed_raw_layer
@@ -51,6 +51,24 @@ QUERIES: dict[str, QueryFn] = {
     "dim_food_product": _model_query("dim_food_product"),
     "fact_orders": _model_query("fact_orders"),
     "fact_order_items_full": _model_query("fact_order_items"),
+    "fact_order_items_incremental": scenarios.fact_order_items_incremental,
+    "wave_split_counts": scenarios.wave_split_counts,
+    "wave_reload_idempotent": scenarios.wave_reload_idempotent,
+    "full_refresh": scenarios.full_refresh,
+    "csv_roundtrip": scenarios.csv_roundtrip,
+    "json_array_ingest": scenarios.json_array_ingest,
+    "append_once": scenarios.append_once,
+    "high_water_mark": scenarios.high_water_mark,
+    "feed_above_watermark": scenarios.feed_above_watermark,
+    "feed_capped_topn": scenarios.feed_capped_topn,
+    "fact_rows_per_wave": scenarios.fact_rows_per_wave,
+    "orphan_product_count": scenarios.orphan_product_count,
+    "dq_not_null": scenarios.dq_not_null,
+    "dq_unique": scenarios.dq_unique,
+    "dq_relationships": scenarios.dq_relationships,
+    "dq_accepted_values": scenarios.dq_accepted_values,
+    "dq_unique_combination": scenarios.dq_unique_combination,
+    "dq_all_mart_tests": scenarios.dq_all_mart_tests,
 }
 
 ORACLE: dict[str, str] = {
@@ -69,4 +87,11 @@ ORACLE: dict[str, str] = {
     "dim_food_product": oracle.with_models("SELECT * FROM dim_food_product"),
     "fact_orders": oracle.with_models("SELECT * FROM fact_orders"),
     "fact_order_items_full": oracle.with_models("SELECT * FROM fact_order_items"),
+    **oracle.SCENARIOS,
+    "dq_not_null": oracle.dq_sql(scenarios.dq_tests("not_null")),
+    "dq_unique": oracle.dq_sql(scenarios.dq_tests("unique")),
+    "dq_relationships": oracle.dq_sql(scenarios.dq_tests("relationships")),
+    "dq_accepted_values": oracle.dq_sql(scenarios.dq_tests("accepted_values")),
+    "dq_unique_combination": oracle.dq_sql(scenarios.dq_tests("unique_combination")),
+    "dq_all_mart_tests": oracle.dq_sql(scenarios.dq_tests(None)),
 }

@@ -1,0 +1,246 @@
+"""Catalog queries that exercise loads and writes end to end.
+
+Each scenario writes through a fresh folder below the shared checkpoint root,
+then returns a DataFrame that reads what was written, so the check sees the
+table a user would see after the run. All of them process the whole raw
+layer.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cartwright import contracts
+from cartwright.operators import quality
+from cartwright.operators.joins import orphan_count
+from cartwright.plans.models import Models
+from cartwright.plans.pipelines import Warehouse, read_raw, refresh_fact_order_items
+from cartwright.session import configure, scratch_dir
+from cartwright.sinks.feed_landing import land_json_arrays
+from cartwright.sinks.loads import load_full, load_wave, load_waves, read_loaded_wave_table, read_waves, split_waves
+from cartwright.sources import feed as feed_src
+from cartwright.sources.csv import read_contract_csv, write_contract_csv
+from cartwright.sources.raw import landed_raw_layer, landed_raw_root
+from cartwright.sources.testdata import read_table
+from cartwright.streaming.json_ingest import ingest_json_arrays
+
+
+def _setup(spark: SparkSession, sf_dir: str):
+    configure(spark)
+    return landed_raw_layer(spark, sf_dir)
+
+
+def _wave_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    parts = [df.groupBy("order_number").agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(name).alias("table_name"), "order_number", "n_rows") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _all_waves(raw) -> list[int]:
+    """The wave numbers present in the raw orders (one value per wave)."""
+    return sorted(r[0] for r in raw.orders.select("order_number").distinct().collect())
+
+
+# --- wave split and wave loads ----------------------------------------------
+
+def wave_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 + B2 + E10: split orders by order_number and route each line to its
+    order's wave through the strict lookup; rows per (table, wave)."""
+    raw = _setup(spark, sf_dir)
+    landing = scratch_dir(spark, "waves")
+    lines = {name: raw.table(name).drop("order_number") for name in contracts.LINE_TABLES}
+    split_waves(raw.orders, lines, landing)
+    tables = {c.name: read_waves(spark, f"{landing}/{c.name}", c) for c in contracts.WAVE_TABLES}
+    return _wave_counts(tables)
+
+
+def wave_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every wave, reload wave 1 twice and a wave with no file once;
+    rows per (table, wave) must equal the source."""
+    raw = _setup(spark, sf_dir)
+    root = landed_raw_root(spark, sf_dir)
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    waves = _all_waves(raw)
+    for c in contracts.WAVE_TABLES:
+        src = read_waves(spark, f"{root}/{c.name}", c)
+        load_waves(spark, src, c, waves, wh.raw(c.name))
+        load_wave(spark, src, c, 1, wh.raw(c.name))
+        load_wave(spark, src, c, 1, wh.raw(c.name))
+        load_wave(spark, None, c, max(waves) + 1, wh.raw(c.name))
+    tables = {c.name: read_loaded_wave_table(spark, wh.raw(c.name), c) for c in contracts.WAVE_TABLES}
+    return _wave_counts(tables)
+
+
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + B5: land the reference tables as CSV, full-load them twice; the
+    product table holds each row once."""
+    raw = _setup(spark, sf_dir)
+    landing = scratch_dir(spark, "csv")
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    for c in contracts.FULL_TABLES:
+        write_contract_csv(raw.table(c.name), f"{landing}/{c.name}", c)
+        for _ in range(2):
+            load_full(read_contract_csv(spark, f"{landing}/{c.name}", c), c, wh.raw(c.name))
+    return spark.read.parquet(wh.raw("products")).select(*contracts.table("products").column_names)
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/A2: raw orders landed as per-wave CSV and read back with the contract
+    schema (numeric text such as ``8.0`` parses into numeric(38,0))."""
+    raw = _setup(spark, sf_dir)
+    c = contracts.table("orders")
+    landing = scratch_dir(spark, "csv")
+    write_contract_csv(raw.orders, f"{landing}/orders", c, partition_by="order_number")
+    back = read_contract_csv(spark, f"{landing}/orders", c)
+    return back.withColumn("days_since_prior_order", F.col("days_since_prior_order").cast("long"))
+
+
+# --- product feed -------------------------------------------------------------
+
+FEED_OUT = ["product_code", "product_name", "brands", "energy_kcal_100g", "fat_100g", "last_modified_t"]
+
+
+def _feed_rows(raw_feed: DataFrame) -> DataFrame:
+    p = F.col("payload")
+    return raw_feed.select(
+        F.variant_get(p, "$.code", "string").alias("product_code"),
+        F.variant_get(p, "$.product_name", "string").alias("product_name"),
+        F.variant_get(p, "$.brands", "string").alias("brands"),
+        F.variant_get(p, '$.nutriments["energy-kcal_100g"]', "double").alias("energy_kcal_100g"),
+        F.variant_get(p, "$.nutriments.fat_100g", "double").alias("fat_100g"),
+        F.col("last_modified_t"))
+
+
+def _land_feed(feed: DataFrame, landing: str) -> None:
+    land_json_arrays(feed, landing, F.timestamp_seconds("last_modified_t"), "_source_pos")
+
+
+def json_array_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 + A4/A5 + K1: land the feed as JSON arrays under dt= folders, ingest
+    with the exactly-once file stream, return the loaded rows."""
+    raw = _setup(spark, sf_dir)
+    landing = scratch_dir(spark, "feed-landing")
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    _land_feed(raw.off_products_raw, landing)
+    ingest_json_arrays(spark, landing, wh.raw("off_products_raw"), wh.checkpoint("off_products_raw"))
+    return _feed_rows(spark.read.parquet(wh.raw("off_products_raw")))
+
+
+def append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest, ingest again (adds nothing), land newer pulls, ingest (adds
+    only them). Every landed product version is in the table exactly once."""
+    raw = _setup(spark, sf_dir)
+    landing = scratch_dir(spark, "feed-landing")
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    feed = raw.off_products_raw
+    mid = feed.agg(F.expr("(min(last_modified_t) + max(last_modified_t)) div 2")).first()[0]
+    target, ckpt = wh.raw("off_products_raw"), wh.checkpoint("off_products_raw")
+    _land_feed(feed.where(F.col("last_modified_t") <= mid), landing)
+    ingest_json_arrays(spark, landing, target, ckpt)
+    ingest_json_arrays(spark, landing, target, ckpt)
+    _land_feed(feed.where(F.col("last_modified_t") > mid), landing)
+    ingest_json_arrays(spark, landing, target, ckpt)
+    return _feed_rows(spark.read.parquet(target))
+
+
+def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """coalesce(max(last_modified_t), 0) of the loaded feed table."""
+    return feed_src.high_water_mark(_setup(spark, sf_dir).off_products_raw)
+
+
+def feed_above_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An uncapped pull of everything newer than the watermark; the
+    watermark is the midpoint of the feed's time range."""
+    feed = _setup(spark, sf_dir).off_products_raw
+    wm = feed.agg(F.expr("(min(last_modified_t) + max(last_modified_t)) div 2")).first()[0]
+    fresh = feed_src.above_watermark(feed, wm)
+    return fresh.select(F.variant_get("payload", "$.code", "string").alias("product_code"), "last_modified_t",
+                        F.col("_source_pos").alias("feed_pos"))
+
+
+def feed_capped_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill pull (watermark 0) capped at page_size x max_pages,
+    newest first with a stable tie-break."""
+    feed = _setup(spark, sf_dir).off_products_raw
+    pulled = feed_src.extract(feed, 0, contracts.FeedContract(), capped=True, tie_breaks=["_source_pos"])
+    return pulled.select(F.variant_get("payload", "$.code", "string").alias("product_code"), "last_modified_t",
+                         F.col("_source_pos").alias("feed_pos"))
+
+
+# --- incremental fact ---------------------------------------------------------
+
+def fact_order_items_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C7 + B10: load waves 1-3 and build the fact, then load every later wave
+    and advance the fact incrementally, then run the increment once more
+    (adds nothing). The result equals a full build."""
+    raw = _setup(spark, sf_dir)
+    root = landed_raw_root(spark, sf_dir)
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    waves = _all_waves(raw)
+    first, rest = [w for w in waves if w <= 3], [w for w in waves if w > 3]
+    for c in contracts.FULL_TABLES:
+        load_full(raw.table(c.name), c, wh.raw(c.name))
+    for step in (first, rest, []):
+        for c in contracts.WAVE_TABLES:
+            if step:
+                load_waves(spark, read_waves(spark, f"{root}/{c.name}", c), c, step, wh.raw(c.name))
+        refresh_fact_order_items(spark, Models(spark, read_raw(spark, wh)), wh)
+    return spark.read.parquet(wh.mart("fact_order_items")).select(
+        "order_id", "product_id", "order_number", "add_to_cart_order", "reordered", "source", "product_key",
+        "user_key", "time_key")
+
+
+# --- smoke queries and data tests ----------------------------------------------
+
+def _models(spark: SparkSession, sf_dir: str) -> Models:
+    return Models(spark, _setup(spark, sf_dir))
+
+
+def fact_rows_per_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the line fact per wave, in wave order."""
+    fact = _models(spark, sf_dir).fact_order_items
+    return fact.groupBy("order_number").agg(F.count(F.lit(1)).alias("n_rows")).orderBy("order_number")
+
+
+def orphan_product_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact lines whose product key has no product dimension row."""
+    m = _models(spark, sf_dir)
+    return orphan_count(m.fact_order_items, m.dim_product, "product_key")
+
+
+def _dq_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    m = _models(spark, sf_dir)
+    names = {t.model for t in quality.MART_TESTS} | {t.to_model for t in quality.MART_TESTS if t.to_model}
+    tables = {n: m.get(n) for n in names}
+    tables["lineitem"] = read_table(spark, sf_dir, "lineitem")
+    return tables
+
+
+# Extra unique-combination check on the source line table, which does repeat
+# (order, part) pairs: the test must find them.
+LINEITEM_UNIQUE_PAIR = quality.DataTest("unique_combination", "lineitem", ("l_orderkey", "l_partkey"))
+
+
+def dq_tests(kind: str | None) -> list[quality.DataTest]:
+    tests = [t for t in quality.MART_TESTS if kind is None or t.kind == kind]
+    if kind == "unique_combination":
+        tests.append(LINEITEM_UNIQUE_PAIR)
+    return tests
+
+
+def _dq_query(kind: str | None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return quality.evaluate(dq_tests(kind), _dq_tables(spark, sf_dir))
+    run.__name__ = f"dq_{kind or 'all'}"
+    return run
+
+
+dq_not_null = _dq_query("not_null")
+dq_unique = _dq_query("unique")
+dq_relationships = _dq_query("relationships")
+dq_accepted_values = _dq_query("accepted_values")
+dq_unique_combination = _dq_query("unique_combination")
+dq_all_mart_tests = _dq_query(None)

@@ -101,6 +101,21 @@ def load_wave(spark: SparkSession, df: DataFrame | None, contract: TableContract
     rows.write.mode("overwrite").parquet(part_path)
 
 
+def load_waves(spark: SparkSession, df: DataFrame, contract: TableContract, waves: list[int], target: str) -> None:
+    """B6 for several waves in one job: every listed wave is replaced by its
+    rows in ``df`` (dynamic partition overwrite); listed waves without rows
+    are emptied. Waves not listed are untouched."""
+    wave_col = contract.wave_column
+    rows = with_loaded_at(df.where(F.col(wave_col).isin(waves)).select(*contract.column_names))
+    (rows.repartitionByRange(_n_parts(spark), wave_col, contract.column_names[0])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(wave_col).parquet(target))
+    present = {r[0] for r in rows.select(wave_col).distinct().collect()}  # at most len(waves) values
+    empty = contract.schema().add("_loaded_at", "timestamp")
+    for w in waves:
+        if w not in present:
+            spark.createDataFrame([], empty).drop(wave_col).write.mode("overwrite").parquet(f"{target}/{wave_col}={w}")
+
+
 def read_loaded_wave_table(spark: SparkSession, target: str, contract: TableContract) -> DataFrame:
     schema = contract.schema().add("_loaded_at", "timestamp")
     return spark.read.schema(schema).parquet(target).select(*contract.column_names, "_loaded_at")
