@@ -16,7 +16,7 @@ no rows is emptied explicitly. NULL keys never match (anti-join semantics).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -59,7 +59,7 @@ def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniqu
     """Apply ``batch`` to the target; returns the number of partitions rewritten."""
     batch = batch.select(*columns)
     if not table_exists(spark, target_path):
-        (batch.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), partition_col, *unique_key)
+        (batch.hint("rebalance", partition_col)
          .write.mode("overwrite").partitionBy(partition_col).parquet(target_path))
         return -1
     target = read_target(spark, target_path, columns)
@@ -75,12 +75,14 @@ def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniqu
     kept = target.where(F.col(partition_col).isin(affected)).join(keys, unique_key, "left_anti")
     new_content = kept.unionByName(batch)
     staging = scratch_dir(spark, "delete-insert")
-    new_content.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    seen = Observation()
+    new_content = new_content.observe(seen, F.collect_set(partition_col).alias("parts"))
+    new_content.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    written = set(seen.get["parts"])  # bounded by the number of affected partitions
 
     staged = spark.read.parquet(staging).select(*columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(target_path))
-    written = {r[0] for r in staged.select(partition_col).distinct().collect()}
     empty_schema = target.drop(partition_col).schema
     for p in affected:
         if p not in written:

@@ -1,9 +1,11 @@
 """Land feed pulls as JSON-array files under ``dt=YYYY-MM-DD`` (UTC).
 
 Each output line is one JSON array of at most ``rows_per_array`` product
-objects (one extractor "file" worth). Arrays are built per (dt, chunk) group
-whose size is bounded by construction, so no group, task or driver ever holds
-an unbounded set of rows. An empty pull writes nothing.
+objects (one extractor "file" worth). Arrays are built per (dt, chunk) group,
+where a chunk is a run of consecutive rows of one input partition
+(``monotonically_increasing_id`` is consecutive within a partition and jumps
+by 2**33 between partitions), so every group is bounded by construction and
+no global numbering or extra shuffle is needed. An empty pull writes nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.functions.scalars import utc_date_label
-from cartwright.operators.sequence import number_within_groups
 
 
 def land_json_arrays(feed: DataFrame, landing: str, pulled_at, order_col: str, rows_per_array: int = 500,
@@ -21,8 +22,7 @@ def land_json_arrays(feed: DataFrame, landing: str, pulled_at, order_col: str, r
     column or literal giving the dt partition; ``order_col`` gives a total
     order used to cut the chunks."""
     dated = feed.withColumn("dt", utc_date_label(pulled_at))
-    numbered = number_within_groups(dated, ["dt"], [order_col], rn_col="_rn")
-    chunked = numbered.withColumn("_chunk", F.floor((F.col("_rn") - 1) / rows_per_array))
+    chunked = dated.withColumn("_chunk", F.floor(F.monotonically_increasing_id() / rows_per_array))
     arrays = (chunked.groupBy("dt", "_chunk")
               .agg(F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("k"),
                                                         F.to_json("payload").alias("j")))).alias("_items"))

@@ -7,7 +7,7 @@ idempotent on rerun, and an absent wave file leaves the wave empty.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import contracts, fixed
@@ -23,13 +23,16 @@ def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", order_
                 mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
     """B2: route every row to its wave partition ``<path>/<wave_col>=N/``.
 
-    Waves shrink steeply with N (everyone has a first order), so hashing on
-    the wave would put most rows in one task. Range partitioning on
-    ``(wave, key)`` cuts a big wave into several ordered tasks and keeps each
-    small wave in few files; ``overwrite`` makes a rerun deterministic and
-    drops waves that disappeared from the source.
+    Waves shrink steeply with N (everyone has a first order), so a plain
+    hash repartition on the wave would put most rows in one task, and no
+    repartition at all would make every input task write a file per wave.
+    The ``rebalance`` hint clusters rows by wave and lets AQE split the big
+    waves into advisory-size tasks and merge the small ones, without a
+    sampling pass over the input; ``overwrite`` makes a rerun deterministic
+    and drops waves that disappeared from the source.
     """
-    (df.repartitionByRange(_n_parts(df.sparkSession), wave_col, order_key)
+    del order_key  # clustering is by wave; AQE sizes the tasks
+    (df.hint("rebalance", wave_col)
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(wave_col).parquet(path))
 
@@ -106,10 +109,12 @@ def load_waves(spark: SparkSession, df: DataFrame, contract: TableContract, wave
     rows in ``df`` (dynamic partition overwrite); listed waves without rows
     are emptied. Waves not listed are untouched."""
     wave_col = contract.wave_column
+    seen = Observation()
     rows = with_loaded_at(df.where(F.col(wave_col).isin(waves)).select(*contract.column_names))
-    (rows.repartitionByRange(_n_parts(spark), wave_col, contract.column_names[0])
+    rows = rows.observe(seen, F.collect_set(wave_col).alias("waves"))  # at most len(waves) values
+    (rows.hint("rebalance", wave_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(wave_col).parquet(target))
-    present = {r[0] for r in rows.select(wave_col).distinct().collect()}  # at most len(waves) values
+    present = set(seen.get["waves"])
     empty = contract.schema().add("_loaded_at", "timestamp")
     for w in waves:
         if w not in present:

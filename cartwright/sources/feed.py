@@ -21,8 +21,20 @@ from cartwright.contracts import FeedContract
 from cartwright.functions.variant import variant_path
 
 
+WM = "_wm"
+
+
 def watermark_value(feed: DataFrame, field: str = "last_modified_t") -> Column:
-    return F.coalesce(variant_path("payload", field, type_="bigint"), F.lit(0))
+    """The watermark of each row: the column extracted at load time when the
+    table has it, else the payload field; missing counts as 0."""
+    src = F.col(field) if field in feed.columns else variant_path("payload", field, type_="bigint")
+    return F.coalesce(src, F.lit(0))
+
+
+def with_watermark(feed: DataFrame, field: str = "last_modified_t") -> DataFrame:
+    """Project the watermark once, so filters and the top-k comparator read a
+    plain bigint instead of re-parsing the payload per comparison."""
+    return feed if WM in feed.columns else feed.withColumn(WM, watermark_value(feed, field))
 
 
 def high_water_mark(raw: DataFrame, col: str = "last_modified_t") -> DataFrame:
@@ -45,12 +57,12 @@ def read_high_water_mark(spark: SparkSession, path: str, col: str = "last_modifi
 def above_watermark(feed: DataFrame, watermark: int | Column, field: str = "last_modified_t") -> DataFrame:
     """Rows strictly newer than the watermark."""
     wm = watermark if isinstance(watermark, Column) else F.lit(int(watermark))
-    return feed.where(watermark_value(feed, field) > wm)
+    return with_watermark(feed, field).where(F.col(WM) > wm)
 
 
-def newest_first(feed: DataFrame, field: str = "last_modified_t", tie_breaks: list[str] | None = None) -> list[Column]:
+def newest_first(tie_breaks: list[str] | None = None) -> list[Column]:
     """Newest first, then the tie-break columns descending (a stable order)."""
-    return [watermark_value(feed, field).desc()] + [F.col(c).desc() for c in (tie_breaks or [])]
+    return [F.col(WM).desc()] + [F.col(c).desc() for c in (tie_breaks or [])]
 
 
 def extract(feed: DataFrame, watermark: int, contract: FeedContract | None = None, capped: bool = True,
@@ -59,5 +71,5 @@ def extract(feed: DataFrame, watermark: int, contract: FeedContract | None = Non
     ``capped`` at most ``page_size * max_pages`` of them (G3)."""
     contract = contract or FeedContract()
     fresh = above_watermark(feed, watermark, contract.watermark_field)
-    ordered = fresh.orderBy(*newest_first(fresh, contract.sort_by, tie_breaks))
-    return ordered.limit(contract.cap) if capped else ordered
+    ordered = fresh.orderBy(*newest_first(tie_breaks))
+    return (ordered.limit(contract.cap) if capped else ordered).drop(WM)

@@ -23,8 +23,13 @@ def land_raw_layer(spark: SparkSession, sf_dir: str, root: str | None = None) ->
     """Write the raw layer derived from ``sf_dir``; return (root, layer read back)."""
     root = root or scratch_dir(spark, "raw")
     raw = raw_layer(spark, sf_dir)
-    for c in contracts.WAVE_TABLES:
-        write_waves(raw.table(c.name), f"{root}/{c.name}")
+    write_waves(raw.orders, f"{root}/orders")
+    raw.lines.persist()  # both line tables are cut from one computation
+    try:
+        for name in contracts.LINE_TABLES:
+            write_waves(raw.table(name), f"{root}/{name}")
+    finally:
+        raw.lines.unpersist()
     for c in contracts.FULL_TABLES:
         raw.table(c.name).write.mode("overwrite").parquet(f"{root}/{c.name}")
     raw.off_products_raw.write.mode("overwrite").parquet(f"{root}/off_products_raw")
@@ -36,7 +41,7 @@ def read_raw_layer(spark: SparkSession, root: str) -> RawLayer:
     for c in contracts.FULL_TABLES:
         tables[c.name] = spark.read.schema(c.schema()).parquet(f"{root}/{c.name}")
     tables["off_products_raw"] = spark.read.parquet(f"{root}/off_products_raw")
-    return RawLayer(**tables)
+    return RawLayer(**tables, lines=None)
 
 
 def landed_raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:

@@ -171,6 +171,7 @@ class RawLayer:
     aisles: DataFrame
     departments: DataFrame
     off_products_raw: DataFrame
+    lines: DataFrame | None = None  # prior + train lines with eval_set (adapter only)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -189,4 +190,5 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
         aisles=raw_aisles(part),
         departments=raw_departments(part),
         off_products_raw=feed_payloads(read_table(spark, sf_dir, "events")),
+        lines=lines,
     )
