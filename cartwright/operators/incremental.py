@@ -12,15 +12,17 @@ The new content is first written to a staging folder below the shared
 checkpoint root (the target must not be read while it is overwritten), then
 swapped in with a dynamic partition overwrite. A partition that ends up with
 no rows is emptied explicitly. NULL keys never match (anti-join semantics).
+
+The usual increment (new waves only: no batch key already in the target, no
+batch partition present yet) skips the staging copy and writes the batch
+straight into its new partitions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
-
-from cartwright.session import scratch_dir
+from cartwright.session import path_exists, scratch_dir
 
 
 class SchemaChangeError(RuntimeError):
@@ -28,13 +30,7 @@ class SchemaChangeError(RuntimeError):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - forces file listing
-        return True
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return False
-        raise
+    return path_exists(spark, path)
 
 
 def read_target(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -67,11 +63,23 @@ def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniqu
 
     keys = batch.select(*unique_key).dropna(how="any").distinct()
     hit = target.join(keys, unique_key, "left_semi").select(partition_col)
-    affected_df = batch.select(partition_col).union(hit).distinct()
-    affected = [r[0] for r in affected_df.collect()]  # one value per partition, bounded by the partition count
+    # one job: every affected partition, flagged when a target key lives there
+    flags = (batch.select(partition_col, F.lit(0).alias("_hit"))
+             .unionByName(hit.select(partition_col, F.lit(1).alias("_hit")))
+             .groupBy(partition_col).agg(F.max("_hit").alias("_hit")).collect())  # bounded by partition count
+    affected = [r[0] for r in flags]
     if not affected:
         return 0
 
+    touches_existing = any(r["_hit"] for r in flags) or any(
+        path_exists(spark, f"{target_path}/{partition_col}={p}") for p in affected)
+    if not touches_existing:
+        # only brand-new partitions: nothing to delete and no self-read, so the
+        # batch goes straight in (dynamic overwrite touches only its partitions)
+        (batch.hint("rebalance", partition_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
+        return len(affected)
+
     kept = target.where(F.col(partition_col).isin(affected)).join(keys, unique_key, "left_anti")
     new_content = kept.unionByName(batch)
     staging = scratch_dir(spark, "delete-insert")

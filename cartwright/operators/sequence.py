@@ -25,6 +25,12 @@ segment of the same group.
 
 Order keys must make the order total (add a unique key as the last one),
 otherwise a retried task could number tied rows differently.
+
+The segmented plan costs a sampling pass, a checkpoint write and one more
+shuffle than a plain window. So the operator first measures the largest group
+with one partial aggregate (a count per group, combined map-side): when no
+group exceeds ``max_group_rows`` (what one task may sort comfortably), the
+plain window is used; otherwise the segmented plan. Both give the same rows.
 """
 
 from __future__ import annotations
@@ -37,14 +43,37 @@ from cartwright.session import checkpoint_root
 _PID, _LRN, _N, _OFF, _LAST, _PREV = "_seg_pid", "_seg_lrn", "_seg_n", "_seg_off", "_seg_last", "_seg_prev"
 
 
+# Rows of one group a single task may sort in the plain-window plan.
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: list[str]) -> int:
+    """Size of the largest group (0 for an empty input); one aggregate job."""
+    top = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
 def number_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str], rn_col: str = "rn",
-                         lag_of: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                         lag_of: dict[str, str] | None = None, num_partitions: int | None = None,
+                         max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Add ``rn_col`` = row_number() over (partition by group order by order, ascending).
 
     ``lag_of`` maps a source column to the name of its lag-1 column in the
     same window. Returns all input columns plus the new ones.
+    ``max_group_rows=None`` always takes the segmented plan.
     """
     lag_of = lag_of or {}
+    if max_group_rows is not None and largest_group(df, group_cols) <= max_group_rows:
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        out = df.withColumn(rn_col, F.row_number().over(w).cast("long"))
+        for src, name in lag_of.items():
+            out = out.withColumn(name, F.lag(src).over(w))
+        return out
+    return _segmented(df, group_cols, order_cols, rn_col, lag_of, num_partitions)
+
+
+def _segmented(df: DataFrame, group_cols: list[str], order_cols: list[str], rn_col: str,
+               lag_of: dict[str, str], num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]

@@ -73,3 +73,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the Hadoop file system of its URI scheme."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - standard PySpark access to Hadoop FS
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))  # noqa: SLF001

@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cartwright.contracts import FeedContract
 from cartwright.functions.variant import variant_path
+from cartwright.session import path_exists
 
 
 WM = "_wm"
@@ -45,13 +45,9 @@ def high_water_mark(raw: DataFrame, col: str = "last_modified_t") -> DataFrame:
 def read_high_water_mark(spark: SparkSession, path: str, col: str = "last_modified_t") -> int:
     """The watermark of the raw table at ``path``; 0 only when the table does
     not exist yet (any other error propagates)."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return 0
-        raise
-    return int(high_water_mark(df, col).first()["watermark"])
+    if not path_exists(spark, path):
+        return 0
+    return int(high_water_mark(spark.read.parquet(path), col).first()["watermark"])
 
 
 def above_watermark(feed: DataFrame, watermark: int | Column, field: str = "last_modified_t") -> DataFrame:
