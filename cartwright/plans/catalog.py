@@ -52,6 +52,7 @@ QUERIES: dict[str, QueryFn] = {
     "fact_orders": _model_query("fact_orders"),
     "fact_order_items_full": _model_query("fact_order_items"),
     "fact_order_items_incremental": scenarios.fact_order_items_incremental,
+    "fact_order_items_streamed": scenarios.fact_order_items_streamed,
     "wave_split_counts": scenarios.wave_split_counts,
     "wave_reload_idempotent": scenarios.wave_reload_idempotent,
     "full_refresh": scenarios.full_refresh,
@@ -69,6 +70,7 @@ QUERIES: dict[str, QueryFn] = {
     "dq_accepted_values": scenarios.dq_accepted_values,
     "dq_unique_combination": scenarios.dq_unique_combination,
     "dq_all_mart_tests": scenarios.dq_all_mart_tests,
+    "warehouse_run_gate": scenarios.warehouse_run_gate,
 }
 
 ORACLE: dict[str, str] = {
@@ -88,10 +90,12 @@ ORACLE: dict[str, str] = {
     "fact_orders": oracle.with_models("SELECT * FROM fact_orders"),
     "fact_order_items_full": oracle.with_models("SELECT * FROM fact_order_items"),
     **oracle.SCENARIOS,
+    "fact_order_items_streamed": oracle.with_models("SELECT * FROM fact_order_items"),
     "dq_not_null": oracle.dq_sql(scenarios.dq_tests("not_null")),
     "dq_unique": oracle.dq_sql(scenarios.dq_tests("unique")),
     "dq_relationships": oracle.dq_sql(scenarios.dq_tests("relationships")),
     "dq_accepted_values": oracle.dq_sql(scenarios.dq_tests("accepted_values")),
     "dq_unique_combination": oracle.dq_sql(scenarios.dq_tests("unique_combination")),
     "dq_all_mart_tests": oracle.dq_sql(scenarios.dq_tests(None)),
+    "warehouse_run_gate": oracle.dq_sql(scenarios.dq_tests(None)),
 }

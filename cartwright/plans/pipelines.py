@@ -20,6 +20,7 @@ from cartwright.operators import quality
 from cartwright.operators.incremental import delete_insert, max_partition_value, table_exists
 from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
 from cartwright.plans.models import Models
+from cartwright.session import path_exists
 from cartwright.sinks.loads import load_full, load_waves, read_loaded_wave_table, read_waves
 from cartwright.sources.csv import read_contract_csv
 from cartwright.sources.json_arrays import read_json_arrays  # noqa: F401 - batch alternative to K1
@@ -47,12 +48,16 @@ class Warehouse:
 
 
 def read_raw(spark: SparkSession, wh: Warehouse) -> RawLayer:
-    """The loaded raw tables (without the audit column)."""
+    """The loaded raw tables (without the audit column); a table not loaded
+    yet reads as empty with its contract schema."""
     t = {}
-    for c in contracts.WAVE_TABLES:
-        t[c.name] = read_loaded_wave_table(spark, wh.raw(c.name), c).select(*c.column_names)
-    for c in contracts.FULL_TABLES:
-        t[c.name] = spark.read.parquet(wh.raw(c.name)).select(*c.column_names)
+    for c in contracts.TABLES:
+        if not path_exists(spark, wh.raw(c.name)):
+            t[c.name] = spark.createDataFrame([], c.schema())
+        elif c.load_mode == "wave":
+            t[c.name] = read_loaded_wave_table(spark, wh.raw(c.name), c).select(*c.column_names)
+        else:
+            t[c.name] = spark.read.parquet(wh.raw(c.name)).select(*c.column_names)
     feed = wh.raw("off_products_raw")
     t["off_products_raw"] = (spark.read.parquet(feed) if table_exists(spark, feed)
                              else spark.createDataFrame([], contracts.FEED_RAW_SCHEMA))

@@ -17,7 +17,9 @@ from cartwright import contracts
 from cartwright.operators import quality
 from cartwright.operators.joins import orphan_count
 from cartwright.plans.models import Models
-from cartwright.plans.pipelines import Warehouse, build_marts, mart_tables, read_raw, refresh_fact_order_items
+from cartwright.plans.pipelines import (
+    Warehouse, build_marts, mart_tables, read_raw, refresh_fact_order_items, run_feed, run_setup, run_wave,
+)
 from cartwright.session import configure, scratch_dir
 from cartwright.sinks.feed_landing import land_json_arrays
 from cartwright.sinks.loads import load_full, load_wave, load_waves, read_loaded_wave_table, read_waves, split_waves
@@ -25,7 +27,9 @@ from cartwright.sources import feed as feed_src
 from cartwright.sources.csv import read_contract_csv, write_contract_csv
 from cartwright.sources.raw import landed_raw_layer, landed_raw_root
 from cartwright.sources.testdata import read_table
+from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS
 from cartwright.streaming.json_ingest import ingest_json_arrays
+from cartwright.streaming.wave_refresh import refresh_on_new_lines, stream_order_products
 
 
 def _setup(spark: SparkSession, sf_dir: str):
@@ -193,6 +197,41 @@ def fact_order_items_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_key", "time_key")
 
 
+def fact_order_items_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the landed line files are read as streams; each micro-batch of files
+    is applied to the fact with delete+insert (several batches, files once)."""
+    raw = _setup(spark, sf_dir)
+    root = landed_raw_root(spark, sf_dir)
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    orders = Models(spark, raw).stg_orders
+    lines = stream_order_products(spark, root, max_files_per_trigger=16)
+    refresh_on_new_lines(spark, lines, orders, wh.mart("fact_order_items"), wh.checkpoint("fact_order_items"))
+    return spark.read.parquet(wh.mart("fact_order_items")).select(*FACT_ORDER_ITEMS_COLUMNS)
+
+
+def warehouse_run_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three runs end to end: setup from landed CSVs, the waves in two runs
+    (1-3, then the rest), one feed run over landed JSON arrays; returns the
+    gate's per-test failure counts (the gate raises if any is non-zero)."""
+    raw = _setup(spark, sf_dir)
+    root = landed_raw_root(spark, sf_dir)
+    csv_landing = scratch_dir(spark, "csv")
+    feed_landing = scratch_dir(spark, "feed-landing")
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    for c in contracts.FULL_TABLES:
+        write_contract_csv(raw.table(c.name), f"{csv_landing}/{c.name}", c)
+    run_setup(spark, wh, csv_landing)
+    _land_feed(raw.off_products_raw, feed_landing)
+    run_feed(spark, wh, feed_landing)
+    waves = _all_waves(raw)
+    run_wave(spark, wh, root, [w for w in waves if w <= 3])
+    results = run_wave(spark, wh, root, [w for w in waves if w > 3])
+    rows = [(name, kind_of[name].kind, kind_of[name].model, kind_of[name].column_name, n)
+            for name, n in results for kind_of in [{t.name: t for t in quality.MART_TESTS}]]
+    return spark.createDataFrame(rows, "test_name string, kind string, model string, column_name string, "
+                                       "n_failed long")
+
+
 # --- smoke queries and data tests on the built marts ---------------------------
 
 _BUILT: dict[tuple[str, str], Warehouse] = {}

@@ -78,8 +78,8 @@ def create_raw_table(spark: SparkSession, database: str, contract: TableContract
     """Create-if-not-exists from the contract, plus the ``_loaded_at`` audit column."""
     cols = ", ".join(f"{c.name} {contracts.TYPE_MAP[c.type].simpleString()}" for c in contract.columns)
     part = f" PARTITIONED BY ({contract.wave_column})" if contract.load_mode == "wave" else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{contract.name} ({cols}, _loaded_at timestamp) "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{contract.name} "
+              f"({cols}, _loaded_at timestamp DEFAULT current_timestamp()) "
               f"USING parquet{part} LOCATION '{location}'")
 
 

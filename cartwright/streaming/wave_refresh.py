@@ -1,25 +1,49 @@
-"""K2: incremental fact refresh driven by newly landed waves.
+"""K2: incremental fact refresh driven by newly landed wave files.
 
-Each micro-batch of new order lines is applied to the fact table with the
-delete+insert operator, so a replayed batch is idempotent.
+The raw line tables are read as file streams; each micro-batch (a set of new
+wave files) is turned into fact rows against the current orders and applied
+with the delete+insert operator, so a replayed batch is idempotent and the
+checkpoint guarantees every landed file is applied once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cartwright import contracts
 from cartwright.operators.incremental import delete_insert
 from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
 
 
+def stream_order_products(spark: SparkSession, raw_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """stg_order_products as a stream over the raw wave folders."""
+    parts = []
+    for name in contracts.LINE_TABLES:
+        c = contracts.table(name)
+        reader = spark.readStream.schema(c.schema())
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        parts.append(reader.parquet(f"{raw_root}/{name}").select(
+            *c.column_names, F.lit(name.rsplit("_", 1)[-1]).alias("source")))
+    return parts[0].unionByName(parts[1])
+
+
 def refresh_on_new_lines(spark: SparkSession, lines_stream: DataFrame, orders: DataFrame, target: str,
                          checkpoint: str) -> None:
     """``lines_stream``: streaming stg_order_products rows; ``orders``: stg_orders (batch)."""
 
     def apply(batch: DataFrame, _epoch: int) -> None:
-        facts = fact_order_items(batch, orders)
-        delete_insert(spark, facts, target, ["order_id", "product_id"], "order_number", FACT_ORDER_ITEMS_COLUMNS)
+        batch.persist()
+        try:
+            facts = fact_order_items(batch, orders)
+            delete_insert(spark, facts, target, ["order_id", "product_id"], "order_number",
+                          FACT_ORDER_ITEMS_COLUMNS)
+        finally:
+            batch.unpersist()
 
     q = (lines_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if q.exception():
+        raise q.exception()

@@ -95,3 +95,27 @@ def test_json_array_file_loads_once(spark, scratch):
     ingest_json_arrays(spark, f"{scratch}/landing", target, ckpt)
     got = spark.read.parquet(target).select(F.variant_get("payload", "$.code", "string").alias("c"))
     assert sorted(r.c for r in got.collect()) == ["a", "b", "c"]
+
+
+def test_create_raw_table_if_not_exists(spark, scratch):
+    from cartwright.sinks.loads import create_raw_table
+    c = contracts.table("aisles")
+    db = "cw_raw_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/{db}.db'")
+    create_raw_table(spark, db, c, f"{scratch}/aisles")
+    create_raw_table(spark, db, c, f"{scratch}/aisles")  # second call is a no-op
+    cols = [f.name for f in spark.table(f"{db}.aisles").schema.fields]
+    assert cols == ["aisle_id", "aisle", "_loaded_at"]
+    spark.sql(f"INSERT INTO {db}.aisles (aisle_id, aisle) VALUES (1, 'bakery')")
+    row = spark.table(f"{db}.aisles").first()
+    assert row.aisle == "bakery" and row._loaded_at is not None
+    w = contracts.table("orders")
+    create_raw_table(spark, db, w, f"{scratch}/orders")
+    parts = [r.col_name for r in spark.sql(f"DESCRIBE {db}.orders").collect()]
+    assert "# Partition Information" in parts
+
+
+def test_wave_label_column(spark):
+    from cartwright.functions.scalars import wave_label
+    df = spark.createDataFrame([(7,), (1,), (10,), (1234,)], "w int")
+    assert [r.l for r in df.select(wave_label("w").alias("l")).collect()] == ["007", "001", "010", "1234"]
