@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright import contracts
+from cartwright import contracts, fixed
 from cartwright.operators import quality
 from cartwright.operators.incremental import delete_insert, max_partition_value, table_exists
 from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
@@ -70,18 +70,27 @@ def run_setup(spark: SparkSession, wh: Warehouse, csv_landing: str) -> None:
         load_full(read_contract_csv(spark, f"{csv_landing}/{c.name}", c), c, wh.raw(c.name))
 
 
-def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse) -> int:
+def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse, waves: list[int] | None = None) -> int:
     """M14 incremental: lines with ``order_number`` above the target's maximum
     (0 for an empty or missing target), applied with delete+insert on
-    (order_id, product_id)."""
+    (order_id, product_id).
+
+    ``waves`` selects explicit waves instead (a corrected or out-of-order wave
+    would never pass the ``> max`` filter); their keys are replaced the same way.
+    """
     path = wh.mart("fact_order_items")
-    since = max_partition_value(spark.read.parquet(path), "order_number") if table_exists(spark, path) else 0
-    lines = m.stg_order_products.where(m.stg_order_products.order_number > since)
+    op = m.stg_order_products
+    if waves is not None:
+        lines = op.where(op.order_number.isin(list(waves)))
+    else:
+        since = max_partition_value(spark.read.parquet(path), "order_number") if table_exists(spark, path) else 0
+        lines = op.where(op.order_number > since)
     batch = fact_order_items(lines, m.stg_orders)
     return delete_insert(spark, batch, path, ["order_id", "product_id"], "order_number", FACT_ORDER_ITEMS_COLUMNS)
 
 
-def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: bool = True) -> None:
+def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: bool = True,
+                fact_waves: list[int] | None = None) -> None:
     """The reused aggregate first, then the table marts read it back."""
     m.int_order_metrics.write.mode("overwrite").parquet(wh.intermediate("int_order_metrics"))
     m.__dict__["int_order_metrics"] = spark.read.parquet(wh.intermediate("int_order_metrics"))
@@ -89,7 +98,49 @@ def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: boo
         if name == "dim_food_product" and not include_feed:
             continue
         m.get(name).write.mode("overwrite").parquet(wh.mart(name))
-    refresh_fact_order_items(spark, m, wh)
+    refresh_fact_order_items(spark, m, wh, waves=fact_waves)
+
+
+def register_layers(spark: SparkSession, wh: Warehouse, prefix: str = "", raw_root: str | None = None) -> dict[str, str]:
+    """One database per layer (``<prefix><layer>``) over the warehouse
+    folders; every written table is registered as an external Parquet table
+    (wave-partitioned ones with their partitions recovered), so the layers
+    can be queried with Spark SQL, e.g. ``SELECT ... FROM marts.fact_orders``.
+    Existing registrations are never dropped: a name that already points at
+    another location is an error (pick another ``prefix``).
+    Returns table name -> location for what was registered."""
+    out = {}
+    layout = {"raw": [c.name for c in contracts.TABLES] + ["off_products_raw"],
+              "intermediate": ["int_order_metrics"],
+              "marts": MART_TABLES + ["fact_order_items"]}
+    for layer in fixed.LAYERS:
+        db = f"{prefix}{layer}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{wh.root}/{layer}'")
+        for name in layout.get(layer, []):
+            loc = f"{raw_root}/{name}" if (layer == "raw" and raw_root) else f"{wh.root}/{layer}/{name}"
+            if not path_exists(spark, loc):
+                continue
+            partitioned = name == "fact_order_items" or (
+                layer == "raw" and name in contracts.TABLES_BY_NAME and contracts.table(name).load_mode == "wave")
+            schema = spark.read.parquet(loc).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            part = " PARTITIONED BY (order_number)" if partitioned else ""
+            current = _location_of(spark, db, name)
+            if current is not None and current.rstrip("/") != loc.replace("file:", "").rstrip("/"):
+                raise ValueError(f"{db}.{name} is already registered at {current}; use another prefix")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} ({cols}) USING parquet{part} LOCATION '{loc}'")
+            if partitioned:
+                spark.sql(f"ALTER TABLE {db}.{name} RECOVER PARTITIONS")
+            spark.catalog.refreshTable(f"{db}.{name}")
+            out[f"{db}.{name}"] = loc
+    return out
+
+
+def _location_of(spark: SparkSession, db: str, name: str) -> str | None:
+    if not spark.catalog.tableExists(f"{db}.{name}"):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{name}").where("col_name = 'Location'").collect()
+    return rows[0].data_type.replace("file:", "") if rows else None
 
 
 def mart_tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
@@ -106,13 +157,16 @@ def run_gate(spark: SparkSession, wh: Warehouse, models: list[str] | None = None
     return quality.gate(quality.evaluate(tests, tables))
 
 
-def run_wave(spark: SparkSession, wh: Warehouse, landing: str, waves: list[int]) -> list[tuple[str, int]]:
+def run_wave(spark: SparkSession, wh: Warehouse, landing: str, waves: list[int],
+             replace_waves: bool = False) -> list[tuple[str, int]]:
     """One (or several) waves: replace them in the raw wave tables, rebuild the
-    marts, advance the incremental fact, and gate on the data tests."""
+    marts, advance the incremental fact (or, with ``replace_waves``, replace
+    exactly these waves in it), and gate on the data tests."""
     for c in contracts.WAVE_TABLES:
         load_waves(spark, read_waves(spark, f"{landing}/{c.name}", c), c, waves, wh.raw(c.name))
     m = Models(spark, read_raw(spark, wh))
-    build_marts(spark, m, wh, include_feed=table_exists(spark, wh.raw("off_products_raw")))
+    build_marts(spark, m, wh, include_feed=table_exists(spark, wh.raw("off_products_raw")),
+                fact_waves=list(waves) if replace_waves else None)
     return run_gate(spark, wh)
 
 

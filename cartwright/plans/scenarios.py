@@ -18,7 +18,8 @@ from cartwright.operators import quality
 from cartwright.operators.joins import orphan_count
 from cartwright.plans.models import Models
 from cartwright.plans.pipelines import (
-    Warehouse, build_marts, mart_tables, read_raw, refresh_fact_order_items, run_feed, run_setup, run_wave,
+    Warehouse, build_marts, mart_tables, read_raw, refresh_fact_order_items, register_layers, run_feed, run_setup,
+    run_wave,
 )
 from cartwright.session import configure, scratch_dir
 from cartwright.sinks.feed_landing import land_json_arrays
@@ -249,10 +250,21 @@ def built_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return mart_tables(spark, _BUILT[key])
 
 
+def _catalog_prefix(spark: SparkSession, sf_dir: str) -> str:
+    """Databases of the built warehouse: ``<prefix>raw``, ``<prefix>marts``, ..."""
+    built_marts(spark, sf_dir)
+    wh = _BUILT[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))]
+    prefix = "cw_" + wh.root.rstrip("/").rsplit("-", 1)[-1] + "_"
+    register_layers(spark, wh, prefix=prefix, raw_root=landed_raw_root(spark, sf_dir))
+    return prefix
+
+
 def fact_rows_per_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the line fact per wave, in wave order."""
-    fact = built_marts(spark, sf_dir)["fact_order_items"]
-    return fact.groupBy("order_number").agg(F.count(F.lit(1)).alias("n_rows")).orderBy("order_number")
+    """Rows of the line fact per wave, in wave order (Spark SQL on the
+    registered marts layer)."""
+    p = _catalog_prefix(spark, sf_dir)
+    return spark.sql(f"SELECT order_number, count(*) AS n_rows FROM {p}marts.fact_order_items "
+                     f"GROUP BY order_number ORDER BY order_number")
 
 
 def orphan_product_count(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,50 @@ def test_waves_loaded_incrementally_equal_full_build(spark):
     assert inc.count() == full.count()
     assert inc.exceptAll(full.select(*inc.columns)).count() == 0
     assert inc.groupBy("order_id", "product_id").count().where(F.col("count") > 1).count() == 0
+
+
+def test_explicit_wave_replacement_reaches_old_waves(spark):
+    """H3: a corrected old wave never passes ``order_number > max``; the
+    explicit-wave mode replaces it."""
+    from conftest import SF_SMALL
+
+    from cartwright import contracts
+    from cartwright.plans.models import Models
+    from cartwright.plans.pipelines import Warehouse, read_raw, refresh_fact_order_items
+    from cartwright.session import scratch_dir
+    from cartwright.sinks.loads import load_full, load_wave, load_waves, read_waves
+    from cartwright.sources.raw import landed_raw_layer, landed_raw_root
+
+    raw = landed_raw_layer(spark, SF_SMALL)
+    root = landed_raw_root(spark, SF_SMALL)
+    wh = Warehouse(scratch_dir(spark, "wh"))
+    for c in contracts.FULL_TABLES:
+        load_full(raw.table(c.name), c, wh.raw(c.name))
+    for c in contracts.WAVE_TABLES:
+        load_waves(spark, read_waves(spark, f"{root}/{c.name}", c), c, [1, 2, 3], wh.raw(c.name))
+    refresh_fact_order_items(spark, Models(spark, read_raw(spark, wh)), wh)
+    # wave 2 of the prior lines is corrected: every line now marked reordered
+    c = contracts.table("order_products_prior")
+    fixed_wave = read_waves(spark, f"{root}/{c.name}", c).where("order_number = 2").withColumn("reordered", F.lit(1))
+    load_wave(spark, fixed_wave, c, 2, wh.raw(c.name))
+    m = Models(spark, read_raw(spark, wh))
+    refresh_fact_order_items(spark, m, wh)  # > max: nothing happens
+    fact = spark.read.parquet(wh.mart("fact_order_items"))
+    assert fact.where("order_number = 2 AND source = 'prior' AND reordered = 0").count() > 0
+    refresh_fact_order_items(spark, m, wh, waves=[2])
+    fact = spark.read.parquet(wh.mart("fact_order_items"))
+    assert fact.where("order_number = 2 AND source = 'prior' AND reordered = 0").count() == 0
+    assert fact.count() == m.stg_order_products.count()
+
+
+def test_layers_registered_for_sql(spark):
+    from conftest import SF_SMALL
+
+    from cartwright.plans.scenarios import _catalog_prefix
+    p = _catalog_prefix(spark, SF_SMALL)
+    n = spark.sql(f"SELECT count(*) FROM {p}marts.fact_order_items").first()[0]
+    assert n > 0
+    assert spark.sql(f"SELECT count(*) FROM {p}marts.dim_time").first()[0] == 168
+    waves = spark.sql(f"SELECT count(DISTINCT order_number) FROM {p}raw.orders").first()[0]
+    assert waves > 1
+    assert _catalog_prefix(spark, SF_SMALL) == p  # registering again is a no-op
