@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartwright import contracts, fixed
 from cartwright.contracts import TableContract
 from cartwright.functions.scalars import wave_label
+from cartwright.session import path_exists
 
 
 def _n_parts(spark: SparkSession) -> int:
@@ -39,7 +40,10 @@ def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", order_
 
 def read_waves(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
     """A2/A3: a wave table with its contract schema; a filter on the wave
-    column prunes partitions, a missing wave reads empty."""
+    column prunes partitions, a missing wave (or a table never landed) reads
+    empty."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], contract.schema())
     return spark.read.schema(contract.schema()).parquet(path).select(*contract.column_names)
 
 

@@ -31,6 +31,6 @@ def with_feed_columns(rows: DataFrame) -> DataFrame:
 
 def read_json_arrays(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """All landed files below ``path``: payload, watermark value, lineage."""
-    lines = spark.read.option("wholetext", str(whole_file).lower()).text(path)
+    lines = spark.read.text(path, wholetext=whole_file)
     lines = lines.select("value", F.col("_metadata.file_path").alias("_source_file"))
     return with_feed_columns(explode_json_arrays(lines))

@@ -119,3 +119,40 @@ def test_wave_label_column(spark):
     from cartwright.functions.scalars import wave_label
     df = spark.createDataFrame([(7,), (1,), (10,), (1234,)], "w int")
     assert [r.l for r in df.select(wave_label("w").alias("l")).collect()] == ["007", "001", "010", "1234"]
+
+
+def test_wave_of_table_never_landed_reads_empty(spark, scratch):
+    from cartwright.sinks.loads import read_wave
+    assert read_wave(spark, f"{scratch}/nothing", ORD, 3).count() == 0
+    target = f"{scratch}/orders"
+    load_waves(spark, _orders(spark, [_o(1, 3)]), ORD, [3], target)
+    done = ingest(spark, f"{scratch}/nothing", f"{scratch}", wave=3)
+    assert done and read_loaded_wave_table(spark, target, ORD).count() == 0
+
+
+def test_feed_landing_layout(spark, scratch):
+    from cartwright.sinks.feed_landing import land_json_arrays
+    from cartwright.sources.json_arrays import read_json_arrays
+    n = 1_234
+    feed = spark.range(n).select(
+        F.to_variant_object(F.struct(F.concat(F.lit("p"), F.col("id").cast("string")).alias("code"),
+                                     (F.col("id") + 86_400 * (F.col("id") % 2)).alias("last_modified_t")))
+        .alias("payload"),
+        (F.col("id") + 86_400 * (F.col("id") % 2)).alias("last_modified_t"), F.col("id").alias("pos"))
+    land_json_arrays(feed, f"{scratch}/landing", F.timestamp_seconds("last_modified_t"), "pos", rows_per_array=100)
+    days = sorted(p for p in os.listdir(f"{scratch}/landing") if p.startswith("dt="))
+    assert days == ["dt=1970-01-01", "dt=1970-01-02"]
+    lines = spark.read.text(f"{scratch}/landing").select(F.size(F.from_json("value", "array<string>")).alias("n"))
+    assert lines.agg(F.max("n")).first()[0] <= 100
+    back = read_json_arrays(spark, f"{scratch}/landing")
+    assert back.count() == n
+    assert back.select(F.variant_get("payload", "$.code", "string")).distinct().count() == n
+
+
+def test_whole_file_json_array(spark, scratch):
+    from cartwright.sources.json_arrays import read_json_arrays
+    os.makedirs(f"{scratch}/pretty", exist_ok=True)
+    with open(f"{scratch}/pretty/p.json", "w") as fh:
+        json.dump([{"code": "a", "last_modified_t": 1}, {"code": "b", "last_modified_t": "2"}], fh, indent=2)
+    got = read_json_arrays(spark, f"{scratch}/pretty", whole_file=True)
+    assert sorted(r.last_modified_t for r in got.collect()) == [1, 2]
