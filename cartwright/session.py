@@ -25,6 +25,31 @@ SESSION_DEFAULTS = {
 }
 
 
+# Sizing for a large cluster (100 TB class inputs). Shuffle partitions start
+# high and AQE coalesces them to ~128 MB each, so a stage's tasks fit in
+# executor memory without spilling at full scale; scan splits are 256 MB.
+# Applied by ``configure(spark, profile="cluster")`` only where the session
+# still has Spark's defaults, so explicit cluster settings win.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+_SPARK_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "200",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5.0",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "128MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+}
+
+
 def build_session(master: str | None = None, app: str = "cartwright", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, use the session the platform gives you
@@ -42,12 +67,21 @@ def build_session(master: str | None = None, app: str = "cartwright", shuffle_pa
     return spark
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the models rely on to an existing session."""
+def configure(spark: SparkSession, profile: str = "local") -> SparkSession:
+    """Apply the session settings the models rely on to an existing session.
+
+    ``profile="cluster"`` also sizes shuffles and scans for large inputs
+    (CLUSTER_SETTINGS), replacing only values still at Spark's defaults.
+    """
     for k, v in SESSION_DEFAULTS.items():
         if k == "spark.sql.sources.partitionOverwriteMode":
             continue  # per-write option; leave the cluster default alone
         spark.conf.set(k, v)
+    if profile == "cluster":
+        for k, v in CLUSTER_SETTINGS.items():
+            current = spark.conf.get(k, None)
+            if current is None or current.replace(" ", "").lower() == _SPARK_DEFAULTS[k].lower():
+                spark.conf.set(k, v)
     checkpoint_root(spark)
     return spark
 

@@ -45,3 +45,17 @@ def test_feed_contract():
         dataclasses.replace(f, page_size=101).validate()
     with pytest.raises(ValueError):
         dataclasses.replace(f, sort_by="code").validate()
+
+
+def test_cluster_profile_keeps_explicit_settings(spark):
+    from cartwright.session import CLUSTER_SETTINGS, configure
+    old = {k: spark.conf.get(k) for k in CLUSTER_SETTINGS}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128MB")  # Spark's default
+        configure(spark, profile="cluster")
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "256m"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # explicit test setting kept
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        configure(spark)
