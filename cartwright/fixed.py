@@ -5,8 +5,8 @@ Kept together, as plain text, in their natural order.
 
 # --- fixed values -----------------------------------------------------------
 
-# Token the surrogate-key macro writes for a NULL key part (public dbt-utils
-# convention), and the separator placed between key parts.
+# Token the surrogate-key macro writes for a NULL key part (a public macro
+# library's convention), and the separator placed between key parts.
 SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEPARATOR = "-"
 
