@@ -52,8 +52,20 @@ def max_partition_value(target: DataFrame, col: str) -> int:
 
 def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str],
                   partition_col: str, columns: list[str]) -> int:
-    """Apply ``batch`` to the target; returns the number of partitions rewritten."""
-    batch = batch.select(*columns)
+    """Apply ``batch`` to the target; returns the number of partitions rewritten.
+
+    The batch (one increment) is persisted for the call: the affected-partition
+    scan and the write then share one computation of it.
+    """
+    batch = batch.select(*columns).persist()
+    try:
+        return _delete_insert(spark, batch, target_path, unique_key, partition_col, columns)
+    finally:
+        batch.unpersist()
+
+
+def _delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str],
+                   partition_col: str, columns: list[str]) -> int:
     if not table_exists(spark, target_path):
         (batch.hint("rebalance", partition_col)
          .write.mode("overwrite").partitionBy(partition_col).parquet(target_path))
@@ -93,7 +105,7 @@ def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniqu
      .partitionBy(partition_col).parquet(target_path))
     empty_schema = target.drop(partition_col).schema
     for p in affected:
-        if p not in written:
+        if p not in written and path_exists(spark, f"{target_path}/{partition_col}={p}"):
             spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(
                 f"{target_path}/{partition_col}={p}")
     return len(affected)

@@ -85,6 +85,8 @@ def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse, wave
     else:
         since = max_partition_value(spark.read.parquet(path), "order_number") if table_exists(spark, path) else 0
         lines = op.where(op.order_number > since)
+        if not lines.limit(1).count():  # partition-pruned probe: nothing new
+            return 0
     batch = fact_order_items(lines, m.stg_orders)
     return delete_insert(spark, batch, path, ["order_id", "product_id"], "order_number", FACT_ORDER_ITEMS_COLUMNS)
 

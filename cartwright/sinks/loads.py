@@ -120,8 +120,8 @@ def load_waves(spark: SparkSession, df: DataFrame, contract: TableContract, wave
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(wave_col).parquet(target))
     present = set(seen.get["waves"])
     empty = contract.schema().add("_loaded_at", "timestamp")
-    for w in waves:
-        if w not in present:
+    for w in waves:  # a listed wave without rows: empty it, if it holds anything
+        if w not in present and path_exists(spark, f"{target}/{wave_col}={w}"):
             spark.createDataFrame([], empty).drop(wave_col).write.mode("overwrite").parquet(f"{target}/{wave_col}={w}")
 
 
