@@ -250,12 +250,18 @@ def built_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return mart_tables(spark, _BUILT[key])
 
 
+_REGISTERED: set[str] = set()
+
+
 def _catalog_prefix(spark: SparkSession, sf_dir: str) -> str:
-    """Databases of the built warehouse: ``<prefix>raw``, ``<prefix>marts``, ..."""
+    """Databases of the built warehouse: ``<prefix>raw``, ``<prefix>marts``, ...
+    (registered once per application)."""
     built_marts(spark, sf_dir)
     wh = _BUILT[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))]
     prefix = "cw_" + wh.root.rstrip("/").rsplit("-", 1)[-1] + "_"
-    register_layers(spark, wh, prefix=prefix, raw_root=landed_raw_root(spark, sf_dir))
+    if prefix not in _REGISTERED or not spark.catalog.tableExists(f"{prefix}marts.fact_order_items"):
+        register_layers(spark, wh, prefix=prefix, raw_root=landed_raw_root(spark, sf_dir))
+        _REGISTERED.add(prefix)
     return prefix
 
 
