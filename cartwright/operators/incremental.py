@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from cartwright.session import path_exists, scratch_dir
+from cartwright.sinks.loads import observed_set
 
 
 class SchemaChangeError(RuntimeError):
@@ -98,7 +99,7 @@ def _delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniq
     seen = Observation()
     new_content = new_content.observe(seen, F.collect_set(partition_col).alias("parts"))
     new_content.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    written = set(seen.get["parts"])  # bounded by the number of affected partitions
+    written = observed_set(seen, "parts", new_content, partition_col)  # bounded by affected partitions
 
     staged = spark.read.parquet(staging).select(*columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

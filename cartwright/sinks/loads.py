@@ -108,6 +108,19 @@ def load_wave(spark: SparkSession, df: DataFrame | None, contract: TableContract
     rows.write.mode("overwrite").parquet(part_path)
 
 
+def observed_set(seen: Observation, name: str, df: DataFrame, col: str) -> set:
+    """The set collected by ``seen`` during the last action on ``df``.
+
+    When the planner already proved ``df`` empty it drops the observed node
+    and no metrics arrive; the exact (and then trivial) distinct query on
+    ``df`` answers instead.
+    """
+    try:
+        return set(seen.get[name])
+    except Exception:  # noqa: BLE001 - metrics missing; recompute exactly
+        return {r[0] for r in df.select(col).distinct().collect()}
+
+
 def load_waves(spark: SparkSession, df: DataFrame, contract: TableContract, waves: list[int], target: str) -> None:
     """B6 for several waves in one job: every listed wave is replaced by its
     rows in ``df`` (dynamic partition overwrite); listed waves without rows
@@ -118,7 +131,7 @@ def load_waves(spark: SparkSession, df: DataFrame, contract: TableContract, wave
     rows = rows.observe(seen, F.collect_set(wave_col).alias("waves"))  # at most len(waves) values
     (rows.hint("rebalance", wave_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(wave_col).parquet(target))
-    present = set(seen.get["waves"])
+    present = observed_set(seen, "waves", rows, wave_col)
     empty = contract.schema().add("_loaded_at", "timestamp")
     for w in waves:  # a listed wave without rows: empty it, if it holds anything
         if w not in present and path_exists(spark, f"{target}/{wave_col}={w}"):
@@ -130,6 +143,36 @@ def read_loaded_wave_table(spark: SparkSession, target: str, contract: TableCont
     return spark.read.schema(schema).parquet(target).select(*contract.column_names, "_loaded_at")
 
 
+def landing_selection(full: bool = False, wave: int | None = None) -> tuple[bool, bool]:
+    """B13, landing side: which parts to land. Nothing asked = everything
+    (reference tables and every wave); ``full`` wins over ``wave``.
+    Returns (land_reference_tables, land_waves)."""
+    return (full or wave is None), (not full)
+
+
+def land_sources(spark: SparkSession, raw, landing: str, *, full: bool = False, wave: int | None = None) -> list[str]:
+    """Land source tables under ``<landing>/<table>/`` — reference
+    tables as CSV, wave tables in the wave layout (one wave or all)."""
+    from cartwright.sources.csv import write_contract_csv
+
+    do_full, do_waves = landing_selection(full, wave)
+    done = []
+    if do_full:
+        for c in contracts.FULL_TABLES:
+            write_contract_csv(raw.table(c.name), f"{landing}/{c.name}", c)
+            done.append(c.name)
+    if do_waves:
+        for c in contracts.WAVE_TABLES:
+            df = raw.table(c.name)
+            if wave is not None:
+                load_waves(spark, df, c, [wave], f"{landing}/{c.name}")
+                done.append(wave_file_label(c.name, wave))
+            else:
+                write_waves(df, f"{landing}/{c.name}")
+                done.append(c.name)
+    return done
+
+
 def ingest(spark: SparkSession, landing: str, target_root: str, *, full: bool = False, wave: int | None = None,
            reference_sources: dict[str, DataFrame] | None = None) -> list[str]:
     """The batch loader entry. ``full`` reloads the reference tables,

@@ -156,3 +156,26 @@ def test_whole_file_json_array(spark, scratch):
         json.dump([{"code": "a", "last_modified_t": 1}, {"code": "b", "last_modified_t": "2"}], fh, indent=2)
     got = read_json_arrays(spark, f"{scratch}/pretty", whole_file=True)
     assert sorted(r.last_modified_t for r in got.collect()) == [1, 2]
+
+
+def test_landing_selection_rules():
+    from cartwright.sinks.loads import landing_selection
+    assert landing_selection() == (True, True)            # nothing asked: everything
+    assert landing_selection(full=True) == (True, False)  # only reference tables
+    assert landing_selection(wave=3) == (False, True)     # only that wave
+    assert landing_selection(full=True, wave=3) == (True, False)  # full wins
+
+
+def test_land_one_wave(spark, scratch):
+    from types import SimpleNamespace
+
+    from cartwright.sinks.loads import land_sources
+    lines = contracts.table("order_products_prior")
+    raw = SimpleNamespace(table=lambda n: {
+        "orders": _orders(spark, [_o(1, 1), _o(2, 2)]),
+        "order_products_prior": spark.createDataFrame([(1, 5, 1, 0, 1), (2, 5, 1, 1, 2)], lines.schema()),
+        "order_products_train": spark.createDataFrame([], lines.schema())}[n])
+    done = land_sources(spark, raw, scratch, wave=2)
+    assert done == ["orders_002", "order_products_prior_002", "order_products_train_002"]
+    got = read_loaded_wave_table(spark, f"{scratch}/orders", ORD).collect()
+    assert [(r.order_id, r.order_number) for r in got] == [(2, 2)]

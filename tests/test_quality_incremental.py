@@ -117,3 +117,28 @@ def test_layers_registered_for_sql(spark):
     waves = spark.sql(f"SELECT count(DISTINCT order_number) FROM {p}raw.orders").first()[0]
     assert waves > 1
     assert _catalog_prefix(spark, SF_SMALL) == p  # registering again is a no-op
+
+
+def test_gate_stops_a_wave_run_on_orphan_products(spark):
+    """Q6 in a run: a line whose product is missing from the product table
+    fails the relationships test and the run raises."""
+    from conftest import SF_SMALL
+
+    from cartwright import contracts
+    from cartwright.plans.pipelines import Warehouse, run_wave
+    from cartwright.session import scratch_dir
+    from cartwright.sinks.loads import load_full
+    from cartwright.sources.raw import landed_raw_layer, landed_raw_root
+
+    raw = landed_raw_layer(spark, SF_SMALL)
+    root = landed_raw_root(spark, SF_SMALL)
+    wh = Warehouse(scratch_dir(spark, "wh"))
+    for c in contracts.FULL_TABLES:
+        src = raw.table(c.name)
+        if c.name == "products":  # drop the product of one loaded line
+            pid = raw.order_products_prior.where("order_number = 1").first().product_id
+            src = src.where(F.col("product_id") != pid)
+        load_full(src, c, wh.raw(c.name))
+    with pytest.raises(quality.DataQualityError) as e:
+        run_wave(spark, wh, root, [1])
+    assert any(name.startswith("relationships_fact_order_items_product_key") for name, _ in e.value.failures)
