@@ -11,6 +11,7 @@ tables under ``warehouse`` (raw/, marts/ folders). Layout:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,6 @@ from cartwright.plans.models import Models
 from cartwright.session import path_exists
 from cartwright.sinks.loads import load_full, load_waves, read_loaded_wave_table, read_waves
 from cartwright.sources.csv import read_contract_csv
-from cartwright.sources.json_arrays import read_json_arrays  # noqa: F401 - batch alternative to K1
 from cartwright.sources.testdata import RawLayer
 from cartwright.streaming.json_ingest import ingest_json_arrays
 
@@ -92,15 +92,21 @@ def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse, wave
 
 
 def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: bool = True,
-                fact_waves: list[int] | None = None) -> None:
-    """The reused aggregate first, then the table marts read it back."""
+                fact_waves: list[int] | None = None, threads: int = 4) -> None:
+    """The reused aggregate first, then the marts read it back.
+
+    The marts do not depend on each other, so their writes are submitted from
+    ``threads`` driver threads at once (as the source builds independent
+    models in parallel); each is its own Spark job sharing the executors.
+    """
     m.int_order_metrics.write.mode("overwrite").parquet(wh.intermediate("int_order_metrics"))
     m.__dict__["int_order_metrics"] = spark.read.parquet(wh.intermediate("int_order_metrics"))
-    for name in MART_TABLES:
-        if name == "dim_food_product" and not include_feed:
-            continue
-        m.get(name).write.mode("overwrite").parquet(wh.mart(name))
-    refresh_fact_order_items(spark, m, wh, waves=fact_waves)
+    names = [n for n in MART_TABLES if include_feed or n != "dim_food_product"]
+    tasks = [lambda n=n: m.get(n).write.mode("overwrite").parquet(wh.mart(n)) for n in names]
+    tasks.append(lambda: refresh_fact_order_items(spark, m, wh, waves=fact_waves))
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        for f in [pool.submit(t) for t in tasks]:
+            f.result()  # re-raise the first failure
 
 
 def register_layers(spark: SparkSession, wh: Warehouse, prefix: str = "", raw_root: str | None = None) -> dict[str, str]:

@@ -105,9 +105,6 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- product feed -------------------------------------------------------------
 
-FEED_OUT = ["product_code", "product_name", "brands", "energy_kcal_100g", "fat_100g", "last_modified_t"]
-
-
 def _feed_rows(raw_feed: DataFrame) -> DataFrame:
     p = F.col("payload")
     return raw_feed.select(

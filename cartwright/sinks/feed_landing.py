@@ -28,4 +28,5 @@ def land_json_arrays(feed: DataFrame, landing: str, pulled_at, order_col: str, r
                                                         F.to_json("payload").alias("j")))).alias("_items"))
               .select("dt", F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x["j"]), ","),
                                      F.lit("]")).alias("value")))
-    arrays.write.mode(mode).partitionBy("dt").text(landing)
+    # cluster each day's arrays into few files (AQE splits a heavy day)
+    arrays.hint("rebalance", "dt").write.mode(mode).partitionBy("dt").text(landing)

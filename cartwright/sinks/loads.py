@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cartwright import contracts, fixed
 from cartwright.contracts import TableContract
-from cartwright.functions.scalars import wave_label
 from cartwright.session import path_exists
 
 
@@ -195,7 +194,3 @@ def ingest(spark: SparkSession, landing: str, target_root: str, *, full: bool =
             load_wave(spark, landed, c, wave, f"{target_root}/{c.name}")
             done.append(f"{c.name}@{wave_file_label(c.name, wave)}")
     return done
-
-
-def wave_label_column(col: str = "order_number"):
-    return wave_label(col)
