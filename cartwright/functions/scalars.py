@@ -23,14 +23,33 @@ def utc_date_label(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd")
 
 
+def exact_round_ratio(num: Column, den: Column, digits: int) -> Column:
+    """``round(num / den, digits)`` half-up, computed exactly on integers:
+    ``(2 * 10^n * num + den) div (2 * den) / 10^n`` (num >= 0). NULL when
+    ``den`` is 0 or NULL.
+
+    The source divides integers in decimal arithmetic and rounds half-up;
+    rounding a double average instead can split a tie (1/160 = 0.00625)
+    differently per engine. Integer parts stay exact below 2^53.
+    """
+    scale = 10 ** digits
+    a = num.cast("long") * (2 * scale) + den.cast("long")
+    b = F.nullif(den.cast("long"), F.lit(0)) * 2
+    q = ((a - F.pmod(a, b)) / b).cast("long")
+    return q / F.lit(float(scale))
+
+
 def round_avg(c: str | Column, digits: int) -> Column:
-    """``round(avg(x), n)``, averaged as double, HALF_UP rounding."""
-    return F.round(F.avg(_c(c).cast("double")), digits)
+    """``round(avg(x), n)`` of an integer column, exact half-up
+    (NULLs ignored, as ``avg`` does; NULL for no values)."""
+    col = _c(c)
+    return exact_round_ratio(F.sum(col), F.count(col), digits)
 
 
 def ratio_or_null(num: Column, den: Column, digits: int) -> Column:
-    """``round(num / nullif(den, 0), n)``; a zero denominator gives NULL."""
-    return F.round(num.cast("double") / F.nullif(den, F.lit(0)).cast("double"), digits)
+    """``round(num / nullif(den, 0), n)`` of integer sums, exact half-up;
+    a zero denominator gives NULL."""
+    return exact_round_ratio(num, den, digits)
 
 
 def day_name(dow: str | Column) -> Column:

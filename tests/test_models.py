@@ -67,3 +67,18 @@ def test_latest_version_prefers_null_then_tie_break(spark):
                                "k string, t long, pos long")
     got = sorted(tuple(r) for r in latest_version(df, "k", "t", ["pos"]).collect())
     assert got == [("a", 9, 3), ("b", None, 1)]
+
+
+def test_exact_half_up_rounding(spark):
+    from cartwright.functions.scalars import exact_round_ratio
+    rows = [(1, 160, 4, 0.0063), (1, 8, 2, 0.13), (201, 200, 2, 1.01), (0, 5, 2, 0.0), (2, 3, 4, 0.6667),
+            (1, 0, 2, None), (None, 3, 2, None), (5, None, 2, None)]
+    df = spark.createDataFrame([r[:3] for r in rows], "n long, d long, k int")
+    got = [df.where(f"k = {k}").select(exact_round_ratio(F.col("n"), F.col("d"), k).alias("r")).collect()
+           for k in (2, 4)]
+    flat = {}
+    for k, res in zip((2, 4), got):
+        src = [r for r in rows if r[2] == k]
+        for r, g in zip(src, res):
+            flat[r[:3]] = g.r
+    assert flat == {r[:3]: r[3] for r in rows}
