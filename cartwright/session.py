@@ -86,15 +86,22 @@ def configure(spark: SparkSession, profile: str = "local") -> SparkSession:
     return spark
 
 
+_FALLBACK_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set our own (local temp dir) only when the session has none, as in tests.
+    Only when the session has none (local runs, tests) do we make our own,
+    once per application; ``spark.checkpoint.dir`` cannot be changed on a
+    running session, so the SparkContext's checkpoint folder is set directly.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="cartwright-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _FALLBACK_ROOTS:
+            _FALLBACK_ROOTS[app] = tempfile.mkdtemp(prefix="cartwright-ckpt-")
+        root = _FALLBACK_ROOTS[app]
     jsc = spark.sparkContext._jsc  # noqa: SLF001 - public PySpark attribute
     if not jsc.sc().checkpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)

@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -24,9 +23,7 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cw-test-ckpt-"))
-    configure(s)
+    configure(s)  # uses spark.checkpoint.dir, or a local temp folder when unset
     yield s
     s.stop()
 
