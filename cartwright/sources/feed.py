@@ -50,10 +50,18 @@ def read_high_water_mark(spark: SparkSession, path: str, col: str = "last_modifi
     return int(high_water_mark(spark.read.parquet(path), col).first()["watermark"])
 
 
-def above_watermark(feed: DataFrame, watermark: int | Column, field: str = "last_modified_t") -> DataFrame:
-    """Rows strictly newer than the watermark."""
+def above_watermark(feed: DataFrame, watermark: int | Column, field: str = "last_modified_t",
+                    inclusive: bool = False) -> DataFrame:
+    """Rows strictly newer than the watermark.
+
+    ``inclusive=True`` also re-pulls rows of the watermark second itself, so
+    a version modified in the same second as the last loaded one is not lost
+    (the strict filter drops it); the repeats collapse in the latest-version
+    dedup of the staging model.
+    """
     wm = watermark if isinstance(watermark, Column) else F.lit(int(watermark))
-    return with_watermark(feed, field).where(F.col(WM) > wm)
+    w = F.col(WM)
+    return with_watermark(feed, field).where(w >= wm if inclusive else w > wm)
 
 
 def newest_first(tie_breaks: list[str] | None = None) -> list[Column]:
@@ -62,10 +70,10 @@ def newest_first(tie_breaks: list[str] | None = None) -> list[Column]:
 
 
 def extract(feed: DataFrame, watermark: int, contract: FeedContract | None = None, capped: bool = True,
-            tie_breaks: list[str] | None = None) -> DataFrame:
+            tie_breaks: list[str] | None = None, inclusive: bool = False) -> DataFrame:
     """One extractor run: rows above the watermark, newest first; with
     ``capped`` at most ``page_size * max_pages`` of them (G3)."""
     contract = contract or FeedContract()
-    fresh = above_watermark(feed, watermark, contract.watermark_field)
+    fresh = above_watermark(feed, watermark, contract.watermark_field, inclusive=inclusive)
     ordered = fresh.orderBy(*newest_first(tie_breaks))
     return (ordered.limit(contract.cap) if capped else ordered).drop(WM)

@@ -70,3 +70,9 @@ def test_bad_timestamp_aborts(spark):
     feed = _feed(spark, [p("a", "abc")])
     with pytest.raises(Exception):
         feed_src.extract(feed, 0, CFG).collect()
+
+
+def test_inclusive_watermark_keeps_same_second_rows(spark):
+    feed = _feed(spark, [p("a", 300), p("late", 200), p("b", 100)])
+    assert _codes(feed_src.extract(feed, 200, CFG)) == ["a"]
+    assert _codes(feed_src.extract(feed, 200, CFG, inclusive=True)) == ["a", "late"]
