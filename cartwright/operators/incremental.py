@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+
 from cartwright.session import path_exists, scratch_dir
 from cartwright.sinks.loads import observed_set
 
@@ -38,12 +39,18 @@ def read_target(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
     return spark.read.parquet(path).select(*columns)
 
 
-def check_schema(batch: DataFrame, target: DataFrame) -> None:
-    """Fail on any change of column names, order or types."""
-    a = [(f.name, f.dataType.simpleString()) for f in batch.schema.fields]
-    b = [(f.name, f.dataType.simpleString()) for f in target.schema.fields]
+def check_schema(batch: DataFrame, target: DataFrame, partition_col: str) -> None:
+    """Fail when the batch adds, drops or retypes a column of the target.
+
+    Compared as sets: Parquet puts the partition column last, and its type is
+    inferred from folder names, so only its presence is checked.
+    """
+    def cols(df: DataFrame) -> set:
+        return {(f.name, "partition" if f.name == partition_col else f.dataType.simpleString())
+                for f in df.schema.fields}
+    a, b = cols(batch), cols(target)
     if a != b:
-        raise SchemaChangeError(f"schema change: batch {a} != target {b}")
+        raise SchemaChangeError(f"schema change: batch-only {sorted(a - b)}, target-only {sorted(b - a)}")
 
 
 def max_partition_value(target: DataFrame, col: str) -> int:
@@ -71,8 +78,8 @@ def _delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniq
         (batch.hint("rebalance", partition_col)
          .write.mode("overwrite").partitionBy(partition_col).parquet(target_path))
         return -1
+    check_schema(batch, spark.read.parquet(target_path), partition_col)
     target = read_target(spark, target_path, columns)
-    check_schema(batch, target)
 
     keys = batch.select(*unique_key).dropna(how="any").distinct()
     hit = target.join(keys, unique_key, "left_semi").select(partition_col)

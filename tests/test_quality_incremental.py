@@ -142,3 +142,12 @@ def test_gate_stops_a_wave_run_on_orphan_products(spark):
     with pytest.raises(quality.DataQualityError) as e:
         run_wave(spark, wh, root, [1])
     assert any(name.startswith("relationships_fact_order_items_product_key") for name, _ in e.value.failures)
+
+
+def test_added_column_is_a_schema_change(spark, scratch):
+    target = f"{scratch}/fact"
+    delete_insert(spark, spark.createDataFrame([(1, 10, "a", 1)], SCHEMA), target, ["order_id", "product_id"],
+                  "order_number", COLS)
+    wider = spark.createDataFrame([(2, 10, "b", 1, 7)], SCHEMA + ", extra int")
+    with pytest.raises(SchemaChangeError):
+        delete_insert(spark, wider, target, ["order_id", "product_id"], "order_number", COLS + ["extra"])
