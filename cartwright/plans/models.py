@@ -82,6 +82,11 @@ class Models:
     def get(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def use_materialized(self, name: str, table: DataFrame) -> None:
+        """Let downstream models read ``name`` from its written table
+        instead of recomputing it."""
+        self.__dict__[name] = table
+
 
 MODEL_NAMES = ["stg_aisles", "stg_departments", "stg_products", "stg_orders", "stg_order_products",
                "stg_off_products", "int_order_metrics", "int_user_metrics", "dim_product", "dim_user", "dim_time",

@@ -100,7 +100,7 @@ def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: boo
     models in parallel); each is its own Spark job sharing the executors.
     """
     m.int_order_metrics.write.mode("overwrite").parquet(wh.intermediate("int_order_metrics"))
-    m.__dict__["int_order_metrics"] = spark.read.parquet(wh.intermediate("int_order_metrics"))
+    m.use_materialized("int_order_metrics", spark.read.parquet(wh.intermediate("int_order_metrics")))
     names = [n for n in MART_TABLES if include_feed or n != "dim_food_product"]
     tasks = [lambda n=n: m.get(n).write.mode("overwrite").parquet(wh.mart(n)) for n in names]
     tasks.append(lambda: refresh_fact_order_items(spark, m, wh, waves=fact_waves))

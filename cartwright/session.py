@@ -102,8 +102,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if app not in _FALLBACK_ROOTS:
             _FALLBACK_ROOTS[app] = tempfile.mkdtemp(prefix="cartwright-ckpt-")
         root = _FALLBACK_ROOTS[app]
-    jsc = spark.sparkContext._jsc  # noqa: SLF001 - public PySpark attribute
-    if not jsc.sc().checkpointDir().isDefined():
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
