@@ -5,9 +5,10 @@ NULLs are ignored by ``unique``, ``relationships`` and ``accepted_values``.
 
 Plan shape: all ``not_null`` and ``accepted_values`` tests of one model fold
 into a single aggregate pass; ``unique`` tests are hash aggregates (partial
-aggregation absorbs a hot value); ``relationships`` pre-aggregates child keys
-before the anti join. The gate runs everything as one job and brings back one
-row per test, never data rows.
+aggregation absorbs a hot value); all ``relationships`` tests of one child
+model share one scan, pre-aggregate their tagged child keys, and run one anti
+join against the tagged parent keys. The gate runs everything as one job and
+brings back one row per test, never data rows.
 """
 
 from __future__ import annotations
@@ -77,6 +78,12 @@ def _result(test: DataTest, n_failed) -> list:
             F.lit(test.column_name).alias("column_name"), n_failed.cast("long").alias("n_failed")]
 
 
+def _unpivot(wide: DataFrame, tests: list[DataTest]) -> DataFrame:
+    """One-row ``wide`` (columns t0..tn) -> one result row per test, in one plan."""
+    rows = [F.struct(*_result(t, F.col(f"t{i}"))) for i, t in enumerate(tests)]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def _row_level(tests: list[DataTest], df: DataFrame) -> DataFrame:
     """not_null (failing rows) and accepted_values (distinct bad values) of one
     model in one scan, unpivoted to one row per test."""
@@ -87,9 +94,7 @@ def _row_level(tests: list[DataTest], df: DataFrame) -> DataFrame:
             aggs.append(F.count_if(c.isNull()).alias(f"t{i}"))
         else:
             aggs.append(F.count_distinct(F.when(~c.isin(*t.values), c)).alias(f"t{i}"))
-    wide = df.agg(*aggs)
-    parts = [wide.select(*_result(t, F.col(f"t{i}"))) for i, t in enumerate(tests)]
-    return reduce(DataFrame.unionByName, parts)
+    return _unpivot(df.agg(*aggs), tests)
 
 
 def _unique(test: DataTest, df: DataFrame) -> DataFrame:
@@ -100,26 +105,49 @@ def _unique(test: DataTest, df: DataFrame) -> DataFrame:
     return dupes.agg(F.count(F.lit(1)).alias("n")).select(*_result(test, F.col("n")))
 
 
-def _relationship(test: DataTest, df: DataFrame, parent: DataFrame) -> DataFrame:
-    res = orphan_count(df, parent, test.columns[0], test.to_column)
-    return res.select(*_result(test, F.col("n_orphans")))
+def _relationships(tests: list[DataTest], child: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """All relationship tests of one child model in one pass: the child is
+    scanned once, its keys tagged by test, pre-aggregated per (test, key), and
+    anti-joined once against the tagged parent keys."""
+    if len(tests) == 1:
+        t = tests[0]
+        res = orphan_count(child, tables[t.to_model], t.columns[0], t.to_column)
+        return res.select(*_result(t, F.col("n_orphans")))
+    types = {child.schema[t.columns[0]].dataType for t in tests}
+
+    def key(c):
+        return c if len(types) == 1 else c.cast("string")
+
+    tagged = child.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_t"), key(F.col(t.columns[0])).alias("_k")) for i, t in enumerate(tests)])))
+    per_key = tagged.where(F.col("_k").isNotNull()).groupBy("_t", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    parents = reduce(DataFrame.unionByName, [
+        tables[t.to_model].select(F.lit(i).alias("_t"), key(F.col(t.to_column)).alias("_k"))
+        for i, t in enumerate(tests)])
+    missing = per_key.join(parents.where(F.col("_k").isNotNull()), ["_t", "_k"], "left_anti")
+    wide = missing.agg(*[F.coalesce(F.sum(F.when(F.col("_t") == i, F.col("_n"))), F.lit(0)).alias(f"t{i}")
+                         for i in range(len(tests))])
+    return _unpivot(wide, tests)
 
 
 def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, DataFrame]) -> DataFrame:
     """One DataFrame with a row per test: RESULT_COLUMNS."""
     parts: list[DataFrame] = []
     row_level: dict[str, list[DataTest]] = {}
+    relationships: dict[str, list[DataTest]] = {}
     for t in tests:
         if t.kind in ("not_null", "accepted_values"):
             row_level.setdefault(t.model, []).append(t)
         elif t.kind in ("unique", "unique_combination"):
             parts.append(_unique(t, tables[t.model]))
         elif t.kind == "relationships":
-            parts.append(_relationship(t, tables[t.model], tables[t.to_model]))
+            relationships.setdefault(t.model, []).append(t)
         else:
             raise ValueError(f"unknown test kind {t.kind}")
     for model, ts in row_level.items():
         parts.append(_row_level(ts, tables[model]))
+    for model, ts in relationships.items():
+        parts.append(_relationships(ts, tables[model], tables))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -151,3 +151,16 @@ def test_added_column_is_a_schema_change(spark, scratch):
     wider = spark.createDataFrame([(2, 10, "b", 1, 7)], SCHEMA + ", extra int")
     with pytest.raises(SchemaChangeError):
         delete_insert(spark, wider, target, ["order_id", "product_id"], "order_number", COLS + ["extra"])
+
+
+def test_relationship_tests_fold_per_child(spark):
+    child = spark.createDataFrame([("a", 1), ("x", 2), ("x", 9), (None, 1), ("a", None)], "s string, n int")
+    ps = spark.createDataFrame([("a",)], "s string")
+    pn = spark.createDataFrame([(1,), (2,)], "n int")
+    tests = [quality.DataTest("relationships", "c", ("s",), "ps", "s"),
+             quality.DataTest("relationships", "c", ("n",), "pn", "n")]
+    got = {r.test_name: r.n_failed for r in quality.evaluate(tests, {"c": child, "ps": ps, "pn": pn}).collect()}
+    assert got == {"relationships_c_s__ps": 2, "relationships_c_n__pn": 1}
+    clean = spark.createDataFrame([("a", 1)], "s string, n int")
+    got = {r.test_name: r.n_failed for r in quality.evaluate(tests, {"c": clean, "ps": ps, "pn": pn}).collect()}
+    assert got == {"relationships_c_s__ps": 0, "relationships_c_n__pn": 0}
