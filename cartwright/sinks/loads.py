@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cartwright import contracts, fixed
 from cartwright.contracts import TableContract
 from cartwright.operators.joins import strict_lookup
+from cartwright.sources.csv import read_contract_csv, write_contract_csv
 from cartwright.session import path_exists
 
 
@@ -151,8 +152,6 @@ def landing_selection(full: bool = False, wave: int | None = None) -> tuple[bool
 def land_sources(spark: SparkSession, raw, landing: str, *, full: bool = False, wave: int | None = None) -> list[str]:
     """Land source tables under ``<landing>/<table>/`` — reference
     tables as CSV, wave tables in the wave layout (one wave or all)."""
-    from cartwright.sources.csv import write_contract_csv
-
     do_full, do_waves = landing_selection(full, wave)
     done = []
     if do_full:
@@ -173,8 +172,9 @@ def land_sources(spark: SparkSession, raw, landing: str, *, full: bool = False,
 
 def ingest(spark: SparkSession, landing: str, target_root: str, *, full: bool = False, wave: int | None = None,
            reference_sources: dict[str, DataFrame] | None = None) -> list[str]:
-    """The batch loader entry. ``full`` reloads the reference tables,
-    ``wave`` replaces that wave in every wave table; both may be given.
+    """The batch loader entry. ``full`` reloads the reference tables
+    (from ``<landing>/<table>/`` CSVs unless DataFrames are given), ``wave``
+    replaces that wave in every wave table; both may be given.
     Returns the tables written. Asking for nothing is an error.
     """
     if not full and wave is None:
@@ -182,7 +182,12 @@ def ingest(spark: SparkSession, landing: str, target_root: str, *, full: bool =
     done = []
     if full:
         for c in contracts.FULL_TABLES:
-            src = (reference_sources or {}).get(c.name)
+            if reference_sources is not None:
+                src = reference_sources.get(c.name)
+            elif path_exists(spark, f"{landing}/{c.name}"):
+                src = read_contract_csv(spark, f"{landing}/{c.name}", c)  # landed CSV, contract schema
+            else:
+                src = None
             if src is None:
                 raise FileNotFoundError(f"source for full-load table {c.name} not found")
             load_full(src, c, f"{target_root}/{c.name}")

@@ -179,3 +179,17 @@ def test_land_one_wave(spark, scratch):
     assert done == ["orders_002", "order_products_prior_002", "order_products_train_002"]
     got = read_loaded_wave_table(spark, f"{scratch}/orders", ORD).collect()
     assert [(r.order_id, r.order_number) for r in got] == [(2, 2)]
+
+
+def test_ingest_full_reads_landed_csv(spark, scratch):
+    from cartwright.sources.csv import write_contract_csv
+    landing, target = f"{scratch}/landing", f"{scratch}/raw"
+    rows = {"aisles": [(1, "bakery")], "departments": [(2, "frozen")], "products": [(3, 'a "b", c', 1, 2)]}
+    for name, data in rows.items():
+        c = contracts.table(name)
+        write_contract_csv(spark.createDataFrame(data, c.schema()), f"{landing}/{name}", c)
+    assert ingest(spark, landing, target, full=True) == ["aisles", "departments", "products"]
+    got = spark.read.parquet(f"{target}/products").select("product_name").first()[0]
+    assert got == 'a "b", c'
+    with pytest.raises(FileNotFoundError):
+        ingest(spark, f"{scratch}/empty", target, full=True)
