@@ -4,8 +4,9 @@ A test is a query whose failing rows are counted; any failure stops the run.
 NULLs are ignored by ``unique``, ``relationships`` and ``accepted_values``.
 
 Plan shape: all ``not_null`` and ``accepted_values`` tests of one model fold
-into a single aggregate pass; ``unique`` tests are hash aggregates (partial
-aggregation absorbs a hot value); all ``relationships`` tests of one child
+into a single aggregate pass; the ``unique`` tests of one model share one
+scan and one hash aggregate on tagged values (partial aggregation absorbs a
+hot value); all ``relationships`` tests of one child
 model share one scan, pre-aggregate their tagged child keys, and run one anti
 join against the tagged parent keys. The gate runs everything as one job and
 brings back one row per test, never data rows.
@@ -105,6 +106,24 @@ def _unique(test: DataTest, df: DataFrame) -> DataFrame:
     return dupes.agg(F.count(F.lit(1)).alias("n")).select(*_result(test, F.col("n")))
 
 
+def _uniques(tests: list[DataTest], df: DataFrame) -> DataFrame:
+    """All single-column ``unique`` tests of one model in one scan: values are
+    tagged by test, counted per (test, value) with partial aggregation, and the
+    duplicated values counted per test."""
+    if len(tests) == 1:
+        return _unique(tests[0], df)
+    types = {df.schema[t.columns[0]].dataType for t in tests}
+
+    def val(c):
+        return c if len(types) == 1 else c.cast("string")
+
+    tagged = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_t"), val(F.col(t.columns[0])).alias("_v")) for i, t in enumerate(tests)])))
+    dupes = (tagged.where(F.col("_v").isNotNull()).groupBy("_t", "_v").count().where(F.col("count") > 1))
+    wide = dupes.agg(*[F.count_if(F.col("_t") == i).alias(f"t{i}") for i in range(len(tests))])
+    return _unpivot(wide, tests)
+
+
 def _relationships(tests: list[DataTest], child: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """All relationship tests of one child model in one pass: the child is
     scanned once, its keys tagged by test, pre-aggregated per (test, key), and
@@ -135,10 +154,13 @@ def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, Dat
     parts: list[DataFrame] = []
     row_level: dict[str, list[DataTest]] = {}
     relationships: dict[str, list[DataTest]] = {}
+    uniques: dict[str, list[DataTest]] = {}
     for t in tests:
         if t.kind in ("not_null", "accepted_values"):
             row_level.setdefault(t.model, []).append(t)
-        elif t.kind in ("unique", "unique_combination"):
+        elif t.kind == "unique":
+            uniques.setdefault(t.model, []).append(t)
+        elif t.kind == "unique_combination":
             parts.append(_unique(t, tables[t.model]))
         elif t.kind == "relationships":
             relationships.setdefault(t.model, []).append(t)
@@ -146,6 +168,8 @@ def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, Dat
             raise ValueError(f"unknown test kind {t.kind}")
     for model, ts in row_level.items():
         parts.append(_row_level(ts, tables[model]))
+    for model, ts in uniques.items():
+        parts.append(_uniques(ts, tables[model]))
     for model, ts in relationships.items():
         parts.append(_relationships(ts, tables[model], tables))
     return reduce(DataFrame.unionByName, parts)

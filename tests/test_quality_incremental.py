@@ -164,3 +164,10 @@ def test_relationship_tests_fold_per_child(spark):
     clean = spark.createDataFrame([("a", 1)], "s string, n int")
     got = {r.test_name: r.n_failed for r in quality.evaluate(tests, {"c": clean, "ps": ps, "pn": pn}).collect()}
     assert got == {"relationships_c_s__ps": 0, "relationships_c_n__pn": 0}
+
+
+def test_unique_tests_fold_per_model(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), (None, 3), (None, 3)], "k string, n int")
+    tests = [quality.DataTest("unique", "m", ("k",)), quality.DataTest("unique", "m", ("n",))]
+    got = {r.test_name: r.n_failed for r in quality.evaluate(tests, {"m": df}).collect()}
+    assert got == {"unique_m_k": 1, "unique_m_n": 2}
