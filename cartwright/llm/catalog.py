@@ -4,17 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, simhash
+from . import exact_dedup, mixing, packing, quality, simhash, toxicity
 from .common import table
+from .labelled import held_out
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), modulus=3, remainder=1)
+    return _decided(toxicity.score(docs.select("doc_id", "text"), model), held_out(F.col("doc_id"), 3, 1), 0.7)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), modulus=5, remainder=0)
+    return _decided(quality.score(docs.select("doc_id", "text", "n_chars"), model), held_out(F.col("doc_id"), 5, 0), 0.3)
+
+
+def _decided(scored: DataFrame, held: Column, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held.alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).membership()
 
@@ -34,6 +52,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
+    "op6_toxicity": op6_toxicity,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_simhash": op10_simhash,
