@@ -7,11 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality, simhash, toxicity
+from . import exact_dedup, html_text, mixing, packing, quality, simhash, toxicity
 from .common import table
 from .labelled import held_out
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = html_text.train(html_text.labelled_blocks(spark))
+    pages = table(spark, sf_dir, "pages")
+    found = pages.select("page_id", "url", html_text.extract_text(F.col("html"), tree).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -51,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_mix_sources": op2_mix_sources,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
