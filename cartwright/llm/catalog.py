@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, mixing, packing, quality, simhash, toxicity
+from . import exact_dedup, html_text, mixing, packing, preference, quality, simhash, topk, toxicity
 from .common import table
 from .labelled import held_out
 
@@ -23,6 +23,14 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preference_segments(preference.swapped_replies(table(spark, sf_dir, "conversations")))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), modulus=3, remainder=1)
@@ -60,6 +68,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_mix_sources": op2_mix_sources,
+    "op3_top_k": op3_top_k,
+    "op5_preference": op5_preference,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
@@ -129,3 +139,50 @@ g AS (
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.content) AS text_sha256
 FROM d JOIN g USING (content)
 """
+
+ORACLE["op3_top_k"] = r"""
+WITH v AS (
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM p)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+ORACLE["op5_preference"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+last AS (
+  SELECT conv_id, max(turn) AS at, max_by(text, turn) AS reply
+  FROM rows WHERE role = 'assistant' GROUP BY conv_id),
+both_sides AS (
+  SELECT r.conv_id, s.side, r.turn, r.role,
+         CASE WHEN s.side = 'rejected' AND r.turn = a.at AND r.role = 'assistant' THEN b.reply ELSE r.text END AS text
+  FROM rows r JOIN last a USING (conv_id) JOIN last b ON b.conv_id = xor(a.conv_id, 1)
+  CROSS JOIN (VALUES ('chosen'), ('rejected')) s(side)),
+steps AS (
+  SELECT conv_id, turn, role, text, bool_or(side = 'chosen') AS chosen, bool_or(side = 'rejected') AS rejected
+  FROM both_sides GROUP BY conv_id, turn, role, text),
+split AS (
+  SELECT conv_id, min(turn) FILTER (NOT (chosen AND rejected)) AS n_prompt FROM steps GROUP BY conv_id),
+parts AS (
+  SELECT steps.*, n_prompt, 'prompt' AS part FROM steps JOIN split USING (conv_id)
+  WHERE n_prompt IS NULL OR turn < n_prompt
+  UNION ALL
+  SELECT steps.*, n_prompt, 'chosen' FROM steps JOIN split USING (conv_id) WHERE turn >= n_prompt AND chosen
+  UNION ALL
+  SELECT steps.*, n_prompt, 'rejected' FROM steps JOIN split USING (conv_id) WHERE turn >= n_prompt AND rejected)
+SELECT conv_id AS pair_id, part, turn, role,
+       '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS rendered,
+       CAST(length(role) + 5 AS BIGINT) AS body_start,
+       CAST(part <> 'prompt' AND role = 'assistant' AS INTEGER) AS loss, n_prompt
+FROM parts
+"""
