@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, mixing, packing, preference, quality, simhash, topk, toxicity
+from . import exact_dedup, html_text, mixing, packing, preference, quality, simhash, suffix_dedup, topk, toxicity
 from .common import table
 from .labelled import held_out
 
@@ -27,6 +27,10 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op4_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=200))
+
+
 def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_segments(preference.swapped_replies(table(spark, sf_dir, "conversations")))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_mix_sources": op2_mix_sources,
     "op3_top_k": op3_top_k,
+    "op4_remove_repeats": op4_remove_repeats,
     "op5_preference": op5_preference,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
