@@ -16,7 +16,7 @@ label every score is the neutral prior 0; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -127,16 +127,23 @@ def fit(rows: pd.DataFrame, l1: float = 0.03, ridge: float = 1e-5, fairness: flo
         zb = b
         scale /= np.sqrt(max(1.0, len(r) / len(y)))
         value, scaled = scale[c], s * scale[f]
-        rate = 4.0 / max(1.0, float((np.bincount(r, weights=value * value, minlength=len(y))).mean()))
+
+        def unfair(x: np.ndarray) -> np.ndarray | float:
+            """Gradient of the mean squared change of the score over the pairs."""
+            if not len(f):
+                return 0.0
+            change = np.bincount(p, weights=x[f] * scaled, minlength=n_pairs)
+            return 2 * fairness * np.bincount(f, weights=change[p] * scaled, minlength=len(active)) / n_pairs
+
+        rate = 1 / (1.3 * _curvature(lambda x: unfair(x) + ridge * x + 0.25 * np.bincount(
+            c, weights=np.bincount(r, weights=x[c] * value, minlength=len(y))[r] * value, minlength=len(x)) / len(y),
+            len(active)))
         for _ in range(steps):
             error = sigmoid(np.bincount(r, weights=z[c] * value, minlength=len(y)) + zb) - y
-            grad = np.bincount(c, weights=error[r] * value, minlength=len(active)) / len(y) + ridge * z
-            if len(f):
-                change = np.bincount(p, weights=z[f] * scaled, minlength=n_pairs)
-                grad += 2 * fairness * np.bincount(f, weights=change[p] * scaled, minlength=len(active)) / n_pairs
+            grad = np.bincount(c, weights=error[r] * value, minlength=len(active)) / len(y) + ridge * z + unfair(z)
             step = z - rate * grad
             new_w = np.sign(step) * np.maximum(0, np.abs(step) - rate * penalty)
-            new_b = zb - rate * error.mean()
+            new_b = zb - error.mean()
             t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
             z, zb = new_w + (t - 1) / t2 * (new_w - w), new_b + (t - 1) / t2 * (new_b - b)
             w, b, t = new_w, new_b, t2
@@ -150,6 +157,16 @@ def fit(rows: pd.DataFrame, l1: float = 0.03, ridge: float = 1e-5, fairness: flo
     return _calibrated(weights, bias, np.bincount(row, weights=weights[index], minlength=len(y)) + bias, y)
 
 
+def _curvature(hessian: Callable[[np.ndarray], np.ndarray], n: int, rounds: int = 12) -> float:
+    """Largest eigenvalue, by power iteration."""
+    x = np.random.default_rng(0).random(n) + 0.1
+    size = 1.0
+    for _ in range(rounds):
+        x = hessian(x / np.linalg.norm(x))
+        size = float(np.linalg.norm(x))
+    return max(size, 1e-6)
+
+
 def _calibrated(weights: np.ndarray, bias: float, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Platt scaling: the two numbers that turn sums into probabilities."""
     positive = y.sum()
