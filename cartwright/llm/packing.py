@@ -43,7 +43,7 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 
 
 def _encoder(tokenizer: str, ranks: str | None):
-    """texts -> lists of ids, as ``tokenizer`` (a tokenizers file) gives them.
+    """text -> ids, as ``tokenizer`` (a tokenizers file) gives them.
 
     ``ranks`` names the same byte-level vocabulary as a rank file; with it ordinary
     text goes through the faster of the two libraries. Texts that hold a special
@@ -53,7 +53,7 @@ def _encoder(tokenizer: str, ranks: str | None):
 
     whole = Tokenizer.from_file(tokenizer)
     if ranks is None:
-        return lambda texts: [e.ids for e in whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return lambda text: whole.encode(text, add_special_tokens=False).ids
     import tiktoken
 
     from public_tokenizers import PATTERN
@@ -63,9 +63,10 @@ def _encoder(tokenizer: str, ranks: str | None):
     fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
     special = [t.content for t in whole.get_added_tokens_decoder().values()]
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [whole.encode(t, add_special_tokens=False).ids if any(s in t for s in special)
-                else fast.encode_ordinary(t) for t in texts]
+    def encode(text: str) -> list[int]:
+        if any(s in text for s in special):
+            return whole.encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
 
     return encode
 
@@ -80,8 +81,8 @@ def _cut(batches: Iterator[pd.DataFrame], tokenizer: str, ranks: str | None, end
     for df in batches:
         out = []
         null = df["doc_id"].isna()
-        for doc_id, missing, ids in zip(df["doc_id"], null, encode([t or "" for t in df["text"]])):
-            flat = np.array([*ids, end_id], "<u4")
+        for doc_id, missing, text in zip(df["doc_id"], null, df["text"]):
+            flat = np.array([*encode(text or ""), end_id], "<u4")
             first = len(flat) % capacity or capacity
             start = 0
             for piece, stop in enumerate(range(first, len(flat) + 1, capacity)):

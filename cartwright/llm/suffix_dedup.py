@@ -102,9 +102,9 @@ def pieces_of(raw: bytes, sizes: np.ndarray, length: int, anchor: int) -> tuple[
 
 
 def _parts(batch: pa.RecordBatch, length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of documents, or parts of a long one: bytes, sizes, row keys, offsets
-    of the parts in their documents. Parts overlap by ``length`` - 1 bytes."""
-    texts, rk = batch["text"], batch["rk"].to_numpy()
+    """Runs of documents, or parts of a long one: bytes, sizes, rows of the batch,
+    offsets of the parts in their documents. Parts overlap by ``length`` - 1 bytes."""
+    texts = batch["text"]
     held, keys, offsets, size = [], [], [], 0
     for i in range(len(texts)):
         raw = texts[i].as_py()
@@ -113,7 +113,7 @@ def _parts(batch: pa.RecordBatch, length: int) -> Iterator[tuple[bytes, np.ndarr
         for at in range(0, max(1, len(raw) - length + 1), PART_BYTES):
             part = raw[at:at + PART_BYTES + length - 1]
             held.append(part)
-            keys.append(rk[i])
+            keys.append(i)
             offsets.append(at)
             size += len(part)
             if size >= PART_BYTES:
@@ -125,6 +125,7 @@ def _parts(batch: pa.RecordBatch, length: int) -> Iterator[tuple[bytes, np.ndarr
 
 def _emit(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        d, k = batch["d"].to_numpy(), batch["k"].to_numpy()
         for raw, sizes, keys, offsets in _parts(batch, length):
             doc, first, n, g = pieces_of(raw, sizes, length, anchor)
             begin = np.cumsum(sizes) - sizes
@@ -132,8 +133,8 @@ def _emit(batches: Iterator[pa.RecordBatch], length: int, anchor: int) -> Iterat
             content = np.array([xxh3_64_intdigest(raw[a:b]) for a, b in zip(first.tolist(), (first + n).tolist())],
                                np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[doc]), pa.array((start << _LEN_BITS) | n), pa.array(g.view(np.int64)),
-                 pa.array(content.view(np.int64))], names=["rk", "at", "g", "c"])
+                [pa.array(d[keys[doc]]), pa.array(k[keys[doc]]), pa.array((start << _LEN_BITS) | n),
+                 pa.array(g.view(np.int64)), pa.array(content.view(np.int64))], names=["d", "k", "at", "g", "c"])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,6 +269,7 @@ def _partners(blobs: list[bytes], anchors: list[int], g: np.ndarray, length: int
 
 def _search(df: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
     """Repeated strings among the pieces of a bucket, as byte ranges of documents."""
+    df = df.drop_duplicates(["g", "d", "k", "start"])  # repeated rows
     blobs = [bytes(b) for b in df["blob"]]
     g = df["g"].to_numpy(np.int64)
     anchors = []
@@ -275,7 +277,7 @@ def _search(df: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
         h = _anchor_hashes(blob, anchor)
         anchors.append(int(np.flatnonzero(h == x)[0]))
     keep = np.flatnonzero(_partners(blobs, anchors, g, length, anchor))
-    none = pd.DataFrame({"rk": pd.Series(dtype="int64"), "start": pd.Series(dtype="int64"), "stop": pd.Series(dtype="int64")})
+    none = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("d", "k", "start", "stop")})
     if not len(keep):
         return none
     sizes = np.array([len(blobs[i]) for i in keep])
@@ -288,8 +290,8 @@ def _search(df: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
     last = np.flatnonzero(hit & np.append(~hit[1:] | (string[1:] != string[:-1]), True))
     which = string[edge]
     single = df["single"].to_numpy(bool)[keep][which]
-    rk, start = df["rk"].to_numpy(np.int64)[keep][which], df["start"].to_numpy(np.int64)[keep][which]
-    out = pd.DataFrame({"rk": rk, "start": start + edge - begin[which], "stop": start + last - begin[which] + length})
+    d, k, start = (df[c].to_numpy(np.int64)[keep][which] for c in ("d", "k", "start"))
+    out = pd.DataFrame({"d": d, "k": k, "start": start + edge - begin[which], "stop": start + last - begin[which] + length})
     return out[single] if single.any() else none
 
 
@@ -329,10 +331,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if 2 * length > 1 << _LEN_BITS:
         raise ValueError("length: at most 2048")
     text = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"),
-                       F.monotonically_increasing_id().alias("rk"))
-    pieces = materialize(rows.select("rk", "text").mapInArrow(
-        lambda it: _emit(it, length, anchor), "rk long, at long, g long, c long"), "repeats-pieces")
+    # rows of one id and one content share what is found for them, so (d, k) may
+    # stand for a row; unlike a row number it is the same whenever it is computed
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text")).select(
+        "*", F.coalesce("doc_id", F.lit(0)).alias("d"), F.xxhash64("text").alias("k"))
+    pieces = materialize(rows.select("d", "k", "text").mapInArrow(
+        lambda it: _emit(it, length, anchor), "d long, k long, at long, g long, c long"), "repeats-pieces")
 
     # pieces that occur again, and minimizers with different pieces
     counted = pieces.select("g", "c").mapInArrow(_count, "g long, c long, n long").repartition("g")
@@ -341,23 +345,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = materialize(pieces.join(kinds, ["g", "c"]), "repeats-marked")
     size = (1 << _LEN_BITS) - 1
     start, stop = F.shiftright("at", _LEN_BITS), F.shiftright("at", _LEN_BITS) + F.col("at").bitwiseAND(size)
-    whole = marked.filter("n > 1").select("rk", start.alias("start"), stop.alias("stop"))
+    whole = marked.filter("n > 1").select("d", "k", start.alias("start"), stop.alias("stop"))
 
     # one copy of each piece whose minimizer has others
     other = marked.filter("kinds > 1")
-    one = F.min(F.struct("rk", "at")).alias("first")
+    one = F.min(F.struct("d", "k", "at")).alias("first")
     several = other.filter("n > 1").groupBy("g", "c", "kinds").agg(one).select(
-        "g", "kinds", F.lit(False).alias("single"), "first.rk", "first.at")
-    asked = other.filter("n = 1").select("g", "kinds", F.lit(True).alias("single"), "rk", "at").unionByName(several)
-    by_doc = asked.groupBy("rk").agg(F.collect_list(F.struct("g", "kinds", "single", start.alias("start"),
+        "g", "kinds", F.lit(False).alias("single"), "first.d", "first.k", "first.at")
+    asked = other.filter("n = 1").select("g", "kinds", F.lit(True).alias("single"), "d", "k", "at").unionByName(several)
+    by_doc = asked.groupBy("d", "k").agg(F.collect_list(F.struct("g", "kinds", "single", start.alias("start"),
                                                              stop.alias("stop"))).alias("asked"))
-    found = rows.join(by_doc, "rk").select("rk", "text", F.explode("asked").alias("p")).select(
-        "rk", "p.g", "p.single", "p.kinds", "p.start",
+    found = rows.join(by_doc, ["d", "k"]).select("d", "k", "text", F.explode("asked").alias("p")).select(
+        "d", "k", "p.g", "p.single", "p.kinds", "p.start",
         F.substring("text", (F.col("p.start") + 1).cast("int"), (F.col("p.stop") - F.col("p.start")).cast("int")).alias("blob"))
     total = asked.agg(F.sum(F.col("at").bitwiseAND(size))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     bucket = F.pmod(F.xxhash64("g"), F.lit(buckets))
-    ranges = "rk long, start long, stop long"
+    ranges = "d long, k long, start long, stop long"
     searched = found.filter(F.col("kinds") <= group_pieces).groupBy(bucket.alias("bucket")).applyInPandas(
         lambda df: _search(df, length, anchor), ranges)
     parts = [whole, searched]
@@ -366,8 +370,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = parts[0]
     for p in parts[1:]:
         marks = marks.unionByName(p)
-    lists = marks.groupBy("rk").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
-    cut = rows.join(lists, "rk", "left").select("doc_id", "text", "marks")
+    lists = marks.groupBy("d", "k").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
+    cut = rows.join(lists, ["d", "k"], "left").select("doc_id", "text", "marks")
     return cut.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
@@ -376,17 +380,18 @@ def _counted_one_by_one(found: DataFrame, length: int) -> DataFrame:
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for rk, single, start, blob in zip(*(b[c].to_pylist() for c in ("rk", "single", "start", "blob"))):
+            for d, k, single, start, blob in zip(*(b[c].to_pylist() for c in ("d", "k", "single", "start", "blob"))):
                 n = len(blob) - length + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([xxh3_128_digest(blob[i:i + length]) for i in range(n)], pa.binary()),
-                     pa.array([rk] * n, pa.int64()), pa.array(range(start, start + n), pa.int64()),
-                     pa.array([single] * n, pa.bool_())], names=["h", "rk", "start", "single"])
-
-    each = materialize(found.select("rk", "single", "start", "blob").mapInArrow(
-        strings, "h binary, rk long, start long, single boolean"), "repeats-strings")
-    again = each.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    return each.filter("single").join(again, "h").select("rk", "start", (F.col("start") + length).alias("stop"))
+                     pa.array([d] * n, pa.int64()), pa.array([k] * n, pa.int64()),
+                     pa.array(range(start, start + n), pa.int64()), pa.array([single] * n, pa.bool_())],
+                    names=["h", "d", "k", "start", "single"])
+
+    each = materialize(found.select("d", "k", "single", "start", "blob").mapInArrow(
+        strings, "h binary, d long, k long, start long, single boolean"), "repeats-strings")
+    again = each.distinct().groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    return each.filter("single").join(again, "h").select("d", "k", "start", (F.col("start") + length).alias("stop"))
 
 
 def digest(removed: DataFrame) -> DataFrame:
