@@ -40,6 +40,7 @@ class TableContract:
     source_file: str | None = None
     wave_dir: str | None = None
     wave_column: str | None = None
+    multi_line: bool = False  # text fields may hold line breaks
 
     @property
     def column_names(self) -> list[str]:
@@ -71,6 +72,7 @@ def _cols(*pairs: tuple[str, str]) -> tuple[Column, ...]:
     return tuple(Column(n, t) for n, t in pairs)
 
 
+# --- fixed values: the ingestion contract ------------------------------------
 _LINE_COLUMNS = _cols(("order_id", "bigint"), ("product_id", "integer"), ("add_to_cart_order", "integer"),
                       ("reordered", "integer"), ("order_number", "integer"))
 
@@ -92,6 +94,7 @@ TABLES: tuple[TableContract, ...] = (
     TableContract("order_products_train", "wave", _LINE_COLUMNS, wave_dir="waves/order_products_train",
                   wave_column="order_number"),
 )
+# --- end of fixed values ------------------------------------------------------
 
 TABLES_BY_NAME = {t.name: t for t in TABLES}
 FULL_TABLES = [t for t in TABLES if t.load_mode == "full"]
@@ -137,6 +140,7 @@ class FeedContract:
 FEED_RAW_SCHEMA = T.StructType([
     T.StructField("payload", T.VariantType(), True),
     T.StructField("last_modified_t", T.LongType(), True),
+    T.StructField("feed_seq", T.LongType(), True),
     T.StructField("_loaded_at", T.TimestampType(), True),
 ])
 

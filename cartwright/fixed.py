@@ -51,4 +51,7 @@ NUTRIMENT_FIELDS = [
     ("salt_100g", "salt_100g"),
 ]
 
+# Field a landed product object carries its feed position in (ours, not the source's).
+FEED_SEQUENCE_FIELD = "feed_seq"
+
 # --- end of fixed values ----------------------------------------------------

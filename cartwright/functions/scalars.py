@@ -43,7 +43,9 @@ def round_avg(c: str | Column, digits: int) -> Column:
     """``round(avg(x), n)`` of an integer column, exact half-up
     (NULLs ignored, as ``avg`` does; NULL for no values)."""
     col = _c(c)
-    return exact_round_ratio(F.sum(col), F.count(col), digits)
+    total = F.sum(col)
+    whole = F.when(total != F.floor(total), F.raise_error(F.lit("round_avg: values that are not whole numbers")))
+    return exact_round_ratio(F.coalesce(whole, total), F.count(col), digits)
 
 
 def ratio_or_null(num: Column, den: Column, digits: int) -> Column:

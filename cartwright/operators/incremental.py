@@ -2,29 +2,33 @@
 
 The target is Parquet partitioned by the wave column. A batch replaces every
 target row that shares its unique key (wherever it lives) and adds its own
-rows. Only the affected partitions are rewritten:
+rows. With ``replace`` it also replaces the named partitions: whatever they held
+goes, rows that the batch no longer has and emptied partitions included. Only the
+affected partitions are rewritten:
 
-    affected = partitions of the batch
+    affected = partitions of the batch + replaced partitions
              + partitions of target rows whose key is in the batch
-    new(p)   = target(p) anti-join batch keys  UNION ALL  batch(p)
-
-The new content is first written to a staging folder below the shared
-checkpoint root (the target must not be read while it is overwritten), then
-swapped in with a dynamic partition overwrite. A partition that ends up with
-no rows is emptied explicitly. NULL keys never match (anti-join semantics).
-
-The usual increment (new waves only: no batch key already in the target, no
-batch partition present yet) skips the staging copy and writes the batch
-straight into its new partitions.
+    new(p)   = batch(p)                                        p replaced
+             = target(p) anti-join batch keys UNION ALL batch(p)    else
+
+The new content is first written to a folder below the shared checkpoint root
+(the target must not be read while it is overwritten), then swapped in with a
+dynamic partition overwrite, and the folder removed. NULL keys never match
+(anti-join semantics).
+
+Finding the target rows of a batch's keys reads the key columns of the target, no
+more: files are sorted by the leading key, so that the batch's key range skips row
+groups, and Spark's runtime bloom filter on the semi join keeps rows of other keys
+out of the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.session import path_exists, scratch_dir
-from cartwright.sinks.loads import observed_set
+from cartwright.session import path_exists, remove, scratch_dir
+from cartwright.sinks.loads import drop_unchanged, list_files, partitions_of
 
 
 class SchemaChangeError(RuntimeError):
@@ -35,10 +39,6 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-def read_target(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    return spark.read.parquet(path).select(*columns)
-
-
 def check_schema(batch: DataFrame, target: DataFrame, partition_col: str) -> None:
     """Fail when the batch adds, drops or retypes a column of the target.
 
@@ -53,67 +53,70 @@ def check_schema(batch: DataFrame, target: DataFrame, partition_col: str) -> Non
         raise SchemaChangeError(f"schema change: batch-only {sorted(a - b)}, target-only {sorted(b - a)}")
 
 
-def max_partition_value(target: DataFrame, col: str) -> int:
-    """C7 watermark: ``coalesce(max(col), 0)`` (an empty target loads everything)."""
-    return int(target.agg(F.coalesce(F.max(col), F.lit(0))).first()[0])
+def max_partition_value(spark: SparkSession, path: str, col: str) -> int:
+    """C7 watermark: the largest value among the partition folders, without
+    opening a file; 0 for a missing or empty target (everything is loaded)."""
+    return max(map(int, partitions_of(spark, path, col)), default=0)
+
+
+def _put(df: DataFrame, path: str, partition_col: str, unique_key: list[str], mode: str) -> None:
+    """Write partitions, balanced, each file sorted by the leading key."""
+    (df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, unique_key[0])
+     .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
 
 
 def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str],
-                  partition_col: str, columns: list[str]) -> int:
-    """Apply ``batch`` to the target; returns the number of partitions rewritten.
+                  partition_col: str, columns: list[str], replace: list[int] | None = None) -> int:
+    """Apply ``batch`` to the target; returns the number of partitions touched
+    (-1: the target was missing or empty). ``replace`` names partitions that hold the
+    batch's rows alone afterwards; all rows of the batch must be in them.
 
-    The batch (one increment) is persisted for the call: the affected-partition
-    scan and the write then share one computation of it.
+    The batch is written once to the shared folder, since the search for affected
+    partitions and the write both read it.
     """
-    batch = batch.select(*columns).persist()
+    if not partitions_of(spark, target_path, partition_col):
+        _put(batch.select(*columns), target_path, partition_col, unique_key, "static")
+        return -1
+    schema = spark.read.parquet(target_path).schema
+    check_schema(batch.select(*columns), spark.createDataFrame([], schema), partition_col)
+    staging = scratch_dir(spark, "delete-insert")
     try:
-        return _delete_insert(spark, batch, target_path, unique_key, partition_col, columns)
+        batch = _staged(batch.select(*columns), f"{staging}/batch")
+        return _apply(spark, batch, target_path, unique_key, partition_col, columns, replace, f"{staging}/new")
     finally:
-        batch.unpersist()
+        remove(spark, staging)
 
 
-def _delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str],
-                   partition_col: str, columns: list[str]) -> int:
-    if not table_exists(spark, target_path):
-        (batch.hint("rebalance", partition_col)
-         .write.mode("overwrite").partitionBy(partition_col).parquet(target_path))
-        return -1
-    check_schema(batch, spark.read.parquet(target_path), partition_col)
-    target = read_target(spark, target_path, columns)
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def _apply(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str], partition_col: str,
+           columns: list[str], replace: list[int] | None, staging: str) -> int:
+    target = spark.read.parquet(target_path).select(*columns)
     keys = batch.select(*unique_key).dropna(how="any").distinct()
-    hit = target.join(keys, unique_key, "left_semi").select(partition_col)
-    # one job: every affected partition, flagged when a target key lives there
-    flags = (batch.select(partition_col, F.lit(0).alias("_hit"))
-             .unionByName(hit.select(partition_col, F.lit(1).alias("_hit")))
-             .groupBy(partition_col).agg(F.max("_hit").alias("_hit")).collect())  # bounded by partition count
-    affected = [r[0] for r in flags]
+    lead = unique_key[0]
+    low, high = batch.agg(F.min(lead), F.max(lead)).first()
+    in_range = target.where(F.col(lead).between(low, high)) if low is not None else target.limit(0)
+    hit = in_range.join(keys, unique_key, "left_semi").select(partition_col)
+    replaced = set(replace or ())
+    # the partitions with a key of the batch, and those of the batch: one value per wave
+    holds = {r[0] for r in hit.distinct().collect()} - replaced
+    own = {r[0] for r in batch.select(partition_col).distinct().collect()}
+    if replace is not None and own - replaced:
+        raise ValueError(f"the batch has rows outside the partitions to replace: {sorted(own - replaced)}")
+    existing = {int(v) for v in partitions_of(spark, target_path, partition_col)}
+    affected = own | holds | (replaced & existing)
     if not affected:
         return 0
-
-    touches_existing = any(r["_hit"] for r in flags) or any(
-        path_exists(spark, f"{target_path}/{partition_col}={p}") for p in affected)
-    if not touches_existing:
-        # only brand-new partitions: nothing to delete and no self-read, so the
-        # batch goes straight in (dynamic overwrite touches only its partitions)
-        (batch.hint("rebalance", partition_col).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
-        return len(affected)
-
-    kept = target.where(F.col(partition_col).isin(affected)).join(keys, unique_key, "left_anti")
-    new_content = kept.unionByName(batch)
-    staging = scratch_dir(spark, "delete-insert")
-    seen = Observation()
-    new_content = new_content.observe(seen, F.collect_set(partition_col).alias("parts"))
-    new_content.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    written = observed_set(seen, "parts", new_content, partition_col)  # bounded by affected partitions
-
-    staged = spark.read.parquet(staging).select(*columns)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(target_path))
-    empty_schema = target.drop(partition_col).schema
-    for p in affected:
-        if p not in written and path_exists(spark, f"{target_path}/{partition_col}={p}"):
-            spark.createDataFrame([], empty_schema).write.mode("overwrite").parquet(
-                f"{target_path}/{partition_col}={p}")
+    before = list_files(spark, target_path, partition_col, sorted(affected & existing))
+    rewritten = (holds | (own & existing)) - replaced  # partitions that keep some of their rows
+    if not rewritten:
+        _put(batch, target_path, partition_col, unique_key, "dynamic")
+    else:
+        kept = target.where(F.col(partition_col).isin(sorted(rewritten))).join(keys, unique_key, "left_anti")
+        new = _staged(kept.unionByName(batch), staging)
+        _put(new, target_path, partition_col, unique_key, "dynamic")
+    drop_unchanged(spark, target_path, partition_col, before)
     return len(affected)

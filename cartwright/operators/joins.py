@@ -1,29 +1,13 @@
-"""Join helpers: size-checked broadcast (J2), strict lookup (J6), orphan count."""
+"""Join helpers: strict lookup (J6), orphan count.
+
+No side is broadcast by hint: the planner and AQE decide on measured bytes.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after counting at most this many rows of it.
-DEFAULT_BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(max_rows + 1)`` keeps the check cheap even when the side turns out
-    to be huge: no partition is read past the limit.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise leave the
-    choice to the planner and AQE (shuffle join, runtime broadcast, skew split)."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
-
-
 def strict_lookup(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
     """Attach ``right.value`` to every left row by ``key``; a left row with
     no match aborts the job. ``right`` must be unique on ``key`` (checked), so

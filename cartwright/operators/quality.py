@@ -57,7 +57,7 @@ def _rel(model, col, to_model, to_col=None):
     return DataTest("relationships", model, (col,), to_model, to_col or col)
 
 
-# The 21 tests of the marts, as declared for the source warehouse.
+# --- fixed values: the 21 tests declared for the marts ------------------------
 MART_TESTS: tuple[DataTest, ...] = (
     _nn("fact_order_items", "product_key"), _rel("fact_order_items", "product_key", "dim_product"),
     _nn("fact_order_items", "user_key"), _rel("fact_order_items", "user_key", "dim_user"),
@@ -72,6 +72,7 @@ MART_TESTS: tuple[DataTest, ...] = (
     _uq("dim_food_product", "food_product_key"), _nn("dim_food_product", "food_product_key"),
     _uq("dim_food_product", "product_code"), _nn("dim_food_product", "product_code"),
 )
+# --- end of fixed values ------------------------------------------------------
 
 
 def _result(test: DataTest, n_failed) -> list:
@@ -150,7 +151,11 @@ def _relationships(tests: list[DataTest], child: DataFrame, tables: dict[str, Da
 
 
 def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, DataFrame]) -> DataFrame:
-    """One DataFrame with a row per test: RESULT_COLUMNS."""
+    """One DataFrame with a row per test: RESULT_COLUMNS. A test whose model or
+    parent model is not among ``tables`` is an error."""
+    missing = sorted({m for t in tests for m in (t.model, t.to_model) if m is not None and m not in tables})
+    if missing:
+        raise KeyError(f"models to test are missing: {', '.join(missing)}")
     parts: list[DataFrame] = []
     row_level: dict[str, list[DataTest]] = {}
     relationships: dict[str, list[DataTest]] = {}

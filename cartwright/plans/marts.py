@@ -12,18 +12,13 @@ from pyspark.sql import functions as F
 from cartwright import fixed
 from cartwright.functions.keys import surrogate_key
 from cartwright.functions.scalars import day_name, day_part, is_weekend
-from cartwright.operators.joins import bounded_broadcast
-
-# Aisles and departments are code lists; broadcast them only after counting
-# at most this many rows (otherwise the planner and AQE choose).
-CODE_LIST_ROW_LIMIT = 100_000
 
 
 def dim_product(products: DataFrame, aisles: DataFrame, departments: DataFrame) -> DataFrame:
     """M9 (I1, J2): products with aisle and department names flattened in;
     names stay NULL when the code is unknown."""
-    a = bounded_broadcast(aisles.select("aisle_id", "aisle_name"), CODE_LIST_ROW_LIMIT)
-    d = bounded_broadcast(departments.select("department_id", "department_name"), CODE_LIST_ROW_LIMIT)
+    a = aisles.select("aisle_id", "aisle_name")
+    d = departments.select("department_id", "department_name")
     return (products.join(a, "aisle_id", "left").join(d, "department_id", "left")
             .select(surrogate_key("product_id").alias("product_key"), "product_id", "product_name", "aisle_id",
                     "aisle_name", "department_id", "department_name"))

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.plans import intermediate, marts, staging
-from cartwright.sources.testdata import RawLayer
+from cartwright.raw import RawLayer
 
 
 class Models:

@@ -65,8 +65,8 @@ def parse_off_products(raw: DataFrame) -> DataFrame:
         F.col("last_modified_t"),
         F.timestamp_seconds("last_modified_t").cast("timestamp_ntz").alias("last_modified_at"),
     ]
-    lineage = [c for c in ("_loaded_at", "_source_file", "_source_pos") if c in raw.columns]
-    return (raw.select(*cols, *lineage)
+    order = [F.col(c) for c in (fixed.FEED_SEQUENCE_FIELD, "_loaded_at") if c in raw.columns]
+    return (raw.select(*cols, *order, F.to_json(p).alias("_payload_text"))
             .where(F.coalesce(F.col("product_code"), F.lit("")) != ""))
 
 
@@ -88,7 +88,11 @@ OFF_PRODUCT_COLUMNS = ["product_code", "product_name", "brands", "categories_tag
 
 
 def stg_off_products(off_products_raw: DataFrame) -> DataFrame:
-    """M6: flatten the product payload, drop blank codes, keep the latest version per code."""
+    """M6: flatten the product payload, drop blank codes, keep the latest version per code.
+
+    Versions of one second are ordered by feed position, then load time, then
+    the payload's text; what still ties is the same product version.
+    """
     parsed = parse_off_products(off_products_raw)
-    ties = [c for c in ("_loaded_at", "_source_file", "_source_pos") if c in parsed.columns]
+    ties = [c for c in (fixed.FEED_SEQUENCE_FIELD, "_loaded_at", "_payload_text") if c in parsed.columns]
     return latest_version(parsed, "product_code", "last_modified_t", ties).select(*OFF_PRODUCT_COLUMNS)

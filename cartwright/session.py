@@ -1,18 +1,18 @@
-"""Session construction and shared scratch storage.
+"""Session construction, shared scratch storage and folder operations.
 
-On a cluster the operator sets ``spark.checkpoint.dir`` to a shared folder
-(HDFS, S3A, ...). Every job that must cut lineage or stage intermediate tables
-writes below that folder, never to a machine-local temp directory. Only when
-the setting is absent (unit tests, local runs) do we create a local one.
+On a cluster ``spark.checkpoint.dir`` (or the SparkContext's checkpoint folder)
+names a shared folder (HDFS, S3A, ...). Every job that must cut lineage or stage
+intermediate tables writes below that folder, never to a machine-local temp
+directory. Only a local master without either gets a local one; any other
+master fails.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours needs: UTC (timestamps are compared across
 # engines), AQE with skew-join splitting and partition coalescing.
@@ -22,6 +22,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    "spark.sql.ansi.enabled": "true",  # B14: a value that does not fit its type aborts
 }
 
 
@@ -90,33 +91,93 @@ _FALLBACK_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only when the session has none (local runs, tests) do we make our own,
-    once per application; ``spark.checkpoint.dir`` cannot be changed on a
-    running session, so the SparkContext's checkpoint folder is set directly.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder: ``spark.checkpoint.dir``, else the SparkContext's
+    checkpoint folder, else (on a local master only) one of our own per
+    application."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        app = spark.sparkContext.applicationId
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = context.applicationId
         if app not in _FALLBACK_ROOTS:
             _FALLBACK_ROOTS[app] = tempfile.mkdtemp(prefix="cartwright-ckpt-")
         root = _FALLBACK_ROOTS[app]
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint root."""
     path = f"{checkpoint_root(spark)}/cartwright/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    fs, p = _folder(spark, path)
+    fs.mkdirs(p)
     return path
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, through the Hadoop file system of its URI scheme."""
+# --- folders, through the Hadoop file system of their URI scheme ----------------
+
+def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - standard PySpark access to Hadoop FS
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))  # noqa: SLF001
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``, in one listing; none if it does not exist."""
+    fs, p = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target's parent is made, the target must not exist."""
+    fs, p = _folder(spark, source)
+    _, to = _folder(spark, target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def write_and_swap(df: DataFrame, target: str, partition_by: str | None = None, sort_by: str | None = None) -> None:
+    """Replace the Parquet folder ``target`` by ``df``, old content or new;
+    with ``partition_by`` balanced by that column, each file sorted by ``sort_by``.
+
+    The new content is computed into a hidden sibling first, so a job that fails
+    leaves the old content as it was (and ``df`` may read ``target``). Then the
+    folders are renamed; if that fails the old one is put back.
+    """
+    spark = df.sparkSession
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    mark = uuid.uuid4().hex[:12]
+    fresh, old = f"{parent}/.new-{mark}-{name}", f"{parent}/.old-{mark}-{name}"
+    try:
+        if partition_by:
+            (df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *([sort_by] if sort_by else []))
+             .write.partitionBy(partition_by).parquet(fresh))
+        else:
+            df.write.parquet(fresh)
+        had = path_exists(spark, target)
+        if had:
+            move(spark, target, old)
+        try:
+            move(spark, fresh, target)
+        except Exception:
+            if had:
+                move(spark, old, target)
+            raise
+    finally:
+        remove(spark, fresh)
+        if path_exists(spark, target):
+            remove(spark, old)

@@ -5,7 +5,11 @@ objects (one extractor "file" worth). Arrays are built per (dt, chunk) group,
 where a chunk is a run of consecutive rows of one input partition
 (``monotonically_increasing_id`` is consecutive within a partition and jumps
 by 2**33 between partitions), so every group is bounded by construction and
-no global numbering or extra shuffle is needed. An empty pull writes nothing.
+no global numbering is needed. Two shuffles: rows into arrays, arrays by day.
+
+Each object carries its position in the feed (``fixed.FEED_SEQUENCE_FIELD``),
+so that two versions of a product with the same modification second keep their
+order whatever file and line they land in. An empty pull writes nothing.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwright import fixed
 from cartwright.functions.scalars import utc_date_label
 
 
@@ -22,10 +27,13 @@ def land_json_arrays(feed: DataFrame, landing: str, pulled_at, order_col: str, r
     column or literal giving the dt partition; ``order_col`` gives a total
     order used to cut the chunks."""
     dated = feed.withColumn("dt", utc_date_label(pulled_at))
+    text, seq = F.to_json("payload"), F.col(order_col).cast("string")
+    numbered = F.concat(F.lit(f'{{"{fixed.FEED_SEQUENCE_FIELD}":'), F.coalesce(seq, F.lit("null")),
+                        F.when(text == "{}", F.lit("}")).otherwise(F.concat(F.lit(","), F.substr(text, F.lit(2)))))
     chunked = dated.withColumn("_chunk", F.floor(F.monotonically_increasing_id() / rows_per_array))
     arrays = (chunked.groupBy("dt", "_chunk")
               .agg(F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("k"),
-                                                        F.to_json("payload").alias("j")))).alias("_items"))
+                                                        numbered.alias("j")))).alias("_items"))
               .select("dt", F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x["j"]), ","),
                                      F.lit("]")).alias("value")))
     # cluster each day's arrays into few files (AQE splits a heavy day)

@@ -1,28 +1,26 @@
 """Load modes and landing layouts.
 
 Raw wave tables are Parquet partitioned by their wave column, so "delete the
-wave, load it again" (B6) is one partition overwrite: atomic per partition,
-idempotent on rerun, and an absent wave file leaves the wave empty.
+wave, load it again" (B6) replaces one partition folder. Every replacement is
+computed before anything old is touched and then swapped in by rename: a load that
+fails leaves the table as it was, a rerun gives the same content, and a wave
+without a file ends up empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright import contracts, fixed
+from cartwright import contracts
 from cartwright.contracts import TableContract
 from cartwright.operators.joins import strict_lookup
-from cartwright.sources.csv import read_contract_csv, write_contract_csv
-from cartwright.session import path_exists
+from cartwright.session import list_names, path_exists, remove, write_and_swap
+from cartwright.sources.csv import csv_waves, read_contract_csv, read_csv_waves, wave_file_label, write_contract_csv
 
 
-def _n_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", order_key: str = "order_id",
-                mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
+def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", mode: str = "overwrite",
+                max_records_per_file: int = 5_000_000) -> None:
     """B2: route every row to its wave partition ``<path>/<wave_col>=N/``.
 
     Waves shrink steeply with N (everyone has a first order), so a plain
@@ -33,7 +31,6 @@ def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", order_
     sampling pass over the input; ``overwrite`` makes a rerun deterministic
     and drops waves that disappeared from the source.
     """
-    del order_key  # clustering is by wave; AQE sizes the tasks
     (df.hint("rebalance", wave_col)
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(wave_col).parquet(path))
@@ -41,15 +38,27 @@ def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", order_
 
 def read_waves(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
     """A2/A3: a wave table with its contract schema; a filter on the wave
-    column prunes partitions, a missing wave (or a table never landed) reads
-    empty."""
+    column prunes partitions, a missing wave reads empty. A missing table folder
+    is an error: a mistyped path must not pass for empty waves."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], contract.schema())
+        raise FileNotFoundError(f"nothing landed at {path}")
     return spark.read.schema(contract.schema()).parquet(path).select(*contract.column_names)
 
 
+def read_landed(spark: SparkSession, folder: str, contract: TableContract,
+                waves: list[int] | None = None) -> DataFrame:
+    """The given waves of a landed wave table: ``<table>_NNN.csv`` files, or
+    else Parquet partitions."""
+    if not path_exists(spark, folder):
+        raise FileNotFoundError(f"nothing landed at {folder}")
+    if csv_waves(spark, folder, contract):
+        return read_csv_waves(spark, folder, contract, waves)
+    rows = read_waves(spark, folder, contract)
+    return rows if waves is None else rows.where(F.col(contract.wave_column).isin(list(waves)))
+
+
 def read_wave(spark: SparkSession, path: str, contract: TableContract, wave: int) -> DataFrame:
-    return read_waves(spark, path, contract).where(F.col(contract.wave_column) == wave)
+    return read_landed(spark, path, contract, [wave])
 
 
 def split_waves(orders: DataFrame, lines: dict[str, DataFrame], landing: str) -> None:
@@ -67,11 +76,6 @@ def split_waves(orders: DataFrame, lines: dict[str, DataFrame], landing: str) ->
         write_waves(routed.select(*contract.column_names), f"{landing}/{name}")
 
 
-def wave_file_label(table: str, wave: int) -> str:
-    """``<table>_NNN`` label of one wave (kept for landing-key parity)."""
-    return f"{table}_{fixed.WAVE_LABEL_FORMAT % wave}"
-
-
 def with_loaded_at(df: DataFrame) -> DataFrame:
     """B4 audit column, stamped at load."""
     return df.withColumn("_loaded_at", F.current_timestamp())
@@ -87,54 +91,51 @@ def create_raw_table(spark: SparkSession, database: str, contract: TableContract
 
 
 def load_full(df: DataFrame, contract: TableContract, target: str) -> None:
-    """Full refresh; the new content replaces the old in one overwrite."""
-    with_loaded_at(df.select(*contract.column_names)).write.mode("overwrite").parquet(target)
+    """Full refresh; the new content replaces the old once it is complete."""
+    write_and_swap(with_loaded_at(df.select(*contract.column_names)), target)
 
 
 def load_wave(spark: SparkSession, df: DataFrame | None, contract: TableContract, wave: int, target: str) -> None:
     """Replace exactly one wave. ``df`` is the wave's source rows (``None``
     when no file landed for the wave): the partition is emptied either way.
-
-    A static overwrite of one partition directory: other waves are untouched,
-    a rerun gives the same content, and there is no window in which the wave
-    is deleted but not yet reloaded.
-    """
+    Other waves are untouched; if the load fails, this one is too."""
     wave_col = contract.wave_column
-    part_path = f"{target}/{wave_col}={wave}"
     if df is None:
         df = spark.createDataFrame([], contract.schema())
     rows = with_loaded_at(df.where(F.col(wave_col) == wave).select(*contract.column_names)).drop(wave_col)
-    rows.write.mode("overwrite").parquet(part_path)
-
+    write_and_swap(rows, f"{target}/{wave_col}={wave}")
 
-def observed_set(seen: Observation, name: str, df: DataFrame, col: str) -> set:
-    """The set collected by ``seen`` during the last action on ``df``.
 
-    When the planner already proved ``df`` empty it drops the observed node
-    and no metrics arrive; the exact (and then trivial) distinct query on
-    ``df`` answers instead.
-    """
-    try:
-        return set(seen.get[name])
-    except Exception:  # noqa: BLE001 - metrics missing; recompute exactly
-        return {r[0] for r in df.select(col).distinct().collect()}
+def partitions_of(spark: SparkSession, target: str, column: str) -> dict[str, str]:
+    """Partition value (as written in the folder name) -> folder, from one listing."""
+    return {n.split("=", 1)[1]: f"{target}/{n}" for n in list_names(spark, target) if n.startswith(f"{column}=")}
 
 
 def load_waves(spark: SparkSession, df: DataFrame, contract: TableContract, waves: list[int], target: str) -> None:
     """B6 for several waves in one job: every listed wave is replaced by its
-    rows in ``df`` (dynamic partition overwrite); listed waves without rows
-    are emptied. Waves not listed are untouched."""
+    rows in ``df`` (dynamic partition overwrite, whose commit comes last); listed
+    waves without rows are emptied. Waves not listed are untouched."""
     wave_col = contract.wave_column
-    seen = Observation()
     rows = with_loaded_at(df.where(F.col(wave_col).isin(waves)).select(*contract.column_names))
-    rows = rows.observe(seen, F.collect_set(wave_col).alias("waves"))  # at most len(waves) values
+    before = list_files(spark, target, wave_col, waves)
     (rows.hint("rebalance", wave_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(wave_col).parquet(target))
-    present = observed_set(seen, "waves", rows, wave_col)
-    empty = contract.schema().add("_loaded_at", "timestamp")
-    for w in waves:  # a listed wave without rows: empty it, if it holds anything
-        if w not in present and path_exists(spark, f"{target}/{wave_col}={w}"):
-            spark.createDataFrame([], empty).drop(wave_col).write.mode("overwrite").parquet(f"{target}/{wave_col}={w}")
+    drop_unchanged(spark, target, wave_col, before)
+
+
+def list_files(spark: SparkSession, target: str, column: str, values: list[int]) -> dict[str, list[str]]:
+    """The file names of the partitions ``values`` that exist."""
+    there = partitions_of(spark, target, column)
+    return {v: list_names(spark, there[v]) for v in map(str, values) if v in there}
+
+
+def drop_unchanged(spark: SparkSession, target: str, column: str, before: dict[str, list[str]]) -> None:
+    """Remove partitions whose files an overwrite did not replace: no row came
+    for them, so what they hold is old."""
+    for value, files in before.items():
+        path = f"{target}/{column}={value}"
+        if list_names(spark, path) == files:
+            remove(spark, path)
 
 
 def read_loaded_wave_table(spark: SparkSession, target: str, contract: TableContract) -> DataFrame:
@@ -170,16 +171,22 @@ def land_sources(spark: SparkSession, raw, landing: str, *, full: bool = False,
     return done
 
 
-def ingest(spark: SparkSession, landing: str, target_root: str, *, full: bool = False, wave: int | None = None,
-           reference_sources: dict[str, DataFrame] | None = None) -> list[str]:
-    """The batch loader entry. ``full`` reloads the reference tables
-    (from ``<landing>/<table>/`` CSVs unless DataFrames are given), ``wave``
-    replaces that wave in every wave table; both may be given.
-    Returns the tables written. Asking for nothing is an error.
+def ingest(spark: SparkSession, landing: str, target_root: str, *, setup: str | None = None, full: bool = False,
+           wave: int | None = None, reference_sources: dict[str, DataFrame] | None = None) -> list[str]:
+    """The batch loader entry. ``setup`` names a database in which all raw
+    tables are created if they do not exist (B4); ``full`` reloads the reference
+    tables (from ``<landing>/<table>/`` CSVs unless DataFrames are given), ``wave``
+    replaces that wave in every wave table, from ``<table>_NNN.csv`` or Parquet
+    partitions. Any of them may be given together, in that order.
+    Returns the tables made or written. Asking for nothing is an error.
     """
-    if not full and wave is None:
-        raise ValueError("nothing to do: pass full=True and/or wave=N")
+    if setup is None and not full and wave is None:
+        raise ValueError("nothing to do: pass setup=DATABASE, full=True and/or wave=N")
     done = []
+    if setup is not None:
+        for c in contracts.TABLES:
+            create_raw_table(spark, setup, c, f"{target_root}/{c.name}")
+            done.append(f"{setup}.{c.name}")
     if full:
         for c in contracts.FULL_TABLES:
             if reference_sources is not None:
@@ -193,8 +200,8 @@ def ingest(spark: SparkSession, landing: str, target_root: str, *, full: bool =
             load_full(src, c, f"{target_root}/{c.name}")
             done.append(c.name)
     if wave is not None:
+        landed = {c.name: read_landed(spark, f"{landing}/{c.name}", c, [wave]) for c in contracts.WAVE_TABLES}
         for c in contracts.WAVE_TABLES:
-            landed = read_waves(spark, f"{landing}/{c.name}", c)
-            load_wave(spark, landed, c, wave, f"{target_root}/{c.name}")
+            load_wave(spark, landed[c.name], c, wave, f"{target_root}/{c.name}")
             done.append(f"{c.name}@{wave_file_label(c.name, wave)}")
     return done

@@ -6,9 +6,10 @@ kept; a missing or NULL timestamp counts as 0, numeric strings are accepted,
 anything else aborts (strict cast).
 
 On a feed sorted newest-first the fresh rows are a prefix of the order, so
-"page until the first stale row" equals "filter, then sort", and the per-run
-cap (``page_size * max_pages``) is a top-k: ``orderBy(...).limit(cap)``
-plans as TakeOrderedAndProject, keeping only ``cap`` rows per task.
+"page until the first stale row" equals "filter, then sort". A pull takes all of
+them. The per-run cap (``page_size * max_pages``) is taken only when asked for:
+the next mark is the newest loaded row, so rows a capped pull leaves behind are
+not pulled again; :func:`left_behind` counts them for the caller.
 """
 
 from __future__ import annotations
@@ -69,11 +70,19 @@ def newest_first(tie_breaks: list[str] | None = None) -> list[Column]:
     return [F.col(WM).desc()] + [F.col(c).desc() for c in (tie_breaks or [])]
 
 
-def extract(feed: DataFrame, watermark: int, contract: FeedContract | None = None, capped: bool = True,
+def extract(feed: DataFrame, watermark: int, contract: FeedContract | None = None, capped: bool = False,
             tie_breaks: list[str] | None = None, inclusive: bool = False) -> DataFrame:
-    """One extractor run: rows above the watermark, newest first; with
-    ``capped`` at most ``page_size * max_pages`` of them (G3)."""
+    """One extractor run: all rows above the watermark, newest first; with
+    ``capped`` only the first ``page_size * max_pages`` of them (G3, planned as
+    TakeOrderedAndProject)."""
     contract = contract or FeedContract()
     fresh = above_watermark(feed, watermark, contract.watermark_field, inclusive=inclusive)
     ordered = fresh.orderBy(*newest_first(tie_breaks))
     return (ordered.limit(contract.cap) if capped else ordered).drop(WM)
+
+
+def left_behind(feed: DataFrame, watermark: int, contract: FeedContract | None = None,
+                inclusive: bool = False) -> int:
+    """How many rows above the watermark a capped pull does not take."""
+    contract = contract or FeedContract()
+    return max(0, above_watermark(feed, watermark, contract.watermark_field, inclusive).count() - contract.cap)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from cartwright import contracts
+from cartwright.session import path_exists
 from cartwright.sources.json_arrays import explode_json_arrays, with_feed_columns
 
 
@@ -19,17 +21,23 @@ def ingest_json_arrays(spark: SparkSession, landing: str, target: str, checkpoin
                        whole_file: bool = False, max_files_per_trigger: int | None = None) -> int:
     """Append every not-yet-seen landed file to the raw feed table at ``target``.
 
-    Returns the number of micro-batches run.
+    Returns the number of rows appended.
     """
     reader = spark.readStream.format("text").option("wholetext", str(whole_file).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"))
     rows = with_feed_columns(explode_json_arrays(lines)).withColumn("_loaded_at", F.current_timestamp())
-    rows = rows.select("payload", "last_modified_t", "_loaded_at", "_source_file", "_source_pos")
+    rows = rows.select("payload", "last_modified_t", "feed_seq", "_loaded_at", "_source_file", "_source_pos")
+    before = _rows(spark, target)
     q = (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(target))
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return len(q.recentProgress)
+    return _rows(spark, target) - before
+
+
+def _rows(spark: SparkSession, target: str) -> int:
+    """Rows of the feed table, from the file footers; 0 before the first load."""
+    return spark.read.schema(contracts.FEED_RAW_SCHEMA).parquet(target).count() if path_exists(spark, target) else 0

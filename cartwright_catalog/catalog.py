@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.plans import oracle, scenarios
 from cartwright.plans.models import Models
 from cartwright.session import configure
-from cartwright.sources.raw import landed_raw_layer
+from cartwright_catalog import oracle, scenarios
+from cartwright_catalog.landed import landed_raw_layer
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -47,7 +47,7 @@ QUERIES: dict[str, QueryFn] = {
     "int_user_metrics": _model_query("int_user_metrics"),
     "dim_product": _model_query("dim_product"),
     "dim_user": _model_query("dim_user"),
-    "dim_time": _model_query("dim_time"),
+    "dim_time": scenarios.dim_time,
     "dim_food_product": _model_query("dim_food_product"),
     "fact_orders": _model_query("fact_orders"),
     "fact_order_items_full": _model_query("fact_order_items"),
@@ -71,6 +71,19 @@ QUERIES: dict[str, QueryFn] = {
     "dq_unique_combination": scenarios.dq_unique_combination,
     "dq_all_mart_tests": scenarios.dq_all_mart_tests,
     "warehouse_run_gate": scenarios.warehouse_run_gate,
+    "fact_order_items_corrected_wave": scenarios.fact_order_items_corrected_wave,
+    "fact_order_items_rebuilt": scenarios.fact_order_items_rebuilt,
+    "fact_order_items_late_orders": scenarios.fact_order_items_late_orders,
+    "reload_after_failed_load": scenarios.reload_after_failed_load,
+    "wave_after_failed_load": scenarios.wave_after_failed_load,
+    "stg_off_products_ingested": scenarios.stg_off_products_ingested,
+    "feed_uncapped_pull": scenarios.feed_uncapped_pull,
+    "csv_wave_load": scenarios.csv_wave_load,
+    "csv_text_roundtrip": scenarios.csv_text_roundtrip,
+    "dq_failing_tests": scenarios.dq_failing_tests,
+    "orphan_line_count": scenarios.orphan_line_count,
+    "orders_by_day_part": scenarios.orders_by_day_part,
+    "staging_sql_views": scenarios.staging_sql_views,
 }
 
 ORACLE: dict[str, str] = {
@@ -85,12 +98,16 @@ ORACLE: dict[str, str] = {
     "int_user_metrics": oracle.with_models("SELECT * FROM int_user_metrics"),
     "dim_product": oracle.with_models("SELECT * FROM dim_product"),
     "dim_user": oracle.with_models("SELECT * FROM dim_user"),
-    "dim_time": oracle.with_models("SELECT * FROM dim_time"),
+    "dim_time": oracle.with_models("""
+SELECT t.*, count(f.order_id) AS n_orders FROM dim_time t LEFT JOIN fact_orders f ON f.time_key = t.time_key
+GROUP BY ALL"""),
     "dim_food_product": oracle.with_models("SELECT * FROM dim_food_product"),
     "fact_orders": oracle.with_models("SELECT * FROM fact_orders"),
     "fact_order_items_full": oracle.with_models("SELECT * FROM fact_order_items"),
     **oracle.SCENARIOS,
     "fact_order_items_streamed": oracle.with_models("SELECT * FROM fact_order_items"),
+    "fact_order_items_late_orders": oracle.with_models("SELECT * FROM fact_order_items"),
+    "dq_failing_tests": oracle.dq_sql(scenarios.FAILING_TESTS),
     "dq_not_null": oracle.dq_sql(scenarios.dq_tests("not_null")),
     "dq_unique": oracle.dq_sql(scenarios.dq_tests("unique")),
     "dq_relationships": oracle.dq_sql(scenarios.dq_tests("relationships")),

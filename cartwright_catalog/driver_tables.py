@@ -14,18 +14,17 @@ benchmarks it is derived from ``orders``, ``lineitem``, ``part`` and
 * events -> raw.off_products_raw: one product version per event, kept as a
   VARIANT payload.
 
-The per-user and per-order numbering uses :mod:`cartwright.operators.sequence`
+The per-user and per-order numbering uses :mod:`cartwright_catalog.numbering`
 so a single huge customer or order does not land in one task.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.operators.sequence import number_within_groups
+from cartwright.raw import RawLayer
+from cartwright_catalog.numbering import number_within_groups
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -134,7 +133,7 @@ def raw_departments(part: DataFrame) -> DataFrame:
 def feed_payloads(events: DataFrame) -> DataFrame:
     """events -> raw.off_products_raw rows (payload VARIANT, last_modified_t, lineage).
 
-    ``_source_pos`` carries the event id: the stable tie-break between two
+    ``feed_seq`` carries the event id: the source-side sequence that orders two
     versions of one product with the same modification second.
     """
     code = F.when(F.col("user_id") % BLANK_CODE_EVERY == 0, F.lit("")).otherwise(
@@ -154,32 +153,16 @@ def feed_payloads(events: DataFrame) -> DataFrame:
     return events.select(
         F.to_variant_object(obj).alias("payload"),
         t.alias("last_modified_t"),
+        F.col("event_id").alias("feed_seq"),
         F.lit(None).cast("timestamp").alias("_loaded_at"),
-        F.lit(None).cast("string").alias("_source_file"),
-        F.col("event_id").alias("_source_pos"),
     )
 
 
-@dataclass
-class RawLayer:
-    """The raw layer as DataFrames (lazy plans)."""
-
-    orders: DataFrame
-    order_products_prior: DataFrame
-    order_products_train: DataFrame
-    products: DataFrame
-    aisles: DataFrame
-    departments: DataFrame
-    off_products_raw: DataFrame
-    lines: DataFrame | None = None  # prior + train lines with eval_set (adapter only)
-
-    def table(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-
-def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
+def raw_layer(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> RawLayer:
+    """The raw layer; ``lines`` replaces the order lines derived here."""
     orders = raw_orders(read_table(spark, sf_dir, "orders"))
-    lines = raw_order_lines(read_table(spark, sf_dir, "lineitem"), orders)
+    if lines is None:
+        lines = raw_order_lines(read_table(spark, sf_dir, "lineitem"), orders)
     cols = ["order_id", "product_id", "add_to_cart_order", "reordered", "order_number"]
     part = read_table(spark, sf_dir, "part")
     return RawLayer(
@@ -190,5 +173,4 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
         aisles=raw_aisles(part),
         departments=raw_departments(part),
         off_products_raw=feed_payloads(read_table(spark, sf_dir, "events")),
-        lines=lines,
     )

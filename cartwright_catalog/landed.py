@@ -1,8 +1,8 @@
-"""The landed raw layer (A6): raw tables as Parquet under the shared folder.
+"""The landed raw layer: raw tables as Parquet under the shared folder.
 
-In production the raw layer is whatever the loaders wrote. For tests and
-benchmarks it is derived once per session from the driver tables (see
-:mod:`cartwright.sources.testdata`) and written in the production layout:
+In production the raw layer is whatever the loaders wrote. Here it is derived
+once per session from the driver tables (see
+:mod:`cartwright_catalog.driver_tables`) and written in the production layout:
 wave tables partitioned by ``order_number``, the feed table append-only.
 Every model query then reads these tables, so their work grows with the data.
 """
@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from cartwright import contracts
-from cartwright.session import scratch_dir
+from cartwright.session import remove, scratch_dir
 from cartwright.sinks.loads import read_waves, write_waves
-from cartwright.sources.testdata import RawLayer, raw_layer
+from cartwright.raw import RawLayer
+from cartwright_catalog.driver_tables import raw_layer, raw_order_lines, raw_orders, read_table
 
 _LANDED: dict[tuple[str, str], tuple[str, RawLayer]] = {}
 
@@ -22,14 +23,16 @@ _LANDED: dict[tuple[str, str], tuple[str, RawLayer]] = {}
 def land_raw_layer(spark: SparkSession, sf_dir: str, root: str | None = None) -> tuple[str, RawLayer]:
     """Write the raw layer derived from ``sf_dir``; return (root, layer read back)."""
     root = root or scratch_dir(spark, "raw")
-    raw = raw_layer(spark, sf_dir)
-    write_waves(raw.orders, f"{root}/orders")
-    raw.lines.persist()  # both line tables are cut from one computation
-    try:
-        for name in contracts.LINE_TABLES:
-            write_waves(raw.table(name), f"{root}/{name}")
-    finally:
-        raw.lines.unpersist()
+    orders = raw_orders(read_table(spark, sf_dir, "orders"))
+    write_waves(orders, f"{root}/orders")
+    orders = read_waves(spark, f"{root}/orders", contracts.table("orders"))
+    # both line tables are cut from one written computation
+    lines = raw_order_lines(read_table(spark, sf_dir, "lineitem"), orders)
+    lines.write.mode("overwrite").parquet(f"{root}/.lines")
+    raw = raw_layer(spark, sf_dir, spark.read.schema(lines.schema).parquet(f"{root}/.lines"))
+    for name in contracts.LINE_TABLES:
+        write_waves(raw.table(name), f"{root}/{name}")
+    remove(spark, f"{root}/.lines")
     for c in contracts.FULL_TABLES:
         raw.table(c.name).write.mode("overwrite").parquet(f"{root}/{c.name}")
     raw.off_products_raw.write.mode("overwrite").parquet(f"{root}/off_products_raw")
@@ -41,7 +44,7 @@ def read_raw_layer(spark: SparkSession, root: str) -> RawLayer:
     for c in contracts.FULL_TABLES:
         tables[c.name] = spark.read.schema(c.schema()).parquet(f"{root}/{c.name}")
     tables["off_products_raw"] = spark.read.parquet(f"{root}/off_products_raw")
-    return RawLayer(**tables, lines=None)
+    return RawLayer(**tables)
 
 
 def landed_raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:

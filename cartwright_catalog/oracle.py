@@ -1,9 +1,8 @@
 """DuckDB oracle SQL for every query in the catalog.
 
 Only the driver tables are registered in DuckDB, so each statement starts
-with the raw-layer adapter (FIXTURES §3) and the staging / intermediate
-models written as CTEs, then selects the query's result with the same column
-names and types as the Spark side.
+with the raw-layer adapter (FIXTURES §3) and the models as CTEs, then selects the
+query's result with the same column names and types as the Spark side.
 """
 
 from __future__ import annotations
@@ -12,11 +11,10 @@ from cartwright import fixed
 
 
 def _rr(num: str, den: str, digits: int) -> str:
-    """Exact half-up round(num / den, digits) on integers; NULL when den is 0."""
-    scale = 10 ** digits
-    a = f"(CAST({num} AS BIGINT) * {2 * scale} + CAST({den} AS BIGINT))"
-    b = f"(nullif(CAST({den} AS BIGINT), 0) * 2)"
-    return f"(CAST({a} // {b} AS BIGINT) / {float(scale)})"
+    """DuckDB's own ``round`` over DECIMAL; NULL when den is 0. The quotient is cut
+    to 12 decimals, which no tie at ``digits`` decimals can cross."""
+    cut = f"CAST(CAST({num} AS HUGEINT) * 1000000000000 // nullif(CAST({den} AS HUGEINT), 0) AS DECIMAL(26,0))"
+    return f"CAST(round(CAST({cut} * CAST('0.000000000001' AS DECIMAL(12,12)) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
 def _sk(*cols: str) -> str:
@@ -86,95 +84,91 @@ raw_off AS (
 )"""
 
 STAGING = f"""
-stg_aisles AS (SELECT aisle_id, aisle AS aisle_name FROM raw_aisles),
-stg_departments AS (SELECT department_id, department AS department_name FROM raw_departments),
-stg_products AS (SELECT product_id, product_name, aisle_id, department_id FROM raw_products),
+stg_aisles AS (FROM raw_aisles SELECT aisle_id, aisle AS aisle_name),
+stg_departments AS (FROM raw_departments SELECT department_id, department AS department_name),
+stg_products AS (FROM raw_products SELECT product_id, product_name, aisle_id, department_id),
 stg_orders AS (
-  SELECT order_id, user_id, eval_set, order_number, order_dow AS order_day_of_week, order_hour_of_day,
-         CAST(days_since_prior_order AS DOUBLE) AS days_since_prior_order
-  FROM raw_orders WHERE eval_set IN ('prior', 'train')
+  FROM raw_orders
+  SELECT * EXCLUDE (order_dow) REPLACE (CAST(days_since_prior_order AS DOUBLE) AS days_since_prior_order),
+         order_dow AS order_day_of_week
+  WHERE eval_set <> 'test'
 ),
 stg_order_products AS (
-  SELECT order_id, product_id, add_to_cart_order, reordered, order_number, 'prior' AS source
-  FROM raw_order_products_prior
-  UNION ALL
-  SELECT order_id, product_id, add_to_cart_order, reordered, order_number, 'train' AS source
-  FROM raw_order_products_train
+  FROM raw_lines SELECT * EXCLUDE (eval_set), eval_set AS source WHERE eval_set <> 'test'
 ),
 off_parsed AS (
+  FROM raw_off
   SELECT code AS product_code, product_name, brands, categories_tags, energy_kcal_100g,
          CAST(NULL AS DOUBLE) AS sugars_100g, fat_100g, CAST(NULL AS DOUBLE) AS proteins_100g,
          CAST(NULL AS DOUBLE) AS salt_100g, last_modified_t,
          make_timestamp(last_modified_t * 1000000) AS last_modified_at, event_id
-  FROM raw_off WHERE coalesce(code, '') <> ''
+  WHERE length(code) > 0
+),
+off_newest AS (
+  FROM off_parsed SELECT product_code, max((last_modified_t, event_id)) AS newest GROUP BY product_code
 ),
 stg_off_products AS (
-  SELECT * EXCLUDE (event_id) FROM off_parsed
-  QUALIFY row_number() OVER (PARTITION BY product_code ORDER BY last_modified_t DESC NULLS FIRST,
-                                                               event_id DESC) = 1
+  SELECT p.* EXCLUDE (event_id) FROM off_parsed p JOIN off_newest n
+  ON n.product_code = p.product_code AND n.newest = (p.last_modified_t, p.event_id)
 ),
 int_order_metrics AS (
-  SELECT order_id, count(*) AS basket_size, CAST(sum(reordered) AS BIGINT) AS num_reordered,
-         {_rr('sum(reordered)', 'count(reordered)', 4)} AS reorder_ratio
-  FROM stg_order_products GROUP BY order_id
+  FROM stg_order_products
+  SELECT order_id, count(*) AS basket_size, count(*) FILTER (reordered = 1) AS num_reordered,
+         {_rr('count(*) FILTER (reordered = 1)', 'count(*)', 4)} AS reorder_ratio
+  GROUP BY order_id
+),
+user_totals AS (
+  FROM raw_orders b LEFT JOIN int_order_metrics m USING (order_id)
+  SELECT user_id, count(*) AS orders, count(basket_size) AS baskets, sum(basket_size) AS items,
+         sum(num_reordered) AS again, sum(days_since_prior_order) AS days, count(days_since_prior_order) AS gaps
+  WHERE eval_set <> 'test' GROUP BY user_id
 ),
 int_user_metrics AS (
-  SELECT o.user_id, count(DISTINCT o.order_id) AS total_orders,
-         {_rr('sum(o.days_since_prior_order)', 'count(o.days_since_prior_order)', 2)} AS avg_days_between_orders,
-         CAST(sum(om.basket_size) AS BIGINT) AS total_items_purchased,
-         {_rr('sum(om.basket_size)', 'count(om.basket_size)', 2)} AS avg_basket_size,
-         {_rr('sum(om.num_reordered)', 'sum(om.basket_size)', 4)} AS reorder_ratio
-  FROM stg_orders o LEFT JOIN int_order_metrics om ON o.order_id = om.order_id
-  GROUP BY o.user_id
+  FROM user_totals
+  SELECT user_id, orders AS total_orders, {_rr('days', 'gaps', 2)} AS avg_days_between_orders,
+         CAST(items AS BIGINT) AS total_items_purchased, {_rr('items', 'baskets', 2)} AS avg_basket_size,
+         {_rr('again', 'items', 4)} AS reorder_ratio
 )"""
 
+_DAYS = ", ".join(f"'{d}'" for d in fixed.DAY_NAMES)
+_PARTS = " ".join(f"WHEN hour >= {lo} AND hour <= {hi} THEN '{name}'" for name, lo, hi in fixed.DAY_PARTS)
+_WEEKEND = ", ".join(map(str, fixed.WEEKEND_DAYS))
+
 MARTS = f"""
 dim_product AS (
-  SELECT {_sk('p.product_id')} AS product_key, p.product_id, p.product_name, p.aisle_id, a.aisle_name,
-         p.department_id, d.department_name
-  FROM stg_products p
-  LEFT JOIN stg_aisles a ON p.aisle_id = a.aisle_id
-  LEFT JOIN stg_departments d ON p.department_id = d.department_id
-),
-dim_user AS (
-  SELECT {_sk('user_id')} AS user_key, user_id, total_orders, avg_days_between_orders, total_items_purchased,
-         avg_basket_size, reorder_ratio
-  FROM int_user_metrics
+  SELECT {_sk('product_id')} AS product_key, *,
+         (SELECT any_value(aisle) FROM raw_aisles x WHERE x.aisle_id = y.aisle_id) AS aisle_name,
+         (SELECT any_value(department) FROM raw_departments x WHERE x.department_id = y.department_id)
+           AS department_name
+  FROM raw_products y
 ),
-spine AS (
-  SELECT CAST(d.range AS INTEGER) AS order_day_of_week, CAST(h.range AS INTEGER) AS order_hour_of_day
-  FROM range(7) d CROSS JOIN range(24) h
+dim_user AS (FROM int_user_metrics SELECT {_sk('user_id')} AS user_key, *),
+hours AS (
+  SELECT CAST(i // {fixed.HOURS_PER_DAY} AS INTEGER) AS day, CAST(i % {fixed.HOURS_PER_DAY} AS INTEGER) AS hour
+  FROM range({fixed.DAYS_PER_WEEK * fixed.HOURS_PER_DAY}) t(i)
 ),
 dim_time AS (
-  SELECT {_sk('order_day_of_week', 'order_hour_of_day')} AS time_key, order_day_of_week,
-         CASE order_day_of_week WHEN 0 THEN 'Saturday' WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday'
-              WHEN 3 THEN 'Tuesday' WHEN 4 THEN 'Wednesday' WHEN 5 THEN 'Thursday' WHEN 6 THEN 'Friday' END
-           AS day_name,
-         (order_day_of_week IN (0, 1)) AS is_weekend,
-         order_hour_of_day,
-         CASE WHEN order_hour_of_day BETWEEN 5 AND 11 THEN 'Morning'
-              WHEN order_hour_of_day BETWEEN 12 AND 16 THEN 'Afternoon'
-              WHEN order_hour_of_day BETWEEN 17 AND 20 THEN 'Evening'
-              ELSE 'Night' END AS day_part
-  FROM spine
+  FROM hours
+  SELECT {_sk('day', 'hour')} AS time_key, day AS order_day_of_week, [{_DAYS}][day + 1] AS day_name,
+         list_contains([{_WEEKEND}], day) AS is_weekend, hour AS order_hour_of_day,
+         CASE {_PARTS} ELSE '{fixed.DAY_PART_OTHER}' END AS day_part
 ),
 dim_food_product AS (
-  SELECT {_sk('product_code')} AS food_product_key, product_code, product_name, brands, energy_kcal_100g,
-         sugars_100g, fat_100g, proteins_100g, salt_100g, last_modified_at
   FROM stg_off_products
+  SELECT {_sk('product_code')} AS food_product_key, * EXCLUDE (categories_tags, last_modified_t)
+),
+keyed_orders AS (
+  FROM raw_orders
+  SELECT *, {_sk('user_id')} AS user_key, {_sk('order_dow', 'order_hour_of_day')} AS time_key WHERE eval_set <> 'test'
 ),
 fact_orders AS (
-  SELECT o.order_id, {_sk('o.user_id')} AS user_key,
-         {_sk('o.order_day_of_week', 'o.order_hour_of_day')} AS time_key,
-         o.order_number, o.eval_set, o.days_since_prior_order, om.basket_size, om.num_reordered,
-         om.reorder_ratio
-  FROM stg_orders o LEFT JOIN int_order_metrics om ON o.order_id = om.order_id
+  SELECT k.order_id, k.user_key, k.time_key, k.order_number, k.eval_set,
+         CAST(k.days_since_prior_order AS DOUBLE) AS days_since_prior_order, m.* EXCLUDE (order_id)
+  FROM keyed_orders k LEFT JOIN int_order_metrics m USING (order_id)
 ),
 fact_order_items AS (
-  SELECT op.order_id, op.product_id, op.order_number, op.add_to_cart_order, op.reordered, op.source,
-         {_sk('op.product_id')} AS product_key, {_sk('o.user_id')} AS user_key,
-         {_sk('o.order_day_of_week', 'o.order_hour_of_day')} AS time_key
-  FROM stg_order_products op JOIN stg_orders o ON op.order_id = o.order_id
+  SELECT l.* EXCLUDE (eval_set), l.eval_set AS source, {_sk('l.product_id')} AS product_key, k.user_key, k.time_key
+  FROM raw_lines l JOIN keyed_orders k USING (order_id)
 )"""
 
 PREFIX = "WITH " + RAW.strip() + ",\n" + STAGING.strip() + ",\n" + MARTS.strip() + "\n"
@@ -193,7 +187,7 @@ def dq_select(test) -> str:
     if test.kind == "not_null":
         body = f"SELECT count(*) AS n FROM {test.model} WHERE {col} IS NULL"
     elif test.kind == "accepted_values":
-        vals = ", ".join(str(v) for v in test.values)
+        vals = ", ".join(repr(v) for v in test.values)
         body = f"SELECT count(DISTINCT {col}) AS n FROM {test.model} WHERE {col} NOT IN ({vals})"
     elif test.kind == "unique":
         body = (f"SELECT count(*) AS n FROM (SELECT {col} FROM {test.model} WHERE {col} IS NOT NULL "
@@ -226,7 +220,43 @@ FEED_ROWS = with_models("""
 SELECT code AS product_code, product_name, brands, energy_kcal_100g, fat_100g, last_modified_t FROM raw_off
 """)
 
+CORRECTED = """
+SELECT * REPLACE (CAST(CASE WHEN order_number = 5 AND product_id % 4 = 0 THEN 6 ELSE order_number END AS INTEGER)
+                  AS order_number)
+FROM fact_order_items
+WHERE NOT (order_number IN (2, 3) AND product_id % 3 = 0) AND order_number <> 4"""
+
+VIEW_SUMS = " UNION ALL ".join(
+    f"SELECT '{v}' AS view_name, count(*) AS n_rows, CAST(CAST(sum({k}) AS HUGEINT) AS VARCHAR) AS checksum FROM {v}"
+    for v, k in (("stg_aisles", "aisle_id"), ("stg_departments", "department_id"), ("stg_products", "product_id"),
+                 ("stg_orders", "order_id"), ("stg_order_products", "order_id * product_id"),
+                 ("stg_off_products", "last_modified_t"),
+                 ("int_user_metrics", "CAST(round(reorder_ratio * 10000) AS BIGINT) + total_items_purchased")))
+
 SCENARIOS = {
+    "fact_order_items_corrected_wave": with_models(CORRECTED),
+    "fact_order_items_rebuilt": with_models("""
+SELECT * REPLACE (CAST(CASE WHEN order_number = 2 AND source = 'prior' THEN 1 ELSE reordered END AS INTEGER) AS reordered)
+FROM fact_order_items"""),
+    "reload_after_failed_load": with_models("SELECT * FROM raw_products"),
+    "wave_after_failed_load": WAVE_COUNTS,
+    "stg_off_products_ingested": with_models(
+        "SELECT * REPLACE (to_json(categories_tags)::VARCHAR AS categories_tags) FROM stg_off_products"),
+    "feed_uncapped_pull": with_models(
+        "SELECT code AS product_code, last_modified_t, event_id AS feed_pos FROM raw_off WHERE last_modified_t > 0"),
+    "csv_wave_load": with_models("SELECT * FROM stg_order_products"),
+    "csv_text_roundtrip": """
+SELECT CAST(p_partkey AS INTEGER) AS aisle_id,
+       CASE p_partkey % 5 WHEN 0 THEN '  ' || p_name || chr(9) || ' '
+                          WHEN 1 THEN '"' || p_name || '", "' || p_brand || '"'
+                          WHEN 2 THEN p_name || chr(10) || p_type || chr(10) || chr(10) || ','
+                          WHEN 3 THEN '\\' || p_name || '\\"\\' END AS aisle
+FROM part""",
+    "orphan_line_count": with_models("""
+SELECT count(*) AS n_orphans FROM lineitem WHERE l_orderkey NOT IN (SELECT order_id FROM fact_orders)"""),
+    "orders_by_day_part": with_models("""
+SELECT day_name, is_weekend, day_part, count(*) AS n_orders FROM fact_orders JOIN dim_time USING (time_key) GROUP BY ALL"""),
+    "staging_sql_views": with_models(VIEW_SUMS),
     "wave_split_counts": WAVE_COUNTS,
     "wave_reload_idempotent": WAVE_COUNTS,
     "full_refresh": with_models("SELECT * FROM raw_products"),

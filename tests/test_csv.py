@@ -23,3 +23,26 @@ def test_csv_bad_record_aborts(spark, scratch):
         fh.write("id,name,days\nx,y,z\n")
     with pytest.raises(Exception):
         read_contract_csv(spark, path, EDGE).collect()
+
+
+def test_texts_come_back_as_they_were(spark, scratch):
+    """blanks around, quotes, separators, backslashes and line breaks."""
+    from dataclasses import replace
+
+    from cartwright.sources.csv import write_contract_csv
+    c = replace(EDGE, multi_line=True)
+    texts = ["  padded  ", "\ttab\t", 'a "quoted", b', "two\nlines", "\n", "back\\slash\\", '\\"', "'", "ü ✓", " "]
+    rows = [(i, t, None) for i, t in enumerate(texts)] + [(99, None, None)]
+    write_contract_csv(spark.createDataFrame(rows, c.schema()), f"{scratch}/t", c)
+    got = {r.id: r.name for r in read_contract_csv(spark, f"{scratch}/t", c).collect()}
+    assert got == {i: t for i, t, _ in rows}
+
+
+def test_quoted_line_break_needs_the_contract_option(spark, scratch):
+    from dataclasses import replace
+    path = f"{scratch}/nl.csv"
+    with open(path, "w") as fh:
+        fh.write('id,name,days\n1,"one\ntwo",3\n')
+    assert read_contract_csv(spark, path, replace(EDGE, multi_line=True)).first().name == "one\ntwo"
+    with pytest.raises(Exception):
+        read_contract_csv(spark, path, EDGE).collect()

@@ -1,5 +1,4 @@
-"""Filter + newest-first order + cap equals paging until the first stale
-row, on random feeds (brute-force spec of the paging loop)."""
+"""A8/G2/G3 stated as properties of what is kept, on random feeds."""
 import json
 
 from hypothesis import HealthCheck, given, settings
@@ -9,37 +8,25 @@ from pyspark.sql import functions as F
 from cartwright.contracts import FeedContract
 from cartwright.sources import feed as feed_src
 
-
-def paged_spec(rows, watermark, page_size, max_pages):
-    """Walk newest-first pages; keep rows above the watermark; stop after the
-    first page holding a stale row, an empty page, or max_pages pages."""
-    out = []
-    for page in range(max_pages):
-        chunk = rows[page * page_size:(page + 1) * page_size]
-        if not chunk:
-            break
-        fresh = [r for r in chunk if int(r.get("last_modified_t") or 0) > watermark]
-        out.extend(fresh)
-        if len(fresh) < len(chunk):
-            break
-    return [r["code"] for r in out]
-
-
 feeds = st.lists(st.one_of(st.integers(min_value=1, max_value=60), st.none()), max_size=40)
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(ts=feeds, wm=st.integers(min_value=0, max_value=60), page_size=st.integers(1, 5),
-       max_pages=st.integers(1, 4))
-def test_extract_equals_paging(spark, ts, wm, page_size, max_pages):
-    rows = [{"code": f"c{i}", "last_modified_t": t} for i, t in enumerate(ts)]
-    # the feed as served: newest first, ties by position descending, missing last
-    served = sorted(enumerate(rows), key=lambda ir: (-(ir[1]["last_modified_t"] or 0), -ir[0]))
-    want = paged_spec([r for _, r in served], wm, page_size, max_pages)
-    df = spark.createDataFrame([(json.dumps(r), i) for i, r in enumerate(rows)] or [("{}", -1)],
-                               "j string, pos long").where("pos >= 0")
-    feed = df.select(F.parse_json("j").alias("payload"), F.col("pos").alias("_source_pos"))
-    got = feed_src.extract(feed, wm, FeedContract(page_size=page_size, max_pages=max_pages),
-                           tie_breaks=["_source_pos"])
-    codes = [r.c for r in got.select(F.variant_get("payload", "$.code", "string").alias("c")).collect()]
-    assert codes == want
+@given(ts=feeds, wm=st.integers(min_value=0, max_value=60), page_size=st.integers(1, 5), max_pages=st.integers(1, 4))
+def test_what_a_pull_keeps(spark, ts, wm, page_size, max_pages):
+    df = spark.createDataFrame([(json.dumps({"last_modified_t": t}), i) for i, t in enumerate(ts)], "j string, seq long")
+    feed = df.select(F.parse_json("j").alias("payload"), F.col("seq").alias("feed_seq"))
+    contract = FeedContract(page_size=page_size, max_pages=max_pages)
+    time = {i: t or 0 for i, t in enumerate(ts)}
+
+    def kept(**how):
+        return [r.feed_seq for r in feed_src.extract(feed, wm, contract, tie_breaks=["feed_seq"], **how).collect()]
+
+    everything, capped = kept(), kept(capped=True)
+    fresh = {i for i, t in time.items() if t > wm}
+    # all rows above the mark and no others, newest first, the later of two in a second first
+    assert set(everything) == fresh and len(everything) == len(fresh)
+    assert all((time[a], a) > (time[b], b) for a, b in zip(everything, everything[1:]))
+    # the cap takes the front of that order: no row kept is older than a fresh one left
+    assert capped == everything[:page_size * max_pages]
+    assert feed_src.left_behind(feed, wm, contract) == len(everything) - len(capped)

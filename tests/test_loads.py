@@ -25,9 +25,9 @@ def _o(oid, wave):
 def test_full_load_replaces_previous_content(spark, scratch):
     c = contracts.table("aisles")
     load_full(spark.createDataFrame([(9, "old")], c.schema()), c, f"{scratch}/aisles")
-    load_full(spark.createDataFrame([(1, "fresh"), (2, "bakery")], c.schema()), c, f"{scratch}/aisles")
+    load_full(spark.createDataFrame([(1, "spices"), (2, "pickles")], c.schema()), c, f"{scratch}/aisles")
     got = sorted(tuple(r) for r in spark.read.parquet(f"{scratch}/aisles").select("aisle_id", "aisle").collect())
-    assert got == [(1, "fresh"), (2, "bakery")]
+    assert got == [(1, "spices"), (2, "pickles")]
     assert "_loaded_at" in spark.read.parquet(f"{scratch}/aisles").columns
 
 
@@ -106,9 +106,9 @@ def test_create_raw_table_if_not_exists(spark, scratch):
     create_raw_table(spark, db, c, f"{scratch}/aisles")  # second call is a no-op
     cols = [f.name for f in spark.table(f"{db}.aisles").schema.fields]
     assert cols == ["aisle_id", "aisle", "_loaded_at"]
-    spark.sql(f"INSERT INTO {db}.aisles (aisle_id, aisle) VALUES (1, 'bakery')")
+    spark.sql(f"INSERT INTO {db}.aisles (aisle_id, aisle) VALUES (1, 'pickles')")
     row = spark.table(f"{db}.aisles").first()
-    assert row.aisle == "bakery" and row._loaded_at is not None
+    assert row.aisle == "pickles" and row._loaded_at is not None
     w = contracts.table("orders")
     create_raw_table(spark, db, w, f"{scratch}/orders")
     parts = [r.col_name for r in spark.sql(f"DESCRIBE {db}.orders").collect()]
@@ -121,13 +121,84 @@ def test_wave_label_column(spark):
     assert [r.l for r in df.select(wave_label("w").alias("l")).collect()] == ["007", "001", "010", "1234"]
 
 
-def test_wave_of_table_never_landed_reads_empty(spark, scratch):
+def test_a_missing_landing_is_an_error_and_empties_nothing(spark, scratch):
+    """a mistyped path must not pass for empty waves."""
+    from cartwright.plans.pipelines import Warehouse, run_wave
     from cartwright.sinks.loads import read_wave
-    assert read_wave(spark, f"{scratch}/nothing", ORD, 3).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_wave(spark, f"{scratch}/nothing", ORD, 3)
+    wh = Warehouse(f"{scratch}/wh")
+    load_waves(spark, _orders(spark, [_o(1, 3)]), ORD, [3], wh.raw("orders"))
+    with pytest.raises(FileNotFoundError):
+        ingest(spark, f"{scratch}/nothing", f"{wh.root}/raw", wave=3)
+    with pytest.raises(FileNotFoundError):
+        run_wave(spark, wh, f"{scratch}/nothing", [3])
+    assert read_loaded_wave_table(spark, wh.raw("orders"), ORD).count() == 1
+
+
+def _bad(spark, wave=3):
+    """Orders of which one cannot be written."""
+    from pyspark.sql import functions as F
+    rows = _orders(spark, [_o(i, wave) for i in range(50)])
+    return rows.withColumn("user_id", F.when(F.col("order_id") == 49, F.raise_error(F.lit("bad record")).cast("long"))
+                           .otherwise(F.col("user_id")))
+
+
+def test_failed_loads_leave_the_table(spark, scratch):
+    """nothing old is touched before the new content is complete."""
     target = f"{scratch}/orders"
-    load_waves(spark, _orders(spark, [_o(1, 3)]), ORD, [3], target)
-    done = ingest(spark, f"{scratch}/nothing", f"{scratch}", wave=3)
-    assert done and read_loaded_wave_table(spark, target, ORD).count() == 0
+    load_waves(spark, _orders(spark, [_o(1, 1), _o(3, 3)]), ORD, [1, 3], target)
+    for load in (lambda: load_wave(spark, _bad(spark), ORD, 3, target),
+                 lambda: load_waves(spark, _bad(spark), ORD, [1, 3], target)):
+        with pytest.raises(Exception, match="bad record"):
+            load()
+        got = sorted((r.order_id, r.order_number) for r in read_loaded_wave_table(spark, target, ORD).collect())
+        assert got == [(1, 1), (3, 3)]
+    c = contracts.table("aisles")
+    load_full(spark.createDataFrame([(9, "kept")], c.schema()), c, f"{scratch}/aisles")
+    bad = spark.range(100).select(F.col("id").cast("int").alias("aisle_id"), F.when(
+        F.col("id") == 99, F.raise_error(F.lit("bad record"))).otherwise(F.lit("x")).alias("aisle"))
+    with pytest.raises(Exception, match="bad record"):
+        load_full(bad, c, f"{scratch}/aisles")
+    assert [r.aisle for r in spark.read.parquet(f"{scratch}/aisles").collect()] == ["kept"]
+    assert not [n for n in os.listdir(scratch) if n.startswith((".new", ".old"))]
+
+
+def test_csv_waves_load_by_contract(spark, scratch):
+    """Files as the source lands them: one per wave, some waves without lines."""
+    from cartwright.sources.csv import csv_waves, read_csv_waves, write_csv_waves
+    landing = f"{scratch}/landing"
+    os.makedirs(f"{landing}/orders")
+    head = "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
+    for wave, rows in ((1, "11,5,prior,1,0,7,\n12,6,train,1,3,23,\n"), (2, "13,5,train,2,4,9,8.0\n")):
+        with open(f"{landing}/orders/orders_{wave:03d}.csv", "w") as fh:
+            fh.write(head + rows)
+    for t in contracts.LINE_TABLES:
+        os.makedirs(f"{landing}/{t}")
+    with open(f"{landing}/order_products_prior/order_products_prior_001.csv", "w") as fh:
+        fh.write("order_id,product_id,add_to_cart_order,reordered,order_number\n11,70,1,0,1\n")
+    assert sorted(csv_waves(spark, f"{landing}/orders", ORD)) == [1, 2]
+    assert read_csv_waves(spark, f"{landing}/orders", ORD, [2, 9]).count() == 1
+    target = f"{scratch}/raw"
+    ingest(spark, landing, target, wave=1)
+    ingest(spark, landing, target, wave=2)
+    got = sorted((r.order_id, r.order_number) for r in read_loaded_wave_table(spark, f"{target}/orders", ORD).collect())
+    assert got == [(11, 1), (12, 1), (13, 2)]
+    prior = contracts.table("order_products_prior")
+    assert read_loaded_wave_table(spark, f"{target}/order_products_prior", prior).count() == 1
+    back = f"{scratch}/back"
+    write_csv_waves(read_csv_waves(spark, f"{landing}/orders", ORD), back, ORD)
+    write_csv_waves(read_csv_waves(spark, f"{landing}/orders", ORD, [2]), back, ORD)  # replaces wave 2 only
+    assert sorted(os.listdir(back)) == ["orders_001.csv", "orders_002.csv"]
+    assert sorted(read_csv_waves(spark, back, ORD).collect()) == sorted(read_csv_waves(spark, f"{landing}/orders", ORD).collect())
+
+
+def test_setup_mode_creates_all_raw_tables(spark, scratch):
+    db = "cw_setup_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/{db}.db'")
+    assert len(ingest(spark, scratch, f"{scratch}/raw", setup=db)) == len(contracts.TABLES)
+    assert {t.name for t in spark.catalog.listTables(db)} >= {c.name for c in contracts.TABLES}
+    ingest(spark, scratch, f"{scratch}/raw", setup=db)  # again: a no-op
 
 
 def test_feed_landing_layout(spark, scratch):
@@ -184,7 +255,7 @@ def test_land_one_wave(spark, scratch):
 def test_ingest_full_reads_landed_csv(spark, scratch):
     from cartwright.sources.csv import write_contract_csv
     landing, target = f"{scratch}/landing", f"{scratch}/raw"
-    rows = {"aisles": [(1, "bakery")], "departments": [(2, "frozen")], "products": [(3, 'a "b", c', 1, 2)]}
+    rows = {"aisles": [(1, "pickles")], "departments": [(2, "frozen")], "products": [(3, 'a "b", c', 1, 2)]}
     for name, data in rows.items():
         c = contracts.table(name)
         write_contract_csv(spark.createDataFrame(data, c.schema()), f"{landing}/{name}", c)

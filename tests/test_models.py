@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from cartwright.functions.keys import surrogate_key
 from cartwright.plans import marts
 from cartwright.plans.models import Models
-from cartwright.sources.raw import landed_raw_layer
+from cartwright_catalog.landed import landed_raw_layer
 from conftest import SF_SMALL
 
 

@@ -82,7 +82,7 @@ def test_explicit_wave_replacement_reaches_old_waves(spark):
     from cartwright.plans.pipelines import Warehouse, read_raw, refresh_fact_order_items
     from cartwright.session import scratch_dir
     from cartwright.sinks.loads import load_full, load_wave, load_waves, read_waves
-    from cartwright.sources.raw import landed_raw_layer, landed_raw_root
+    from cartwright_catalog.landed import landed_raw_layer, landed_raw_root
 
     raw = landed_raw_layer(spark, SF_SMALL)
     root = landed_raw_root(spark, SF_SMALL)
@@ -109,7 +109,7 @@ def test_explicit_wave_replacement_reaches_old_waves(spark):
 def test_layers_registered_for_sql(spark):
     from conftest import SF_SMALL
 
-    from cartwright.plans.scenarios import _catalog_prefix
+    from cartwright_catalog.scenarios import _catalog_prefix
     p = _catalog_prefix(spark, SF_SMALL)
     n = spark.sql(f"SELECT count(*) FROM {p}marts.fact_order_items").first()[0]
     assert n > 0
@@ -128,7 +128,7 @@ def test_gate_stops_a_wave_run_on_orphan_products(spark):
     from cartwright.plans.pipelines import Warehouse, run_wave
     from cartwright.session import scratch_dir
     from cartwright.sinks.loads import load_full
-    from cartwright.sources.raw import landed_raw_layer, landed_raw_root
+    from cartwright_catalog.landed import landed_raw_layer, landed_raw_root
 
     raw = landed_raw_layer(spark, SF_SMALL)
     root = landed_raw_root(spark, SF_SMALL)

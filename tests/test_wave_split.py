@@ -8,12 +8,12 @@ from cartwright.sinks.loads import read_waves, split_waves
 from decimal import Decimal
 
 ORDERS = [
-    (101, 7, "prior", 1, 2, 9, None),
-    (102, 7, "train", 2, 3, 14, Decimal(8)),
-    (201, 8, "prior", 1, 6, 20, None),
+    (31, 4, "prior", 1, 5, 6, None),
+    (47, 4, "train", 2, 0, 19, Decimal(13)),
+    (52, 3, "prior", 1, 1, 12, None),
 ]
-PRIOR = [(101, 555, 1, 0), (101, 556, 2, 0), (201, 555, 1, 0)]
-TRAIN = [(102, 555, 1, 1)]
+PRIOR = [(31, 8, 1, 0), (31, 9, 2, 0), (52, 8, 1, 0)]
+TRAIN = [(47, 8, 1, 1)]
 LINE_COLS = "order_id long, product_id int, add_to_cart_order int, reordered int"
 
 
@@ -35,11 +35,11 @@ def test_split_orders_and_lines(spark, scratch):
     split_waves(orders, lines, scratch)
     o = contracts.table("orders")
     by_wave = {r.order_id: r.order_number for r in read_waves(spark, f"{scratch}/orders", o).collect()}
-    assert by_wave == {101: 1, 102: 2, 201: 1}
-    assert [r[0] for r in _wave(spark, scratch, "orders", 1)] == [101, 201]
-    assert [r[0] for r in _wave(spark, scratch, "orders", 2)] == [102]
-    assert _wave(spark, scratch, "order_products_prior", 1) == [(101, 555, 1, 0, 1), (101, 556, 2, 0, 1),
-                                                               (201, 555, 1, 0, 1)]
+    assert by_wave == {31: 1, 47: 2, 52: 1}
+    assert [r[0] for r in _wave(spark, scratch, "orders", 1)] == [31, 52]
+    assert [r[0] for r in _wave(spark, scratch, "orders", 2)] == [47]
+    assert _wave(spark, scratch, "order_products_prior", 1) == [(31, 8, 1, 0, 1), (31, 9, 2, 0, 1),
+                                                               (52, 8, 1, 0, 1)]
     # all prior lines belong to first orders: no wave-2 partition at all
     assert _wave(spark, scratch, "order_products_prior", 2) == []
     import os
@@ -52,12 +52,12 @@ def test_split_is_deterministic_on_rerun(spark, scratch):
     first = _wave(spark, scratch, "order_products_train", 2)
     split_waves(orders, lines, scratch)
     second = _wave(spark, scratch, "order_products_train", 2)
-    assert first == second == [(102, 555, 1, 1, 2)]
+    assert first == second == [(47, 8, 1, 1, 2)]
 
 
 def test_line_without_order_aborts(spark, scratch):
     orders, lines = _inputs(spark)
-    lines["order_products_train"] = spark.createDataFrame([(999, 1, 1, 0)], LINE_COLS)
+    lines["order_products_train"] = spark.createDataFrame([(66, 1, 1, 0)], LINE_COLS)
     with pytest.raises(Exception, match="no order_number"):
         split_waves(orders, lines, scratch)
 
