@@ -105,28 +105,31 @@ def fit(rows: pd.DataFrame, l1: float = 0.03, ridge: float = 1e-5, fairness: flo
         return np.zeros(size, np.float32), -30.0 if len(y) == 0 or y.max() == 0 else 30.0
     index, starts = unpack(rows["features"])
     length = np.diff(np.append(starts, len(index)))
-    row = np.repeat(np.arange(len(y)), length)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), length)
     pair, feature, sign = _pairs(rows["terms"].tolist(), Hasher(BITS))
     n_pairs = int(pair[-1]) + 1 if len(pair) else 1
     # rare features carry nothing that transfers; the rest are renumbered
     seen = np.bincount(index, minlength=size)
     active = np.flatnonzero(seen >= 3)
+    common = seen[index] >= 3
+    index, row = index[common], row[common]
+    del common
     weights = np.zeros(size, np.float32)
     bias = 0.0
     share = y.mean()
     for penalty in (l1 / np.sqrt(len(y)), 0.0):
-        new = np.full(size, -1)
+        new = np.full(size, -1, np.int32)
         new[active] = np.arange(len(active))
-        col, on = new[index], new[index] >= 0
-        c, r = col[on], row[on]
+        c, r = new[index], row
+        if (c < 0).any():
+            c, r = c[c >= 0], r[c >= 0]
         pc, pon = new[feature], new[feature] >= 0
         f, p, s = pc[pon], pair[pon], sign[pon]
-        freq = seen[active] / len(y)
-        scale = 1 / np.sqrt(freq + 1e-3)  # rare features are as easy to move as common ones
+        scale = 1 / np.sqrt(seen[active] / len(y) + 1e-3)  # rare features are as easy to move as common ones
         w, z, b, zb, t = np.zeros(len(active)), np.zeros(len(active)), np.log(share / (1 - share)), 0.0, 1.0
         zb = b
         scale /= np.sqrt(max(1.0, len(r) / len(y)))
-        value, scaled = scale[c], s * scale[f]
+        value, scaled = scale[c].astype(np.float32), s * scale[f]
 
         def unfair(x: np.ndarray) -> np.ndarray | float:
             """Gradient of the mean squared change of the score over the pairs."""
