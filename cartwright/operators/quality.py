@@ -3,13 +3,14 @@
 A test is a query whose failing rows are counted; any failure stops the run.
 NULLs are ignored by ``unique``, ``relationships`` and ``accepted_values``.
 
-Plan shape: all ``not_null`` and ``accepted_values`` tests of one model fold
-into a single aggregate pass; the ``unique`` tests of one model share one
-scan and one hash aggregate on tagged values (partial aggregation absorbs a
-hot value); all ``relationships`` tests of one child
-model share one scan, pre-aggregate their tagged child keys, and run one anti
-join against the tagged parent keys. The gate runs everything as one job and
-brings back one row per test, never data rows.
+Plan shape: all single-column tests of one model share one scan and one shuffle.
+Its tested columns are tagged and counted per (column, value), with partial
+aggregation that absorbs a hot value; those counts answer ``not_null`` (rows of the
+NULL), ``unique`` (values counted more than once), ``accepted_values`` (values outside
+the list) and, after one join with the tagged keys of the parents, ``relationships``
+(rows of values without a parent). A column that is only tested for NULLs is
+counted in a plain aggregate instead. ``unique_combination`` is an aggregate of its own.
+The gate runs everything as one job and brings back one row per test, never data rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright import fixed
-from cartwright.operators.joins import orphan_count
 
 RESULT_COLUMNS = ["test_name", "kind", "model", "column_name", "n_failed"]
 
@@ -86,68 +86,51 @@ def _unpivot(wide: DataFrame, tests: list[DataTest]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def _row_level(tests: list[DataTest], df: DataFrame) -> DataFrame:
-    """not_null (failing rows) and accepted_values (distinct bad values) of one
-    model in one scan, unpivoted to one row per test."""
-    aggs = []
-    for i, t in enumerate(tests):
-        c = F.col(t.columns[0])
-        if t.kind == "not_null":
-            aggs.append(F.count_if(c.isNull()).alias(f"t{i}"))
-        else:
-            aggs.append(F.count_distinct(F.when(~c.isin(*t.values), c)).alias(f"t{i}"))
-    return _unpivot(df.agg(*aggs), tests)
+def _nulls(tests: list[DataTest], df: DataFrame) -> DataFrame:
+    """``not_null`` tests of one model on columns without another test."""
+    return _unpivot(df.agg(*[F.count_if(F.col(t.columns[0]).isNull()).alias(f"t{i}") for i, t in enumerate(tests)]), tests)
 
 
-def _unique(test: DataTest, df: DataFrame) -> DataFrame:
-    """Number of values (or value combinations) that occur more than once."""
-    cols = list(test.columns)
-    src = df.where(F.col(cols[0]).isNotNull()) if test.kind == "unique" else df
-    dupes = src.groupBy(*cols).count().where(F.col("count") > 1)
+def _combination(test: DataTest, df: DataFrame) -> DataFrame:
+    """Number of value combinations that occur more than once."""
+    dupes = df.groupBy(*test.columns).count().where(F.col("count") > 1)
     return dupes.agg(F.count(F.lit(1)).alias("n")).select(*_result(test, F.col("n")))
 
 
-def _uniques(tests: list[DataTest], df: DataFrame) -> DataFrame:
-    """All single-column ``unique`` tests of one model in one scan: values are
-    tagged by test, counted per (test, value) with partial aggregation, and the
-    duplicated values counted per test."""
-    if len(tests) == 1:
-        return _unique(tests[0], df)
-    types = {df.schema[t.columns[0]].dataType for t in tests}
+def _by_value(tests: list[DataTest], df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Single-column tests of one model from its counts per (column, value)."""
+    columns = sorted({t.columns[0] for t in tests})
+    parents_of = [t for t in tests if t.kind == "relationships"]
+    types = {df.schema[c].dataType for c in columns} | {tables[t.to_model].schema[t.to_column].dataType for t in parents_of}
 
-    def val(c):
+    def value(c):
         return c if len(types) == 1 else c.cast("string")
 
     tagged = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_t"), val(F.col(t.columns[0])).alias("_v")) for i, t in enumerate(tests)])))
-    dupes = (tagged.where(F.col("_v").isNotNull()).groupBy("_t", "_v").count().where(F.col("count") > 1))
-    wide = dupes.agg(*[F.count_if(F.col("_t") == i).alias(f"t{i}") for i in range(len(tests))])
-    return _unpivot(wide, tests)
-
-
-def _relationships(tests: list[DataTest], child: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """All relationship tests of one child model in one pass: the child is
-    scanned once, its keys tagged by test, pre-aggregated per (test, key), and
-    anti-joined once against the tagged parent keys."""
-    if len(tests) == 1:
-        t = tests[0]
-        res = orphan_count(child, tables[t.to_model], t.columns[0], t.to_column)
-        return res.select(*_result(t, F.col("n_orphans")))
-    types = {child.schema[t.columns[0]].dataType for t in tests}
-
-    def key(c):
-        return c if len(types) == 1 else c.cast("string")
-
-    tagged = child.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_t"), key(F.col(t.columns[0])).alias("_k")) for i, t in enumerate(tests)])))
-    per_key = tagged.where(F.col("_k").isNotNull()).groupBy("_t", "_k").agg(F.count(F.lit(1)).alias("_n"))
-    parents = reduce(DataFrame.unionByName, [
-        tables[t.to_model].select(F.lit(i).alias("_t"), key(F.col(t.to_column)).alias("_k"))
-        for i, t in enumerate(tests)])
-    missing = per_key.join(parents.where(F.col("_k").isNotNull()), ["_t", "_k"], "left_anti")
-    wide = missing.agg(*[F.coalesce(F.sum(F.when(F.col("_t") == i, F.col("_n"))), F.lit(0)).alias(f"t{i}")
-                         for i in range(len(tests))])
-    return _unpivot(wide, tests)
+        F.struct(F.lit(i).alias("_c"), value(F.col(c)).alias("_v")) for i, c in enumerate(columns)])))
+    counts = tagged.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    if parents_of:
+        keys = reduce(DataFrame.unionByName, [
+            tables[t.to_model].select(F.lit(columns.index(t.columns[0])).alias("_c"),
+                                      value(F.col(t.to_column)).alias("_v"), F.lit(i).alias("_p"))
+            for i, t in enumerate(parents_of)])
+        known = keys.where(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.collect_set("_p").alias("_parents"))
+        counts = counts.join(known, ["_c", "_v"], "left")
+    aggs = []
+    for i, t in enumerate(tests):
+        here = F.col("_c") == columns.index(t.columns[0])
+        given = here & F.col("_v").isNotNull()
+        if t.kind == "not_null":
+            n = F.sum(F.when(here & F.col("_v").isNull(), F.col("_n")))
+        elif t.kind == "unique":
+            n = F.count_if(given & (F.col("_n") > 1))
+        elif t.kind == "accepted_values":
+            n = F.count_if(given & ~F.col("_v").isin(*(t.values if len(types) == 1 else map(str, t.values))))
+        else:
+            has = F.coalesce(F.array_contains("_parents", parents_of.index(t)), F.lit(False))
+            n = F.sum(F.when(given & ~has, F.col("_n")))
+        aggs.append(F.coalesce(n, F.lit(0)).alias(f"t{i}"))
+    return _unpivot(counts.agg(*aggs), tests)
 
 
 def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, DataFrame]) -> DataFrame:
@@ -157,26 +140,18 @@ def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, Dat
     if missing:
         raise KeyError(f"models to test are missing: {', '.join(missing)}")
     parts: list[DataFrame] = []
-    row_level: dict[str, list[DataTest]] = {}
-    relationships: dict[str, list[DataTest]] = {}
-    uniques: dict[str, list[DataTest]] = {}
-    for t in tests:
-        if t.kind in ("not_null", "accepted_values"):
-            row_level.setdefault(t.model, []).append(t)
-        elif t.kind == "unique":
-            uniques.setdefault(t.model, []).append(t)
-        elif t.kind == "unique_combination":
-            parts.append(_unique(t, tables[t.model]))
-        elif t.kind == "relationships":
-            relationships.setdefault(t.model, []).append(t)
-        else:
-            raise ValueError(f"unknown test kind {t.kind}")
-    for model, ts in row_level.items():
-        parts.append(_row_level(ts, tables[model]))
-    for model, ts in uniques.items():
-        parts.append(_uniques(ts, tables[model]))
-    for model, ts in relationships.items():
-        parts.append(_relationships(ts, tables[model], tables))
+    for model in dict.fromkeys(t.model for t in tests):
+        own = [t for t in tests if t.model == model]
+        for t in own:
+            if t.kind not in ("not_null", "unique", "relationships", "accepted_values", "unique_combination"):
+                raise ValueError(f"unknown test kind {t.kind}")
+        parts += [_combination(t, tables[model]) for t in own if t.kind == "unique_combination"]
+        single = [t for t in own if t.kind != "unique_combination"]
+        grouped = {t.columns[0] for t in single if t.kind != "not_null"}
+        if nulls := [t for t in single if t.columns[0] not in grouped]:
+            parts.append(_nulls(nulls, tables[model]))
+        if valued := [t for t in single if t.columns[0] in grouped]:
+            parts.append(_by_value(valued, tables[model], tables))
     return reduce(DataFrame.unionByName, parts)
 
 
