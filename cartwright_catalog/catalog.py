@@ -79,6 +79,7 @@ QUERIES: dict[str, QueryFn] = {
     "stg_off_products_ingested": scenarios.stg_off_products_ingested,
     "feed_uncapped_pull": scenarios.feed_uncapped_pull,
     "csv_wave_load": scenarios.csv_wave_load,
+    "load_audit": scenarios.load_audit,
     "csv_text_roundtrip": scenarios.csv_text_roundtrip,
     "dq_failing_tests": scenarios.dq_failing_tests,
     "orphan_line_count": scenarios.orphan_line_count,

@@ -244,6 +244,9 @@ FROM fact_order_items"""),
         "SELECT * REPLACE (to_json(categories_tags)::VARCHAR AS categories_tags) FROM stg_off_products"),
     "feed_uncapped_pull": with_models(
         "SELECT code AS product_code, last_modified_t, event_id AS feed_pos FROM raw_off WHERE last_modified_t > 0"),
+    "load_audit": with_models(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(*) AS n_stamped FROM raw_{t}" for t in (
+            "aisles", "departments", "products", "orders", "order_products_prior", "order_products_train"))),
     "csv_wave_load": with_models("SELECT * FROM stg_order_products"),
     "csv_text_roundtrip": """
 SELECT CAST(p_partkey AS INTEGER) AS aisle_id,

@@ -26,7 +26,8 @@ from cartwright.plans.pipelines import (
 from cartwright.session import configure, scratch_dir
 from cartwright.sinks.feed_landing import land_json_arrays
 from cartwright.sinks.loads import (
-    ingest, load_full, load_wave, load_waves, partitions_of, read_loaded_wave_table, read_waves, split_waves, write_waves,
+    ingest, land_sources, load_full, load_wave, load_waves, partitions_of, read_loaded_wave_table, read_waves,
+    split_waves,
 )
 from cartwright.sources import feed as feed_src
 from cartwright.sources.csv import csv_waves, read_contract_csv, write_contract_csv, write_csv_waves
@@ -290,6 +291,28 @@ def fact_order_items_late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select(*FACT_ORDER_ITEMS_COLUMNS)
 
 
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources landed (reference tables as CSV, waves as
+    partitions), raw tables set up, everything loaded; rows, and rows that carry a load
+    time, of every raw table through the catalog."""
+    raw = _setup(spark, sf_dir)
+    landing = scratch_dir(spark, "landing")
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    db = "cw_audit_" + wh.root.rstrip("/").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    land_sources(spark, raw, landing)
+    ingest(spark, landing, f"{wh.root}/raw", setup=db, full=True, wave=1)
+    waves = _all_waves(spark, sf_dir)
+    for c in contracts.WAVE_TABLES:
+        load_waves(spark, read_waves(spark, f"{landing}/{c.name}", c), c, waves, wh.raw(c.name))
+        spark.sql(f"ALTER TABLE {db}.{c.name} RECOVER PARTITIONS")
+    for c in contracts.TABLES:
+        spark.catalog.refreshTable(f"{db}.{c.name}")
+    return reduce(DataFrame.unionByName, [
+        spark.table(f"{db}.{c.name}").agg(F.count("*").alias("n_rows"), F.count("_loaded_at").alias("n_stamped"))
+        .select(F.lit(c.name).alias("table_name"), "n_rows", "n_stamped") for c in contracts.TABLES])
+
+
 def _failing(df: DataFrame, column: str) -> DataFrame:
     """``df`` with a bad record among its rows: one fails while it is written."""
     bad = F.raise_error(F.lit("bad record")).cast(df.schema[column].dataType)
