@@ -54,6 +54,31 @@ def preference_segments(turns: DataFrame, header: str = HEADER, end: str = END,
                     ((F.col("part") != "prompt") & (F.col("role") == learns)).cast("int").alias("loss"), "n_prompt"))
 
 
+def preference_examples(segments: DataFrame) -> DataFrame:
+    """The segments of each pair as one row: pair_id, prompt, chosen, rejected
+    (texts, empty if there is nothing), and chosen_loss, rejected_loss: the spans
+    (start, stop in code points) that count for the loss, the end mark included.
+    For conversations that fit a row, as a training example has to."""
+    one = F.struct("turn", "role", "rendered", "body_start", "loss")
+    side = lambda part: F.sort_array(F.collect_list(F.when(F.col("part") == part, one))).alias(part)
+    rows = segments.groupBy("pair_id").agg(side("prompt"), side("chosen"), side("rejected"))
+    text = lambda part: F.array_join(F.transform(part, lambda x: x["rendered"]), "").alias(part)
+
+    def spans(part: str) -> Column:
+        none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+
+        def add(seen: Column, x: Column) -> Column:
+            stop = seen["at"] + F.length(x["rendered"])
+            span = F.array(F.struct((seen["at"] + x["body_start"]).alias("start"), stop.alias("stop")))
+            return F.struct(stop.alias("at"),
+                            F.when(x["loss"] == 1, F.concat(seen["spans"], span)).otherwise(seen["spans"]).alias("spans"))
+
+        start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
+        return F.aggregate(part, start, add)["spans"].alias(f"{part}_loss")
+
+    return rows.select("pair_id", text("prompt"), text("chosen"), text("rejected"), spans("chosen"), spans("rejected"))
+
+
 def swapped_replies(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations, as turns of both sides.
 

@@ -1,4 +1,4 @@
-from cartwright.llm.preference import preference_segments, swapped_replies
+from cartwright.llm.preference import preference_examples, preference_segments, swapped_replies
 
 TURNS = "pair_id long, side string, turn long, role string, text string"
 CONV = "conv_id long, turn long, role string, text string"
@@ -67,6 +67,22 @@ def test_a_conversation_of_a_third_of_all_rows(spark):
     assert segments(spark, rows) == brute(rows)
 
 
+def test_examples_are_the_segments_in_order(spark):
+    rows = both(1, [("user", "hi")], [("assistant", "good"), ("user", "ta"), ("assistant", "bye")], [("assistant", "bad")])
+    rows += both(2, [("user", "x"), ("assistant", "y")], [], []) + both(3, [], [("user", "ä"), ("assistant", "ö")], [("user", "b")])
+    got = {r.pair_id: r for r in preference_examples(preference_segments(spark.createDataFrame(rows, TURNS))).collect()}
+    turn = lambda role, text: f"<|{role}|>\n{text}\n<|end|>\n"
+    assert got[1].prompt == turn("user", "hi") and got[1].rejected == turn("assistant", "bad")
+    assert got[1].chosen == turn("assistant", "good") + turn("user", "ta") + turn("assistant", "bye")
+    for r in got.values():
+        for text, spans in ((r.chosen, r.chosen_loss), (r.rejected, r.rejected_loss)):
+            masked = [text[s.start:s.stop] for s in spans]
+            assert masked == [t.split("\n", 1)[1] for t in text.split("<|") if t.startswith("assistant")
+                              for t in [t + "<|end|>\n"]]
+    assert (got[2].chosen, got[2].rejected, got[2].chosen_loss) == ("", "", [])
+    assert got[3].prompt == "" and got[3].rejected_loss == []
+
+
 def test_swapped_replies(spark):
     rows = [(0, 0, "user", "q0"), (0, 1, "assistant", "a0"), (1, 0, "user", "q1"), (1, 1, "assistant", "a1"),
             (1, 2, "user", "bye"), (2, 0, "user", "q2"), (3, 0, "assistant", "a3"), (None, 0, "user", "z"), (4, None, "user", "z"),
