@@ -166,9 +166,10 @@ def links(fps: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFram
     return pairs.groupBy("cell", "lo", "hi").applyInPandas(cell, "a long, b long").filter("a <> b")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                       max_bits: int = 4, carry: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Per row: doc_id, fp, component_id (and rk, row with ``carry``)."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, carry: bool,
+              cell_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with fingerprints (doc_id, fp; with ``carry`` row and its key rk), and
+    the component of each fingerprint (fp, component_id, component)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp"),
                        *([whole_row(docs).alias("row"), F.monotonically_increasing_id().alias("rk")] if carry else []))
     rows = materialize(rows, "simhash-rows")
@@ -178,15 +179,23 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     label = materialize(label, "simhash-labels")
     lowest = label.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_fp = label.join(lowest, "component").select("fp", "component_id", "component")
-    return rows.join(of_fp, "fp")
+    return rows, label.join(lowest, "component").select("fp", "component_id", "component")
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                       max_bits: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Per row: doc_id, fp, component_id."""
+    rows, labels = _labelled(docs, id_col, text_col, shingle, max_bits, False, cell_rows)
+    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4,
+                cell_rows: int = CELL_ROWS) -> DataFrame:
     """The rows of ``docs`` without near copies: of every component the row with
-    the smallest doc_id (null last, then the earliest row) stays."""
-    rows = simhash_components(docs, carry=True, **how)
+    the smallest doc_id (null last, then the earliest row) stays. The rows
+    themselves are moved once, when the staying ones are picked."""
+    rows, labels = _labelled(docs, id_col, text_col, shingle, max_bits, True, cell_rows)
     order = F.struct(F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("d"), F.col("rk").alias("k"))
-    best = rows.groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.k").alias("rk"))
-    kept = rows.select("rk", "row").join(best, "rk", "left_semi")
-    return kept.select("row.*")
+    best = (rows.select("rk", "doc_id", "fp").join(labels, "fp").groupBy("component").agg(F.min(order).alias("best"))
+            .select(F.col("best.k").alias("rk")))
+    return rows.select("rk", "row").join(best, "rk", "left_semi").select("row.*")
