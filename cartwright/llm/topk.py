@@ -216,8 +216,10 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
                      F.sum(F.col("is_query").cast("long")).alias("queries")).first()
     if not size["queries"]:
         return _best(plain.sparkSession.createDataFrame([], _FOUND), k).select("query_id", "rank", "vec_id", "score")
-    # at most `pivots` rows
-    picked = plain.dropDuplicates(["v"]).orderBy(F.xxhash64("v"), "vec_id").select("v").limit(pivots).toPandas()
+    # `pivots` different vectors, by hash; equal vectors are one
+    hashed = plain.select(F.xxhash64("v").alias("h"), "v")
+    lowest = hashed.select("h").distinct().orderBy("h").limit(pivots)
+    picked = hashed.join(F.broadcast(lowest), "h").groupBy("h").agg(F.min("v").alias("v")).orderBy("h").toPandas()
     geo = _Geometry(_matrix(picked["v"], max(1, size["bytes"] // 8)), size["top"])
     keyed = materialize(plain.mapInPandas(lambda it: _key(it, geo), plain.schema.simpleString()[7:-1].replace(
         ":", " ").replace("bigint", "long") + ", pivot int, step int, dist double"), "topk-keyed")
