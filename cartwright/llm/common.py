@@ -22,10 +22,16 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     Cuts the lineage with committed files that outlive any executor; values
     that depend on the task layout (row keys) are fixed from here on.
     """
+    return materialize_at(df, purpose)[0]
+
+
+def materialize_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """As :func:`materialize`, with the folder, for those that remove it when
+    nothing reads it any more."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{purpose}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def whole_row(df: DataFrame) -> Column:

@@ -41,7 +41,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import materialize
+from cartwright.session import remove
+
+from .common import materialize, materialize_at
 
 LENGTH = 200
 ANCHOR = 32
@@ -335,7 +337,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # stand for a row; unlike a row number it is the same whenever it is computed
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text")).select(
         "*", F.coalesce("doc_id", F.lit(0)).alias("d"), F.xxhash64("text").alias("k"))
-    pieces = materialize(rows.select("d", "k", "text").mapInArrow(
+    pieces, folder = materialize_at(rows.select("d", "k", "text").mapInArrow(
         lambda it: _emit(it, length, anchor), "d long, k long, at long, g long, c long"), "repeats-pieces")
 
     # pieces that occur again, and minimizers with different pieces
@@ -343,6 +345,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kinds = counted.groupBy("g", "c").agg(F.sum("n").alias("n"))
     kinds = kinds.withColumn("kinds", F.count("*").over(Window.partitionBy("g"))).filter("n > 1 OR kinds > 1")
     marked = materialize(pieces.join(kinds, ["g", "c"]), "repeats-marked")
+    remove(docs.sparkSession, folder)
     size = (1 << _LEN_BITS) - 1
     start, stop = F.shiftright("at", _LEN_BITS), F.shiftright("at", _LEN_BITS) + F.col("at").bitwiseAND(size)
     whole = marked.filter("n > 1").select("d", "k", start.alias("start"), stop.alias("stop"))
