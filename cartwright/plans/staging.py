@@ -65,8 +65,10 @@ def parse_off_products(raw: DataFrame) -> DataFrame:
         F.col("last_modified_t"),
         F.timestamp_seconds("last_modified_t").cast("timestamp_ntz").alias("last_modified_at"),
     ]
-    order = [F.col(c) for c in (fixed.FEED_SEQUENCE_FIELD, "_loaded_at") if c in raw.columns]
-    return (raw.select(*cols, *order, F.to_json(p).alias("_payload_text"))
+    seq = fixed.FEED_SEQUENCE_FIELD
+    order = [F.col(c) for c in (seq, "_loaded_at") if c in raw.columns]
+    text = F.when(F.col(seq).isNull(), F.to_json(p)) if seq in raw.columns else F.to_json(p)
+    return (raw.select(*cols, *order, text.alias("_payload_text"))
             .where(F.coalesce(F.col("product_code"), F.lit("")) != ""))
 
 
@@ -91,7 +93,7 @@ def stg_off_products(off_products_raw: DataFrame) -> DataFrame:
     """M6: flatten the product payload, drop blank codes, keep the latest version per code.
 
     Versions of one second are ordered by feed position, then load time, then
-    the payload's text; what still ties is the same product version.
+    (rows without a position) the payload's text; what still ties is the same version.
     """
     parsed = parse_off_products(off_products_raw)
     ties = [c for c in (fixed.FEED_SEQUENCE_FIELD, "_loaded_at", "_payload_text") if c in parsed.columns]
