@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,10 @@ from .common import materialize
 
 ROUNDS = 400
 LEVELS = 3
+#: From so many white-space characters in a row a text goes through ``tokenizers``:
+#: the rank file's library backtracks over them and fails at about a million.
+SPACE_RUN = 100_000
+_LONG_SPACE = r"(?<!\s)\s{%d}"  # looked for at a run's start only: linear
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
@@ -47,7 +52,8 @@ def _encoder(tokenizer: str, ranks: str | None):
 
     ``ranks`` names the same byte-level vocabulary as a rank file; with it ordinary
     text goes through the faster of the two libraries. Texts that hold a special
-    token's string always go through ``tokenizer`` itself.
+    token's string or ``SPACE_RUN`` white-space characters in a row always go
+    through ``tokenizer`` itself.
     """
     from tokenizers import Tokenizer
 
@@ -62,9 +68,10 @@ def _encoder(tokenizer: str, ranks: str | None):
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
     special = [t.content for t in whole.get_added_tokens_decoder().values()]
+    long_space = re.compile(_LONG_SPACE % SPACE_RUN)
 
     def encode(text: str) -> list[int]:
-        if any(s in text for s in special):
+        if any(s in text for s in special) or len(text) >= SPACE_RUN and long_space.search(text):
             return whole.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 

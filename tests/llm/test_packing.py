@@ -63,6 +63,14 @@ def test_round_trip_of_awkward_rows(spark, tokenizer, ranks):
     check(rows, got, tokenizer, 2048)
 
 
+def test_white_space_runs_of_any_length(spark, tokenizer):
+    n = 1_500_000
+    rows = [(1, " " * n, "en", "s", n), (2, "a" + "\n" * n + "b", "en", "s", n), (3, "a \u3000\x85" * (n // 4) + "\xa0 " * n, "en", "s", n),
+            (4, (" " * 99_999 + "x") * 3, "en", "s", 300_000), (5, "plain words", "en", "s", 11)]
+    got = pack(frame(spark, rows), JSON, ranks=RANKS).collect()
+    check(rows, got, tokenizer, 2048)
+
+
 def test_hot_length_over_many_tasks(spark, tokenizer):
     rows = [(i, "same text here" if i % 3 else words(1 + i % 50, i), "en", "s", 1) for i in range(600)]
     got = pack(frame(spark, rows).repartition(9), JSON, ranks=RANKS, capacity=64).collect()
