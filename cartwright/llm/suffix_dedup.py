@@ -37,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
@@ -164,6 +164,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted(g, c)
 
 
+def _kinds(counted: DataFrame) -> DataFrame:
+    """(g, c, n) -> g, c, n, kinds: pieces that occur again or whose minimizer has
+    ``kinds`` > 1 different pieces. A hot minimizer is counted map side and joined
+    back: AQE splits a join, but not a window, nor a join with an aggregate in the
+    same stage, so the counts are dealt anew, by another value than g."""
+    different = counted.groupBy("g", "c").agg(F.sum("n").alias("n"))
+    per_g = different.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("total")).filter("total > 1")
+    key = F.bitwise_not("g").alias("key")
+    return different.withColumn("key", key).join(per_g.select(key, "kinds"), "key").drop("key")
+
+
 # ---------------------------------------------------------------- the index
 
 
@@ -341,9 +352,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lambda it: _emit(it, length, anchor), "d long, k long, at long, g long, c long"), "repeats-pieces")
 
     # pieces that occur again, and minimizers with different pieces
-    counted = pieces.select("g", "c").mapInArrow(_count, "g long, c long, n long").repartition("g")
-    kinds = counted.groupBy("g", "c").agg(F.sum("n").alias("n"))
-    kinds = kinds.withColumn("kinds", F.count("*").over(Window.partitionBy("g"))).filter("n > 1 OR kinds > 1")
+    counted = pieces.select("g", "c").mapInArrow(_count, "g long, c long, n long")
+    kinds = _kinds(counted)
     marked = materialize(pieces.join(kinds, ["g", "c"]), "repeats-marked")
     remove(docs.sparkSession, folder)
     size = (1 << _LEN_BITS) - 1

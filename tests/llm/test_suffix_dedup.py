@@ -77,6 +77,29 @@ def test_hot_minimizers_are_counted_one_by_one(spark):
     same(spark, corpus(5), 64, anchor=16, group_pieces=1)
 
 
+def test_kinds_of_a_hot_minimizer_are_split(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.range(60_000).selectExpr("IF(id % 3 = 0, -1, id) AS g", "xxhash64(id) AS c", "1L AS n")
+        counted = hot.unionAll(spark.createDataFrame([(1, 5, 2), (1, 5, 1), (60_001, 5, 2), (60_002, 5, 1)], hot.schema))
+        df = suffix_dedup._kinds(counted.repartition(8))
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "Window" not in plan and "skew=true" in plan
+    assert {r.kinds for r in got if r.g == -1} == {20_000} and sum(r.g == -1 for r in got) == 20_000
+    assert sorted((r.g, r.n, r.kinds) for r in got if r.g != -1) == [(1, 1, 2), (1, 3, 2), (60_001, 2, 1)]
+
+
 def test_long_documents_in_parts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PART_BYTES", 500)
     same(spark, corpus(6), 64, anchor=16)
