@@ -44,6 +44,10 @@ def pages() -> Iterator[str]:
            f"{_words(15)}</blockquote><table><tr>{_p(1, 2, 3, tag='td')}</tr></table><h2 data-article>{_words(3)[:-1]}</h2>"
            f"<p data-article>{_words(5)} <a href='/x'>{_words(4)}</a></p><p data-article><a href='/y'>{_words(6)}</a></p>"
            f"</article>{foot}</body>")
+    # wrappers whose class names a layout, and a form around the page
+    for start, end in (("<div class='layout no-sidebar'>", "</div>"), ("<form action='/'>", "</form>")):
+        yield (f"<body>{start}{_menu()}<article>{_title()}{_p(50, 3, 20)}</article><div class='comments'><article><p>{_words(40)}"
+               f"</p></article></div>{foot}{end}</body>")
     # adverts, forms, notices and comments, some inside the article
     for long in (5, 45, 120):
         yield (f'<body><div id="cookie-notice"><p>{_words(long)}</p></div>{_menu(9)}<article>{_title()}{_p(50, 4)}'

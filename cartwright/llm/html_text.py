@@ -47,6 +47,10 @@ _BOILER_NAMES = frozenset(
     "recommended recommendations more share sharing social follow newsletter subscribe subscription signup login popup "
     "modal overlay widget tags pagination pager copyright legal disclaimer search rating widgets teaser teasers".split())
 _SOFT_NAMES = frozenset("header sidebar side more".split())
+#: Boxes that hold articles of others; the other boilerplate names may only describe a wrapper's layout.
+_OTHERS_NAMES = frozenset(
+    "ad advert adverts advertisement advertising sponsor sponsored promo promotion comment comments commentlist disqus reply "
+    "replies respond discussion related recommended recommendations more teaser teasers popup modal overlay".split())
 
 _TAG = re.compile(r"""<([a-zA-Z][^\s/>]*+)((?:[^'">]|"[^"]*"|'[^']*')*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -62,22 +66,26 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 def _zone(tag: str, attributes: dict[str, str], outer: int) -> int:
-    """1 article, -1 around it, 0 unknown."""
-    if outer < 0:
-        return -1
-    if tag in _BOILER_TAGS or tag == "header" and outer == 0:
+    """1 article, -1 around it, 0 unknown; -2 around it by an outer wrapper's class or
+    a form only, 2 an article element in there (see ``_settle``)."""
+    if outer == -1:
         return -1
+    wraps = outer in (0, -2)
+    if tag in _BOILER_TAGS or tag == "header" and wraps:
+        return -2 if tag == "form" and wraps else -1
+    main = 1 if outer in (0, 1) else 2
     if attributes.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
         return -1
     names = {n.lower() for k in ("class", "id") if k in attributes for n in _NAMES.findall(attributes[k])}
     if tag not in ("html", "body"):
         around = names & _BOILER_NAMES
         if around:
-            return outer if around <= _SOFT_NAMES and (names & _MAIN_NAMES or outer > 0) else -1
-        if names & _MAIN_NAMES or attributes.get("role") in ("main", "article") or "articlebody" in attributes.get(
-                "itemprop", "").lower():
-            return 1
-    return 1 if tag in _MAIN_TAGS else outer
+            return outer if around <= _SOFT_NAMES and (names & _MAIN_NAMES or outer > 0) else (
+                -2 if wraps and tag not in _MAIN_TAGS and not around & _OTHERS_NAMES else -1)
+        if attributes.get("role") in ("main", "article") or outer != -2 and (
+                names & _MAIN_NAMES or "articlebody" in attributes.get("itemprop", "").lower()):
+            return main
+    return main if tag in _MAIN_TAGS else outer
 
 
 class Block:
@@ -87,6 +95,17 @@ class Block:
         self.text, self.words, self.linked, self.zone, self.heading, self.label = text, words, linked, zone, heading, label
 
 
+def _settle(blocks: list[Block]) -> None:
+    """A wrapper goes round the page: article elements in it count where no other
+    article is, and not less text than stands in unknown zones; else it is a box."""
+    words = dict.fromkeys((-2, -1, 0, 1, 2), 0)
+    for b in blocks:
+        words[b.zone] += b.words
+    inner = 1 if not words[1] and words[2] >= words[0] else -1
+    for b in blocks:
+        b.zone = {-2: -1, 2: inner}.get(b.zone, b.zone)
+
+
 def blocks_of(html: str | None) -> list[Block]:
     """Text blocks of a page in page order."""
     html = html or ""
@@ -194,6 +213,7 @@ def blocks_of(html: str | None) -> list[Block]:
             say("<")
             at = lt + 1
     end_block()
+    _settle(blocks)
     return blocks
 
 

@@ -52,6 +52,17 @@ def test_cases(tree, name):
     assert main_text(html, tree) == want
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<div class='layout no-sidebar'>", "</div>"), ("<div class='page has-banner'>", "</div>"), ("<form>", "</form>"),
+    ("<div class='page has-banner'><form>", "</form></div>")])
+def test_wrappers_of_the_page(tree, start, end):
+    comments = "<div class='comments'><article><p>A reader says something long about all of this.</p></article></div>"
+    html = f"<body>{start}<nav><a href=x>Menu</a></nav><article>{BODY}<p>End.</p></article>{comments}<footer>c</footer>{end}</body>"
+    assert main_text(html, tree) == f"{BODY[3:-4]} End."
+    box = f"<article>{BODY}</article><div class='sidebar'><article><p>Another story, told elsewhere.</p></article></div>"
+    assert main_text(box, tree) == BODY[3:-4]
+
+
 def test_pages_without_names_are_told_by_text_and_links(tree):
     para = "Some sentence with enough words to be the text of an article, and then some more words follow here. " * 3
     html = ("<div>" + "".join(f"<p><a href={i}>Menu item</a></p>" for i in range(6)) + f"</div><div><p>{para}</p><p>{para}</p>"
