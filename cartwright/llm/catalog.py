@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, mixing, packing, preference, quality, simhash, suffix_dedup, topk, toxicity
+from . import (
+    exact_dedup, html_text, mixing, packing, preference, quality, resampling, robust_rules, simhash, suffix_dedup, topk,
+    toxicity, turn_repair,
+)
 from .common import table
 from .labelled import held_out
 
@@ -69,6 +72,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16.alias("fingerprint"), "component_id")
 
 
+def op11_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), share=(5, 100))
+
+
+def op13_robust_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_mix_sources": op2_mix_sources,
@@ -80,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_simhash": op10_simhash,
+    "op11_repair_turns": op11_repair_turns,
+    "op12_resample": op12_resample,
+    "op13_robust_rules": op13_robust_rules,
 }
 
 ORACLE: dict[str, str] = {}
@@ -191,3 +209,93 @@ SELECT conv_id AS pair_id, part, turn, role,
        CAST(part <> 'prompt' AND role = 'assistant' AS INTEGER) AS loss, n_prompt
 FROM parts
 """
+
+#: CRC-32 in SQL: the table of its 256 remainders, and one step a byte over a list of bytes.
+_CRC_TABLE = """crc AS (
+  SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t
+  FROM range(256) r(i))"""
+
+
+def _crc(octets: str) -> str:
+    return (f"xor(list_reduce([4294967295] || {octets}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+def _put(state: str, cost: str, edit: str) -> str:
+    """A state of the walk below (cost in eight digits, then the audit) after one edit."""
+    return f"(printf('%08d', CAST(left({state}, 8) AS BIGINT) + {cost}) || substr({state}, 9) || '{edit}')"
+
+
+def _after(state: str, fits: str, edit: str, cost: str = "k") -> str:
+    return _put(state, f"CASE WHEN {fits} THEN {cost} ELSE 80000000 END", edit)
+
+
+_PUT_U = f"least(u, {_put('z', '2', 'I')}, {_put('s', '2', 'I')}"
+
+ORACLE["op11_repair_turns"] = r"""
+WITH RECURSIVE """ + _CRC_TABLE + r""",
+hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, """ + _crc(
+    "[ord(x) FOR x IN string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '')]"
+) + r""" % 20 AS f
+  FROM conversations, crc),
+turns AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE f WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hit WHERE f <> 0),
+sorted AS (
+  SELECT *, left(role, 1) AS c, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(concat_ws(':', length(role), role, text)), copy) AS i
+  FROM turns),
+judged AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut,
+         lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM sorted),
+faults AS (
+  SELECT conv_id, i, role, text, c, blank, NOT blank AND again AS again, NOT blank AND NOT again AND cut AS cut,
+         before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au') AS illegal, turn
+  FROM judged),
+-- cheapest cost and least audit, as one text, by what the repaired conversation ends in so far
+walk(conv_id, i, z, s, u, a) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '00000000', '90000000', '00000002I', '00000004II' FROM conversations
+  UNION ALL
+  SELECT conv_id, i, z, s, """ + _PUT_U + f", {_put('a', '2', 'I')}), least(a, {_put(_PUT_U + ')', '2', 'I')})" + r"""
+  FROM (
+    SELECT w.conv_id, f.i, """ + ", ".join(f"{x} AS {n}" for n, x in {
+        "z": _put("w.z", "3", "D"),
+        "s": f"least({_put('w.s', '3', 'D')}, {_after('w.z', "f.c = 's' AND may", 'K')})",
+        "u": f"least({_put('w.u', '3', 'D')}, {_after('least(w.z, w.s, w.a)', "f.c = 'u' AND may", 'K')}, "
+             f"{_after('least(w.z, w.s, w.a)', 'may', 'R', '2 + k')})",
+        "a": f"least({_put('w.a', '3', 'D')}, {_after('w.u', "f.c = 'a' AND may", 'K')}, "
+             f"{_after('w.u', 'may', 'R', '2 + k')})"}.items()) + r"""
+    FROM walk w JOIN (SELECT *, NOT (blank OR again) AS may, CAST(cut AS INTEGER) AS k FROM faults) f
+      ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1)),
+found AS (
+  SELECT conv_id, max_by(least(z, a), i) AS best FROM walk GROUP BY conv_id),
+edits AS (
+  SELECT conv_id, CAST(best[1:8] AS BIGINT) AS cost, best[9:] AS audit FROM found),
+steps AS (
+  SELECT conv_id, k, audit[k] AS e, len(replace(audit[1:k], 'I', '')) AS i
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM edits)),
+placed AS (
+  SELECT s.conv_id, s.k, s.e, f.role, f.text,
+         sum(CASE WHEN s.e = 'K' AND f.c = 's' THEN 0 ELSE 1 END) OVER (PARTITION BY s.conv_id ORDER BY s.k) AS nth
+  FROM steps s LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i AND s.e <> 'I'
+  WHERE s.e <> 'D'),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END
+                             || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS whole
+  FROM placed GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faults GROUP BY conv_id)
+SELECT e.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, e.cost, e.audit,
+       sha256(coalesce(t.whole, '')) AS repaired_sha256
+FROM edits e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
