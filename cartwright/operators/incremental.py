@@ -11,15 +11,11 @@ affected partitions are rewritten:
     new(p)   = batch(p)                                        p replaced
              = target(p) anti-join batch keys UNION ALL batch(p)    else
 
-The new content is first written to a folder below the shared checkpoint root
-(the target must not be read while it is overwritten), then swapped in with a
-dynamic partition overwrite, and the folder removed. NULL keys never match
-(anti-join semantics).
-
-Finding the target rows of a batch's keys reads the key columns of the target, no
-more: files are sorted by the leading key, so that the batch's key range skips row
-groups, and Spark's runtime bloom filter on the semi join keeps rows of other keys
-out of the shuffle.
+Which partitions hold a key of the batch is looked up in the key index beside the
+target (:mod:`cartwright.operators.key_index`); the key columns of the target itself are
+read only for partitions that the index names and the batch does not rewrite anyway.
+The new content is computed into a hidden folder (the target must not be read while it
+is overwritten) and swapped in as a whole. NULL keys never match (anti-join semantics).
 """
 
 from __future__ import annotations
@@ -27,8 +23,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.session import path_exists, remove, scratch_dir
-from cartwright.sinks.loads import drop_unchanged, list_files, partitions_of
+from cartwright.operators.key_index import key_index, partitions_with
+from cartwright.operators.partition_state import Derived
+from cartwright.session import Pending, path_exists, remove, scratch_dir, write_pending, write_pending_partitions
+from cartwright.sinks.loads import partitions_of
 
 
 class SchemaChangeError(RuntimeError):
@@ -56,13 +54,12 @@ def check_schema(batch: DataFrame, target: DataFrame, partition_col: str) -> Non
 def max_partition_value(spark: SparkSession, path: str, col: str) -> int:
     """C7 watermark: the largest value among the partition folders, without
     opening a file; 0 for a missing or empty target (everything is loaded)."""
-    return max(map(int, partitions_of(spark, path, col)), default=0)
+    return max(_numbers(spark, path, col), default=0)
 
 
-def _put(df: DataFrame, path: str, partition_col: str, unique_key: list[str], mode: str) -> None:
-    """Write partitions, balanced, each file sorted by the leading key."""
-    (df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, unique_key[0])
-     .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
+def _numbers(spark: SparkSession, path: str, col: str) -> set[int]:
+    """The partition values; a partition of NULLs has no number."""
+    return {int(v) for v in partitions_of(spark, path, col) if v.lstrip("-").isdigit()}
 
 
 def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str],
@@ -70,19 +67,36 @@ def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniqu
     """Apply ``batch`` to the target; returns the number of partitions touched
     (-1: the target was missing or empty). ``replace`` names partitions that hold the
     batch's rows alone afterwards; all rows of the batch must be in them.
+    """
+    pending, affected = stage_delete_insert(spark, batch, target_path, unique_key, partition_col, columns, replace)
+    if pending is not None:
+        pending.publish()
+    if affected != set() and partitions_of(spark, target_path, partition_col):
+        index_of(batch, target_path, unique_key, partition_col).refresh(spark)
+    return -1 if affected is None else len(affected)
+
+
+def index_of(rows: DataFrame, target_path: str, unique_key: list[str], partition_col: str) -> Derived:
+    return key_index(target_path, partition_col, unique_key[0], rows.schema[unique_key[0]].dataType)
+
+
+def stage_delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str], partition_col: str,
+                        columns: list[str], replace: list[int] | None = None) -> tuple[Pending | None, set[int] | None]:
+    """As :func:`delete_insert`, up to the complete new content of the affected partitions
+    (None: nothing changes), which the caller publishes or discards. Also returns the
+    affected partitions, None for a missing or empty target.
 
     The batch is written once to the shared folder, since the search for affected
     partitions and the write both read it.
     """
     if not partitions_of(spark, target_path, partition_col):
-        _put(batch.select(*columns), target_path, partition_col, unique_key, "static")
-        return -1
+        return write_pending(batch.select(*columns), target_path, partition_col, unique_key[0]), None
     schema = spark.read.parquet(target_path).schema
     check_schema(batch.select(*columns), spark.createDataFrame([], schema), partition_col)
     staging = scratch_dir(spark, "delete-insert")
     try:
         batch = _staged(batch.select(*columns), f"{staging}/batch")
-        return _apply(spark, batch, target_path, unique_key, partition_col, columns, replace, f"{staging}/new")
+        return _stage(spark, batch, target_path, unique_key, partition_col, columns, replace)
     finally:
         remove(spark, staging)
 
@@ -92,31 +106,30 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _apply(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str], partition_col: str,
-           columns: list[str], replace: list[int] | None, staging: str) -> int:
+def _stage(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str], partition_col: str,
+           columns: list[str], replace: list[int] | None) -> tuple[Pending | None, set[int]]:
     target = spark.read.parquet(target_path).select(*columns)
     keys = batch.select(*unique_key).dropna(how="any").distinct()
-    lead = unique_key[0]
-    low, high = batch.agg(F.min(lead), F.max(lead)).first()
-    in_range = target.where(F.col(lead).between(low, high)) if low is not None else target.limit(0)
-    hit = in_range.join(keys, unique_key, "left_semi").select(partition_col)
     replaced = set(replace or ())
-    # the partitions with a key of the batch, and those of the batch: one value per wave
-    holds = {r[0] for r in hit.distinct().collect()} - replaced
+    # the partitions of the batch, and those with a key of it: one value per wave
     own = {r[0] for r in batch.select(partition_col).distinct().collect()}
+    if None in own:
+        raise ValueError(f"the batch has rows without {partition_col}")
     if replace is not None and own - replaced:
         raise ValueError(f"the batch has rows outside the partitions to replace: {sorted(own - replaced)}")
-    existing = {int(v) for v in partitions_of(spark, target_path, partition_col)}
+    index = index_of(batch, target_path, unique_key, partition_col)
+    others = partitions_with(spark, index, keys) - own - replaced
+    holds = set()
+    if others:
+        near = target.where(F.col(partition_col).isin(sorted(others)))
+        holds = {r[0] for r in near.join(keys, unique_key, "left_semi").select(partition_col).distinct().collect()}
+    existing = _numbers(spark, target_path, partition_col)
     affected = own | holds | (replaced & existing)
     if not affected:
-        return 0
-    before = list_files(spark, target_path, partition_col, sorted(affected & existing))
+        return None, affected
     rewritten = (holds | (own & existing)) - replaced  # partitions that keep some of their rows
-    if not rewritten:
-        _put(batch, target_path, partition_col, unique_key, "dynamic")
-    else:
+    new = batch
+    if rewritten:
         kept = target.where(F.col(partition_col).isin(sorted(rewritten))).join(keys, unique_key, "left_anti")
-        new = _staged(kept.unionByName(batch), staging)
-        _put(new, target_path, partition_col, unique_key, "dynamic")
-    drop_unchanged(spark, target_path, partition_col, before)
-    return len(affected)
+        new = kept.unionByName(batch)
+    return write_pending_partitions(new, target_path, partition_col, sorted(affected), unique_key[0]), affected

@@ -5,10 +5,13 @@ NULLs are ignored by ``unique``, ``relationships`` and ``accepted_values``.
 
 Plan shape: all single-column tests of one model share one scan and one shuffle.
 Its tested columns are tagged and counted per (column, value), with partial
-aggregation that absorbs a hot value; those counts answer ``not_null`` (rows of the
+aggregation that absorbs a hot value. Each test compares in the type SQL would: a
+column's own, that of column and accepted values, or that of child and parent key; a
+column that is tested in two types is counted in both. The counts answer ``not_null`` (rows of the
 NULL), ``unique`` (values counted more than once), ``accepted_values`` (values outside
 the list) and, after one join with the tagged keys of the parents, ``relationships``
-(rows of values without a parent). A column that is only tested for NULLs is
+(rows of values without a parent). Counts of partitions add up, so a partitioned model
+can also be tested from counts kept per partition (:func:`evaluate_incremental`). A column that is only tested for NULLs is
 counted in a plain aggregate instead. ``unique_combination`` is an aggregate of its own.
 The gate runs everything as one job and brings back one row per test, never data rows.
 """
@@ -18,10 +21,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructType
 
 from cartwright import fixed
+from cartwright.operators.key_index import key_index
+from cartwright.operators.partition_state import Derived
+from cartwright.sinks.loads import partitions_of
 
 RESULT_COLUMNS = ["test_name", "kind", "model", "column_name", "n_failed"]
 
@@ -97,35 +104,78 @@ def _combination(test: DataTest, df: DataFrame) -> DataFrame:
     return dupes.agg(F.count(F.lit(1)).alias("n")).select(*_result(test, F.col("n")))
 
 
-def _by_value(tests: list[DataTest], df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Single-column tests of one model from its counts per (column, value)."""
-    columns = sorted({t.columns[0] for t in tests})
-    parents_of = [t for t in tests if t.kind == "relationships"]
-    types = {df.schema[c].dataType for c in columns} | {tables[t.to_model].schema[t.to_column].dataType for t in parents_of}
+def _common(spark: SparkSession, kinds: list[DataType]) -> DataType:
+    """The type in which SQL compares values of these types."""
+    if len({k.simpleString() for k in kinds}) == 1:
+        return kinds[0]
+    return spark.range(0).select(F.coalesce(*[F.lit(None).cast(k) for k in kinds])).schema[0].dataType
+
+
+def _compared_as(test: DataTest, tables: dict[str, DataFrame]) -> DataType:
+    df = tables[test.model]
+    own = df.schema[test.columns[0]].dataType
+    if test.kind == "relationships":
+        return _common(df.sparkSession, [own, tables[test.to_model].schema[test.to_column].dataType])
+    if test.kind == "accepted_values" and not isinstance(own, StringType):
+        kinds = df.sparkSession.range(0).select(*[F.lit(v).alias(f"v{i}") for i, v in enumerate(test.values)]).schema
+        return _common(df.sparkSession, [own, *[f.dataType for f in kinds]])
+    return own
+
+
+def _text(c: Column, kind: DataType) -> Column:
+    """A value as text, one text per value of the type."""
+    c = c.cast(kind)
+    if isinstance(kind, (FloatType, DoubleType)):
+        c = c + F.lit(0.0).cast(kind)  # one zero
+    return F.hex(c) if isinstance(kind, BinaryType) else c.cast("string")
+
+
+def _slots(tests: list[DataTest], tables: dict[str, DataFrame]) -> list[tuple[str, DataType]]:
+    """The (column, compared type) pairs that ``tests`` of one model need, in order."""
+    slots = {(t.columns[0], (k := _compared_as(t, tables)).simpleString()): k for t in tests}
+    return [(c, slots[c, n]) for c, n in sorted(slots)]
+
+
+def _slot(test: DataTest, slots: list[tuple[str, DataType]], tables: dict[str, DataFrame]) -> int:
+    kind = _compared_as(test, tables).simpleString()
+    return next(i for i, (c, k) in enumerate(slots) if c == test.columns[0] and k.simpleString() == kind)
+
+
+def _value(slots: list[tuple[str, DataType]]):
+    """How values are counted: as they are if all are of one type, else as text."""
+    plain = len({k.simpleString() for _, k in slots}) == 1 and not isinstance(slots[0][1], (FloatType, DoubleType))
+    return (lambda c, k: c.cast(k)) if plain else _text
 
-    def value(c):
-        return c if len(types) == 1 else c.cast("string")
 
-    tagged = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_c"), value(F.col(c)).alias("_v")) for i, c in enumerate(columns)])))
-    counts = tagged.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+def _tagged(df: DataFrame, slots: list[tuple[str, DataType]], value, *keep: str) -> DataFrame:
+    rows = [F.struct(F.lit(i).alias("_c"), value(F.col(c), k).alias("_v")) for i, (c, k) in enumerate(slots)]
+    return df.select(*keep, F.inline(F.array(*rows)))
+
+
+def _from_counts(tests: list[DataTest], counts: DataFrame, slots: list[tuple[str, DataType]], value,
+                 tables: dict[str, DataFrame]) -> DataFrame:
+    """Test results from rows counted by (slot, value)."""
+    at = {t: _slot(t, slots, tables) for t in tests}
+    parents_of = [t for t in tests if t.kind == "relationships"]
     if parents_of:
         keys = reduce(DataFrame.unionByName, [
-            tables[t.to_model].select(F.lit(columns.index(t.columns[0])).alias("_c"),
-                                      value(F.col(t.to_column)).alias("_v"), F.lit(i).alias("_p"))
+            tables[t.to_model].select(F.lit(at[t]).alias("_c"), value(F.col(t.to_column), slots[at[t]][1]).alias("_v"),
+                                      F.lit(i).alias("_p"))
             for i, t in enumerate(parents_of)])
         known = keys.where(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.collect_set("_p").alias("_parents"))
         counts = counts.join(known, ["_c", "_v"], "left")
     aggs = []
     for i, t in enumerate(tests):
-        here = F.col("_c") == columns.index(t.columns[0])
+        here = F.col("_c") == at[t]
         given = here & F.col("_v").isNotNull()
         if t.kind == "not_null":
             n = F.sum(F.when(here & F.col("_v").isNull(), F.col("_n")))
         elif t.kind == "unique":
             n = F.count_if(given & (F.col("_n") > 1))
         elif t.kind == "accepted_values":
-            n = F.count_if(given & ~F.col("_v").isin(*(t.values if len(types) == 1 else map(str, t.values))))
+            kind = slots[at[t]][1]
+            values = [F.lit(str(v) if isinstance(kind, StringType) else v) for v in t.values]
+            n = F.count_if(given & ~F.col("_v").isin(*[value(v, kind) for v in values]))
         else:
             has = F.coalesce(F.array_contains("_parents", parents_of.index(t)), F.lit(False))
             n = F.sum(F.when(given & ~has, F.col("_n")))
@@ -133,6 +183,14 @@ def _by_value(tests: list[DataTest], df: DataFrame, tables: dict[str, DataFrame]
     return _unpivot(counts.agg(*aggs), tests)
 
 
+def _by_value(tests: list[DataTest], df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Single-column tests of one model from its counts per (column, value)."""
+    slots = _slots(tests, tables)
+    value = _value(slots)
+    counts = _tagged(df, slots, value).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return _from_counts(tests, counts, slots, value, tables)
+
+
 def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, DataFrame]) -> DataFrame:
     """One DataFrame with a row per test: RESULT_COLUMNS. A test whose model or
     parent model is not among ``tables`` is an error."""
@@ -155,6 +213,99 @@ def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, Dat
     return reduce(DataFrame.unionByName, parts)
 
 
+# --- partitioned models, from what is kept per partition ---------------------------
+
+_STATE = StructType().add("_c", IntegerType()).add("_v", StringType()).add("_n", LongType())
+
+
+def _state(target: str, column: str, tests: list[DataTest], slots: list[tuple[str, DataType]],
+           pairs: list[DataTest]) -> Derived:
+    """Per partition: rows by (slot, value); and for each ``unique_combination`` test the
+    repeated combinations by leading value (slot -1 for the first such test, ...)."""
+    def build(rows: DataFrame) -> DataFrame:
+        parts = [_tagged(rows, slots, _text, column).groupBy(column, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))] if slots else []
+        for i, t in enumerate(pairs):
+            lead = F.col(t.columns[0])
+            again = rows.where(lead.isNotNull()).groupBy(column, *t.columns).agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
+            parts.append(again.select(column, F.lit(-1 - i).alias("_c"), lead.cast("string").alias("_v"))
+                         .groupBy(column, "_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+        return reduce(DataFrame.unionByName, parts)
+
+    version = repr([(t.name, t.values) for t in tests]) + repr([(c, k.simpleString()) for c, k in slots])
+    return Derived(target, column, "tests", build, _STATE, ("_c", "_v"), version)
+
+
+def evaluate_incremental(spark: SparkSession, tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, DataFrame],
+                         target: str, column: str, staged: DataFrame | None = None,
+                         affected: set[int] | tuple = ()) -> DataFrame:
+    """The same result rows as :func:`evaluate` for ``tests`` of one model, the table at
+    ``target`` partitioned by ``column``, reading only partitions that changed since the
+    last time. With ``staged``, the table as it will be when the partitions ``affected``
+    hold these rows.
+
+    Value counts of the partitions are added up and compared with the parents as they are
+    now. A combination can only be repeated across partitions if its leading value is in
+    several of them; the key index names those, and their rows are counted once more.
+    """
+    tests = list(tests)
+    table = _as_it_will_be(spark, target, column, staged, affected)
+    tables = tables | {tests[0].model: table}
+    pairs = [t for t in tests if t.kind == "unique_combination"]
+    single = [t for t in tests if t.kind != "unique_combination"]
+    slots = _slots(single, tables) if single else []
+    kept = _state(target, column, tests, slots, pairs).read(spark, staged, affected)
+    parts = []
+    if single:
+        counts = kept.where("_c >= 0").groupBy("_c", "_v").agg(F.sum("_n").alias("_n"))
+        parts.append(_from_counts(single, counts, slots, _text, tables))
+    for i, t in enumerate(pairs):
+        lead = t.columns[0]
+        index = key_index(target, column, lead, table.schema[lead].dataType).read(spark, staged, affected)
+        shared = index.groupBy(lead).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(lead)
+        within = kept.where(F.col("_c") == -1 - i).join(shared.select(F.col(lead).cast("string").alias("_v")), "_v", "left_anti")
+        again = table.join(shared, lead, "left_semi").unionByName(table.where(F.col(lead).isNull()))
+        across = again.groupBy(*t.columns).count().where("count > 1").agg(F.count(F.lit(1)).alias("n"))
+        total = within.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).unionAll(across)
+        parts.append(total.agg(F.sum("n").alias("n")).select(*_result(t, F.col("n"))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _as_it_will_be(spark: SparkSession, target: str, column: str, staged: DataFrame | None, affected) -> DataFrame:
+    if staged is not None and not partitions_of(spark, target, column):
+        return staged
+    table = spark.read.parquet(target)
+    if staged is None:
+        return table
+    return table.where(~F.col(column).isin(sorted(affected))).unionByName(staged.select(*table.columns))
+
+
+# --- tests while writing -------------------------------------------------------------
+
+class Watch:
+    """Counts the rows that fail the ``not_null`` and ``accepted_values`` tests of a model
+    while it is written; these tests then need no scan of their own."""
+
+    def __init__(self, model: str, tests: list[DataTest] | tuple[DataTest, ...]) -> None:
+        self.tests = [t for t in tests if t.model == model and t.kind in ("not_null", "accepted_values")]
+        self.observation = Observation()
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        aggs = []
+        for i, t in enumerate(self.tests):
+            c = F.col(t.columns[0])
+            kind = df.schema[t.columns[0]].dataType
+            values = [str(v) for v in t.values] if isinstance(kind, StringType) else list(t.values)
+            bad = c.isNull() if t.kind == "not_null" else c.isNotNull() & ~c.isin(*values)
+            aggs.append(F.count_if(bad).alias(f"t{i}"))
+        return df.observe(self.observation, *aggs) if aggs else df
+
+    def passed(self) -> list[DataTest]:
+        """The tests that no written row fails (a task that ran twice may count a row
+        twice, so only zero is taken from here)."""
+        found = self.observation.get if self.tests else {}
+        return [t for i, t in enumerate(self.tests) if found[f"t{i}"] == 0]
+
+
 class DataQualityError(RuntimeError):
     def __init__(self, failures: list[tuple[str, int]]):
         self.failures = failures

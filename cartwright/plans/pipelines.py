@@ -13,17 +13,21 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from cartwright import contracts, fixed
 from cartwright.operators import quality
-from cartwright.operators.incremental import delete_insert, max_partition_value, table_exists
+from cartwright.operators.incremental import (
+    delete_insert, index_of, max_partition_value, stage_delete_insert, table_exists,
+)
 from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
 from cartwright.plans.models import Models
 from cartwright.plans.views import VIEWS
 from cartwright.raw import RawLayer
-from cartwright.session import path_exists, write_and_swap
+from cartwright.session import Pending, path_exists, recover, write_and_swap, write_pending
 from cartwright.sinks.feed_landing import land_json_arrays
 from cartwright.sinks.loads import (
     create_raw_table, load_full, load_waves, partitions_of, read_landed, read_loaded_wave_table,
@@ -56,6 +60,7 @@ def read_raw(spark: SparkSession, wh: Warehouse) -> RawLayer:
     """The loaded raw tables (without the audit column); a table not loaded
     yet reads as empty with its contract schema."""
     t = {}
+    recover(spark, f"{wh.root}/raw")
     for c in contracts.TABLES:
         if not path_exists(spark, wh.raw(c.name)):
             t[c.name] = spark.createDataFrame([], c.schema())
@@ -80,6 +85,21 @@ def run_setup(spark: SparkSession, wh: Warehouse, csv_landing: str, database: st
         load_full(read_contract_csv(spark, f"{csv_landing}/{c.name}", c), c, wh.raw(c.name))
 
 
+FACT_KEY, FACT_PARTITION = ["order_id", "product_id"], "order_number"
+
+
+def _fact_batch(spark: SparkSession, m: Models, path: str, waves: list[int] | None) -> DataFrame | None:
+    """The lines a refresh applies; None if nothing is new."""
+    op = m.stg_order_products
+    if waves is not None:
+        lines = op.where(op.order_number.isin(list(waves)))
+    else:
+        lines = op.where(op.order_number > max_partition_value(spark, path, FACT_PARTITION))
+        if lines.isEmpty():  # partition-pruned probe: nothing new
+            return None
+    return fact_order_items(lines, m.stg_orders)
+
+
 def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse, waves: list[int] | None = None,
                              full: bool = False) -> int:
     """M14 incremental: lines with ``order_number`` above the target's maximum
@@ -92,39 +112,123 @@ def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse, wave
     lines that moved into them are gone elsewhere. ``full`` rebuilds everything.
     """
     path = wh.mart("fact_order_items")
-    key, part = ["order_id", "product_id"], "order_number"
     if full:
         rows = fact_order_items(m.stg_order_products, m.stg_orders).select(*FACT_ORDER_ITEMS_COLUMNS)
-        write_and_swap(rows, path, partition_by=part, sort_by=key[0])
+        write_and_swap(rows, path, partition_by=FACT_PARTITION, sort_by=FACT_KEY[0])
         return -1
-    op = m.stg_order_products
-    if waves is not None:
-        lines = op.where(op.order_number.isin(list(waves)))
-    else:
-        lines = op.where(op.order_number > max_partition_value(spark, path, part))
-        if lines.isEmpty():  # partition-pruned probe: nothing new
-            return 0
-    batch = fact_order_items(lines, m.stg_orders)
-    return delete_insert(spark, batch, path, key, part, FACT_ORDER_ITEMS_COLUMNS, replace=waves)
+    batch = _fact_batch(spark, m, path, waves)
+    if batch is None:
+        return 0
+    return delete_insert(spark, batch, path, FACT_KEY, FACT_PARTITION, FACT_ORDER_ITEMS_COLUMNS, replace=waves)
 
 
-def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: bool = True,
-                fact_waves: list[int] | None = None, threads: int = 4, full: bool = False) -> None:
-    """The reused aggregate first, then the marts read it back. Each table
-    is replaced only when its new content is complete.
+@dataclass
+class StagedMart:
+    """New content of a mart that nothing reads yet. ``affected``: the partitions it
+    replaces, None for the whole table."""
+
+    name: str
+    pending: Pending
+    watch: quality.Watch
+    affected: set[int] | None = None
+
+    def rows(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(self.pending.path)
+
+
+def stage_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: bool = True, fact_waves: list[int] | None = None,
+                threads: int = 4, full: bool = False, tests=()) -> list[StagedMart]:
+    """B9, up to complete but hidden tables: the reused aggregate first, which the marts
+    read, then the marts.
 
     The marts do not depend on each other, so their writes are submitted from
     ``threads`` driver threads at once (as the source builds independent
-    models in parallel); each is its own Spark job sharing the executors.
+    models in parallel); each is its own Spark job sharing the executors. Tests that can
+    be answered row by row are answered by the writes (``tests``).
     """
-    write_and_swap(m.int_order_metrics, wh.intermediate("int_order_metrics"))
+    staged: list[StagedMart] = []
+
+    def table(name: str, df: DataFrame, target: str) -> None:
+        watch = quality.Watch(name, tests)
+        staged.append(StagedMart(name, write_pending(watch(df), target), watch))
+
+    def fact() -> None:
+        path = wh.mart("fact_order_items")
+        if full or not partitions_of(spark, path, FACT_PARTITION):
+            lines = m.stg_order_products
+            if fact_waves is not None and not full:
+                lines = lines.where(lines.order_number.isin(list(fact_waves)))
+            watch = quality.Watch("fact_order_items", tests)
+            rows = fact_order_items(lines, m.stg_orders).select(*FACT_ORDER_ITEMS_COLUMNS)
+            staged.append(StagedMart("fact_order_items", write_pending(watch(rows), path, FACT_PARTITION, FACT_KEY[0]), watch))
+            return
+        batch = _fact_batch(spark, m, path, fact_waves)
+        if batch is not None:
+            pending, affected = stage_delete_insert(spark, batch, path, FACT_KEY, FACT_PARTITION, FACT_ORDER_ITEMS_COLUMNS,
+                                                    replace=fact_waves)
+            if pending is not None:
+                staged.append(StagedMart("fact_order_items", pending, quality.Watch("fact_order_items", ()), affected))
+
+    try:
+        schema = m.int_order_metrics.schema
+        table("int_order_metrics", m.int_order_metrics, wh.intermediate("int_order_metrics"))
+        m.use_materialized("int_order_metrics", staged[0].rows(spark, schema))
+        names = [n for n in MART_TABLES if include_feed or n != "dim_food_product"]
+        tasks = [lambda n=n: table(n, m.get(n), wh.mart(n)) for n in names] + [fact]
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            for f in [pool.submit(t) for t in tasks]:
+                f.result()  # re-raise the first failure
+    except BaseException:
+        discard(staged)
+        raise
+    return staged
+
+
+def discard(staged: list[StagedMart]) -> None:
+    for s in staged:
+        s.pending.discard()
+
+
+def publish(spark: SparkSession, wh: Warehouse, staged: list[StagedMart]) -> None:
+    for s in staged:
+        s.pending.publish()
+        if s.name == "fact_order_items" and partitions_of(spark, wh.mart(s.name), FACT_PARTITION):
+            index_of(spark.read.parquet(wh.mart(s.name)), wh.mart(s.name), FACT_KEY, FACT_PARTITION).refresh(spark)
+
+
+def audit(spark: SparkSession, m: Models, wh: Warehouse, staged: list[StagedMart],
+          tests: tuple[quality.DataTest, ...] | list[quality.DataTest]) -> list[tuple[str, int]]:
+    """Q6 before anything is published: the tests on the staged marts, and on published
+    ones that are not staged. Tests that no row failed while it was written are not run
+    again; the line fact is tested from what is kept per wave and the staged waves."""
+    tables, passed = mart_tables(spark, wh), []
+    fact = next((s for s in staged if s.name == "fact_order_items"), None)
+    for s in staged:
+        passed += s.watch.passed()
+        schema = m.get(s.name).schema
+        if s is fact:
+            schema = StructType([schema[c] for c in FACT_ORDER_ITEMS_COLUMNS])
+        tables[s.name] = s.rows(spark, schema)
+    todo = [t for t in tests if t not in passed]
+    results = []
+    if "fact_order_items" in tables and (fact is None or fact.affected is not None):
+        lines = [t for t in todo if t.model == "fact_order_items"]
+        todo = [t for t in todo if t not in lines]
+        rows, affected = (None, ()) if fact is None else (tables["fact_order_items"], fact.affected)
+        if lines:
+            results.append(quality.evaluate_incremental(spark, lines, tables, wh.mart("fact_order_items"), FACT_PARTITION,
+                                                        rows, affected))
+    if todo:
+        results.append(quality.evaluate(todo, tables))
+    done = quality.gate(reduce(DataFrame.unionByName, results)) if results else []
+    return sorted(done + [(t.name, 0) for t in passed])
+
+
+def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: bool = True,
+                fact_waves: list[int] | None = None, threads: int = 4, full: bool = False) -> None:
+    """Every mart is replaced when the new content of all of them is complete."""
+    publish(spark, wh, stage_marts(spark, m, wh, include_feed, fact_waves, threads, full))
     m.use_materialized("int_order_metrics", spark.read.parquet(wh.intermediate("int_order_metrics")))
-    names = [n for n in MART_TABLES if include_feed or n != "dim_food_product"]
-    tasks = [lambda n=n: write_and_swap(m.get(n), wh.mart(n)) for n in names]
-    tasks.append(lambda: refresh_fact_order_items(spark, m, wh, waves=fact_waves, full=full))
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        for f in [pool.submit(t) for t in tasks]:
-            f.result()  # re-raise the first failure
 
 
 def register_layers(spark: SparkSession, wh: Warehouse, prefix: str = "", raw_root: str | None = None) -> dict[str, str]:
@@ -184,6 +288,7 @@ def _location_of(spark: SparkSession, db: str, name: str) -> str | None:
 
 
 def mart_tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
+    recover(spark, f"{wh.root}/marts")
     out = {n: spark.read.parquet(wh.mart(n)) for n in MART_TABLES + ["fact_order_items"]
            if table_exists(spark, wh.mart(n))}
     return out
@@ -203,15 +308,29 @@ def run_wave(spark: SparkSession, wh: Warehouse, landing: str, waves: list[int],
     """One (or several) waves: replace them in the raw wave tables, from
     ``<landing>/<table>/<table>_NNN.csv`` or Parquet partitions, rebuild the marts,
     advance the incremental fact (or, with ``replace_waves``, replace exactly these
-    waves in it, or, with ``full``, rebuild it), and gate on the data tests. The feed's
-    dimension is not part of a wave; it is left out until there is a feed."""
+    waves in it, or, with ``full``, rebuild it), and gate on the data tests. The marts are
+    tested before they are published: if a test fails, all marts stay as they were. The
+    feed's dimension is not part of a wave; it is left out until there is a feed."""
     landed = {c.name: read_landed(spark, f"{landing}/{c.name}", c, waves) for c in contracts.WAVE_TABLES}
     for c in contracts.WAVE_TABLES:
         load_waves(spark, landed[c.name], c, waves, wh.raw(c.name))
     m = Models(spark, read_raw(spark, wh))
     feed = table_exists(spark, wh.raw("off_products_raw"))
-    build_marts(spark, m, wh, include_feed=feed, fact_waves=list(waves) if replace_waves else None, full=full)
-    return run_gate(spark, wh, skip=() if feed else ("dim_food_product",))
+    tests = [t for t in quality.MART_TESTS if feed or "dim_food_product" not in (t.model, t.to_model)]
+    staged = stage_marts(spark, m, wh, feed, list(waves) if replace_waves else None, full=full, tests=tests)
+    return _audited(spark, m, wh, staged, tests)
+
+
+def _audited(spark: SparkSession, m: Models, wh: Warehouse, staged: list[StagedMart],
+             tests: list[quality.DataTest]) -> list[tuple[str, int]]:
+    """Publish what passes its tests, and nothing otherwise."""
+    try:
+        results = audit(spark, m, wh, staged, tests)
+    except BaseException:
+        discard(staged)
+        raise
+    publish(spark, wh, staged)
+    return results
 
 
 def run_pull(spark: SparkSession, wh: Warehouse, feed: DataFrame, feed_landing: str, pulled_at,
@@ -231,8 +350,11 @@ def run_pull(spark: SparkSession, wh: Warehouse, feed: DataFrame, feed_landing:
 
 
 def run_feed(spark: SparkSession, wh: Warehouse, feed_landing: str) -> list[tuple[str, int]]:
-    """Product feed: ingest new landed files once (K1), rebuild the feed dimension, gate it."""
+    """Product feed: ingest new landed files once (K1), build the feed dimension, publish it
+    if it passes its tests."""
     ingest_json_arrays(spark, feed_landing, wh.raw("off_products_raw"), wh.checkpoint("off_products_raw"))
     m = Models(spark, read_raw(spark, wh))
-    write_and_swap(m.dim_food_product, wh.mart("dim_food_product"))
-    return run_gate(spark, wh, models=["dim_food_product"])
+    tests = [t for t in quality.MART_TESTS if t.model == "dim_food_product"]
+    watch = quality.Watch("dim_food_product", tests)
+    staged = [StagedMart("dim_food_product", write_pending(watch(m.dim_food_product), wh.mart("dim_food_product")), watch)]
+    return _audited(spark, m, wh, staged, tests)

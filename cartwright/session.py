@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -111,8 +112,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint root."""
     path = f"{checkpoint_root(spark)}/cartwright/{purpose}-{uuid.uuid4().hex[:12]}"
-    fs, p = _folder(spark, path)
-    fs.mkdirs(p)
+    make_folder(spark, path)
     return path
 
 
@@ -135,6 +135,11 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.mkdirs(p)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _folder(spark, path)
     if fs.exists(p):
@@ -150,34 +155,133 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
-def write_and_swap(df: DataFrame, target: str, partition_by: str | None = None, sort_by: str | None = None) -> None:
-    """Replace the Parquet folder ``target`` by ``df``, old content or new;
-    with ``partition_by`` balanced by that column, each file sorted by ``sort_by``.
+# --- replacing tables ----------------------------------------------------------
+#
+# New content is computed into a hidden ``.tmp-<mark>-<name>`` beside its table. Renaming
+# that folder to ``.ready-<name>`` is the commit: from then on the swap is finished by
+# whoever comes first, this process or the next reader or writer (``recover``). The names
+# alone tell how far a swap came, so a process may stop at any point:
+#
+#     .ready and table            -> table to .old, .ready to table, .old goes
+#     .ready and .old, no table   -> .ready to table, .old goes
+#     .ready alone                -> .ready to table
+#     .old and table              -> .old goes
+#
+# Partitions of one table are replaced together: ``.ready-partitions`` holds a folder for
+# each, an empty one for a partition that is to go. Each table has one writer at a time.
 
-    The new content is computed into a hidden sibling first, so a job that fails
-    leaves the old content as it was (and ``df`` may read ``target``). Then the
-    folders are renamed; if that fails the old one is put back.
-    """
-    spark = df.sparkSession
+_READY, _OLD, _PARTITIONS = ".ready-", ".old-", ".ready-partitions"
+
+
+def _beside(target: str, prefix: str) -> str:
     parent, name = target.rstrip("/").rsplit("/", 1)
-    mark = uuid.uuid4().hex[:12]
-    fresh, old = f"{parent}/.new-{mark}-{name}", f"{parent}/.old-{mark}-{name}"
-    try:
-        if partition_by:
-            (df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *([sort_by] if sort_by else []))
-             .write.partitionBy(partition_by).parquet(fresh))
+    return f"{parent}/{prefix}{name}"
+
+
+@dataclass(frozen=True)
+class Pending:
+    """Complete new content of a table, or of some of its partitions, that nothing
+    reads yet: :meth:`publish` swaps it in, :meth:`discard` drops it."""
+
+    spark: SparkSession
+    target: str
+    path: str
+    partitions: bool = False
+
+    def publish(self) -> None:
+        if self.partitions:
+            recover(self.spark, self.target)
+            move(self.spark, self.path, f"{self.target}/{_PARTITIONS}")
+            recover(self.spark, self.target)
         else:
-            df.write.parquet(fresh)
-        had = path_exists(spark, target)
-        if had:
+            _settle(self.spark, self.target)
+            move(self.spark, self.path, _beside(self.target, _READY))
+            _settle(self.spark, self.target)
+
+    def discard(self) -> None:
+        remove(self.spark, self.path)
+
+
+def _settle(spark: SparkSession, target: str) -> None:
+    """Finish what a swap of ``target`` left undone."""
+    ready, old = _beside(target, _READY), _beside(target, _OLD)
+    if path_exists(spark, ready):
+        if path_exists(spark, target):
+            remove(spark, old)  # of an earlier swap, whose new content is in place
             move(spark, target, old)
-        try:
-            move(spark, fresh, target)
-        except Exception:
-            if had:
-                move(spark, old, target)
-            raise
-    finally:
-        remove(spark, fresh)
+        move(spark, ready, target)
+    if path_exists(spark, old):
         if path_exists(spark, target):
             remove(spark, old)
+        else:
+            move(spark, old, target)
+
+
+def recover(spark: SparkSession, folder: str) -> None:
+    """Finish interrupted swaps of ``folder`` itself, of what lies directly in it, and of
+    its partitions. Two listings where there is nothing to do."""
+    own = folder.rstrip("/").rsplit("/", 1)[1]
+    around = list_names(spark, folder.rstrip("/").rsplit("/", 1)[0])
+    if f"{_READY}{own}" in around or f"{_OLD}{own}" in around:
+        _settle(spark, folder)
+    names = list_names(spark, folder)
+    for name in {n.removeprefix(_READY).removeprefix(_OLD) for n in names if n.startswith((_READY, _OLD)) and n != _PARTITIONS}:
+        _settle(spark, f"{folder}/{name}")
+    if _PARTITIONS in names:
+        ready = f"{folder}/{_PARTITIONS}"
+        for name in list_names(spark, ready):
+            if "=" not in name:
+                continue
+            remove(spark, f"{folder}/{name}")
+            if list_names(spark, f"{ready}/{name}"):
+                move(spark, f"{ready}/{name}", f"{folder}/{name}")
+            else:
+                remove(spark, f"{ready}/{name}")
+        remove(spark, ready)
+
+
+def _write(df: DataFrame, path: str, partition_by: str | None, sort_by: str | None) -> None:
+    if partition_by:
+        df = df.hint("rebalance", partition_by).sortWithinPartitions(partition_by, *([sort_by] if sort_by else []))
+        df.write.partitionBy(partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
+
+
+def _written(pending: Pending, write) -> Pending:
+    try:
+        write()
+    except BaseException:
+        pending.discard()
+        raise
+    return pending
+
+
+def write_pending(df: DataFrame, target: str, partition_by: str | None = None, sort_by: str | None = None) -> Pending:
+    """Compute the new content of the Parquet folder ``target`` (``df`` may read it);
+    with ``partition_by`` balanced by that column, each file sorted by ``sort_by``."""
+    fresh = Pending(df.sparkSession, target, _beside(target, f".tmp-{uuid.uuid4().hex[:12]}-"))
+    return _written(fresh, lambda: _write(df, fresh.path, partition_by, sort_by))
+
+
+def write_pending_partitions(df: DataFrame, target: str, partition_by: str, replaced: list, sort_by: str | None = None) -> Pending:
+    """Compute new content of the partitions ``replaced``, those that ``df`` has rows
+    for and others, which will be gone."""
+    spark = df.sparkSession
+    fresh = Pending(spark, target, f"{target}/.tmp-{uuid.uuid4().hex[:12]}", partitions=True)
+
+    def write() -> None:
+        _write(df, fresh.path, partition_by, sort_by)
+        names = set(list_names(spark, fresh.path))
+        for value in replaced:
+            if f"{partition_by}={value}" not in names:
+                make_folder(spark, f"{fresh.path}/{partition_by}={value}")
+
+    return _written(fresh, write)
+
+
+def write_and_swap(df: DataFrame, target: str, partition_by: str | None = None, sort_by: str | None = None) -> None:
+    """Replace the Parquet folder ``target`` by ``df``. A job that fails leaves the old
+    content; a process that stops on the way leaves the old or the new one to the next
+    reader or writer (see above)."""
+    write_pending(df, target, partition_by, sort_by).publish()

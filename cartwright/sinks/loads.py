@@ -3,8 +3,9 @@
 Raw wave tables are Parquet partitioned by their wave column, so "delete the
 wave, load it again" (B6) replaces one partition folder. Every replacement is
 computed before anything old is touched and then swapped in by rename: a load that
-fails leaves the table as it was, a rerun gives the same content, and a wave
-without a file ends up empty.
+fails leaves the table as it was, one that is killed leaves it old or new (readers
+finish its swap), a rerun gives the same content, and a wave without a file ends up
+empty.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from cartwright import contracts
 from cartwright.contracts import TableContract
 from cartwright.operators.joins import strict_lookup
-from cartwright.session import list_names, path_exists, remove, write_and_swap
+from cartwright.session import list_names, path_exists, recover, write_and_swap, write_pending_partitions
 from cartwright.sources.csv import csv_waves, read_contract_csv, read_csv_waves, wave_file_label, write_contract_csv
 
 
@@ -40,6 +41,7 @@ def read_waves(spark: SparkSession, path: str, contract: TableContract) -> DataF
     """A2/A3: a wave table with its contract schema; a filter on the wave
     column prunes partitions, a missing wave reads empty. A missing table folder
     is an error: a mistyped path must not pass for empty waves."""
+    recover(spark, path)
     if not path_exists(spark, path):
         raise FileNotFoundError(f"nothing landed at {path}")
     return spark.read.schema(contract.schema()).parquet(path).select(*contract.column_names)
@@ -107,38 +109,22 @@ def load_wave(spark: SparkSession, df: DataFrame | None, contract: TableContract
 
 
 def partitions_of(spark: SparkSession, target: str, column: str) -> dict[str, str]:
-    """Partition value (as written in the folder name) -> folder, from one listing."""
+    """Partition value (as written in the folder name) -> folder."""
+    recover(spark, target)
     return {n.split("=", 1)[1]: f"{target}/{n}" for n in list_names(spark, target) if n.startswith(f"{column}=")}
 
 
 def load_waves(spark: SparkSession, df: DataFrame, contract: TableContract, waves: list[int], target: str) -> None:
     """B6 for several waves in one job: every listed wave is replaced by its
-    rows in ``df`` (dynamic partition overwrite, whose commit comes last); listed
-    waves without rows are emptied. Waves not listed are untouched."""
+    rows in ``df``; listed waves without rows are gone. Waves not listed are
+    untouched. All waves change together, or none if the load fails."""
     wave_col = contract.wave_column
     rows = with_loaded_at(df.where(F.col(wave_col).isin(waves)).select(*contract.column_names))
-    before = list_files(spark, target, wave_col, waves)
-    (rows.hint("rebalance", wave_col)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(wave_col).parquet(target))
-    drop_unchanged(spark, target, wave_col, before)
-
-
-def list_files(spark: SparkSession, target: str, column: str, values: list[int]) -> dict[str, list[str]]:
-    """The file names of the partitions ``values`` that exist."""
-    there = partitions_of(spark, target, column)
-    return {v: list_names(spark, there[v]) for v in map(str, values) if v in there}
-
-
-def drop_unchanged(spark: SparkSession, target: str, column: str, before: dict[str, list[str]]) -> None:
-    """Remove partitions whose files an overwrite did not replace: no row came
-    for them, so what they hold is old."""
-    for value, files in before.items():
-        path = f"{target}/{column}={value}"
-        if list_names(spark, path) == files:
-            remove(spark, path)
+    write_pending_partitions(rows, target, wave_col, waves).publish()
 
 
 def read_loaded_wave_table(spark: SparkSession, target: str, contract: TableContract) -> DataFrame:
+    recover(spark, target)
     schema = contract.schema().add("_loaded_at", "timestamp")
     return spark.read.schema(schema).parquet(target).select(*contract.column_names, "_loaded_at")
 

@@ -9,7 +9,8 @@ A line may land before its order. Orders are read anew for every batch, and
 lines without one wait in a pending table: batch N takes what batch N-1 left,
 applies what has its order now, and leaves the rest as pending N. A replay of N
 reads the same pending N-1 again. Before the stream starts, and without new files,
-waiting lines are tried once more.
+waiting lines are tried once more. Lines whose order has landed but is not among those
+that staging keeps will never have one there; they leave the pending table.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from cartwright import contracts
 from cartwright.operators.incremental import delete_insert
 from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
-from cartwright.session import list_names, remove, write_and_swap
+from cartwright.session import list_names, recover, remove, write_and_swap
 
 LINES = ("order_id long, product_id int, add_to_cart_order int, reordered int, order_number int, source string")
 
@@ -40,17 +41,19 @@ def stream_order_products(spark: SparkSession, raw_root: str, max_files_per_trig
     return parts[0].unionByName(parts[1])
 
 
-def _settle(spark: SparkSession, lines: DataFrame, orders: DataFrame, target: str, pending: str) -> None:
-    """Apply the lines whose order is there; leave the others in ``pending``."""
+def _settle(spark: SparkSession, lines: DataFrame, orders: DataFrame, landed: DataFrame, target: str, pending: str) -> None:
+    """Apply the lines whose order is there; leave those whose order has not landed in
+    ``pending``."""
     delete_insert(spark, fact_order_items(lines, orders), target, ["order_id", "product_id"], "order_number",
                   FACT_ORDER_ITEMS_COLUMNS)
     # last, since ``lines`` may read what this replaces; a crash in between only repeats the step above
-    waiting = lines.join(orders.select("order_id"), "order_id", "left_anti").select(*lines.columns)
+    waiting = lines.join(landed.select("order_id"), "order_id", "left_anti").select(*lines.columns)
     write_and_swap(waiting, pending)
 
 
 def _left(spark: SparkSession, pending_root: str, before: int) -> tuple[int, DataFrame]:
     """The newest pending table older than ``before``; -1 and no rows without one."""
+    recover(spark, pending_root)
     epoch = max((int(n) for n in list_names(spark, pending_root) if n.isdigit() and int(n) < before), default=-1)
     if epoch < 0:
         return epoch, spark.createDataFrame([], LINES)
@@ -58,21 +61,23 @@ def _left(spark: SparkSession, pending_root: str, before: int) -> tuple[int, Dat
 
 
 def refresh_on_new_lines(spark: SparkSession, lines_stream: DataFrame, orders: Callable[[], DataFrame], target: str,
-                         checkpoint: str) -> None:
+                         checkpoint: str, landed: Callable[[], DataFrame] | None = None) -> None:
     """``lines_stream``: streaming stg_order_products rows; ``orders``: gives
-    stg_orders as it stands at the time of the call."""
+    stg_orders as it stands at the time of the call; ``landed``: gives the order_id of
+    all landed orders, those included that staging filters out (default: ``orders``)."""
+    landed = landed or orders
     pending = f"{checkpoint}_pending"
 
     def apply(batch: DataFrame, number: int) -> None:
         _, waiting = _left(spark, pending, number + 1)
-        _settle(spark, batch.select(*waiting.columns).unionByName(waiting), orders(), target, f"{pending}/{number + 1}")
+        _settle(spark, batch.select(*waiting.columns).unionByName(waiting), orders(), landed(), target, f"{pending}/{number + 1}")
         for name in list_names(spark, pending):
             if name.isdigit() and int(name) < number:
                 remove(spark, f"{pending}/{name}")
 
     newest, waiting = _left(spark, pending, 1 << 62)
     if newest >= 0 and not waiting.isEmpty():
-        _settle(spark, waiting, orders(), target, f"{pending}/{newest}")
+        _settle(spark, waiting, orders(), landed(), target, f"{pending}/{newest}")
     q = (lines_stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartwright.plans.models import Models
 from cartwright.session import configure
-from cartwright_catalog import oracle, scenarios
+from cartwright_catalog import oracle, scenarios, upkeep
 from cartwright_catalog.landed import landed_raw_layer
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,13 @@ QUERIES: dict[str, QueryFn] = {
     "orphan_line_count": scenarios.orphan_line_count,
     "orders_by_day_part": scenarios.orders_by_day_part,
     "staging_sql_views": scenarios.staging_sql_views,
+    "wave_after_killed_swap": upkeep.wave_after_killed_swap,
+    "audit_before_publish": upkeep.audit_before_publish,
+    "dq_incremental": upkeep.dq_incremental,
+    "dq_mixed_types": upkeep.dq_mixed_types,
+    "fact_order_items_moved_keys": upkeep.fact_order_items_moved_keys,
+    "products_after_bad_csv": upkeep.products_after_bad_csv,
+    "fact_after_schema_change": upkeep.fact_after_schema_change,
 }
 
 ORACLE: dict[str, str] = {
@@ -116,4 +123,15 @@ GROUP BY ALL"""),
     "dq_unique_combination": oracle.dq_sql(scenarios.dq_tests("unique_combination")),
     "dq_all_mart_tests": oracle.dq_sql(scenarios.dq_tests(None)),
     "warehouse_run_gate": oracle.dq_sql(scenarios.dq_tests(None)),
+    "wave_after_killed_swap": oracle.with_models("""
+SELECT * FROM raw_order_products_prior
+WHERE order_number <> 6 AND (order_number NOT IN (2, 3, 4, 5) OR product_id % 2 = 0)"""),
+    "audit_before_publish": oracle.with_models("""
+SELECT f.*, o.basket_size, u.total_items_purchased FROM fact_order_items f
+JOIN fact_orders o USING (order_id) JOIN dim_user u ON u.user_key = f.user_key"""),
+    "dq_incremental": upkeep.dq_incremental_sql(oracle.with_models, oracle.dq_select),
+    "dq_mixed_types": upkeep.MIXED_SQL + "\nUNION ALL\n".join(oracle.dq_select(t) for t in upkeep.MIXED_TESTS),
+    "fact_order_items_moved_keys": oracle.with_models(upkeep.MOVED),
+    "products_after_bad_csv": oracle.with_models("SELECT * FROM raw_products"),
+    "fact_after_schema_change": oracle.with_models("SELECT * FROM fact_order_items"),
 }
