@@ -70,6 +70,16 @@ def pages() -> Iterator[str]:
             f"<p><a href='/{n}'>{_words(n)}</a> {_words(k)}</p>" for n, k in ((14, 2), (22, 5), (18, 1), (30, 9), (16, 3)))
             + "</div></body>")
         yield (f"<body><ul>{_linked(6, 16)}</ul><div>{_p(*sizes)}</div><ul>{_linked(4, 25)}</ul><p>{_words(4)[:-1]}</p></body>")
+    # an article without a name beside named boxes, however long their text
+    for long in (8, 30, 60, 150):
+        for sizes in ((60, 45, 80), (120, 12, 70)):
+            boxes = ("<div class='comments'><p>", "<footer><p>", "<div class='cookie-notice'><p>", "<div class='ad'><p>", "<form><p>",
+                     "<aside><p>", "<div class='related'><p>", "<section id='newsletter'><p>")
+            yield (f"<body>{_menu()}<div>{_title(6)}{_p(*sizes)}</div>"
+                   + "".join(f"{box}{_words(long + i)} {_words(long, i)}</p></{box[1:].split('>')[0].split()[0]}>"
+                             for i, box in enumerate(boxes)) + "</body>")
+            yield (f"<body><div class='cookie-notice'><p>{_words(long)}</p></div><div>{_title(5)}{_p(*sizes)}</div>"
+                   f"<div class='comments'><p>{_words(long)}</p><p>{_words(2 * long)}</p></div><footer><p>{_words(long)}</p></footer></body>")
     # an article element, and long text around it that has no name
     for long in (15, 40, 90):
         yield (f"<body><div><p>{_words(long)}</p></div><article>{_title()}{_p(long, 3, 60)}</article>"

@@ -1,7 +1,8 @@
 """Main text of web pages from flat text blocks.
 
 A page is read as a flat sequence of text blocks: block-level tags end a block,
-inline tags do not. A block knows its number of words, the share of its words
+inline tags do not; elements end where HTML ends them, also without an end tag. A
+block knows its number of words, the share of its words
 inside links, the zone it stands in (an element or class that says article, or
 one that says menu, footer, advert, comment ...), whether the page has an article
 zone, and the words and link density of the blocks before and after it. A
@@ -33,10 +34,22 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark nobr q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that hold others and so carry a zone.
-_HOLDERS = frozenset(
-    "html head body div section article main nav header footer aside form table ul ol dl figure center td details dialog "
-    "fieldset".split())
+#: Block elements whose class or id cannot make them the article: parts of text.
+_PARTS = frozenset("p li dd dt tr th caption figcaption blockquote pre address summary h1 h2 h3 h4 h5 h6".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Where end tags may be left out: a start tag ends these elements, up to an element that holds them.
+_ENDS = {
+    **dict.fromkeys(("li",), (frozenset(("li",)), frozenset(("ul", "ol", "menu")))),
+    **dict.fromkeys(("dd", "dt"), (frozenset(("dd", "dt")), frozenset(("dl",)))),
+    **dict.fromkeys(("td", "th"), (frozenset(("td", "th")), frozenset(("tr", "table")))),
+    "tr": (frozenset(("td", "th", "tr")), frozenset(("table",))),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), (frozenset(("td", "th", "tr", "tbody", "thead", "tfoot", "caption")),
+                                                  frozenset(("table",)))),
+}
+#: What may stand in a head; anything else ends it.
+_IN_HEAD = frozenset("meta link base title script style noscript template object".split())
+#: A paragraph cannot be closed from inside these.
+_NOT_IN_P = frozenset("td th caption button table html body".split())
 _BOILER_TAGS = frozenset("nav footer aside form dialog fieldset head".split())
 _MAIN_TAGS = frozenset("article main".split())
 _MAIN_NAMES = frozenset("article main content post entry story articlebody body text".split())
@@ -74,6 +87,8 @@ def _zone(tag: str, attributes: dict[str, str], outer: int) -> int:
     if tag in _BOILER_TAGS or tag == "header" and wraps:
         return -2 if tag == "form" and wraps else -1
     main = 1 if outer in (0, 1) else 2
+    if tag in _HEADINGS:
+        return outer
     if attributes.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
         return -1
     names = {n.lower() for k in ("class", "id") if k in attributes for n in _NAMES.findall(attributes[k])}
@@ -82,12 +97,18 @@ def _zone(tag: str, attributes: dict[str, str], outer: int) -> int:
         if around:
             return outer if around <= _SOFT_NAMES and (names & _MAIN_NAMES or outer > 0) else (
                 -2 if wraps and tag not in _MAIN_TAGS and not around & _OTHERS_NAMES else -1)
+        if tag in _PARTS:
+            return outer
         if attributes.get("role") in ("main", "article") or outer != -2 and (
                 names & _MAIN_NAMES or "articlebody" in attributes.get("itemprop", "").lower()):
             return main
     return main if tag in _MAIN_TAGS else outer
 
 
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or _HIDDEN.search(attributes.get("style", "")) is not None
+
+
 class Block:
     __slots__ = ("text", "words", "linked", "zone", "heading", "label")
 
@@ -114,6 +135,7 @@ def blocks_of(html: str | None) -> list[Block]:
     stack: list[tuple[str, int]] = []
     state = {"zone": 0, "link": 0, "heading": False, "label": 0}
     linked: list[str] = []
+    hidden: list[tuple[str, int]] = []  # open inline elements from a hidden one on, and how deep the blocks were
 
     def end_block() -> None:
         if pieces:
@@ -124,7 +146,28 @@ def blocks_of(html: str | None) -> list[Block]:
             pieces.clear()
             linked.clear()
 
+    def leave(names: frozenset[str], within: frozenset[str] = frozenset()) -> None:
+        """End the outermost of the open elements ``names`` that is not outside ``within``."""
+        at = len(stack)
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in within:
+                break
+            if stack[i][0] in names:
+                at = i
+        if at < len(stack):
+            drop(at)
+
+    def drop(at: int) -> None:
+        state["zone"], state["link"] = stack[at][1], 0
+        del stack[at:]
+        while hidden and hidden[-1][1] > at:
+            hidden.pop()
+
     def say(raw: str) -> None:
+        if hidden:
+            return
+        if stack and stack[-1][0] == "head" and raw.strip():
+            leave(frozenset(("head",)))
         text = unescape(raw) if "&" in raw else raw
         pieces.append(text)
         if state["link"]:
@@ -148,6 +191,9 @@ def blocks_of(html: str | None) -> list[Block]:
                 tag, raw, at = re.match(r"[^\s/>]+", html[lt + 1:stop + 1])[0].lower(), "", stop + 1
             else:
                 tag, raw, at = m[1].lower(), m[2], m.end()
+            if stack and stack[-1][0] == "head" and tag not in _IN_HEAD:
+                end_block()
+                leave(frozenset(("head",)))
             if tag in _SKIPPED:
                 if not raw.endswith("/"):
                     close = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
@@ -159,6 +205,8 @@ def blocks_of(html: str | None) -> list[Block]:
                 say(" ")
                 continue
             if tag in _INLINE:
+                if tag not in _VOID and (hidden or raw.strip() and _is_hidden(_attributes(raw))):
+                    hidden.append((tag, len(stack)))
                 if tag == "a":
                     state["link"] = 1
                     say(" ") if not pieces else None
@@ -170,13 +218,13 @@ def blocks_of(html: str | None) -> list[Block]:
             if tag in _VOID:
                 continue
             attributes = _attributes(raw) if raw.strip() else {}
-            if tag in _HOLDERS:
-                stack.append((tag, state["zone"]))
-                state["zone"] = _zone(tag, attributes, state["zone"])
-                state["link"] = 0
-                if "hidden" in attributes or _HIDDEN.search(attributes.get("style", "")):
-                    state["zone"] = -1
-            state["heading"] = len(tag) == 2 and tag[0] == "h" and tag[1] in "123456"
+            leave(frozenset(("p",)), _NOT_IN_P)
+            if tag in _ENDS:
+                leave(*_ENDS[tag])
+            stack.append((tag, state["zone"]))
+            state["link"] = 0
+            state["zone"] = -1 if _is_hidden(attributes) else _zone(tag, attributes, state["zone"])
+            state["heading"] = tag in _HEADINGS
             state["label"] = int("data-article" in attributes)
         elif follow == "/" and html[lt + 2:lt + 3].isalpha():
             stop = html.find(">", lt)
@@ -185,17 +233,18 @@ def blocks_of(html: str | None) -> list[Block]:
             tag, at = re.match(r"[^\s/>]+", html[lt + 2:stop + 1])[0].lower(), stop + 1
             if tag == "a":
                 state["link"] = 0
+            if tag in _INLINE and hidden:
+                for i in range(len(hidden) - 1, -1, -1):
+                    if hidden[i][0] == tag:
+                        del hidden[i:]
+                        break
             if tag in _INLINE or tag in _SKIPPED:
                 continue
             end_block()
             state["heading"], state["label"] = False, 0
-            if tag in _HOLDERS and any(t == tag for t, _ in stack):
-                while True:
-                    t, zone = stack.pop()
-                    if t == tag:
-                        state["zone"] = zone
-                        break
-                state["link"] = 0
+            last = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
+            if last >= 0:
+                drop(last)
         elif html.startswith("<!--", lt):
             if html.startswith(("<!-->", "<!--->"), lt):
                 at = html.index(">", lt) + 1

@@ -1,3 +1,6 @@
+import re
+from html import unescape
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +49,30 @@ CASES = {
 }
 
 
+LONG = "Words of a reader or a company that are no part of the article, " * 6 + "and that end here."
+PARA = "Some sentence with enough words to be the text of an article, and then some more words follow here. " * 3
+
+CASES |= {
+    "no end tag of the head": (f"<html><head><title>T</title><meta charset=x><body><article><h1>Short</h1>{BODY}</article>",
+                               "Short " + BODY[3:-4]),
+    "neither head's end nor body": (f"<head><title>T</title><link rel=x><article><p>Short.</p></article>", "Short."),
+    "cells, items and terms without end tags": (
+        "<table><tr><td class=menu><a href=x>One</a><td><article><p>Cell text.</article><tr><td class=sidebar>Beside<td>Not beside"
+        "</table><article><ul><li class=ad>Buy<li>Item<li>Other</ul><dl><dt class=promo>Deal<dd>Meaning</dl></article>",
+        "Cell text. Item Other Meaning"),
+    "hidden paragraphs, headings and words": (
+        f"<article><h2 hidden>No</h2><p hidden>No</p><p style='display:none'>No</p><p>Yes <span hidden>no <b>no</b></span>and "
+        f"<i style='visibility: hidden'>no</i>yes.</p>{BODY}</article>", "Yes and yes. " + BODY[3:-4]),
+    "a hidden word that never ends": ("<article><p>Yes <span hidden>no</p><p>Again.</p></article>", "Yes Again."),
+}
+CASES |= {f"nameless article beside {kind}": (
+    f"<nav><a href=x>Menu</a></nav><div><h1>A title of the page</h1><p>{PARA}</p><p>{PARA}</p></div>{start}<p>{LONG}</p>{end}",
+    " ".join(f"A title of the page {PARA}{PARA}".split()))
+    for kind, start, end in (("comments", "<div class='comments'>", "</div>"), ("a footer", "<footer>", "</footer>"),
+                             ("a notice", "<div class='cookie-notice'>", "</div>"), ("an advert", "<div class='ad'>", "</div>"),
+                             ("a form", "<form>", "</form>"))}
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_cases(tree, name):
     html, want = CASES[name]
@@ -70,6 +97,19 @@ def test_pages_without_names_are_told_by_text_and_links(tree):
     assert main_text(html, tree) == " ".join((para + para).split())
 
 
+def test_given_pages_match_a_naive_reading(spark, tree):
+    """All given pages name their article: what is inside it, tag by tag."""
+    def naive(html):
+        inside = re.search(r"<article>(.*?)</article>", html, re.S)[1]
+        text = unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?(b|i|em|a|span)\b[^>]*>", "", inside)))
+        return " ".join(text.split())
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html", extract_text(F.col("html"), tree).alias("text"))
+    rows = pages.collect()
+    assert len(rows) > 100 and all(r["text"] == naive(r["html"]) for r in rows)
+    assert all(any(b.zone > 0 for b in blocks_of(r["html"])) for r in rows)
+
+
 def test_training_table_is_learnt(spark, tree):
     table = html_text.labelled_blocks(spark)
     assert table.columns == [*html_text.FEATURES, "label"]
