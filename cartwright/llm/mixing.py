@@ -6,9 +6,12 @@ threshold", so a smaller target is always a subset of a larger one and no sort
 of the documents is needed. Thresholds come from histograms: words are summed
 by (source, leading hash bits); the bucket in which the running sum crosses the
 budget is the only one that is refined by the next bits, until every boundary
-bucket holds a single hash, whose documents go in when that is nearer to the
-budget. A histogram has at most ``2**LEVEL_BITS`` rows per source, however many
-documents a source holds; sums are combined before the shuffle.
+bucket holds a single hash. Its documents, copies of one row as a rule, go in one by
+one as long as that is nearer to the budget: they are counted by task, and only the
+task in which the count is reached numbers its own. A histogram has at most
+``2**LEVEL_BITS`` rows per source, however many documents a source holds; sums are
+combined before the shuffle. So the words of a source come within half a document of
+its target.
 
 Targets: sources in code-point order (null last) weigh ``weights``, repeating,
 and share ``share`` times all words; none takes more than ``cap`` times its own
@@ -16,8 +19,8 @@ words, the excess goes to the others by weight (water-filling, closed form over
 the one-row-per-source table).
 
 Defined cases: a null or blank text has size 0 and takes 0; a null source is a
-source of its own; rows equal in id, source and text share one hash and are
-taken alike; with no words at all every target is 0; an empty table gives an
+source of its own; rows equal in id, source and text share one hash, and where that
+is at the boundary some of them are taken once more than others; with no words at all every target is 0; an empty table gives an
 empty result.
 """
 
@@ -74,7 +77,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: tuple[int, int],
 
 
 def _thresholds(slim: DataFrame, goals: DataFrame) -> DataFrame:
-    """Per source: whole copies, and the hash below which one more is taken."""
+    """Per source: whole copies, the hash below which one more is taken (``cut``), and of
+    how many rows with that very hash (``more``)."""
     has = F.col("source_size") > 0
     state = goals.select(
         "source", "target", "source_size",
@@ -92,14 +96,15 @@ def _thresholds(slim: DataFrame, goals: DataFrame) -> DataFrame:
             (F.col("h") >= F.col("low")) & (F.col("h") < F.col("low") + outer)).drop("s")
         bucket = (F.col("h") - F.col("h") % width).alias("bucket")
         hist = inside.groupBy("source", "low", "used", "budget", bucket).agg(
-            F.sum("size").alias("words"), F.min("h").alias("h0"), F.max("h").alias("h1"))
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"), F.min("h").alias("h0"), F.max("h").alias("h1"))
         run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("start", F.col("used") + F.coalesce(F.sum("words").over(run), F.lit(0)))
         # the boundary: the last bucket that starts within the budget
         found = (hist.filter(F.col("start") <= F.col("budget")).groupBy("source")
-                 .agg(F.max(F.struct("bucket", "start", "words", "h0", "h1")).alias("b"))
+                 .agg(F.max(F.struct("bucket", "start", "words", "rows", "h0", "h1")).alias("b"))
                  .select(F.col("source").alias("s"), F.col("b.bucket").alias("low2"), F.col("b.start").alias("used2"),
-                         F.col("b.words").alias("words"), F.col("b.h0").alias("h0"), F.col("b.h1").alias("h1")))
+                         F.col("b.words").alias("words"), F.col("b.rows").alias("rows"), F.col("b.h0").alias("h0"),
+                         F.col("b.h1").alias("h1")))
         state = materialize(
             state.select("source", "target", "source_size", "whole", "budget", "low", "used")
             .join(found, F.col("source").eqNullSafe(F.col("s")), "left")
@@ -107,9 +112,28 @@ def _thresholds(slim: DataFrame, goals: DataFrame) -> DataFrame:
             .drop("s", "low2", "used2"), "mix-threshold")
         if state.filter("h0 < h1").isEmpty():
             break
-    nearer = F.col("used") + F.col("words") - F.col("budget") <= F.col("budget") - F.col("used")
-    cut = F.when(F.col("words").isNull(), F.lit(0)).when(nearer, F.col("h0") + 1).otherwise(F.col("h0"))
-    return state.select(F.col("source").alias("s"), "source_size", "target", "whole", cut.alias("cut"))
+    # of the rows with the boundary hash, all of one size but for a hash collision, so many
+    each = F.col("words") / F.col("rows")
+    more = F.least(F.floor((F.col("budget") - F.col("used")) / each + 0.5), F.col("rows"))
+    return state.select(F.col("source").alias("s"), "source_size", "target", "whole", F.coalesce("h0", F.lit(-1)).alias("cut"),
+                        F.greatest(F.coalesce(more, F.lit(0)), F.lit(0)).cast("long").alias("more"))
+
+
+def _first_copies(edge: DataFrame) -> DataFrame:
+    """Rows with their source's boundary hash -> with ``extra``, 1 for ``more`` of them.
+
+    Rows are counted by (source, part), part being the task that wrote them; only where
+    the count ends within a part are rows numbered, by their place in it."""
+    by_part = edge.groupBy("s", "part").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = by_part.select(F.col("s").alias("s2"), F.col("part").alias("part2"), "n",
+                           F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("ahead"))
+    rows = edge.join(ahead, F.col("s").eqNullSafe(F.col("s2")) & (F.col("part") == F.col("part2"))).drop("s2", "part2")
+    left = F.col("more") - F.col("ahead")
+    within = (left > 0) & (left < F.col("n"))
+    place = F.row_number().over(Window.partitionBy("s", "part").orderBy("uid"))
+    numbered = rows.filter(within).withColumn("extra", (place <= left).cast("int"))
+    return rows.filter(~within).withColumn("extra", (left > 0).cast("int")).unionByName(numbered)
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -120,13 +144,18 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     doc_id, text, source = (F.col(f"`{c}`") for c in (id_col, text_col, source_col))
     slim = docs.select(doc_id.alias("doc_id"), source.alias("source"), n_words(text).alias("size"),
                        _hash(doc_id, source, text).alias("h"),
+                       F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("uid"),
                        *([whole_row(docs).alias("row")] if carry else []))
     slim = materialize(slim, "mix-slim")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = materialize(targets(sizes, weights, share, cap), "mix-targets")
     cuts = materialize(_thresholds(slim.select("source", "size", "h"), goals), "mix-cuts")
-    taken = F.col("size") * (F.col("whole") + F.when(F.col("h") < F.col("cut"), 1).otherwise(0))
-    return slim.join(cuts, F.col("source").eqNullSafe(F.col("s"))).select(
+    rows = slim.join(cuts, F.col("source").eqNullSafe(F.col("s")))
+    at_edge = (F.col("h") == F.col("cut")) & (F.col("size") > 0)
+    clear = rows.filter(~at_edge).withColumn("extra", (F.col("h") < F.col("cut")).cast("int"))
+    edge = _first_copies(rows.filter(at_edge)).select(*clear.columns)
+    taken = F.col("size") * (F.col("whole") + F.col("extra"))
+    return clear.unionByName(edge).select(
         "doc_id", "size", "source_size", "target", taken.alias("taken"), *(["row"] if carry else []))
 
 

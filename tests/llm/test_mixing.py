@@ -69,6 +69,20 @@ def test_near_the_target_and_repeatable(spark):
     assert all(abs(t - n) <= 30 for t, n in sizes.values())
 
 
+def test_a_third_of_all_rows_equal(spark):
+    """Copies are taken one by one: each source comes within half a document."""
+    rows = [(7, "ten words " * 5, "en", "hot", 1)] * 300 + [(8, "ten words " * 5, "en", "warm", 1)] * 300
+    rows += [(9, "five words in all here", "en", None, 1)] * 299
+    df = frame(spark, rows).repartition(11)
+    for weights in ((3, 1, 2), (1, 5, 1)):
+        taken, target = {}, {}
+        for r in mix_sources(df, weights=weights).collect():
+            taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+            target[r.doc_id] = r.target
+        size = {7: 10, 8: 10, 9: 5}
+        assert all(abs(taken[d] - target[d]) <= size[d] / 2 for d in size), (taken, target)
+
+
 def test_larger_budgets_contain_smaller_ones(spark):
     rows = [(i, words(10, i), "en", f"s{i % 2}", 1) for i in range(300)]
     df = frame(spark, rows)
