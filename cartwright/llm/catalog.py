@@ -38,6 +38,12 @@ def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_segments(preference.swapped_replies(table(spark, sf_dir, "conversations")))
 
 
+def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.preference_examples(op5_preference(spark, sf_dir))
+    spans = {c: preference.spans_text(F.col(c)) for c in ("chosen_loss", "rejected_loss")}
+    return pairs.withColumns(spans)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), modulus=3, remainder=1)
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op4_remove_repeats": op4_remove_repeats,
     "op5_preference": op5_preference,
+    "op5_preference_pairs": op5_preference_pairs,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
@@ -131,22 +138,23 @@ g AS (
 b AS (
   SELECT *, CASE WHEN n > 0 THEN CAST(floor(target / n) AS BIGINT) ELSE 0 END AS whole FROM g),
 h AS (
-  SELECT source, h, sum(size) AS words FROM d WHERE size > 0 GROUP BY source, h),
+  SELECT source, h, sum(size) AS words, count(*) AS rows FROM d WHERE size > 0 GROUP BY source, h),
 run AS (
-  SELECT source, h, words,
+  SELECT source, h, words, rows,
          coalesce(sum(words) OVER (PARTITION BY source ORDER BY h
                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM h),
 edge AS (
-  SELECT b.source, max_by(struct_pack(h := run.h, words := run.words, start := run.start), run.h) AS e,
+  SELECT b.source, max_by(struct_pack(h := run.h, words := run.words, start := run.start, rows := run.rows), run.h) AS e,
          any_value(target - whole * n) AS budget
   FROM b JOIN run ON b.source IS NOT DISTINCT FROM run.source
   WHERE run.start <= target - whole * n GROUP BY b.source),
 cut AS (
-  SELECT source, CASE WHEN e.start + e.words - budget <= budget - e.start THEN e.h + 1 ELSE e.h END AS cut FROM edge)
+  SELECT source, e.h AS cut, least(floor((budget - e.start) / (CAST(e.words AS DOUBLE) / e.rows) + 0.5), e.rows) AS more FROM edge),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source, h, size > 0) AS copy FROM d)
 SELECT d.doc_id, d.size, b.n AS source_size, b.target,
-       CAST(d.size * (b.whole + CASE WHEN d.h < coalesce(cut.cut, 0) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+       CAST(d.size * (b.whole + CASE WHEN d.h < cut.cut OR d.h = cut.cut AND d.copy <= cut.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM numbered d JOIN b ON d.source IS NOT DISTINCT FROM b.source
 LEFT JOIN cut ON d.source IS NOT DISTINCT FROM cut.source
 """
 
@@ -179,18 +187,19 @@ r AS (
 SELECT * FROM r WHERE rank <= 20
 """
 
-ORACLE["op5_preference"] = r"""
+_SEGMENTS = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
   FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 last AS (
-  SELECT conv_id, max(turn) AS at, max_by(text, turn) AS reply
-  FROM rows WHERE role = 'assistant' GROUP BY conv_id),
+  SELECT conv_id, max(struct_pack(turn := turn, text := text)) AS said FROM rows WHERE role = 'assistant' GROUP BY conv_id),
+pairs AS (
+  SELECT conv_id, said.turn AS at, coalesce(lead(said.text) OVER w, first_value(said.text) OVER w) AS reply
+  FROM last WINDOW w AS (ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 both_sides AS (
   SELECT r.conv_id, s.side, r.turn, r.role,
-         CASE WHEN s.side = 'rejected' AND r.turn = a.at AND r.role = 'assistant' THEN b.reply ELSE r.text END AS text
-  FROM rows r JOIN last a USING (conv_id) JOIN last b ON b.conv_id = xor(a.conv_id, 1)
-  CROSS JOIN (VALUES ('chosen'), ('rejected')) s(side)),
+         CASE WHEN s.side = 'rejected' AND r.turn = p.at AND r.role = 'assistant' THEN p.reply ELSE r.text END AS text
+  FROM rows r LEFT JOIN pairs p USING (conv_id) CROSS JOIN (VALUES ('chosen'), ('rejected')) s(side)),
 steps AS (
   SELECT conv_id, turn, role, text, bool_or(side = 'chosen') AS chosen, bool_or(side = 'rejected') AS rejected
   FROM both_sides GROUP BY conv_id, turn, role, text),
@@ -202,12 +211,31 @@ parts AS (
   UNION ALL
   SELECT steps.*, n_prompt, 'chosen' FROM steps JOIN split USING (conv_id) WHERE turn >= n_prompt AND chosen
   UNION ALL
-  SELECT steps.*, n_prompt, 'rejected' FROM steps JOIN split USING (conv_id) WHERE turn >= n_prompt AND rejected)
-SELECT conv_id AS pair_id, part, turn, role,
-       '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS rendered,
-       CAST(length(role) + 5 AS BIGINT) AS body_start,
-       CAST(part <> 'prompt' AND role = 'assistant' AS INTEGER) AS loss, n_prompt
-FROM parts
+  SELECT steps.*, n_prompt, 'rejected' FROM steps JOIN split USING (conv_id) WHERE turn >= n_prompt AND rejected),
+segments AS (
+  SELECT conv_id AS pair_id, part, turn, role,
+         '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS rendered,
+         CAST(length(role) + 5 AS BIGINT) AS body_start,
+         CAST(part <> 'prompt' AND role = 'assistant' AS INTEGER) AS loss, n_prompt
+  FROM parts)
+"""
+
+ORACLE["op5_preference"] = _SEGMENTS + "SELECT * FROM segments"
+
+ORACLE["op5_preference_pairs"] = _SEGMENTS + r""",
+placed AS (
+  SELECT *, coalesce(sum(length(rendered)) OVER (PARTITION BY pair_id, part ORDER BY turn, role, rendered
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM segments),
+spans AS (
+  SELECT *, CAST(before + body_start AS VARCHAR) || '-' || CAST(before + length(rendered) AS VARCHAR) AS span FROM placed)
+SELECT pair_id,
+       coalesce(string_agg(rendered, '' ORDER BY turn, role, rendered) FILTER (part = 'prompt'), '') AS prompt,
+       coalesce(string_agg(rendered, '' ORDER BY turn, role, rendered) FILTER (part = 'chosen'), '') AS chosen,
+       coalesce(string_agg(rendered, '' ORDER BY turn, role, rendered) FILTER (part = 'rejected'), '') AS rejected,
+       coalesce(string_agg(span, ',' ORDER BY turn, role, rendered) FILTER (part = 'chosen' AND loss = 1), '') AS chosen_loss,
+       coalesce(string_agg(span, ',' ORDER BY turn, role, rendered) FILTER (part = 'rejected' AND loss = 1), '') AS rejected_loss
+FROM spans GROUP BY pair_id
 """
 
 #: CRC-32 in SQL: the table of its 256 remainders, and one step a byte over a list of bytes.

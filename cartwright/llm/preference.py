@@ -19,9 +19,11 @@ prompt; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 HEADER = "<|{role}|>\n"
 END = "\n<|end|>\n"
 
@@ -83,20 +85,39 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations, as turns of both sides.
 
     Chosen is a conversation as it stands; rejected is the same with its last
-    assistant turn replaced by the last assistant turn of its neighbour, the
-    conversation whose id differs in the lowest bit. Conversations without such a
-    turn, or whose neighbour has none, form no pair.
+    assistant turn replaced by that of the next conversation (by conv_id, after the last
+    one the first) that has one. Of several assistant rows with the last turn number the
+    greatest text is the reply, and all are replaced. A conversation without an
+    assistant turn has two equal sides, so all of it is prompt.
     """
     rows = conversations.select("conv_id", "turn", "role", "text").filter(
         F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     said = F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))
     last = rows.filter("role = 'assistant'").groupBy("conv_id").agg(F.max(said).alias("last"))
-    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("last.text").alias("reply"))
-    swaps = last.select("conv_id", F.col("last.turn").alias("at")).join(other, "conv_id")
-    both = rows.join(swaps, "conv_id")
+    both = rows.join(_next_replies(last), "conv_id", "left")
     here = (F.col("turn") == F.col("at")) & F.col("role").eqNullSafe(F.lit("assistant"))
     sides = F.array(F.struct(F.lit("chosen").alias("side"), F.col("text").alias("text")),
                     F.struct(F.lit("rejected").alias("side"),
                              F.when(here, F.col("reply")).otherwise(F.col("text")).alias("text")))
     return both.withColumn("s", F.explode(sides)).select(
         F.col("conv_id").alias("pair_id"), F.col("s.side").alias("side"), "turn", "role", F.col("s.text").alias("text"))
+
+
+def _next_replies(last: DataFrame) -> DataFrame:
+    """(conv_id, last) -> conv_id, at (its last assistant turn), reply (the next one's).
+
+    Ids are range-partitioned; the last of a part looks into the first of the next,
+    one row a part."""
+    ranged = materialize(last.select("conv_id", F.col("last.turn").alias("at"), F.col("last.text").alias("own"))
+                         .repartitionByRange("conv_id").withColumn("part", F.spark_partition_id()), "replies")
+    firsts = ranged.groupBy("part").agg(F.min_by("own", "conv_id").alias("first"))
+    parts = Window.orderBy("part")
+    cyclic = F.coalesce(F.lead("first").over(parts), F.first("first").over(parts))
+    after = firsts.select("part", cyclic.alias("beyond"))
+    reply = F.coalesce(F.lead("own").over(Window.partitionBy("part").orderBy("conv_id")), F.col("beyond"))
+    return ranged.join(after, "part").select("conv_id", "at", reply.alias("reply"))
+
+
+def spans_text(spans: Column) -> Column:
+    """Spans as ``start-stop`` joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws("-", s["start"], s["stop"])), ",")

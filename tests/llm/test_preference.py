@@ -90,8 +90,33 @@ def test_swapped_replies(spark):
     got = swapped_replies(spark.createDataFrame(rows, CONV)).collect()
     assert sorted((r.pair_id, r.side, r.turn, r.text) for r in got) == sorted([
         (0, "chosen", 0, "q0"), (0, "rejected", 0, "q0"), (0, "chosen", 1, "a0"), (0, "rejected", 1, "a1"),
-        (1, "chosen", 0, "q1"), (1, "rejected", 0, "q1"), (1, "chosen", 1, "a1"), (1, "rejected", 1, "a0"),
-        (1, "chosen", 2, "bye"), (1, "rejected", 2, "bye")])
+        (1, "chosen", 0, "q1"), (1, "rejected", 0, "q1"), (1, "chosen", 1, "a1"), (1, "rejected", 1, "a3"),
+        (1, "chosen", 2, "bye"), (1, "rejected", 2, "bye"), (2, "chosen", 0, "q2"), (2, "rejected", 0, "q2"),
+        (3, "chosen", 0, "a3"), (3, "rejected", 0, "a6"), (6, "chosen", 0, "a6"), (6, "rejected", 0, "a0")])
+
+
+def test_sparse_ids_ties_and_a_single_reply(spark):
+    rows = [(100 * i, t, ("user", "assistant")[t % 2], f"{i}.{t}") for i in range(50) for t in range(2 + i % 5)]
+    got = {}
+    for r in swapped_replies(spark.createDataFrame(rows, CONV).repartition(7)).collect():
+        got.setdefault((r.pair_id, r.side), {})[r.turn] = r.text
+    assert {c for c, _ in got} == {100 * i for i in range(50)}
+    for i in range(50):
+        chosen, rejected = got[100 * i, "chosen"], got[100 * i, "rejected"]
+        at = max(t for t in chosen if t % 2)
+        after = (i + 1) % 50
+        assert {t for t in chosen if chosen[t] != rejected[t]} == {at}
+        assert rejected[at] == f"{after}.{max(t for t in range(2 + after % 5) if t % 2)}"
+    tie = [(1, 0, "assistant", "b"), (1, 0, "assistant", "c"), (2, 0, "assistant", None), (3, 0, "user", "u")]
+    sides = sorted((r.pair_id, r.side, r.text) for r in swapped_replies(spark.createDataFrame(tie, CONV)).fillna("").collect())
+    assert sides == [(1, "chosen", "b"), (1, "chosen", "c"), (1, "rejected", ""), (1, "rejected", ""), (2, "chosen", ""),
+                     (2, "rejected", "c"), (3, "chosen", "u"), (3, "rejected", "u")]
+    alone = segments_of_pairs(spark, [(7, 0, "user", "q"), (7, 1, "assistant", "a")])
+    assert {r.part for r in alone} == {"prompt"} and len(alone) == 2
+
+
+def segments_of_pairs(spark, rows):
+    return preference_segments(swapped_replies(spark.createDataFrame(rows, CONV))).collect()
 
 
 def test_plan_has_no_python(spark):
