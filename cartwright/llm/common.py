@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +43,12 @@ def whole_row(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, so that no helper column of an
     operator can clash with a column of the input."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def once_per_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """``make()``, kept for the later tasks of the same Python worker. (Functions travel
+    by value, so that globals of this module start anew with every task.)"""
+    kept = sys.modules.setdefault("_cartwright_worker", ModuleType("_cartwright_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -33,27 +33,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, once_per_worker
 
 ROUNDS = 400
 LEVELS = 3
-#: From so many white-space characters in a row a text goes through ``tokenizers``:
-#: the rank file's library backtracks over them and fails at about a million.
-SPACE_RUN = 100_000
-_LONG_SPACE = r"(?<!\s)\s{%d}"  # looked for at a run's start only: linear
+#: White-space runs of this length are cut out before the pattern sees them: its
+#: look-ahead tries every shorter run, and fails at about a million.
+SPACE_RUN = 1000
+#: What the pattern's \s matches (not all that Python's does).
+_SPACE = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
 def _encoder(tokenizer: str, ranks: str | None):
     """text -> ids, as ``tokenizer`` (a tokenizers file) gives them.
 
-    ``ranks`` names the same byte-level vocabulary as a rank file; with it ordinary
-    text goes through the faster of the two libraries. Texts that hold a special
-    token's string or ``SPACE_RUN`` white-space characters in a row always go
-    through ``tokenizer`` itself.
+    ``ranks`` names the same byte-level vocabulary as a rank file; with it text goes
+    through the faster of the two libraries, special tokens as the file has them.
     """
     from tokenizers import Tokenizer
 
@@ -66,40 +66,68 @@ def _encoder(tokenizer: str, ranks: str | None):
 
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
-    long_space = re.compile(_LONG_SPACE % SPACE_RUN)
+    added = whole.get_added_tokens_decoder()
+    if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+        raise ValueError("special tokens that take in their surroundings need the tokenizers library: pass no ranks")
+    special = {t.content: i for i, t in added.items()}
+    fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens=special)
+    special_only = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+    long_space = re.compile(rf"(?<!{_SPACE}){_SPACE}{{{SPACE_RUN},}}")  # looked for at a run's start only: linear
+
+    def plain(text: str) -> list[int]:
+        if len(text) < SPACE_RUN:
+            return fast.encode_ordinary(text)
+        ids, at = [], 0
+        for run in long_space.finditer(text):
+            # of a run before other text, all but the last character are one piece
+            stop = run.end() - (run.end() < len(text))
+            ids += fast.encode_ordinary(text[at:run.start()])
+            ids += fast._encode_single_piece(text[run.start():stop])  # noqa: SLF001 - one piece, no pattern
+            at = stop
+        return ids + fast.encode_ordinary(text[at:]) if at else fast.encode_ordinary(text)
 
     def encode(text: str) -> list[int]:
-        if any(s in text for s in special) or len(text) >= SPACE_RUN and long_space.search(text):
-            return whole.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
+        ids, at = [], 0
+        for token in special_only.finditer(text):
+            ids += plain(text[at:token.start()])
+            ids.append(special[token.group()])
+            at = token.end()
+        return ids + plain(text[at:]) if at else plain(text)
 
     return encode
 
 
-def _cut(batches: Iterator[pd.DataFrame], tokenizer: str, ranks: str | None, end_id: int,
-         capacity: int) -> Iterator[pd.DataFrame]:
+def _cut(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks: str | None, end_id: int,
+         capacity: int) -> Iterator[pa.RecordBatch]:
+    """Text by text: a task holds the ids of one document at a time, and one row a piece."""
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
-    encode = _encoder(tokenizer, ranks)
+    encode = once_per_worker(("encoder", tokenizer, ranks), lambda: _encoder(tokenizer, ranks))
     seen = np.zeros(capacity + 1, np.int64)
-    for df in batches:
-        out = []
-        null = df["doc_id"].isna()
-        for doc_id, missing, text in zip(df["doc_id"], null, df["text"]):
-            flat = np.array([*encode(text or ""), end_id], "<u4")
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+
+    def emit(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    out: list[tuple] = []
+    for batch in batches:
+        for doc_id, text in zip(*batch.columns):
+            doc_id = doc_id.as_py()
+            flat = np.array([*encode(text.as_py() or ""), end_id], "<u4")
             first = len(flat) % capacity or capacity
             start = 0
             for piece, stop in enumerate(range(first, len(flat) + 1, capacity)):
                 length = stop - start
-                out.append((None if missing else int(doc_id), piece, start, length,
-                            binascii.crc32(flat[start:stop].tobytes()), part, int(seen[length])))
+                out.append((doc_id, piece, start, length, binascii.crc32(flat[start:stop].tobytes()), part, int(seen[length])))
                 seen[length] += 1
                 start = stop
-        yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]).astype(
-            {"doc_id": "Int64"})
+            if len(out) >= 5000:
+                yield emit(out)
+                out = []
+    if out:
+        yield emit(out)
 
 
 def _knapsack(price: np.ndarray, capacity: int) -> np.ndarray:
@@ -245,8 +273,8 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, id_col: str
          capacity: int = 2048, end_id: int = 0, rounds: int = ROUNDS) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    pieces = materialize(texts.mapInPandas(lambda it: _cut(it, tokenizer, ranks, end_id, capacity), _PIECES),
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    pieces = materialize(texts.mapInArrow(lambda it: _cut(it, tokenizer, ranks, end_id, capacity), _PIECES),
                          "pack-pieces")
     by_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     counts = np.zeros(capacity + 1, np.int64)
