@@ -10,6 +10,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
+
+#: Most bytes of features that a sample brings to the driver.
+MAX_BYTES = 200 << 20
+
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether a row is kept away from fitting; rows without doc_id are not."""
@@ -18,13 +24,14 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, held: Column, max_rows: int,
            extract: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str,
-           inputs: list[Column]) -> pd.DataFrame:
+           inputs: list[Column], max_bytes: int = MAX_BYTES) -> pd.DataFrame:
     """At most ``max_rows`` labelled rows as features, with their label ``y``.
 
     Rows are chosen by hash of doc_id (a uniform sample that reruns repeat) among
     labelled rows that are not ``held`` out. Labels other than 0 and 1 are left
     out; of contradicting labels of a document the larger counts. Only features
-    reach the driver, never texts; their number is bounded by ``max_rows``.
+    reach the driver, never texts: at most ``max_rows`` rows, and of these as many as
+    come first by a hash of the features and together hold ``max_bytes``.
     """
     order = F.xxhash64("label_id")
     chosen = (labels.select(F.col("doc_id").alias("label_id"), F.col(label_col).cast("int").alias("y"))
@@ -33,9 +40,12 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, held: Column, max
     rows = docs.select(F.col("doc_id").alias("id"), *inputs)
     # max_rows pairs of numbers: a proven bound
     rows = rows.join(F.broadcast(chosen), rows["id"] == chosen["label_id"]).drop("id", "label_id")
-    found = rows.mapInPandas(extract, schema)
-    first = found.withColumn("_o", F.xxhash64("features")).orderBy("_o").limit(max_rows).drop("_o")
-    return first.toPandas()
+    found = materialize(rows.mapInPandas(extract, schema).withColumn("_o", F.xxhash64("features")), "labelled")
+    binary = [f.name for f in found.schema if f.dataType.simpleString() in ("binary", "string")]
+    size = sum((F.octet_length(c) for c in binary), F.lit(0))
+    first = found.select("_o", size.alias("n")).orderBy("_o", "n").limit(max_rows).toPandas()
+    fits = int((first["n"].cumsum() <= max_bytes).sum())
+    return found.orderBy("_o", size).limit(fits).drop("_o").toPandas()
 
 
 class Hasher:

@@ -3,11 +3,13 @@
 Features are the distinct lower-cased words of a text and their leading
 ``PREFIXES`` characters, hashed. The classifier is a logistic regression with an
 L1 term, fitted by accelerated proximal gradient steps on a bounded sample, then
-refitted on the features it selected. To every sampled text that holds an identity
-term belong its counterfactuals, the same text with the term swapped for the
-others of its group; the squared change of the score over these pairs is part of
-what is minimised, so that naming a group moves a score no more than naming
-another one, nor than naming none (the pair "term left out").
+refitted on the features it selected. Every sampled text has counterfactuals: the
+same text with an identity term swapped for the others of its group. A text that names
+no group is given a term, chosen by a hash of the text and so without regard to its
+label (the classifier reads a text as a set of words, which leaves no place for the
+term to fit or not). The squared change of the score over these pairs is part of what is
+minimised, so that naming a group moves a score no more than naming another one, nor
+than naming none (the pair "term left out").
 
 Defined cases: null and empty texts get the score of a text without features;
 very long texts are read whole; repeated rows are scored alike; without any usable
@@ -17,6 +19,7 @@ label every score is the neutral prior 0; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -68,10 +71,13 @@ def _swaps() -> dict[str, list[str | None]]:
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hasher, swaps = Hasher(BITS), _swaps()
+    names = sorted(swaps)
     for df in batches:
         features, terms = [], []
         for text in df["text"]:
             words = words_of(text)
+            if words and words.isdisjoint(swaps):
+                words.add(names[crc32(text.encode("utf-8", "surrogatepass")) % len(names)])
             found = {i for w in words for i in hasher(features_of(w))}
             features.append(np.array(sorted(found), np.int32).tobytes())
             terms.append("\n".join(sorted(w for w in words if w in swaps)))

@@ -85,6 +85,25 @@ def test_swapping_identity_terms_moves_scores_less(spark):
     assert gap(50.0) < 0.25 * gap(0.0)
 
 
+def test_every_sampled_text_has_counterfactuals_and_the_default_penalty_works(spark):
+    """No text names a group; terms are put in, and their weights held down."""
+    docs, labels = labelled(400)
+    df, lb = frame(spark, docs), spark.createDataFrame(labels, LABELS)
+    rows = toxicity.sample(df, lb, "toxic", held_out(F.col("label_id"), 3, 1), 1000, toxicity._extract,
+                           "y int, features binary, terms string", [F.col("text").alias("text")])
+    assert len(rows) and (rows["terms"] != "").all()
+    pair, feature, sign = toxicity._pairs(rows["terms"].tolist(), toxicity.Hasher(toxicity.BITS))
+    assert len(set(pair.tolist())) >= 2 * len(rows)
+    # labels follow the terms that were put in: without the penalty they get the weight
+    rows["y"] = rows["terms"].str.len() % 2
+
+    def change(**how):
+        weights, _ = toxicity.fit(rows, **how)
+        return float(np.mean(np.bincount(pair, weights=weights[feature] * sign) ** 2))
+
+    assert 0 < change() < 0.8 * change(fairness=0.0)
+
+
 def test_neutral_mentions_are_left_alone(spark, trained):
     _, _, tox, _ = trained
     rows = [(i, words(30, 900 + i) + f" {t} " + words(10, i), "en", "s", 1)
@@ -135,3 +154,7 @@ def test_sample_is_bounded_and_contradictions_count_once(spark):
     rows = toxicity.sample(df, lb, "toxic", held_out(F.col("label_id"), 3, 1), 40, toxicity._extract,
                            "y int, features binary, terms string", [F.col("text").alias("text")])
     assert len(rows) == 40
+    few = toxicity.sample(df, lb, "toxic", held_out(F.col("label_id"), 3, 1), 40, toxicity._extract,
+                          "y int, features binary, terms string", [F.col("text").alias("text")], max_bytes=5000)
+    sizes = rows["features"].str.len() + rows["terms"].str.encode("utf-8").str.len()
+    assert 0 < len(few) < 40 and few["features"].str.len().sum() <= 5000 < sizes.sum()
