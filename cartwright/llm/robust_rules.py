@@ -50,6 +50,7 @@ UNITS = 512
 #: Smallest standard deviations, in the components' own scale.
 LEAST = (0.5, 0.1, 0.03, 0.1, 0.2)
 SHARE = 0.75
+COARSE = 8
 REWEIGHT = 0.975
 CUT = 0.9999
 MIN_ROWS = 50
@@ -228,9 +229,11 @@ def _concentrate(rows: DataFrame, estimates: DataFrame, sizes: DataFrame) -> Dat
 
 
 def _medians(rows: DataFrame) -> DataFrame:
-    """(key, dim, med, mad) from counts by value. A component has at most some ten
-    thousand values, so the counts are bounded by group, whatever the rows."""
-    values = F.inline(F.array(*[F.struct(F.lit(i).alias("dim"), F.col(f"x{i}").alias("v")) for i in range(DIMS)]))
+    """(key, dim, med, mad) from counts by value, in steps of ``COARSE``: a start needs no
+    more. A component has about a thousand such values at most, so the counts are bounded
+    by group, whatever the rows."""
+    coarse = lambda c: F.floor(F.col(c) / COARSE) * COARSE
+    values = F.inline(F.array(*[F.struct(F.lit(i).alias("dim"), coarse(f"x{i}").alias("v")) for i in range(DIMS)]))
     counts = rows.select("key", values).groupBy("key", "dim", "v").agg(F.count(F.lit(1)).alias("n"))
     counts = materialize(counts, "mcd-values")
 

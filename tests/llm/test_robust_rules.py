@@ -70,8 +70,9 @@ def distances(x, mean, scatter):
 def brute_mcd(x):
     h = math.ceil(len(x) * R.SHARE)
     ones = np.ones(len(x))
-    lower = np.sort(x, axis=0)[(len(x) - 1) // 2]
-    mad = 1.4826 * np.sort(np.abs(x - lower), axis=0)[(len(x) - 1) // 2]
+    coarse = np.floor(x / R.COARSE) * R.COARSE
+    lower = np.sort(coarse, axis=0)[(len(x) - 1) // 2]
+    mad = 1.4826 * np.sort(np.abs(coarse - lower), axis=0)[(len(x) - 1) // 2]
     starts = [fit(x, ones, 1.0), (lower, np.diag(mad ** 2 + (np.array(R.LEAST) * R.UNITS) ** 2))]
     best = None
     for mean, scatter in starts:
