@@ -4,9 +4,9 @@ Documents are drawn without replacement by the likelihood ratio of their hashed
 one-, two- and three-word features under a target and under the corpus itself, with
 Gumbel noise from a hash of the id.
 
-1. *Head.* The ``HEAD_WORDS`` most frequent words of the corpus (exact counts over
-   all texts) and, among its first ``PAIR_WORDS``, the ``HEAD_PAIRS`` most frequent
-   pairs are broadcast: each word with the state that CRC-32 is in after it, each pair
+1. *Head.* The most frequent words of the corpus (exact counts over all texts; at most
+   ``HEAD_WORDS``) and the most frequent pairs of the first ``PAIR_WORDS`` of them (at
+   most ``HEAD_PAIRS``) are broadcast: each word with the state that CRC-32 is in after it, each pair
    with state and bucket. All three sizes are fixed and head words are at most
    ``HEAD_BYTES`` long, which bounds the broadcast.
 2. *Tail.* A word or pair that is not in the head takes the CRC of its own bytes, a pair
@@ -94,8 +94,8 @@ class Head:
         for a, b in reversed(pairs):  # of two pairs in one slot the more frequent stays
             slot = cls.slot(key := a * PAIR_WORDS + b)
             keys[slot], states[slot] = key, crc32(words[a] + b" " + words[b])
-        return cls({w: i for i, w in enumerate(words)}, np.array([crc32(w) for w in words], np.uint32), keys, states,
-                   (states % buckets).astype(np.int32))
+        of_words = np.array([*(crc32(w) for w in words), 0], np.uint32)  # the last one for words that are not in the head
+        return cls({w: i for i, w in enumerate(words)}, of_words, keys, states, (states % buckets).astype(np.int32))
 
     @staticmethod
     def slot(key):
@@ -125,11 +125,27 @@ def _word_counts(texts: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _most(counts: DataFrame, key: str, limit: int) -> list:
+    """Keys by falling count ``n``, ``limit`` of them at most: all that are counted more
+    often than some number. That number comes from a histogram of the counts (exact up to
+    4096, by 64ths of an octave above), so that no more than ``limit`` rows ever move."""
+    total = materialize(counts.groupBy(key).agg(F.sum("n").alias("n")), "counts")
+    band = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.floor(F.log2("n") * 64) + 4096 - 12 * 64).cast("int")
+    edge, taken = None, 0
+    for r in sorted(total.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        if (taken := taken + r["n"]) > limit:
+            break
+        edge = r["band"]
+    if edge is None:
+        return []
+    rows = total.filter(band >= edge).collect()
+    return [r[key] for r in sorted(rows, key=lambda r: (-r["n"], r[key]))]
+
+
 def head(texts: DataFrame, buckets: int) -> Head:
     """The frequent words and pairs of a table with one binary column."""
     counts = _counted(texts, _word_counts, "word binary, n long").filter(F.length("word") <= HEAD_BYTES)
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(HEAD_WORDS)
-    words = [bytes(r["word"]) for r in top.collect()]  # HEAD_WORDS * HEAD_BYTES at most
+    words = [bytes(w) for w in _most(counts, "word", HEAD_WORDS)]  # HEAD_WORDS * HEAD_BYTES at most
     first = {w: i for i, w in enumerate(words[:PAIR_WORDS])}
 
     def pair_counts(texts: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
@@ -146,9 +162,8 @@ def head(texts: DataFrame, buckets: int) -> Head:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["pair", "n"])
 
-    pairs = _counted(texts, pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    best = pairs.orderBy(F.desc("n"), "pair").limit(HEAD_PAIRS).collect()  # HEAD_PAIRS numbers at most
-    return Head.of(words, [divmod(r["pair"], PAIR_WORDS) for r in best], buckets)
+    pairs = _most(_counted(texts, pair_counts, "pair long, n long"), "pair", HEAD_PAIRS)
+    return Head.of(words, [divmod(p, PAIR_WORDS) for p in pairs], buckets)
 
 
 # --- features ---------------------------------------------------------------------------
