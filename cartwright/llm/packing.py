@@ -73,9 +73,10 @@ def _encoder(tokenizer: str, ranks: str | None):
     fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=table, special_tokens=special)
     special_only = re.compile("|".join(map(re.escape, special)) or r"(?!)")
     long_space = re.compile(rf"(?<!{_SPACE}){_SPACE}{{{SPACE_RUN},}}")  # looked for at a run's start only: linear
+    three = re.compile(_SPACE + "{3}")  # of every 250th character, in any run of 1000
 
     def plain(text: str) -> list[int]:
-        if len(text) < SPACE_RUN:
+        if len(text) < SPACE_RUN or not three.search(text[::SPACE_RUN // 4]):
             return fast.encode_ordinary(text)
         ids, at = [], 0
         for run in long_space.finditer(text):
