@@ -29,16 +29,19 @@ _SIG = "sig"
 @dataclass(frozen=True)
 class Derived:
     """``build`` maps rows of some partitions of ``target`` to state rows, with the
-    partition ``column``; ``schema`` are the state's columns without it."""
+    partition ``column``; ``schema`` are the state's columns without it. Tables in
+    ``also`` are partitioned alike; ``build`` gets their rows of the same partitions
+    too, and a change in one of them makes a state anew."""
 
     target: str
     column: str
     state: str
-    build: Callable[[DataFrame], DataFrame]
+    build: Callable[..., DataFrame]
     schema: StructType
     sort_by: tuple[str, ...] = ()
     version: str = ""
     options: dict = field(default_factory=dict)
+    also: tuple[tuple[str, StructType], ...] = ()
 
     @property
     def path(self) -> str:
@@ -47,29 +50,49 @@ class Derived:
 
     def signatures(self, spark: SparkSession) -> dict[str, str]:
         """Partition value -> digest of its file names."""
-        return {value: hashlib.md5("\n".join([self.version, *list_names(spark, folder)]).encode()).hexdigest()
-                for value, folder in partitions_of(spark, self.target, self.column).items()}
+        files = {v: [self.version, *list_names(spark, folder)]
+                 for v, folder in partitions_of(spark, self.target, self.column).items()}
+        for table, _ in self.also:
+            for v, folder in partitions_of(spark, table, self.column).items():
+                if v in files:
+                    files[v] += ["", table.rsplit("/", 1)[1], *list_names(spark, folder)]
+        return {v: hashlib.md5("\n".join(names).encode()).hexdigest() for v, names in files.items()}
 
-    def refresh(self, spark: SparkSession) -> tuple[dict[str, str], list[int]]:
-        """Bring the state up to date; the signatures of the table's partitions, and
-        the partitions that had to be read."""
-        want, path = self.signatures(spark), self.path
-        have = {n.split("=", 1)[1]: list_names(spark, f"{path}/{n}")
-                for n in list_names(spark, path) if n.startswith(f"{self.column}=")}
-        missing = sorted(int(v) for v, sig in want.items() if f"{_SIG}={sig}" not in have.get(v, ()))
+    def _there(self, spark: SparkSession) -> dict[str, list[str]]:
+        """Partition value -> signatures of its states."""
+        names = [n for n in list_names(spark, self.path) if n.startswith(f"{self.column}=")]
+        return {n.split("=", 1)[1]: [s.removeprefix(f"{_SIG}=") for s in list_names(spark, f"{self.path}/{n}")] for n in names}
+
+    def make(self, spark: SparkSession) -> tuple[dict[str, str], list[int]]:
+        """Make the states that are missing, and keep all others; the signatures of the
+        table's partitions, and the partitions that had to be read."""
+        want, have = self.signatures(spark), self._there(spark)
+        missing = sorted(int(v) for v, sig in want.items() if sig not in have.get(v, ()))
         if missing:
             self._build(spark, {v: want[str(v)] for v in missing})
-        for value, sigs in have.items():
+        return want, missing
+
+    def drop_stale(self, spark: SparkSession, want: dict[str, str]) -> None:
+        for value, sigs in self._there(spark).items():
             if value not in want:
-                remove(spark, f"{path}/{self.column}={value}")
-            else:
-                for sig in sigs:
-                    if sig != f"{_SIG}={want[value]}":
-                        remove(spark, f"{path}/{self.column}={value}/{sig}")
+                remove(spark, f"{self.path}/{self.column}={value}")
+            for sig in sigs:
+                if value in want and sig != want[value]:
+                    remove(spark, f"{self.path}/{self.column}={value}/{_SIG}={sig}")
+
+    def refresh(self, spark: SparkSession) -> tuple[dict[str, str], list[int]]:
+        """Bring the state up to date: make what is missing, drop what is left over."""
+        want, missing = self.make(spark)
+        self.drop_stale(spark, want)
         return want, missing
 
     def _build(self, spark: SparkSession, signatures: dict[int, str]) -> None:
-        rows = self.build(spark.read.parquet(self.target).where(F.col(self.column).isin(list(signatures))))
+        here = F.col(self.column).isin(list(signatures))
+        others = []
+        for table, schema in self.also:
+            known = partitions_of(spark, table, self.column)
+            others.append(spark.read.schema(schema).parquet(table).where(here) if known else spark.createDataFrame([], schema))
+        rows = self.build(spark.read.parquet(self.target).where(here), *others)
         names = F.create_map(*[F.lit(x) for pair in signatures.items() for x in pair])
         fresh = f"{self.path}/.tmp-{uuid.uuid4().hex[:12]}"
         try:
@@ -85,16 +108,22 @@ class Derived:
         finally:
             remove(spark, fresh)
 
+    def has(self, spark: SparkSession, signatures: dict[str, str]) -> bool:
+        have = self._there(spark)
+        return all(sig in have.get(v, ()) for v, sig in signatures.items())
+
+    def rows(self, spark: SparkSession, signatures: dict[str, str]) -> DataFrame:
+        """The states of the given (partition value, signature) pairs."""
+        schema = StructType(list(self.schema.fields)).add(self.column, IntegerType()).add(_SIG, StringType())
+        if not signatures or not list_names(spark, self.path):
+            return spark.createDataFrame([], schema).drop(_SIG)
+        of_one = F.col(self.column).isin([int(v) for v in signatures]) & F.col(_SIG).isin(sorted(set(signatures.values())))
+        return spark.read.schema(schema).parquet(self.path).where(of_one).drop(_SIG)
+
     def read(self, spark: SparkSession, staged: DataFrame | None = None, affected: set[int] | tuple = ()) -> DataFrame:
         """The state of all partitions, brought up to date first. With ``staged``, the
         state as it will be when the partitions ``affected`` hold these rows instead."""
         signatures, _ = self.refresh(spark)
         columns = [*self.schema.fieldNames(), self.column]
-        schema = StructType(self.schema.fields).add(self.column, IntegerType()).add(_SIG, StringType())
-        now = spark.createDataFrame([], schema)
-        if signatures:
-            now = spark.read.schema(schema).parquet(self.path).where(F.col(_SIG).isin(sorted(set(signatures.values()))))
-        if affected:
-            now = now.where(~F.col(self.column).isin(sorted(affected)))
-        now = now.select(*columns)
+        now = self.rows(spark, {v: sig for v, sig in signatures.items() if int(v) not in affected}).select(*columns)
         return now if staged is None else now.unionByName(self.build(staged).select(*columns))

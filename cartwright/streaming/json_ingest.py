@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import contracts
-from cartwright.session import path_exists
+from cartwright.session import list_names
 from cartwright.sources.json_arrays import explode_json_arrays, with_feed_columns
 
 
@@ -29,15 +29,12 @@ def ingest_json_arrays(spark: SparkSession, landing: str, target: str, checkpoin
     lines = reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"))
     rows = with_feed_columns(explode_json_arrays(lines)).withColumn("_loaded_at", F.current_timestamp())
     rows = rows.select("payload", "last_modified_t", "feed_seq", "_loaded_at", "_source_file", "_source_pos")
-    before = _rows(spark, target)
+    before = set(list_names(spark, target))
     q = (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start(target))
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return _rows(spark, target) - before
-
-
-def _rows(spark: SparkSession, target: str) -> int:
-    """Rows of the feed table, from the file footers; 0 before the first load."""
-    return spark.read.schema(contracts.FEED_RAW_SCHEMA).parquet(target).count() if path_exists(spark, target) else 0
+    new = [f"{target}/{n}" for n in list_names(spark, target) if n.endswith(".parquet") and n not in before]
+    # from the footers of the new files
+    return spark.read.schema(contracts.FEED_RAW_SCHEMA).parquet(*new).count() if new else 0

@@ -92,6 +92,10 @@ QUERIES: dict[str, QueryFn] = {
     "fact_order_items_moved_keys": upkeep.fact_order_items_moved_keys,
     "products_after_bad_csv": upkeep.products_after_bad_csv,
     "fact_after_schema_change": upkeep.fact_after_schema_change,
+    "dim_user_maintained": upkeep.dim_user_maintained,
+    "dim_food_product_merged": upkeep.dim_food_product_merged,
+    "feed_resumed_pull": upkeep.feed_resumed_pull,
+    "append_ledger": upkeep.append_ledger,
 }
 
 ORACLE: dict[str, str] = {
@@ -134,4 +138,11 @@ JOIN fact_orders o USING (order_id) JOIN dim_user u ON u.user_key = f.user_key""
     "fact_order_items_moved_keys": oracle.with_models(upkeep.MOVED),
     "products_after_bad_csv": oracle.with_models("SELECT * FROM raw_products"),
     "fact_after_schema_change": oracle.with_models("SELECT * FROM fact_order_items"),
+    "dim_user_maintained": oracle.with_models(upkeep.DIM_USER_CORRECTED.format(
+        days=oracle.rounded_ratio("sum(days_since_prior_order)", "count(days_since_prior_order)", 2),
+        basket=oracle.rounded_ratio("sum(n)", "count(n)", 2), ratio=oracle.rounded_ratio("sum(r)", "sum(n)", 4))),
+    "dim_food_product_merged": oracle.with_models("SELECT * FROM dim_food_product"),
+    "feed_resumed_pull": oracle.with_models(
+        "SELECT code AS product_code, last_modified_t, event_id AS feed_pos FROM raw_off WHERE last_modified_t > 0"),
+    "append_ledger": oracle.with_models(upkeep.APPENDED),
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from cartwright import fixed
 
 
-def _rr(num: str, den: str, digits: int) -> str:
+def rounded_ratio(num: str, den: str, digits: int) -> str:
     """DuckDB's own ``round`` over DECIMAL; NULL when den is 0. The quotient is cut
     to 12 decimals, which no tie at ``digits`` decimals can cross."""
     cut = f"CAST(CAST({num} AS HUGEINT) * 1000000000000 // nullif(CAST({den} AS HUGEINT), 0) AS DECIMAL(26,0))"
@@ -114,7 +114,7 @@ stg_off_products AS (
 int_order_metrics AS (
   FROM stg_order_products
   SELECT order_id, count(*) AS basket_size, count(*) FILTER (reordered = 1) AS num_reordered,
-         {_rr('count(*) FILTER (reordered = 1)', 'count(*)', 4)} AS reorder_ratio
+         {rounded_ratio('count(*) FILTER (reordered = 1)', 'count(*)', 4)} AS reorder_ratio
   GROUP BY order_id
 ),
 user_totals AS (
@@ -125,9 +125,9 @@ user_totals AS (
 ),
 int_user_metrics AS (
   FROM user_totals
-  SELECT user_id, orders AS total_orders, {_rr('days', 'gaps', 2)} AS avg_days_between_orders,
-         CAST(items AS BIGINT) AS total_items_purchased, {_rr('items', 'baskets', 2)} AS avg_basket_size,
-         {_rr('again', 'items', 4)} AS reorder_ratio
+  SELECT user_id, orders AS total_orders, {rounded_ratio('days', 'gaps', 2)} AS avg_days_between_orders,
+         CAST(items AS BIGINT) AS total_items_purchased, {rounded_ratio('items', 'baskets', 2)} AS avg_basket_size,
+         {rounded_ratio('again', 'items', 4)} AS reorder_ratio
 )"""
 
 _DAYS = ", ".join(f"'{d}'" for d in fixed.DAY_NAMES)

@@ -11,19 +11,24 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cartwright import contracts
 from cartwright.operators import quality
 from cartwright.operators.incremental import SchemaChangeError, delete_insert
-from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS
+from cartwright.plans.maintained import LatestProducts, UserTotals
+from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, dim_food_product, dim_user
 from cartwright.plans.models import Models
 from cartwright.plans.pipelines import FACT_KEY, FACT_PARTITION, Warehouse, read_raw, refresh_fact_order_items, run_wave
 from cartwright.session import list_names, move, remove, scratch_dir, write_pending, write_pending_partitions
+from cartwright.sinks.load_ledger import ingest_with_history, read_history
 from cartwright.sinks.loads import load_full, load_waves, partitions_of, read_waves
 from cartwright.sources.csv import read_contract_csv, write_contract_csv
+from cartwright.sources.pull_ledger import PullLedger
+from cartwright.streaming.json_ingest import ingest_json_arrays
 from cartwright_catalog.driver_tables import read_table
 from cartwright_catalog.landed import landed_raw_root
-from cartwright_catalog.scenarios import _all_waves, _fails, _loaded, _setup, built_marts
+from cartwright_catalog.scenarios import _all_waves, _fails, _land_feed, _loaded, _setup, built_marts
 
 
 
@@ -255,3 +260,134 @@ def fact_after_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise AssertionError("the changed schema should have failed")
     refresh_fact_order_items(spark, Models(spark, read_raw(spark, wh)), wh)
     return spark.read.parquet(path).select(*FACT_ORDER_ITEMS_COLUMNS)
+
+
+# --- models that follow their sources (M8, M10, W1, M12) -----------------------------------------
+
+def dim_user_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User totals are refreshed after waves 1 to 3, after all waves, and
+    after corrections: waves 2 and 3 lose every third product, wave 4 all its lines, and
+    lines of wave 5 lie in wave 6. Users come out as from a full build of what is there."""
+    root = landed_raw_root(spark, sf_dir)
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    raw_root = f"{wh.root}/raw"
+    totals = UserTotals(spark, raw_root, wh.intermediate("user_totals"))
+    waves = _all_waves(spark, sf_dir)
+    for step in ([w for w in waves if w <= 3], [w for w in waves if w > 3]):
+        for c in contracts.WAVE_TABLES:
+            load_waves(spark, read_waves(spark, f"{root}/{c.name}", c), c, step, wh.raw(c.name))
+        totals.refresh()
+    for name in contracts.LINE_TABLES:
+        c = contracts.table(name)
+        lines = read_waves(spark, f"{root}/{name}", c)
+        kept = lines.where("NOT (order_number IN (2, 3) AND product_id % 3 = 0) AND order_number <> 4")
+        moved = kept.withColumn("order_number", F.expr("if(order_number = 5 AND product_id % 4 = 0, 6, order_number)"))
+        load_waves(spark, moved.select(*c.column_names), c, [2, 3, 4, 5, 6], wh.raw(name))
+    totals.refresh()
+    return dim_user(totals.metrics())
+
+
+DIM_USER_CORRECTED = """
+SELECT md5(CAST(user_id AS VARCHAR)) AS user_key, user_id, total_orders, avg_days_between_orders, total_items_purchased,
+       avg_basket_size, reorder_ratio
+FROM (
+  SELECT user_id, count(*) AS total_orders, {days} AS avg_days_between_orders, CAST(sum(n) AS BIGINT) AS total_items_purchased,
+         {basket} AS avg_basket_size, {ratio} AS reorder_ratio
+  FROM raw_orders LEFT JOIN (
+    SELECT order_id, count(*) AS n, sum(reordered) AS r FROM raw_lines
+    WHERE eval_set <> 'test' AND NOT (order_number IN (2, 3) AND product_id % 3 = 0) AND order_number <> 4 GROUP BY order_id)
+  USING (order_id) WHERE eval_set <> 'test' GROUP BY user_id)"""
+
+
+def dim_food_product_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product versions arrive in four loads that are merged one by one: every
+    third event, the others in two loads (late old versions and ties among them), and the
+    first load once more. Products come out as from a full dedup."""
+    raw = _setup(spark, sf_dir)
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    landing = scratch_dir(spark, "feed-landing")
+    latest = LatestProducts(spark, wh.raw("off_products_raw"), wh.intermediate("latest_products"))
+    feed = raw.off_products_raw
+    for part in (2, 0, 1, 2):
+        _land_feed(feed.where(F.col("feed_seq") % 3 == part), landing)
+        ingest_json_arrays(spark, landing, wh.raw("off_products_raw"), wh.checkpoint("off_products_raw"))
+        latest.refresh()
+    return dim_food_product(latest.products())
+
+
+# --- pulls and loads that are written down (A8, A9, B7) -------------------------------------------
+
+def feed_resumed_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capped pulls, each of about a fifth of the feed. Two while only the older
+    half is there, one that stops after its landing and before its commit, one that stops
+    after its commit, then as many as it takes. Every event is in the raw table once."""
+    raw = _setup(spark, sf_dir)
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    landing = scratch_dir(spark, "feed-landing")
+    feed = raw.off_products_raw
+    mid, n = feed.agg(F.expr("(min(last_modified_t) + max(last_modified_t)) div 2"), F.count(F.lit(1))).first()
+    contract = contracts.FeedContract(max_pages=n // 500 + 1)
+    ledger = PullLedger(spark, wh.checkpoint("pulls"), landing)
+    when = F.timestamp_seconds("last_modified_t")
+    half = feed.where(F.col("last_modified_t") <= mid)
+    for _ in range(2):
+        ledger.pull(half, when, contract)
+
+    def stop(*_) -> None:
+        raise InterruptedError
+
+    for step in ("_commit", "finish"):
+        stopped = PullLedger(spark, ledger.path, landing)
+        whole = getattr(stopped, step)
+        calls = iter([whole, stop] if step == "finish" else [stop])
+        setattr(stopped, step, lambda *a, calls=calls: next(calls)(*a))
+        try:
+            stopped.pull(feed, when, contract)
+        except InterruptedError:
+            continue
+        raise AssertionError("the pull should have stopped")
+    while ledger.pull(feed, when, contract):
+        pass
+    ingest_json_arrays(spark, landing, wh.raw("off_products_raw"), wh.checkpoint("off_products_raw"))
+    return spark.read.schema(contracts.FEED_RAW_SCHEMA).parquet(wh.raw("off_products_raw")).select(
+        F.variant_get("payload", "$.code", "string").alias("product_code"), "last_modified_t", F.col("feed_seq").alias("feed_pos"))
+
+
+def append_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odd events are landed and loaded, twice (the second load adds nothing). Then
+    one file is rewritten at its path, the even events are landed, and the rows of a load
+    that stopped before its entries lie in the table. Rows as loaded, with their load."""
+    raw = _setup(spark, sf_dir)
+    landing, root = scratch_dir(spark, "feed-landing"), scratch_dir(spark, "ledger")
+    target, history = f"{root}/off_products_raw", f"{root}/history"
+    feed = raw.off_products_raw
+    rare = F.col("feed_seq") % 1000 == 1  # the file that will be rewritten
+
+    def land(rows: DataFrame, name: str) -> None:
+        folder = scratch_dir(spark, "one-file")
+        numbered = rows.select(F.concat(F.lit('{"feed_seq":'), F.col("feed_seq"), F.lit(","), F.substr(F.to_json("payload"), F.lit(2))))
+        numbered.coalesce(1).write.mode("overwrite").text(folder)
+        file = next(n for n in list_names(spark, folder) if n.startswith("part-"))
+        remove(spark, f"{landing}/dt=2024-01-01/{name}")
+        move(spark, f"{folder}/{file}", f"{landing}/dt=2024-01-01/{name}")
+
+    _land_feed(feed.where((F.col("feed_seq") % 2 == 1) & ~rare), landing)
+    land(feed.where(rare), "products_1.txt")
+    for _ in range(2):
+        ingest_with_history(spark, landing, target, history)
+    land(feed.where(rare & (F.col("feed_seq") % 3 == 0)), "products_1.txt")
+    _land_feed(feed.where(F.col("feed_seq") % 2 == 0), landing)
+    spark.read.schema(contracts.FEED_RAW_SCHEMA).parquet(f"{target}/load_id=1").limit(5).write.parquet(f"{target}/load_id=2")
+    ingest_with_history(spark, landing, target, history)
+    rows = spark.read.schema(StructType(list(contracts.FEED_RAW_SCHEMA.fields)).add("load_id", "integer")).parquet(target)
+    loads = read_history(spark, history).groupBy("load_id").agg(F.sum("n_lines").alias("lines")).where("lines > 0")
+    return rows.join(loads.select("load_id"), "load_id").select(
+        F.variant_get("payload", "$.code", "string").alias("product_code"), "last_modified_t", F.col("feed_seq").alias("feed_pos"),
+        "load_id")
+
+
+APPENDED = """
+SELECT code AS product_code, last_modified_t, event_id AS feed_pos, CAST(CASE WHEN event_id % 2 = 1 THEN 1 ELSE 2 END AS INTEGER) AS load_id
+FROM raw_off
+UNION ALL
+SELECT code, last_modified_t, event_id, 2 FROM raw_off WHERE event_id % 1000 = 1 AND event_id % 3 = 0"""
