@@ -32,8 +32,9 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -168,26 +169,31 @@ def head(texts: DataFrame, buckets: int) -> Head:
 
 # --- features ---------------------------------------------------------------------------
 
+def _direct(parts: Iterable[bytes], states: Iterable[int], n: int) -> np.ndarray:
+    """CRC-32 of each part, carried on from the state before it."""
+    return np.fromiter(map(crc32, parts, states), np.uint32, n)
+
+
 def feature_buckets(text: bytes, known: Head, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """Number of new words and buckets of the features that end in them, piece by piece."""
     get = known.ids.get
     carried: list[bytes] = []
     for fresh in word_lists(text):
         words, c = carried + fresh, len(carried)
-        ids = np.array([get(w, -1) for w in words], np.int64)
+        ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
         one = known.states[ids]
-        for i in np.flatnonzero(ids < 0).tolist():
-            one[i] = crc32(words[i])
-        spaced = [b" " + w for w in words]
+        tail = np.flatnonzero(ids < 0)
+        one[tail] = _direct(map(words.__getitem__, tail.tolist()), repeat(0), len(tail))
+        spaced = list(map(b" ".__add__, words))
         a, b = ids[:-1], ids[1:]
         key = a * PAIR_WORDS + b
         slot = Head.slot(key)
         hit = (a >= 0) & (b >= 0) & (a < PAIR_WORDS) & (b < PAIR_WORDS) & (known.pair_keys[slot] == key)
         two, bucket = known.pair_states[slot], known.pair_buckets[slot]
         miss = np.flatnonzero(~hit)
-        two[miss] = [crc32(spaced[i + 1], s) for i, s in zip(miss.tolist(), one[miss].tolist())]
+        two[miss] = _direct(map(spaced.__getitem__, (miss + 1).tolist()), one[miss].tolist(), len(miss))
         bucket[miss] = two[miss] % buckets
-        three = np.array([crc32(w, s) for w, s in zip(spaced[2:], two.tolist())], np.uint32)
+        three = _direct(spaced[2:], two.tolist(), max(len(words) - 2, 0))
         yield len(fresh), np.concatenate([one[c:] % buckets, bucket[max(c - 1, 0):], three[max(c - 2, 0):] % buckets])
         carried = words[-2:]
 
