@@ -13,10 +13,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star / small-star: every round hangs the larger
     neighbours of a node on its smallest one, then the smaller ones, until all
-    components are stars. Each round is two shuffles of at most as many edges as
-    before; the smallest neighbour is found with partial aggregation and joined
-    back, so that no neighbour list is ever gathered. Rounds are written to the
-    shared folder, which cuts the lineage.
+    components are stars. The smallest neighbour is found with partial aggregation and
+    joined back, so that no neighbour list is ever gathered; it is dealt by another value
+    than the node for that, so that AQE can split the edges of a node that most others
+    hang on. Rounds are written to the shared folder, which cuts the lineage.
     """
     edges = materialize(edges.filter("a <> b").select("a", "b").distinct(), "cc-edges")
     for _ in range(max_rounds):
@@ -40,7 +40,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     if not larger:
         both = both.filter("b < a")
     low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-    hung = both.join(low, "a")
+    key = F.bitwise_not("a").alias("key")
+    hung = both.withColumn("key", key).join(low.select(key, "low"), "key").drop("key")
     if larger:
         out = hung.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:

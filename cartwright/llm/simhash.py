@@ -178,8 +178,11 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bit
     label = fps.join(found, fps["fp"] == found["id"], "left").select(
         "fp", "low", F.coalesce("component", "fp").alias("component"))
     label = materialize(label, "simhash-labels")
-    lowest = label.groupBy("component").agg(F.min("low").alias("component_id"))
-    return rows, label.join(lowest, "component").select("fp", "component_id", "component")
+    # a component may hold a third of all fingerprints: the aggregate is dealt anew, by another
+    # value, since AQE splits a join but not one with an aggregate in the same stage
+    key = F.bitwise_not("component").alias("key")
+    lowest = label.groupBy("component").agg(F.min("low").alias("component_id")).select(key, "component_id")
+    return rows, label.withColumn("key", key).join(lowest, "key").select("fp", "component_id", "component")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
