@@ -42,6 +42,7 @@ BUCKETS = 256
 RING_ROWS = 16_384
 QUERY_ROWS = 8_192
 _TILE = 512
+_DEALT = 256
 _FOUND = "query_row long, query_id long, row long, vec_id long, score long"
 
 
@@ -128,8 +129,9 @@ def _key(batches: Iterator[pd.DataFrame], geo: _Geometry) -> Iterator[pd.DataFra
 
 
 def _deal(batches: Iterator[pd.DataFrame], geo: _Geometry, plan: _Plan, near: bool, blocks: int) -> Iterator[pd.DataFrame]:
-    """Queries with the annuli they have to meet."""
-    for df in batches:
+    """Queries with the annuli they have to meet, some queries at a time: there are
+    tables of queries by annuli."""
+    for df in (whole.iloc[at:at + _DEALT] for whole in batches for at in range(0, len(whole), _DEALT)):
         d = geo.query(_matrix(df["v"], geo.width), df["square"].to_numpy())
         # the annulus next to a query: that of the nearest pivot around its distance
         middle = geo.bucket(d[:, plan.pivot])
