@@ -7,7 +7,7 @@ consumers all the way into the raw scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwright import fixed
@@ -52,7 +52,12 @@ def stg_order_products(prior: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def parse_off_products(raw: DataFrame) -> DataFrame:
-    """Typed columns out of the VARIANT payload (I2-I4, C5), before dedup."""
+    """Typed columns out of the VARIANT payload (I2-I4, C5), before dedup.
+
+    Only rows without a feed position need the payload's text, as a last tie-break. They
+    are read apart, so that the scan of all others takes the payload's named fields only
+    (a Parquet file without such rows is skipped by its null counts).
+    """
     p = F.col("payload")
     cols = [
         variant_path(p, "code").alias("product_code"),
@@ -67,9 +72,14 @@ def parse_off_products(raw: DataFrame) -> DataFrame:
     ]
     seq = fixed.FEED_SEQUENCE_FIELD
     order = [F.col(c) for c in (seq, "_loaded_at") if c in raw.columns]
-    text = F.when(F.col(seq).isNull(), F.to_json(p)) if seq in raw.columns else F.to_json(p)
-    return (raw.select(*cols, *order, text.alias("_payload_text"))
-            .where(F.coalesce(F.col("product_code"), F.lit("")) != ""))
+
+    def typed(rows: DataFrame, text: Column) -> DataFrame:
+        return rows.select(*cols, *order, text.alias("_payload_text")).where(F.coalesce(F.col("product_code"), F.lit("")) != "")
+
+    if seq not in raw.columns:
+        return typed(raw, F.to_json(p))
+    return typed(raw.where(F.col(seq).isNotNull()), F.lit(None).cast("string")).unionByName(
+        typed(raw.where(F.col(seq).isNull()), F.to_json(p)))
 
 
 def latest_version(df: DataFrame, key: str, order_col: str, tie_breaks: list[str]) -> DataFrame:

@@ -24,6 +24,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.ansi.enabled": "true",  # B14: a value that does not fit its type aborts
+    # VARIANT payloads are written with their common fields as columns of their own, so
+    # that a path read scans the fields it names and no others
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.allowReadingShredded": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
 

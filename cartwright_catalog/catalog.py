@@ -96,6 +96,7 @@ QUERIES: dict[str, QueryFn] = {
     "dim_food_product_merged": upkeep.dim_food_product_merged,
     "feed_resumed_pull": upkeep.feed_resumed_pull,
     "append_ledger": upkeep.append_ledger,
+    "fact_order_items_stateful": upkeep.fact_order_items_stateful,
 }
 
 ORACLE: dict[str, str] = {
@@ -145,4 +146,5 @@ JOIN fact_orders o USING (order_id) JOIN dim_user u ON u.user_key = f.user_key""
     "feed_resumed_pull": oracle.with_models(
         "SELECT code AS product_code, last_modified_t, event_id AS feed_pos FROM raw_off WHERE last_modified_t > 0"),
     "append_ledger": oracle.with_models(upkeep.APPENDED),
+    "fact_order_items_stateful": oracle.with_models("SELECT * FROM fact_order_items"),
 }

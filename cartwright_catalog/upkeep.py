@@ -20,12 +20,13 @@ from cartwright.plans.maintained import LatestProducts, UserTotals
 from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, dim_food_product, dim_user
 from cartwright.plans.models import Models
 from cartwright.plans.pipelines import FACT_KEY, FACT_PARTITION, Warehouse, read_raw, refresh_fact_order_items, run_wave
-from cartwright.session import list_names, move, remove, scratch_dir, write_pending, write_pending_partitions
+from cartwright.session import list_names, make_folder, move, remove, scratch_dir, write_pending, write_pending_partitions
 from cartwright.sinks.load_ledger import ingest_with_history, read_history
-from cartwright.sinks.loads import load_full, load_waves, partitions_of, read_waves
+from cartwright.sinks.loads import load_full, load_waves, partitions_of, read_waves, write_waves
 from cartwright.sources.csv import read_contract_csv, write_contract_csv
 from cartwright.sources.pull_ledger import PullLedger
 from cartwright.streaming.json_ingest import ingest_json_arrays
+from cartwright.streaming.stateful_fact import refresh_stateful
 from cartwright_catalog.driver_tables import read_table
 from cartwright_catalog.landed import landed_raw_root
 from cartwright_catalog.scenarios import _all_waves, _fails, _land_feed, _loaded, _setup, built_marts
@@ -391,3 +392,28 @@ SELECT code AS product_code, last_modified_t, event_id AS feed_pos, CAST(CASE WH
 FROM raw_off
 UNION ALL
 SELECT code, last_modified_t, event_id, 2 FROM raw_off WHERE event_id % 1000 = 1 AND event_id % 3 = 0"""
+
+
+# --- lines and orders as streams (K2) -----------------------------------------------------------------
+
+def fact_order_items_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the lines of waves 1 to 3 land without an order; then the even orders; then all
+    other orders, before the lines of wave 5 and later; then these, with the lines of wave
+    4. Every line of a loaded order is in the fact once."""
+    root = landed_raw_root(spark, sf_dir)
+    wh = Warehouse(scratch_dir(spark, "warehouse"))
+    folder = scratch_dir(spark, "streams")
+    for c in contracts.WAVE_TABLES:
+        make_folder(spark, f"{folder}/{c.name}")
+
+    def land(name: str, where: str) -> None:
+        c = contracts.table(name)
+        write_waves(read_waves(spark, f"{root}/{name}", c).where(where), f"{folder}/{name}", mode="append")
+
+    steps = [(contracts.LINE_TABLES, "order_number <= 3"), (["orders"], "order_id % 2 = 0"), (["orders"], "order_id % 2 = 1"),
+             (contracts.LINE_TABLES, "order_number > 3")]
+    for tables, where in steps:
+        for name in tables:
+            land(name, where)
+        refresh_stateful(spark, folder, wh.mart("fact_order_items"), wh.checkpoint("stateful"))
+    return spark.read.parquet(wh.mart("fact_order_items")).select(*FACT_ORDER_ITEMS_COLUMNS)

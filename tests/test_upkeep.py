@@ -272,6 +272,19 @@ def test_latest_products_merge_ties_and_late_versions(spark, scratch):
     assert latest.refresh() == []
 
 
+def test_payload_reads_scan_named_fields(spark, scratch):
+    """Shredded VARIANT: the scan of rows with a feed position has no whole payload."""
+    from cartwright.plans.staging import parse_off_products
+
+    _versions(spark, [("a", "a1", 5, 1), ("b", "b1", 6, 2)]).write.parquet(f"{scratch}/shredded")
+    raw = spark.read.schema(contracts.FEED_RAW_SCHEMA).parquet(f"{scratch}/shredded")
+    plan = parse_off_products(raw).select("product_code", "product_name")._jdf.queryExecution().executedPlan().toString()
+    schemas = [line for line in plan.split("ReadSchema: ")[1:]]
+    assert schemas and all("payload:struct<0:string" in x for x in schemas) and "payload:variant" not in plan
+    names = sorted(r["product_name"] for r in parse_off_products(raw).collect())
+    assert names == ["a1", "b1"]
+
+
 # --- ledgers ---------------------------------------------------------------------------
 
 def test_intervals():
