@@ -344,7 +344,7 @@ def run_pull(spark: SparkSession, wh: Warehouse, feed: DataFrame, feed_landing:
     the number of rows that a ``capped`` pull left behind (0 otherwise).
     """
     mark = 0 if ignore_mark else feed_source.read_high_water_mark(spark, wh.raw("off_products_raw"))
-    pulled = feed_source.extract(feed, mark, contract, capped=capped, tie_breaks=[order_col])
+    pulled = feed_source.extract(feed, mark, contract, capped=capped, tie_breaks=[order_col], ordered=False)
     land_json_arrays(pulled, feed_landing, pulled_at, order_col)
     return mark, feed_source.left_behind(feed, mark, contract) if capped else 0
 

@@ -6,7 +6,7 @@ kept; a missing or NULL timestamp counts as 0, numeric strings are accepted,
 anything else aborts (strict cast).
 
 On a feed sorted newest-first the fresh rows are a prefix of the order, so
-"page until the first stale row" equals a filter. A pull takes all of
+"page until the first stale row" equals "filter, then sort". A pull takes all of
 them. The per-run cap (``page_size * max_pages``) is taken only when asked for:
 the next mark is the newest loaded row, so rows a capped pull leaves behind are
 not pulled again; :func:`left_behind` counts them for the caller, and
@@ -72,14 +72,15 @@ def newest_first(tie_breaks: list[str] | None = None) -> list[Column]:
 
 
 def extract(feed: DataFrame, watermark: int, contract: FeedContract | None = None, capped: bool = False,
-            tie_breaks: list[str] | None = None, inclusive: bool = False) -> DataFrame:
-    """One extractor run: all rows above the watermark; with ``capped`` only the newest
-    ``page_size * max_pages`` of them, newest first (G3, planned as
-    TakeOrderedAndProject). An uncapped pull is a set: its order would be lost in the
-    landing, which keeps each row's feed position instead."""
+            tie_breaks: list[str] | None = None, inclusive: bool = False, ordered: bool = True) -> DataFrame:
+    """One extractor run: all rows above the watermark, newest first; with
+    ``capped`` only the first ``page_size * max_pages`` of them (G3, planned as
+    TakeOrderedAndProject). ``ordered=False`` leaves an uncapped pull unsorted, for a
+    landing, which does not keep the order but each row's feed position."""
     contract = contract or FeedContract()
     fresh = above_watermark(feed, watermark, contract.watermark_field, inclusive=inclusive)
-    return (fresh.orderBy(*newest_first(tie_breaks)).limit(contract.cap) if capped else fresh).drop(WM)
+    rows = fresh.orderBy(*newest_first(tie_breaks)) if ordered or capped else fresh
+    return (rows.limit(contract.cap) if capped else rows).drop(WM)
 
 
 def left_behind(feed: DataFrame, watermark: int, contract: FeedContract | None = None,
