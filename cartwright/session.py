@@ -208,14 +208,26 @@ class Pending:
         remove(self.spark, self.path)
 
 
+def _put(spark: SparkSession, new: str, target: str, old: str) -> None:
+    """``new`` to the place of ``target``, which goes to ``old``. Where a reader finishes
+    the same swap at the same time, its work stands."""
+    try:
+        if path_exists(spark, target):
+            remove(spark, old)  # of an earlier swap, whose new content is in place
+            move(spark, target, old)
+        move(spark, new, target)
+    except OSError:
+        if not path_exists(spark, target) and path_exists(spark, old):
+            move(spark, old, target)
+        if path_exists(spark, new):
+            raise
+
+
 def _settle(spark: SparkSession, target: str) -> None:
     """Finish what a swap of ``target`` left undone."""
     ready, old = _beside(target, _READY), _beside(target, _OLD)
     if path_exists(spark, ready):
-        if path_exists(spark, target):
-            remove(spark, old)  # of an earlier swap, whose new content is in place
-            move(spark, target, old)
-        move(spark, ready, target)
+        _put(spark, ready, target, old)
     if path_exists(spark, old):
         if path_exists(spark, target):
             remove(spark, old)
@@ -238,11 +250,11 @@ def recover(spark: SparkSession, folder: str) -> None:
         for name in list_names(spark, ready):
             if "=" not in name:
                 continue
-            remove(spark, f"{folder}/{name}")
             if list_names(spark, f"{ready}/{name}"):
-                move(spark, f"{ready}/{name}", f"{folder}/{name}")
+                _put(spark, f"{ready}/{name}", f"{folder}/{name}", f"{folder}/{_OLD}{name}")
+                remove(spark, f"{folder}/{_OLD}{name}")
             else:
-                remove(spark, f"{ready}/{name}")
+                remove(spark, f"{folder}/{name}")
         remove(spark, ready)
 
 
