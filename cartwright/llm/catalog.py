@@ -38,7 +38,7 @@ def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.preference_segments(preference.swapped_replies(table(spark, sf_dir, "conversations")))
 
 
-def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = preference.preference_examples(op5_preference(spark, sf_dir))
     spans = {c: preference.spans_text(F.col(c)) for c in ("chosen_loss", "rejected_loss")}
     return pairs.withColumns(spans)
@@ -96,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op4_remove_repeats": op4_remove_repeats,
     "op5_preference": op5_preference,
-    "op5_preference_pairs": op5_preference_pairs,
+    "preference_pairs": preference_pairs,
     "op6_toxicity": op6_toxicity,
     "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
@@ -222,7 +222,7 @@ segments AS (
 
 ORACLE["op5_preference"] = _SEGMENTS + "SELECT * FROM segments"
 
-ORACLE["op5_preference_pairs"] = _SEGMENTS + r""",
+ORACLE["preference_pairs"] = _SEGMENTS + r""",
 placed AS (
   SELECT *, coalesce(sum(length(rendered)) OVER (PARTITION BY pair_id, part ORDER BY turn, role, rendered
                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
