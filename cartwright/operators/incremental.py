@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.operators.key_index import key_index, partitions_with
-from cartwright.operators.partition_state import Derived
 from cartwright.session import Pending, path_exists, remove, scratch_dir, write_pending, write_pending_partitions
 from cartwright.sinks.loads import partitions_of
 
@@ -71,15 +70,9 @@ def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, uniqu
     pending, affected = stage_delete_insert(spark, batch, target_path, unique_key, partition_col, columns, replace)
     if pending is not None:
         pending.publish()
-    if affected != set() and partitions_of(spark, target_path, partition_col):
-        index_of(batch, target_path, unique_key, partition_col).refresh(spark)
     return -1 if affected is None else len(affected)
 
 
-def index_of(rows: DataFrame, target_path: str, unique_key: list[str], partition_col: str) -> Derived:
-    return key_index(target_path, partition_col, unique_key[0], rows.schema[unique_key[0]].dataType)
-
-
 def stage_delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str], partition_col: str,
                         columns: list[str], replace: list[int] | None = None) -> tuple[Pending | None, set[int] | None]:
     """As :func:`delete_insert`, up to the complete new content of the affected partitions
@@ -112,13 +105,17 @@ def _stage(spark: SparkSession, batch: DataFrame, target_path: str, unique_key:
     keys = batch.select(*unique_key).dropna(how="any").distinct()
     replaced = set(replace or ())
     # the partitions of the batch, and those with a key of it: one value per wave
-    own = {r[0] for r in batch.select(partition_col).distinct().collect()}
+    lead = unique_key[0]
+    waves = batch.groupBy(partition_col).agg(F.min(lead), F.max(lead)).collect()
+    own = {r[0] for r in waves}
     if None in own:
         raise ValueError(f"the batch has rows without {partition_col}")
     if replace is not None and own - replaced:
         raise ValueError(f"the batch has rows outside the partitions to replace: {sorted(own - replaced)}")
-    index = index_of(batch, target_path, unique_key, partition_col)
-    others = partitions_with(spark, index, keys) - own - replaced
+    bounds = [b for r in waves for b in r[1:] if b is not None]
+    low, high = (min(bounds), max(bounds)) if bounds else (None, None)
+    index = key_index(target_path, partition_col, lead, batch.schema[lead].dataType)
+    others = partitions_with(spark, index, keys, low, high) - own - replaced
     holds = set()
     if others:
         near = target.where(F.col(partition_col).isin(sorted(others)))

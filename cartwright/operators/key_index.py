@@ -23,11 +23,10 @@ def key_index(target: str, column: str, lead: str, kind: DataType) -> Derived:
                    StructType().add(lead, kind), (lead,), lead, {f"parquet.bloom.filter.enabled#{lead}": "true"})
 
 
-def partitions_with(spark: SparkSession, index: Derived, keys: DataFrame) -> set[int]:
-    """The partitions that hold a leading key of ``keys``, from the index, which is
-    brought up to date first."""
+def partitions_with(spark: SparkSession, index: Derived, keys: DataFrame, low, high) -> set[int]:
+    """The partitions that hold a leading key of ``keys``, which lie between ``low`` and
+    ``high``, from the index, which is brought up to date first."""
     lead = index.schema.fieldNames()[0]
-    low, high = keys.agg(F.min(lead), F.max(lead)).first()
     if low is None:
         return set()
     near = index.read(spark).where(F.col(lead).between(low, high))

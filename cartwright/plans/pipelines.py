@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from cartwright import contracts, fixed
 from cartwright.operators import quality
 from cartwright.operators.incremental import (
-    delete_insert, index_of, max_partition_value, stage_delete_insert, table_exists,
+    delete_insert, max_partition_value, stage_delete_insert, table_exists,
 )
 from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
 from cartwright.plans.models import Models
@@ -189,11 +189,9 @@ def discard(staged: list[StagedMart]) -> None:
         s.pending.discard()
 
 
-def publish(spark: SparkSession, wh: Warehouse, staged: list[StagedMart]) -> None:
+def publish(staged: list[StagedMart]) -> None:
     for s in staged:
         s.pending.publish()
-        if s.name == "fact_order_items" and partitions_of(spark, wh.mart(s.name), FACT_PARTITION):
-            index_of(spark.read.parquet(wh.mart(s.name)), wh.mart(s.name), FACT_KEY, FACT_PARTITION).refresh(spark)
 
 
 def audit(spark: SparkSession, m: Models, wh: Warehouse, staged: list[StagedMart],
@@ -227,7 +225,7 @@ def audit(spark: SparkSession, m: Models, wh: Warehouse, staged: list[StagedMart
 def build_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: bool = True,
                 fact_waves: list[int] | None = None, threads: int = 4, full: bool = False) -> None:
     """Every mart is replaced when the new content of all of them is complete."""
-    publish(spark, wh, stage_marts(spark, m, wh, include_feed, fact_waves, threads, full))
+    publish(stage_marts(spark, m, wh, include_feed, fact_waves, threads, full))
     m.use_materialized("int_order_metrics", spark.read.parquet(wh.intermediate("int_order_metrics")))
 
 
@@ -329,7 +327,7 @@ def _audited(spark: SparkSession, m: Models, wh: Warehouse, staged: list[StagedM
     except BaseException:
         discard(staged)
         raise
-    publish(spark, wh, staged)
+    publish(staged)
     return results
 
 
