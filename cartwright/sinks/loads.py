@@ -20,9 +20,10 @@ from cartwright.session import list_names, path_exists, recover, write_and_swap,
 from cartwright.sources.csv import csv_waves, read_contract_csv, read_csv_waves, wave_file_label, write_contract_csv
 
 
-def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", mode: str = "overwrite",
+def write_waves(df: DataFrame, path: str, wave_col: str | list[str] = "order_number", mode: str = "overwrite",
                 max_records_per_file: int = 5_000_000) -> None:
-    """B2: route every row to its wave partition ``<path>/<wave_col>=N/``.
+    """B2: route every row to its wave partition ``<path>/<wave_col>=N/`` (with several
+    columns, nested folders).
 
     Waves shrink steeply with N (everyone has a first order), so a plain
     hash repartition on the wave would put most rows in one task, and no
@@ -32,9 +33,10 @@ def write_waves(df: DataFrame, path: str, wave_col: str = "order_number", mode:
     sampling pass over the input; ``overwrite`` makes a rerun deterministic
     and drops waves that disappeared from the source.
     """
-    (df.hint("rebalance", wave_col)
+    columns = [wave_col] if isinstance(wave_col, str) else wave_col
+    (df.hint("rebalance", *columns)
      .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(wave_col).parquet(path))
+     .partitionBy(*columns).parquet(path))
 
 
 def read_waves(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:

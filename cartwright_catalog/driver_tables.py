@@ -88,7 +88,8 @@ def raw_order_lines(lineitem: DataFrame, orders_raw: DataFrame) -> DataFrame:
              .agg(F.min("l_linenumber").alias("_ln"))
              .select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").cast("int").alias("product_id"),
                      "_ln"))
-    numbered = number_within_groups(pairs, ["order_id"], ["_ln", "product_id"], rn_col="_cart")
+    numbered = number_within_groups(pairs, ["order_id"], ["_ln", "product_id"], rn_col="_cart",
+                                    counted=lineitem.select(F.col("l_orderkey").alias("order_id")))
     lines = numbered.join(orders_raw.select("order_id", "user_id", "order_number", "eval_set"), "order_id", "inner")
     first = (lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first_number")))
     lines = lines.join(first, ["user_id", "product_id"], "inner")
@@ -158,9 +159,10 @@ def feed_payloads(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_layer(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> RawLayer:
-    """The raw layer; ``lines`` replaces the order lines derived here."""
-    orders = raw_orders(read_table(spark, sf_dir, "orders"))
+def raw_layer(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None, orders: DataFrame | None = None) -> RawLayer:
+    """The raw layer; ``lines`` and ``orders`` replace what is derived here."""
+    if orders is None:
+        orders = raw_orders(read_table(spark, sf_dir, "orders"))
     if lines is None:
         lines = raw_order_lines(read_table(spark, sf_dir, "lineitem"), orders)
     cols = ["order_id", "product_id", "add_to_cart_order", "reordered", "order_number"]

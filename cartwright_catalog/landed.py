@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from cartwright import contracts
-from cartwright.session import remove, scratch_dir
+from cartwright.session import make_folder, move, path_exists, remove, scratch_dir
 from cartwright.sinks.loads import read_waves, write_waves
 from cartwright.raw import RawLayer
-from cartwright_catalog.driver_tables import raw_layer, raw_order_lines, raw_orders, read_table
+from cartwright_catalog.driver_tables import feed_payloads, raw_layer, raw_order_lines, raw_orders, read_table
 
 _LANDED: dict[tuple[str, str], tuple[str, RawLayer]] = {}
 
@@ -26,16 +26,22 @@ def land_raw_layer(spark: SparkSession, sf_dir: str, root: str | None = None) ->
     orders = raw_orders(read_table(spark, sf_dir, "orders"))
     write_waves(orders, f"{root}/orders")
     orders = read_waves(spark, f"{root}/orders", contracts.table("orders"))
-    # both line tables are cut from one written computation
+    # both line tables are one write, whose folders become theirs
     lines = raw_order_lines(read_table(spark, sf_dir, "lineitem"), orders)
-    lines.write.mode("overwrite").parquet(f"{root}/.lines")
-    raw = raw_layer(spark, sf_dir, spark.read.schema(lines.schema).parquet(f"{root}/.lines"))
+    write_waves(lines, f"{root}/.lines", ["eval_set", "order_number"])
     for name in contracts.LINE_TABLES:
-        write_waves(raw.table(name), f"{root}/{name}")
+        source = f"{root}/.lines/eval_set={name.rsplit('_', 1)[-1]}"
+        if path_exists(spark, source):
+            move(spark, source, f"{root}/{name}")
+        else:
+            make_folder(spark, f"{root}/{name}")
     remove(spark, f"{root}/.lines")
+    raw = raw_layer(spark, sf_dir, lines, orders)
     for c in contracts.FULL_TABLES:
         raw.table(c.name).write.mode("overwrite").parquet(f"{root}/{c.name}")
-    raw.off_products_raw.write.mode("overwrite").parquet(f"{root}/off_products_raw")
+    # events are dealt before their payloads are made: a file of few row groups is read by few tasks
+    feed_payloads(read_table(spark, sf_dir, "events").hint("rebalance", "event_id")).write.mode("overwrite").parquet(
+        f"{root}/off_products_raw")
     return root, read_raw_layer(spark, root)
 
 

@@ -2,8 +2,11 @@
 
 ``row_number() over (partition by g order by o)`` sends a whole group to one
 task; when one user or one order holds a third of the rows, that task is the
-job. Here the rows are range-partitioned on ``(g, o)`` instead, so a hot group
-is cut into ordered segments spread over many tasks:
+job. So rows are counted first, by ``BUCKETS`` hashes of ``g``. Buckets of at
+most ``HOT_ROWS`` rows, as a rule all, hold no hot group: one window and one
+shuffle number their rows. The rows of the others are range-partitioned on
+``(g, o)``, so that a hot group is cut into ordered segments spread over many
+tasks:
 
 1. ``repartitionByRange(g, o)``; tag each row with its partition id and
    write the result as a reliable checkpoint (shared ``spark.checkpoint.dir``).
@@ -34,17 +37,39 @@ from pyspark.sql import functions as F
 
 from cartwright.session import checkpoint_root
 
+HOT_ROWS = 1_000_000
+BUCKETS = 1 << 16
+
 _PID, _LRN, _N, _OFF, _LAST, _PREV = "_seg_pid", "_seg_lrn", "_seg_n", "_seg_off", "_seg_last", "_seg_prev"
 
 
 def number_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str], rn_col: str = "rn",
-                         lag_of: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                         lag_of: dict[str, str] | None = None, num_partitions: int | None = None,
+                         counted: DataFrame | None = None) -> DataFrame:
     """Add ``rn_col`` = row_number() over (partition by group order by order, ascending).
 
     ``lag_of`` maps a source column to the name of its lag-1 column in the
-    same window. Returns all input columns plus the new ones.
+    same window. Returns all input columns plus the new ones. ``counted``: a table
+    that is cheaper to count than ``df`` and has no group smaller than there.
     """
     lag_of = lag_of or {}
+    bucket = F.pmod(F.xxhash64(*group_cols), F.lit(BUCKETS))
+    sizes = (df if counted is None else counted).groupBy(bucket.alias("b")).count().where(F.col("count") > HOT_ROWS)
+    hot = [r["b"] for r in sizes.collect()]  # at most one in HOT_ROWS rows
+    if not hot:
+        return _by_window(df, group_cols, order_cols, rn_col, lag_of)
+    spread = _by_ranges(df.where(bucket.isin(hot)), group_cols, order_cols, rn_col, lag_of, num_partitions)
+    return _by_window(df.where(~bucket.isin(hot)), group_cols, order_cols, rn_col, lag_of).unionByName(spread)
+
+
+def _by_window(df: DataFrame, group_cols: list[str], order_cols: list[str], rn_col: str, lag_of: dict[str, str]) -> DataFrame:
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    new = {out: F.lag(src).over(w) for src, out in lag_of.items()}
+    return df.withColumns({rn_col: F.row_number().over(w).cast("long"), **new})
+
+
+def _by_ranges(df: DataFrame, group_cols: list[str], order_cols: list[str], rn_col: str, lag_of: dict[str, str],
+               num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]

@@ -2,6 +2,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from cartwright_catalog import numbering
 from cartwright_catalog.numbering import number_within_groups
 
 
@@ -23,3 +24,25 @@ def test_hot_group_is_spread_over_partitions(spark):
     df = spark.range(20_000).select(F.lit(1).alias("g"), F.col("id").alias("o"))
     got = number_within_groups(df, ["g"], ["o"], num_partitions=8)
     assert got.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first() == (1, 20_000, 20_000)
+
+
+def _skewed(spark):
+    return spark.range(3_000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("g"),
+                                     (F.col("id") * 7919 % 10_007).alias("o"), F.col("id").alias("k"))
+
+
+def test_hot_and_other_groups_together(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "HOT_ROWS", 100)
+    df = _skewed(spark).withColumn("g", F.when(F.col("k") % 50 != 1, F.col("g")))  # and a group of nulls
+    w = Window.partitionBy("g").orderBy("o", "k")
+    want = df.select("g", "o", "k", F.row_number().over(w).cast("long").alias("rn"), F.lag("o").over(w).alias("prev_o"))
+    got = number_within_groups(df, ["g"], ["o", "k"], lag_of={"o": "prev_o"}, num_partitions=5)
+    assert "Union" in got._jdf.queryExecution().executedPlan().toString()
+    a = got.select("g", "o", "k", "rn", "prev_o")
+    assert a.count() == 3_000 and a.exceptAll(want).count() == 0 and want.exceptAll(a).count() == 0
+
+
+def test_groups_that_fit_a_task_are_shuffled_once(spark):
+    got = number_within_groups(_skewed(spark), ["g"], ["o", "k"], lag_of={"o": "prev_o"})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
