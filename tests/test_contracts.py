@@ -59,3 +59,28 @@ def test_cluster_profile_keeps_explicit_settings(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
         configure(spark)
+
+
+def test_shuffles_are_sized_unless_the_session_says_otherwise(spark):
+    from cartwright.session import SIZING, configure
+    advisory, parts = SIZING
+    old = {k: spark.conf.get(k, None) for k in SIZING}
+    try:
+        for k in SIZING:
+            spark.conf.unset(k)
+        configure(spark)
+        assert {k: spark.conf.get(k) for k in SIZING} == SIZING
+        spark.conf.set(advisory, "40m")
+        configure(spark)
+        assert spark.conf.get(advisory) == "40m"
+        spark.conf.set(advisory, SIZING[advisory])
+        configure(spark, profile="cluster")
+        assert spark.conf.get(advisory) == "128m" and spark.conf.get(parts, None) is None
+    finally:
+        from cartwright.session import CLUSTER_SETTINGS
+        for k in CLUSTER_SETTINGS:
+            if k != "spark.sql.shuffle.partitions":
+                spark.conf.unset(k)
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        configure(spark)
