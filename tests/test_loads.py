@@ -220,6 +220,25 @@ def test_feed_landing_layout(spark, scratch):
     assert back.select(F.variant_get("payload", "$.code", "string")).distinct().count() == n
 
 
+def test_feed_landing_shuffles_once_and_groups_nothing(spark, scratch, monkeypatch):
+    """A (day, chunk) aggregate held every text once more before and behind its shuffle."""
+    from pyspark.sql import DataFrameWriter
+
+    from cartwright.sinks.feed_landing import land_json_arrays
+    seen = []
+    real = DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda w, *a, **k: seen.append(w._df) or real(w, *a, **k))
+    feed = spark.range(50).select(F.to_variant_object(F.struct(F.col("id").alias("code"))).alias("payload"), F.col("id").alias("pos"))
+    feed = feed.withColumn("payload", F.when(F.col("pos") != 3, F.col("payload")))  # without a payload: not landed
+    land_json_arrays(feed, f"{scratch}/once", F.timestamp_seconds(F.lit(0)), "pos", rows_per_array=20)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan
+    lines = [r["value"] for r in spark.read.text(f"{scratch}/once").collect()]
+    positions = [[x["feed_seq"] for x in json.loads(v)] for v in lines]
+    assert all(p == sorted(p) and len(p) <= 20 for p in positions)
+    assert sorted(sum(positions, [])) == [i for i in range(50) if i != 3]
+
+
 def test_whole_file_json_array(spark, scratch):
     from cartwright.sources.json_arrays import read_json_arrays
     os.makedirs(f"{scratch}/pretty", exist_ok=True)
