@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.operators.key_index import key_index, partitions_with
-from cartwright.session import Pending, path_exists, remove, scratch_dir, write_pending, write_pending_partitions
+from cartwright.session import Pending, RowWise, path_exists, remove, scratch_dir, write_pending, write_pending_partitions
 from cartwright.sinks.loads import partitions_of
 
 
@@ -62,19 +62,22 @@ def _numbers(spark: SparkSession, path: str, col: str) -> set[int]:
 
 
 def delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str],
-                  partition_col: str, columns: list[str], replace: list[int] | None = None) -> int:
+                  partition_col: str, columns: list[str], replace: list[int] | None = None,
+                  finish: RowWise | None = None) -> int:
     """Apply ``batch`` to the target; returns the number of partitions touched
     (-1: the target was missing or empty). ``replace`` names partitions that hold the
-    batch's rows alone afterwards; all rows of the batch must be in them.
+    batch's rows alone afterwards; all rows of the batch must be in them. ``finish`` gives
+    the batch its columns row by row; it comes after the shuffles.
     """
-    pending, affected = stage_delete_insert(spark, batch, target_path, unique_key, partition_col, columns, replace)
+    pending, affected = stage_delete_insert(spark, batch, target_path, unique_key, partition_col, columns, replace, finish)
     if pending is not None:
         pending.publish()
     return -1 if affected is None else len(affected)
 
 
 def stage_delete_insert(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str], partition_col: str,
-                        columns: list[str], replace: list[int] | None = None) -> tuple[Pending | None, set[int] | None]:
+                        columns: list[str], replace: list[int] | None = None,
+                        finish: RowWise | None = None) -> tuple[Pending | None, set[int] | None]:
     """As :func:`delete_insert`, up to the complete new content of the affected partitions
     (None: nothing changes), which the caller publishes or discards. Also returns the
     affected partitions, None for a missing or empty target.
@@ -82,14 +85,19 @@ def stage_delete_insert(spark: SparkSession, batch: DataFrame, target_path: str,
     The batch is written once to the shared folder, since the search for affected
     partitions and the write both read it.
     """
+    def finished(rows: DataFrame) -> DataFrame:
+        return (finish(rows) if finish else rows).select(*columns)
+
+    if finish is None:
+        batch = batch.select(*columns)
     if not partitions_of(spark, target_path, partition_col):
-        return write_pending(batch.select(*columns), target_path, partition_col, unique_key[0]), None
+        return write_pending(batch, target_path, partition_col, unique_key[0], finished), None
     schema = spark.read.parquet(target_path).schema
-    check_schema(batch.select(*columns), spark.createDataFrame([], schema), partition_col)
+    check_schema(finished(batch), spark.createDataFrame([], schema), partition_col)
     staging = scratch_dir(spark, "delete-insert")
     try:
-        batch = _staged(batch.select(*columns), f"{staging}/batch")
-        return _stage(spark, batch, target_path, unique_key, partition_col, columns, replace)
+        batch = _staged(batch, f"{staging}/batch")
+        return _stage(spark, batch, target_path, unique_key, partition_col, columns, replace, finished)
     finally:
         remove(spark, staging)
 
@@ -100,7 +108,7 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
 
 
 def _stage(spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str], partition_col: str,
-           columns: list[str], replace: list[int] | None) -> tuple[Pending | None, set[int]]:
+           columns: list[str], replace: list[int] | None, finished: RowWise) -> tuple[Pending | None, set[int]]:
     target = spark.read.parquet(target_path).select(*columns)
     keys = batch.select(*unique_key).dropna(how="any").distinct()
     replaced = set(replace or ())
@@ -125,8 +133,8 @@ def _stage(spark: SparkSession, batch: DataFrame, target_path: str, unique_key:
     if not affected:
         return None, affected
     rewritten = (holds | (own & existing)) - replaced  # partitions that keep some of their rows
-    new = batch
-    if rewritten:
-        kept = target.where(F.col(partition_col).isin(sorted(rewritten))).join(keys, unique_key, "left_anti")
-        new = kept.unionByName(batch)
+    if not rewritten:
+        return write_pending_partitions(batch, target_path, partition_col, sorted(affected), unique_key[0], finished), affected
+    kept = target.where(F.col(partition_col).isin(sorted(rewritten))).join(keys, unique_key, "left_anti")
+    new = kept.unionByName(finished(batch))
     return write_pending_partitions(new, target_path, partition_col, sorted(affected), unique_key[0]), affected

@@ -77,8 +77,8 @@ FACT_ORDER_ITEMS_COLUMNS = ["order_id", "product_id", "order_number", "add_to_ca
                             "product_key", "user_key", "time_key"]
 
 
-def fact_order_items(order_products: DataFrame, orders: DataFrame) -> DataFrame:
-    """M14 full build (J1, J9): lines of completed orders with three hash keys.
+def fact_item_lines(order_products: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines of completed orders with the natural keys of their dimensions.
 
     A hot order on the line side is split by AQE's skew-join handling; the
     order side is unique per order_id.
@@ -86,6 +86,18 @@ def fact_order_items(order_products: DataFrame, orders: DataFrame) -> DataFrame:
     o = orders.select("order_id", "user_id", "order_day_of_week", "order_hour_of_day")
     return (order_products.join(o, "order_id", "inner")
             .select("order_id", "product_id", "order_number", "add_to_cart_order", "reordered", "source",
-                    surrogate_key("product_id").alias("product_key"),
-                    surrogate_key("user_id").alias("user_key"),
-                    surrogate_key("order_day_of_week", "order_hour_of_day").alias("time_key")))
+                    "user_id", "order_day_of_week", "order_hour_of_day"))
+
+
+def with_item_keys(lines: DataFrame) -> DataFrame:
+    """Three hash keys instead of the natural ones. 96 random characters a line, so
+    writers add them behind their last shuffle."""
+    return lines.select("order_id", "product_id", "order_number", "add_to_cart_order", "reordered", "source",
+                        surrogate_key("product_id").alias("product_key"),
+                        surrogate_key("user_id").alias("user_key"),
+                        surrogate_key("order_day_of_week", "order_hour_of_day").alias("time_key"))
+
+
+def fact_order_items(order_products: DataFrame, orders: DataFrame) -> DataFrame:
+    """M14 full build."""
+    return with_item_keys(fact_item_lines(order_products, orders))

@@ -23,7 +23,7 @@ from cartwright.operators import quality
 from cartwright.operators.incremental import (
     delete_insert, max_partition_value, stage_delete_insert, table_exists,
 )
-from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
+from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_item_lines, with_item_keys
 from cartwright.plans.models import Models
 from cartwright.plans.views import VIEWS
 from cartwright.raw import RawLayer
@@ -89,7 +89,7 @@ FACT_KEY, FACT_PARTITION = ["order_id", "product_id"], "order_number"
 
 
 def _fact_batch(spark: SparkSession, m: Models, path: str, waves: list[int] | None) -> DataFrame | None:
-    """The lines a refresh applies; None if nothing is new."""
+    """The lines a refresh applies, with natural keys; None if nothing is new."""
     op = m.stg_order_products
     if waves is not None:
         lines = op.where(op.order_number.isin(list(waves)))
@@ -97,7 +97,7 @@ def _fact_batch(spark: SparkSession, m: Models, path: str, waves: list[int] | No
         lines = op.where(op.order_number > max_partition_value(spark, path, FACT_PARTITION))
         if lines.isEmpty():  # partition-pruned probe: nothing new
             return None
-    return fact_order_items(lines, m.stg_orders)
+    return fact_item_lines(lines, m.stg_orders)
 
 
 def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse, waves: list[int] | None = None,
@@ -113,13 +113,12 @@ def refresh_fact_order_items(spark: SparkSession, m: Models, wh: Warehouse, wave
     """
     path = wh.mart("fact_order_items")
     if full:
-        rows = fact_order_items(m.stg_order_products, m.stg_orders).select(*FACT_ORDER_ITEMS_COLUMNS)
-        write_and_swap(rows, path, partition_by=FACT_PARTITION, sort_by=FACT_KEY[0])
+        write_and_swap(fact_item_lines(m.stg_order_products, m.stg_orders), path, FACT_PARTITION, FACT_KEY[0], with_item_keys)
         return -1
     batch = _fact_batch(spark, m, path, waves)
     if batch is None:
         return 0
-    return delete_insert(spark, batch, path, FACT_KEY, FACT_PARTITION, FACT_ORDER_ITEMS_COLUMNS, replace=waves)
+    return delete_insert(spark, batch, path, FACT_KEY, FACT_PARTITION, FACT_ORDER_ITEMS_COLUMNS, replace=waves, finish=with_item_keys)
 
 
 @dataclass
@@ -159,13 +158,14 @@ def stage_marts(spark: SparkSession, m: Models, wh: Warehouse, include_feed: boo
             if fact_waves is not None and not full:
                 lines = lines.where(lines.order_number.isin(list(fact_waves)))
             watch = quality.Watch("fact_order_items", tests)
-            rows = fact_order_items(lines, m.stg_orders).select(*FACT_ORDER_ITEMS_COLUMNS)
-            staged.append(StagedMart("fact_order_items", write_pending(watch(rows), path, FACT_PARTITION, FACT_KEY[0]), watch))
+            pending = write_pending(fact_item_lines(lines, m.stg_orders), path, FACT_PARTITION, FACT_KEY[0],
+                                    lambda rows: watch(with_item_keys(rows)))
+            staged.append(StagedMart("fact_order_items", pending, watch))
             return
         batch = _fact_batch(spark, m, path, fact_waves)
         if batch is not None:
             pending, affected = stage_delete_insert(spark, batch, path, FACT_KEY, FACT_PARTITION, FACT_ORDER_ITEMS_COLUMNS,
-                                                    replace=fact_waves)
+                                                    replace=fact_waves, finish=with_item_keys)
             if pending is not None:
                 staged.append(StagedMart("fact_order_items", pending, quality.Watch("fact_order_items", ()), affected))
 

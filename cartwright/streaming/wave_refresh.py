@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cartwright import contracts
 from cartwright.operators.incremental import delete_insert
-from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_order_items
+from cartwright.plans.marts import FACT_ORDER_ITEMS_COLUMNS, fact_item_lines, with_item_keys
 from cartwright.session import list_names, recover, remove, write_and_swap
 
 LINES = ("order_id long, product_id int, add_to_cart_order int, reordered int, order_number int, source string")
@@ -44,8 +44,8 @@ def stream_order_products(spark: SparkSession, raw_root: str, max_files_per_trig
 def _settle(spark: SparkSession, lines: DataFrame, orders: DataFrame, landed: DataFrame, target: str, pending: str) -> None:
     """Apply the lines whose order is there; leave those whose order has not landed in
     ``pending``."""
-    delete_insert(spark, fact_order_items(lines, orders), target, ["order_id", "product_id"], "order_number",
-                  FACT_ORDER_ITEMS_COLUMNS)
+    delete_insert(spark, fact_item_lines(lines, orders), target, ["order_id", "product_id"], "order_number",
+                  FACT_ORDER_ITEMS_COLUMNS, finish=with_item_keys)
     # last, since ``lines`` may read what this replaces; a crash in between only repeats the step above
     waiting = lines.join(landed.select("order_id"), "order_id", "left_anti").select(*lines.columns)
     write_and_swap(waiting, pending)

@@ -171,3 +171,25 @@ def test_unique_tests_fold_per_model(spark):
     tests = [quality.DataTest("unique", "m", ("k",)), quality.DataTest("unique", "m", ("n",))]
     got = {r.test_name: r.n_failed for r in quality.evaluate(tests, {"m": df}).collect()}
     assert got == {"unique_m_k": 1, "unique_m_n": 2}
+
+
+def test_columns_of_finish_are_not_shuffled(spark, scratch):
+    """Hash keys are added behind the last shuffle, into a new target and an old one."""
+    from cartwright.session import write_pending
+
+    def widen(rows):
+        return rows.withColumn("key", F.md5(F.col("id").cast("string")))
+
+    seen = []
+    rows = spark.range(40).withColumn("p", (F.col("id") % 2).cast("int"))
+    write_pending(rows, f"{scratch}/wide", "p", "id", lambda r: seen.append(r.columns) or widen(r)).publish()
+    assert seen == [["id", "p"]]
+    back = spark.read.parquet(f"{scratch}/wide")
+    assert back.where(F.col("key") == F.md5(F.col("id").cast("string"))).count() == 40
+    for low, high in ((30, 50), (60, 70)):
+        batch = spark.range(low, high).withColumn("p", F.lit(low).cast("int"))
+        delete_insert(spark, batch, f"{scratch}/wide", ["id"], "p", ["id", "p", "key"], finish=widen)
+    back = spark.read.parquet(f"{scratch}/wide")
+    assert sorted(tuple(r) for r in back.select("id", "p").collect()) == sorted(
+        [(i, i % 2) for i in range(30)] + [(i, 30) for i in range(30, 50)] + [(i, 60) for i in range(60, 70)])
+    assert back.where(F.col("key") == F.md5(F.col("id").cast("string"))).count() == 60
