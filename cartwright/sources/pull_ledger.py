@@ -28,6 +28,7 @@ from cartwright.sources.feed import WM, above_watermark
 
 _SCHEMA = "kind string, low_t long, low_s long, high_t long, high_s long, pull string"
 _HIDDEN = ".pull-"
+RANGES = 4096
 
 Position = tuple[int, int]
 
@@ -43,6 +44,29 @@ def merged(intervals: list[tuple[Position, Position]]) -> list[tuple[Position, P
     return out
 
 
+def newest_rows(rows: DataFrame, cap: int) -> DataFrame:
+    """The ``cap`` rows of the highest position ``_p``, wherever they lie: a sort and limit
+    would bring them all to one task. The lowest position taken is found by counting rows
+    in ranges of the time, then of the sequence, each time within the range it fell into."""
+    above, level, left = F.lit(False), F.lit(True), cap
+    for name in ("_p.t", "_p.s"):
+        part = F.col(name)
+        low, high, n = rows.where(level).agg(F.min(part), F.max(part), F.count(F.lit(1))).first()
+        if n <= left:
+            return rows.where(above | level)
+        while low < high:
+            width = (high - low) // RANGES + 1
+            at = F.expr(f"(CAST({name} AS DECIMAL(20, 0)) - ({low}BD)) div {width}BD")
+            counts = rows.where(level & part.between(low, high)).groupBy(at.alias("at")).count().collect()  # RANGES at most
+            for range_, k in sorted(map(tuple, counts), reverse=True):
+                if k >= left:
+                    break
+                left -= k
+            low, high = low + range_ * width, min(high, low + (range_ + 1) * width - 1)
+        above, level = above | (level & (part > low)), level & (part == low)
+    return rows.where(above).unionByName(rows.where(level).limit(left))  # of rows of one position any
+
+
 @dataclass
 class PullLedger:
     """The pulls of one feed into ``landing``; the ledger is a small table at ``path``."""
@@ -93,7 +117,7 @@ class PullLedger:
         seen = self._table().where("kind = 'seen'").select(F.struct(F.col("low_t").alias("t"), F.col("low_s").alias("s")).alias("_p"))
         fresh = rows.where(~known).join(seen, "_p", "left_anti")
         if capped:
-            fresh = fresh.orderBy(F.desc("_p")).limit(contract.cap)
+            fresh = newest_rows(fresh, contract.cap)
         staged = f"{self.landing}/{_HIDDEN}{name}"
         land_json_arrays(fresh.drop("_p", WM), staged, pulled_at, self.order_col)
         n = self._commit(staged, name, rows, pulled, contract.cap if capped else None)

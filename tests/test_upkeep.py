@@ -318,6 +318,33 @@ def test_pulls_fill_gaps_and_look_at_the_last_second_again(spark, scratch):
     assert ledger.pull(_versions(spark, rows), when, capped=False) == 0
 
 
+def _positions(spark, pairs):
+    return spark.createDataFrame(pairs, "t long, s long").select(F.struct("t", "s").alias("_p"))
+
+
+@pytest.mark.parametrize("cap", [1, 7, 50, 99, 100, 150, 400, 401, 500])
+def test_newest_rows_by_counts_are_those_of_a_sort(spark, cap):
+    from cartwright.sources.pull_ledger import newest_rows
+
+    pairs = [(i * 10**12, i) for i in range(-50, 50)] + [(10**13, s * 10**9) for s in range(300)] + [(7, 7)]
+    got = sorted((tuple(r["_p"]) for r in newest_rows(_positions(spark, pairs), cap).collect()), reverse=True)
+    assert got == sorted(pairs, reverse=True)[:cap]
+
+
+def test_newest_rows_of_one_position_are_cut(spark):
+    from cartwright.sources.pull_ledger import newest_rows
+
+    got = [tuple(r["_p"]) for r in newest_rows(_positions(spark, [(5, 1)] * 9 + [(6, 0), (4, 2)]), 5).collect()]
+    assert sorted(got) == [(5, 1)] * 4 + [(6, 0)]
+
+
+def test_a_capped_pull_brings_no_sorted_rows_to_one_task(spark):
+    from cartwright.sources.pull_ledger import newest_rows
+
+    plan = newest_rows(_positions(spark, [(i, i) for i in range(100)]), 40)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Sort" not in plan and "Limit" not in plan
+
+
 def test_load_history(spark, scratch):
     landing, target, history = f"{scratch}/l/in", f"{scratch}/l/out", f"{scratch}/l/history"
     assert ingest_with_history(spark, landing, target, history) == []
