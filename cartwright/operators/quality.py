@@ -215,7 +215,14 @@ def evaluate(tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, Dat
 
 # --- partitioned models, from what is kept per partition ---------------------------
 
-_STATE = StructType().add("_c", IntegerType()).add("_v", StringType()).add("_n", LongType())
+_STATE = StructType().add("_c", IntegerType()).add("_v", BinaryType()).add("_n", LongType())
+_HEX = "^(?:[0-9a-f]{2})+$"
+
+
+def _packed(c: Column, kind: DataType) -> Column:
+    """:func:`_text` in bytes, one sequence per value: hash keys take half of their digits."""
+    text = _text(c, kind)
+    return F.when(text.rlike(_HEX), F.concat(F.lit(b"\x00"), F.unhex(text))).otherwise(F.concat(F.lit(b"\x01"), F.encode(text, "UTF-8")))
 
 
 def _state(target: str, column: str, tests: list[DataTest], slots: list[tuple[str, DataType]],
@@ -223,11 +230,11 @@ def _state(target: str, column: str, tests: list[DataTest], slots: list[tuple[st
     """Per partition: rows by (slot, value); and for each ``unique_combination`` test the
     repeated combinations by leading value (slot -1 for the first such test, ...)."""
     def build(rows: DataFrame) -> DataFrame:
-        parts = [_tagged(rows, slots, _text, column).groupBy(column, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))] if slots else []
+        parts = [_tagged(rows, slots, _packed, column).groupBy(column, "_c", "_v").agg(F.count(F.lit(1)).alias("_n"))] if slots else []
         for i, t in enumerate(pairs):
             lead = F.col(t.columns[0])
             again = rows.where(lead.isNotNull()).groupBy(column, *t.columns).agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
-            parts.append(again.select(column, F.lit(-1 - i).alias("_c"), lead.cast("string").alias("_v"))
+            parts.append(again.select(column, F.lit(-1 - i).alias("_c"), _packed(lead, StringType()).alias("_v"))
                          .groupBy(column, "_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
         return reduce(DataFrame.unionByName, parts)
 
@@ -257,19 +264,34 @@ def evaluate_incremental(spark: SparkSession, tests: list[DataTest] | tuple[Data
     parts = []
     if single:
         counts = kept.where("_c >= 0").groupBy("_c", "_v").agg(F.sum("_n").alias("_n"))
-        parts.append(_from_counts(single, counts, slots, _text, tables))
+        parts.append(_from_counts(single, counts, slots, _packed, tables))
     for i, t in enumerate(pairs):
         lead = t.columns[0]
         index = key_index(target, column, lead, table.schema[lead].dataType).read(spark, staged, affected)
-        shared = index.groupBy(lead).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(lead)
-        within = kept.where(F.col("_c") == -1 - i).join(shared.select(F.col(lead).cast("string").alias("_v")), "_v", "left_anti")
-        again = table.join(shared, lead, "left_semi").unionByName(table.where(F.col(lead).isNull()))
+        within, again = kept.where(F.col("_c") == -1 - i), table.where(F.col(lead).isNull())
+        if at := _sharing(index, lead, column):
+            shared = _shared(index.where(F.col(column).isin(at)), lead, column).select(lead)
+            within = within.join(shared.select(_packed(F.col(lead), StringType()).alias("_v")), "_v", "left_anti")
+            again = table.where(F.col(column).isin(at)).join(shared, lead, "left_semi").unionByName(again)
         across = again.groupBy(*t.columns).count().where("count > 1").agg(F.count(F.lit(1)).alias("n"))
         total = within.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).unionAll(across)
         parts.append(total.agg(F.sum("n").alias("n")).select(*_result(t, F.col("n"))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _shared(index: DataFrame, lead: str, column: str) -> DataFrame:
+    """The leading values that are in several partitions."""
+    return index.groupBy(lead).agg(F.min(column).alias("lo"), F.max(column).alias("hi")).where("lo < hi")
+
+
+def _sharing(index: DataFrame, lead: str, column: str) -> list:
+    """The partitions that have a leading value in common with another one."""
+    shared = _shared(index, lead, column)
+    if not shared.select("lo", "hi").distinct().collect():  # as a rule
+        return []
+    return [r[0] for r in index.join(shared, lead, "left_semi").select(column).distinct().collect()]  # one value a partition
+
+
 def _as_it_will_be(spark: SparkSession, target: str, column: str, staged: DataFrame | None, affected) -> DataFrame:
     if staged is not None and not partitions_of(spark, target, column):
         return staged

@@ -20,10 +20,11 @@ so a single huge customer or order does not land in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwright.raw import RawLayer
+from cartwright_catalog import numbering
 from cartwright_catalog.numbering import number_within_groups
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -84,15 +85,12 @@ def raw_order_lines(lineitem: DataFrame, orders_raw: DataFrame) -> DataFrame:
     ``lineitem`` repeats (order, part) pairs, so it is first collapsed to one
     line per pair, keeping the smallest line number as the cart position key.
     """
-    pairs = (lineitem.groupBy("l_orderkey", "l_partkey")
-             .agg(F.min("l_linenumber").alias("_ln"))
-             .select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").cast("int").alias("product_id"),
-                     "_ln"))
-    numbered = number_within_groups(pairs, ["order_id"], ["_ln", "product_id"], rn_col="_cart",
-                                    counted=lineitem.select(F.col("l_orderkey").alias("order_id")))
+    items = lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").cast("int").alias("product_id"),
+                            F.col("l_linenumber").alias("_ln"))
+    numbered = number_within_groups(items, ["order_id"], ["_ln", "product_id"], rn_col="_cart",
+                                    collapse=lambda rows: rows.groupBy("order_id", "product_id").agg(F.min("_ln").alias("_ln")))
     lines = numbered.join(orders_raw.select("order_id", "user_id", "order_number", "eval_set"), "order_id", "inner")
-    first = (lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first_number")))
-    lines = lines.join(first, ["user_id", "product_id"], "inner")
+    lines = _with_first_number(lines, orders_raw)
     return (lines.where(F.col("eval_set").isin("prior", "train"))
             .select("order_id", "product_id",
                     F.col("_cart").cast("int").alias("add_to_cart_order"),
@@ -101,6 +99,18 @@ def raw_order_lines(lineitem: DataFrame, orders_raw: DataFrame) -> DataFrame:
                     "order_number", "eval_set"))
 
 
+def _with_first_number(lines: DataFrame, orders_raw: DataFrame) -> DataFrame:
+    """Add ``_first_number``, the order in which the line's user first bought its product;
+    lines without a product are left out. A user has no more lines of a product than orders,
+    so a window takes them in one task unless a history is longer than HOT_ROWS."""
+    longest = orders_raw.agg(F.max("order_number")).first()[0]
+    if longest is None or longest <= numbering.HOT_ROWS:
+        w = Window.partitionBy("user_id", "product_id")
+        return lines.dropna(subset=["user_id", "product_id"]).withColumn("_first_number", F.min("order_number").over(w))
+    first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first_number"))
+    return lines.join(first, ["user_id", "product_id"], "inner")
+
+
 def _aisle_id():
     aisle = None
     for t, i in TYPE_TO_AISLE:

@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.session import checkpoint_root
+from cartwright.session import RowWise, checkpoint_root
 
 HOT_ROWS = 1_000_000
 BUCKETS = 1 << 16
@@ -45,23 +45,29 @@ _PID, _LRN, _N, _OFF, _LAST, _PREV = "_seg_pid", "_seg_lrn", "_seg_n", "_seg_off
 
 def number_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str], rn_col: str = "rn",
                          lag_of: dict[str, str] | None = None, num_partitions: int | None = None,
-                         counted: DataFrame | None = None) -> DataFrame:
+                         collapse: RowWise | None = None) -> DataFrame:
     """Add ``rn_col`` = row_number() over (partition by group order by order, ascending).
 
     ``lag_of`` maps a source column to the name of its lag-1 column in the
     same window. Returns all input columns plus the new ones; rows whose group has a
-    NULL are left out. ``counted``: a table
-    that is cheaper to count than ``df`` and has no group smaller than there.
+    NULL are left out. ``collapse`` makes the rows that are numbered, never more of a group
+    than ``df`` has, by an aggregate on the group columns and others: it and the window then
+    share one shuffle.
     """
     lag_of = lag_of or {}
     df = df.dropna(subset=group_cols)
     bucket = F.pmod(F.xxhash64(*group_cols), F.lit(BUCKETS))
-    sizes = (df if counted is None else counted).groupBy(bucket.alias("b")).count().where(F.col("count") > HOT_ROWS)
+    sizes = df.groupBy(bucket.alias("b")).count().where(F.col("count") > HOT_ROWS)
     hot = [r["b"] for r in sizes.collect()]  # at most one in HOT_ROWS rows
+
+    def together(rows: DataFrame) -> DataFrame:
+        return _by_window(collapse(rows.repartition(*group_cols)) if collapse else rows, group_cols, order_cols, rn_col, lag_of)
+
     if not hot:
-        return _by_window(df, group_cols, order_cols, rn_col, lag_of)
-    spread = _by_ranges(df.where(bucket.isin(hot)), group_cols, order_cols, rn_col, lag_of, num_partitions)
-    return _by_window(df.where(~bucket.isin(hot)), group_cols, order_cols, rn_col, lag_of).unionByName(spread)
+        return together(df)
+    large = df.where(bucket.isin(hot))
+    spread = _by_ranges(collapse(large) if collapse else large, group_cols, order_cols, rn_col, lag_of, num_partitions)
+    return together(df.where(~bucket.isin(hot))).unionByName(spread)
 
 
 def _by_window(df: DataFrame, group_cols: list[str], order_cols: list[str], rn_col: str, lag_of: dict[str, str]) -> DataFrame:

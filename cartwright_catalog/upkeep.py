@@ -124,7 +124,7 @@ def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = [(fact.where(F.col("order_number") <= 3), [1, 2, 3]), (fact.where(F.col("order_number") > 3), [w for w in waves if w > 3]), (bad, [2]), (twice, [3])]
     out = []
     for i, (rows, changed) in enumerate(steps):
-        write_pending_partitions(rows, target, FACT_PARTITION, changed, FACT_KEY[0]).publish()
+        write_pending_partitions(rows, target, FACT_PARTITION, changed, FACT_KEY[0], balance=False).publish()
         results = quality.evaluate_incremental(spark, FACT_TESTS, marts, target, FACT_PARTITION)
         out.append(spark.createDataFrame(results.withColumn("step", F.lit(i + 1)).collect(), results.schema.add("step", "integer")))
     return reduce(DataFrame.unionByName, out)

@@ -84,3 +84,16 @@ def test_shuffles_are_sized_unless_the_session_says_otherwise(spark):
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
         configure(spark)
+
+
+def test_tables_are_written_with_zstd_unless_the_session_says_otherwise(spark):
+    from cartwright.session import configure
+    codec = "spark.sql.parquet.compression.codec"
+    old = spark.conf.get(codec, None)
+    try:
+        spark.conf.unset(codec)
+        assert configure(spark).conf.get(codec) == "zstd"
+        spark.conf.set(codec, "gzip")
+        assert configure(spark).conf.get(codec) == "gzip"
+    finally:
+        spark.conf.set(codec, old) if old else spark.conf.unset(codec)

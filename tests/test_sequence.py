@@ -46,3 +46,23 @@ def test_groups_that_fit_a_task_are_shuffled_once(spark):
     got = number_within_groups(_skewed(spark), ["g"], ["o", "k"], lag_of={"o": "prev_o"})
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_order_lines_read_the_lines_once(spark, monkeypatch):
+    """The lines are collapsed, numbered and marked from one scan; a long history or a large
+    order (thresholds lowered) give the same rows, as do repeated and missing keys."""
+    from cartwright_catalog.driver_tables import raw_order_lines
+
+    lines = spark.createDataFrame(
+        [(o, p, n) for o in range(1, 9) for n, p in enumerate((o % 3, 5, None, o % 3, 6), 1)] + [(None, 5, 1), (99, 5, 1)],
+        "l_orderkey long, l_partkey long, l_linenumber int")
+    orders = spark.createDataFrame([(o, o % 2, 1 + o // 2, "test" if o == 7 else "prior") for o in (1, 2, 3, 4, 5, 6, 7, 8, 8)],
+                                   "order_id long, user_id long, order_number int, eval_set string")
+    df = raw_order_lines(lines, orders)
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2  # lines and orders
+    got = sorted(map(tuple, df.collect()))
+    assert (1, 1, 1, 0, 1, "prior") in got and (3, 5, 2, 1, 2, "prior") in got and not [r for r in got if r[0] in (7, 99)]
+    assert len(got) == 8 * 3  # no line without a product; order 8 is there twice
+    for limit in (3, 1):
+        monkeypatch.setattr(numbering, "HOT_ROWS", limit)
+        assert sorted(map(tuple, raw_order_lines(lines, orders).collect())) == got

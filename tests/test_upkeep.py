@@ -184,6 +184,45 @@ def test_incremental_tests_equal_full_ones(spark, scratch, monkeypatch):
     assert [tuple(r) for r in quality.evaluate_incremental(spark, other, {}, target, "wave").collect()] == want
 
 
+def test_kept_values_are_packed_and_stay_apart(spark, scratch):
+    """Hash keys are kept in half of their digits; no two texts become one."""
+    target, md5 = f"{scratch}/fact", "0123456789abcdef" * 2
+    keys = [md5, md5.upper(), md5[1:], "00", "0", "\x00", "", "a", "ä", "61", None]
+    write_pending_partitions(_fact(spark, [(i, 1, 0, k, 1 + i % 2) for i, k in enumerate(keys)]), target, "wave", [1, 2]).publish()
+    for known in ([md5, "61"], [md5.upper(), "a", "\x00"], [k for k in keys if k is not None]):
+        dim = spark.createDataFrame([(k,) for k in known], "k string")
+        want = sorted(map(tuple, quality.evaluate(TESTS, {"fact": spark.read.parquet(target), "dim": dim}).collect()))
+        assert sorted(map(tuple, quality.evaluate_incremental(spark, TESTS, {"dim": dim}, target, "wave").collect())) == want
+    kept = spark.read.parquet(f"{scratch}/.tests-fact").where(F.length("_v") == 17)
+    assert kept.where(F.lower(F.hex("_v")) == "00" + md5).count() == 1
+
+
+def test_table_is_opened_only_where_keys_are_shared(spark, scratch):
+    target = f"{scratch}/fact"
+    write_pending_partitions(_fact(spark, [(w, 1, 0, "a", w) for w in (1, 2, 3, 4)]), target, "wave", [1, 2, 3, 4]).publish()
+    index = key_index(target, "wave", "order_id", _fact(spark, []).schema["order_id"].dataType)
+    assert quality._sharing(index.read(spark), "order_id", "wave") == []
+    pair = [t for t in TESTS if t.kind == "unique_combination"]
+    assert quality.evaluate_incremental(spark, pair, {}, target, "wave").collect()[0].n_failed == 0
+    more = [(2, 1, 0, "a", 2), (4, 1, 0, "a", 2), (2, 1, 0, "a", 2)]
+    write_pending_partitions(_fact(spark, more), target, "wave", [2], balance=False).publish()
+    assert sorted(quality._sharing(index.read(spark), "order_id", "wave")) == [2, 4]
+    assert quality.evaluate_incremental(spark, pair, {}, target, "wave").collect()[0].n_failed == 2
+
+
+def test_rows_of_partition_files_are_written_without_a_shuffle(spark, scratch, monkeypatch):
+    target, plans = f"{scratch}/fact", []
+    write_pending_partitions(_fact(spark, [(w, p, 0, "a", w) for w in (1, 2) for p in (2, 1)]), target, "wave", [1, 2]).publish()
+    real = type(spark.range(0)).sortWithinPartitions
+    monkeypatch.setattr(type(spark.range(0)), "sortWithinPartitions",
+                        lambda df, *a, **k: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a, **k))
+    rows = spark.read.parquet(target).withColumn("v", F.lit(1))
+    write_pending_partitions(rows, f"{scratch}/copy", "wave", [1, 2], "order_id", balance=False).publish()
+    assert len(plans) == 1 and "Rebalance" not in plans[0] and "Repartition" not in plans[0]
+    assert spark.read.parquet(f"{scratch}/copy").select(*rows.columns).exceptAll(rows).isEmpty()
+    assert spark.read.parquet(f"{scratch}/copy").count() == 4
+
+
 def test_values_compare_in_their_own_type(spark):
     child = spark.createDataFrame([(1, 0.0, "x", -0.0), (2, 1.0, None, 0.0), (None, None, "y", 1.5)], "k int, d double, s string, z double")
     parent = spark.createDataFrame([(1.0, 1), (2.0, 3)], "k double, n long")
