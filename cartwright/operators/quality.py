@@ -152,17 +152,21 @@ def _tagged(df: DataFrame, slots: list[tuple[str, DataType]], value, *keep: str)
     return df.select(*keep, F.inline(F.array(*rows)))
 
 
-def _from_counts(tests: list[DataTest], counts: DataFrame, slots: list[tuple[str, DataType]], value,
-                 tables: dict[str, DataFrame]) -> DataFrame:
-    """Test results from rows counted by (slot, value)."""
+def _parent_keys(tests: list[DataTest], slots: list[tuple[str, DataType]], value, tables: dict[str, DataFrame]) -> DataFrame | None:
+    """The keys of the parents, by slot and place (``_p``) of the test among ``relationships``."""
+    parents_of = [(t, _slot(t, slots, tables)) for t in tests if t.kind == "relationships"]
+    keys = [tables[t.to_model].select(F.lit(at).alias("_c"), value(F.col(t.to_column), slots[at][1]).alias("_v"), F.lit(i).alias("_p"))
+            for i, (t, at) in enumerate(parents_of)]
+    return reduce(DataFrame.unionByName, keys).where(F.col("_v").isNotNull()) if keys else None
+
+
+def _failed(tests: list[DataTest], counts: DataFrame, slots: list[tuple[str, DataType]], value,
+            tables: dict[str, DataFrame], *by: str) -> DataFrame:
+    """Numbers of failures t0..tn from rows counted by (slot, value), by the columns ``by``."""
     at = {t: _slot(t, slots, tables) for t in tests}
     parents_of = [t for t in tests if t.kind == "relationships"]
-    if parents_of:
-        keys = reduce(DataFrame.unionByName, [
-            tables[t.to_model].select(F.lit(at[t]).alias("_c"), value(F.col(t.to_column), slots[at[t]][1]).alias("_v"),
-                                      F.lit(i).alias("_p"))
-            for i, t in enumerate(parents_of)])
-        known = keys.where(F.col("_v").isNotNull()).groupBy("_c", "_v").agg(F.collect_set("_p").alias("_parents"))
+    if (keys := _parent_keys(tests, slots, value, tables)) is not None:
+        known = keys.groupBy("_c", "_v").agg(F.collect_set("_p").alias("_parents"))
         counts = counts.join(known, ["_c", "_v"], "left")
     aggs = []
     for i, t in enumerate(tests):
@@ -180,7 +184,13 @@ def _from_counts(tests: list[DataTest], counts: DataFrame, slots: list[tuple[str
             has = F.coalesce(F.array_contains("_parents", parents_of.index(t)), F.lit(False))
             n = F.sum(F.when(given & ~has, F.col("_n")))
         aggs.append(F.coalesce(n, F.lit(0)).alias(f"t{i}"))
-    return _unpivot(counts.agg(*aggs), tests)
+    return counts.groupBy(*by).agg(*aggs)
+
+
+def _from_counts(tests: list[DataTest], counts: DataFrame, slots: list[tuple[str, DataType]], value,
+                 tables: dict[str, DataFrame]) -> DataFrame:
+    """Test results from rows counted by (slot, value)."""
+    return _unpivot(_failed(tests, counts, slots, value, tables), tests)
 
 
 def _by_value(tests: list[DataTest], df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
@@ -242,6 +252,26 @@ def _state(target: str, column: str, tests: list[DataTest], slots: list[tuple[st
     return Derived(target, column, "tests", build, _STATE, ("_c", "_v"), version)
 
 
+_FAILED = StructType().add("_c", IntegerType()).add("_n", LongType())
+
+
+def _failures(spark: SparkSession, state: Derived, tests: list[DataTest], slots: list[tuple[str, DataType]],
+              tables: dict[str, DataFrame]) -> Derived:
+    """Per partition, the rows that fail each of ``tests`` (``_c``: its place), from the counted
+    values. It is made anew for other parent keys: they are told apart by their number and
+    two sums of hashes, 128 bits that do not depend on the order."""
+    def build(counts: DataFrame) -> DataFrame:
+        n = _failed(tests, counts.where("_c >= 0"), slots, _packed, tables, state.column)
+        rows = [F.struct(F.lit(i).alias("_c"), F.col(f"t{i}").cast("long").alias("_n")) for i in range(len(tests))]
+        return n.select(state.column, F.inline(F.array(*rows)))
+
+    parents = []
+    if (keys := _parent_keys(tests, slots, _packed, tables)) is not None:
+        sums = [F.sum(F.xxhash64(F.lit(seed), "_v").cast("decimal(38,0)")).alias(f"h{seed}") for seed in (0, 1)]
+        parents = sorted(map(str, keys.groupBy("_p").agg(F.count("_v").alias("n"), *sums).collect()))  # one row a test
+    return Derived(state.path, state.column, "failed", build, _FAILED, ("_c",), repr([(t.name, t.to_column) for t in tests]) + repr(parents))
+
+
 def evaluate_incremental(spark: SparkSession, tests: list[DataTest] | tuple[DataTest, ...], tables: dict[str, DataFrame],
                          target: str, column: str, staged: DataFrame | None = None,
                          affected: set[int] | tuple = ()) -> DataFrame:
@@ -250,8 +280,9 @@ def evaluate_incremental(spark: SparkSession, tests: list[DataTest] | tuple[Data
     last time. With ``staged``, the table as it will be when the partitions ``affected``
     hold these rows.
 
-    Value counts of the partitions are added up and compared with the parents as they are
-    now. A combination can only be repeated across partitions if its leading value is in
+    Failures of ``not_null`` and ``relationships`` are kept per partition, for the parents as
+    they are now, and added up; for the other tests, the value counts of the partitions are
+    added up. A combination can only be repeated across partitions if its leading value is in
     several of them; the key index names those, and their rows are counted once more.
     """
     tests = list(tests)
@@ -260,11 +291,17 @@ def evaluate_incremental(spark: SparkSession, tests: list[DataTest] | tuple[Data
     pairs = [t for t in tests if t.kind == "unique_combination"]
     single = [t for t in tests if t.kind != "unique_combination"]
     slots = _slots(single, tables) if single else []
-    kept = _state(target, column, tests, slots, pairs).read(spark, staged, affected)
+    state = _state(target, column, tests, slots, pairs)
+    kept = state.read(spark, staged, affected)
     parts = []
-    if single:
-        counts = kept.where("_c >= 0").groupBy("_c", "_v").agg(F.sum("_n").alias("_n"))
-        parts.append(_from_counts(single, counts, slots, _packed, tables))
+    if rowwise := [t for t in single if t.kind in ("not_null", "relationships")]:
+        failed = _failures(spark, state, rowwise, slots, tables).read(spark, state.build(staged) if staged is not None else None, affected)
+        sums = [F.coalesce(F.sum(F.when(F.col("_c") == i, F.col("_n"))), F.lit(0)).alias(f"t{i}") for i in range(len(rowwise))]
+        parts.append(_unpivot(failed.agg(*sums), rowwise))
+    if valued := [t for t in single if t not in rowwise]:
+        at = sorted({_slot(t, slots, tables) for t in valued})
+        counts = kept.where(F.col("_c").isin(at)).groupBy("_c", "_v").agg(F.sum("_n").alias("_n"))
+        parts.append(_from_counts(valued, counts, slots, _packed, tables))
     for i, t in enumerate(pairs):
         lead = t.columns[0]
         index = key_index(target, column, lead, table.schema[lead].dataType).read(spark, staged, affected)

@@ -197,6 +197,23 @@ def test_kept_values_are_packed_and_stay_apart(spark, scratch):
     assert kept.where(F.lower(F.hex("_v")) == "00" + md5).count() == 1
 
 
+def test_failures_of_unchanged_partitions_are_kept_for_the_same_parents(spark, scratch, monkeypatch):
+    target, built = f"{scratch}/fact", []
+    real = quality.Derived._build
+    monkeypatch.setattr(quality.Derived, "_build", lambda self, s, sigs: built.append((self.state, sorted(sigs))) or real(self, s, sigs))
+    write_pending_partitions(_fact(spark, [(w, 1, 0, "ab"[w % 2], w) for w in (1, 2, 3)]), target, "wave", [1, 2, 3]).publish()
+    for keys, again in ((["a", None], [1, 2, 3]), ([None, "a"], []), (["b"], [1, 2, 3]), (["a", "b"], [1, 2, 3])):
+        dim = spark.createDataFrame([(k,) for k in keys], "k string")
+        built.clear()
+        got = sorted(map(tuple, quality.evaluate_incremental(spark, TESTS, {"dim": dim}, target, "wave").collect()))
+        assert got == sorted(map(tuple, quality.evaluate(TESTS, {"fact": spark.read.parquet(target), "dim": dim}).collect()))
+        assert [w for state, w in built if state == "failed"] == ([again] if again else [])
+    write_pending_partitions(_fact(spark, [(2, 1, 0, "z", 2)]), target, "wave", [2]).publish()
+    built.clear()
+    assert {r.kind: r.n_failed for r in quality.evaluate_incremental(spark, TESTS, {"dim": dim}, target, "wave").collect()}["relationships"] == 1
+    assert ("failed", [2]) in built
+
+
 def test_table_is_opened_only_where_keys_are_shared(spark, scratch):
     target = f"{scratch}/fact"
     write_pending_partitions(_fact(spark, [(w, 1, 0, "a", w) for w in (1, 2, 3, 4)]), target, "wave", [1, 2, 3, 4]).publish()
